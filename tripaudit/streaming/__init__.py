@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+Every job in this domain is a daily batch: late rows are picked up by reading
+the last ten days again and by overwriting whole ``dt`` partitions (see
+``tripaudit.sources.writers``), so there is no state, watermark or trigger to
+express here.
+"""
