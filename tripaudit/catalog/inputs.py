@@ -167,6 +167,18 @@ def fx_point(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixes.where(f"not ({lost})").select("event_id", ID, "t", "latitude", "longitude")
 
 
+def fx_order_point(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six fixes along every order version."""
+    step = F.explode(F.sequence(F.lit(0), F.lit(5))).alias("i")
+    along = fx_order(spark, sf_dir).select(ID, "start_time", "end_time", "start_latitude", "start_longitude", step)
+    return along.selectExpr(
+        ID,
+        "start_time + i * ((end_time - start_time) div 5) as t",
+        "start_latitude + i * 0.001D as latitude",
+        "start_longitude as longitude",
+    )
+
+
 def fx_track_reply(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw replies of up to 50 fixes each, some of them broken, empty or missing."""
     fix = F.struct(

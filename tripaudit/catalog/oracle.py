@@ -328,6 +328,33 @@ stats AS (
   FROM phase LEFT JOIN gap_stats USING (service_order_id) LEFT JOIN positions USING (service_order_id)
 )"""
 
+ORDER_TRACK = f"""
+near AS (
+  SELECT d.service_order_id, d.start_time, d.end_time, p.t, p.latitude, p.longitude FROM dist d JOIN (
+    SELECT service_order_id, start_time + i * ((end_time - start_time) // 5) AS t,
+      start_latitude + i * 1e-3 AS latitude, start_longitude AS longitude
+    FROM fx_order CROSS JOIN range(6) AS steps(i)
+  ) p USING (service_order_id)
+  WHERE p.t BETWEEN d.start_time - 300 AND d.end_time + 300
+),
+in_trip AS (SELECT * FROM near WHERE t BETWEEN start_time AND end_time),
+gaps AS (
+  SELECT service_order_id, t, lead(t) OVER (PARTITION BY service_order_id ORDER BY t) - t AS gap FROM in_trip
+)"""
+
+# Rule chain over a trip row and its track statistics ``s``.
+def _susp_type(km: str) -> str:
+    ratio = f"({km} / nullif(predict_distance / 1000, 0))"
+    return f"""CASE
+      WHEN s.service_order_id IS NULL THEN '无轨迹数据'
+      WHEN avg_before < 15 AND avg_after < 15 AND max_gap / nullif(end_time - start_time, 0) > 5e-1
+        AND end_time - start_time > 300 AND n_long_gaps < 2 THEN '开始和结束正常，中途丢点'
+      WHEN start_time - arrival_time > 600 AND {ratio} < 8e-1 AND avg_in <= 10 THEN '轨迹正常，司机忘记点击出发'
+      WHEN {ratio} BETWEEN 2e-1 AND 8e-1 AND n_positions > 2 THEN '行驶途中丢点'
+      WHEN {ratio} BETWEEN 8e-1 AND 11e-1 AND avg_in <= 10 THEN '轨迹、里程无误，但司机异议'
+      ELSE 'unknow' END"""
+
+
 EXTRACT = """service_order_id, city, status, passenger_name, driver_id, start_time, start_longitude,
     system_distance, update_time, l_linenumber, l_extendedprice, dt"""
 ROW = "service_order_id, l_linenumber, l_extendedprice"
@@ -336,7 +363,6 @@ ROW = "service_order_id, l_linenumber, l_extendedprice"
 def oracle_sql() -> dict[str, str]:
     risk_ids = "(SELECT service_order_id FROM fx_risk WHERE is_rc = 'T')"
     recent_ids = "(SELECT service_order_id FROM fx_risk WHERE is_rc = 'T' AND dt > 20170319)"
-    ratio = "(system_distance / nullif(predict_distance / 1000, 0))"
     devices = f"{VALID}, {FX_DEVICE}"
     seen = "(SELECT service_order_id FROM dist WHERE dt < 20170327 AND dt >= 20170317)"
     daily = "SELECT dt, count(*) AS cnt FROM fx_order"
@@ -461,15 +487,8 @@ def oracle_sql() -> dict[str, str]:
             count(DISTINCT (latitude, longitude)) AS n_positions FROM in_trip GROUP BY service_order_id""",
         "track_stats": f"""{_with(FX_TRIP, TRACK_STATS)} SELECT service_order_id, avg_before, avg_in, avg_after,
             min_gap, max_gap, n_long_gaps, n_positions FROM stats""",
-        "track_class": f"""{_with(FX_TRIP, TRACK_STATS)} SELECT service_order_id, CASE
-            WHEN s.service_order_id IS NULL THEN '无轨迹数据'
-            WHEN avg_before < 15 AND avg_after < 15 AND max_gap / nullif(end_time - start_time, 0) > 5e-1
-              AND end_time - start_time > 300 AND n_long_gaps < 2 THEN '开始和结束正常，中途丢点'
-            WHEN start_time - arrival_time > 600 AND {ratio} < 8e-1 AND avg_in <= 10
-              THEN '轨迹正常，司机忘记点击出发'
-            WHEN {ratio} BETWEEN 2e-1 AND 8e-1 AND n_positions > 2 THEN '行驶途中丢点'
-            WHEN {ratio} BETWEEN 8e-1 AND 11e-1 AND avg_in <= 10 THEN '轨迹、里程无误，但司机异议'
-            ELSE 'unknow' END AS susp_type
+        "track_class": f"""{_with(FX_TRIP, TRACK_STATS)} SELECT service_order_id,
+            {_susp_type('system_distance')} AS susp_type
             FROM fx_trip t LEFT JOIN stats s USING (service_order_id)""",
         "latest_ext": f"{_with(FX_EXT, LATEST_EXT)} SELECT * FROM newest_ext",
         "latest_order": f"""{ORDERS} SELECT service_order_id, l_linenumber, update_time, city, driver_id
@@ -544,4 +563,14 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'zero_driver', count(DISTINCT driver_id) FROM zero
             UNION ALL SELECT * FROM (VALUES ('zero_pos_diff', 15), ('zero_hour_distribute', 24),
               ('zero_order_duration', 21))""",
+        "susp_detail": f"""{SUSPECTS}, {FX_DEVICE}, {FX_LOG}, {ORDER_TRACK}, {TRACK_STATS}
+            SELECT CAST(d.service_order_id AS VARCHAR) AS service_order_id, CAST(d.driver_id AS VARCHAR) AS driver_id,
+            substr({_clock('d.start_time')}, 1, 10) AS date, {_clock('d.start_time')} AS start_time,
+            sys_km AS system_distance, dep_km AS dependable_distance, n.os_type, {_susp_type('sys_km')} AS susp_type,
+            r_sys_dis, is_enable, CASE WHEN d.service_order_id IN (SELECT service_order_id FROM dist
+              WHERE dt < 20170327) THEN 0 ELSE 1 END AS is_new
+            FROM dist d LEFT JOIN stats s USING (service_order_id)
+            LEFT JOIN newest_device n ON n.user_type = 'DR' AND n.user_id = d.driver_id
+            LEFT JOIN parsed_log g ON g.service_order_id = CAST(d.service_order_id AS VARCHAR)
+              AND g.log_day = {_yyyymmdd('d.end_time')}""",
     }

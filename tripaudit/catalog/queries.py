@@ -213,7 +213,7 @@ def daily_summary(spark, sf):
 @query
 def daily_summary_rc(spark, sf):
     risk = filters.risk_rows(I.fx_risk(spark, sf))
-    return stats.daily_summary(joins.flag_members(_summary_base(spark, sf), risk), use_rc=True)
+    return stats.daily_summary(joins.flag_members(_summary_base(spark, sf), risk, salts=1), use_rc=True)
 
 
 def _day_base(spark, sf, day=I.LAST_DAY):
@@ -605,13 +605,12 @@ def report_bundle(spark, sf):
 
 
 def susp_inputs(spark, sf) -> SuspInputs:
-    """Points of trips stand in for points of orders: ids overlap."""
     hist = _susp_hist(_distance(spark, sf))
     return SuspInputs(
         orders=I.fx_order(spark, sf),
         ext=I.fx_ext(spark, sf),
         devices=joins.latest_device(I.fx_device(spark, sf), ["device_id"]),
-        points=I.fx_point(spark, sf).drop("event_id"),
+        points=I.fx_order_point(spark, sf),
         log=_log(spark, sf),
         distance_hist=hist,
         operation_hist=hist,

@@ -22,11 +22,14 @@ def earlier_history(hist: DataFrame, day: int, keep_days: int = 10) -> DataFrame
 
 
 def mark_new(df: DataFrame, hist: DataFrame, day: int, keep_days: int = 10) -> DataFrame:
-    """Add ``execute_date`` and ``is_new`` (1: order id not in the history)."""
+    """Add ``execute_date`` and ``is_new`` (1: order id not in the history).
+
+    ``df`` holds suspects, one row per order.
+    """
     seen = earlier_history(hist, day, keep_days).select(F.col(ID).cast("string").alias(ID))
     keyed = df.withColumn(ID, F.col(ID).cast("string"))
     return (
-        flag_members(keyed, seen, ID, "_seen")
+        flag_members(keyed, seen, ID, "_seen", salts=1)
         .withColumns(
             {"execute_date": F.lit(int(day)), "is_new": F.when(F.col("_seen"), 0).otherwise(1)}
         )

@@ -33,7 +33,12 @@ def _row_salt(df: DataFrame, salts: int) -> Column:
 def salted_join(
     df: DataFrame, side: DataFrame, on: Sequence[str], how: str, salts: int = SALTS
 ) -> DataFrame:
-    """Join ``df`` with a smaller ``side`` that is unique on ``on``."""
+    """Join ``df`` with a smaller ``side`` that is unique on ``on``.
+
+    ``salts=1`` is the plain join, right where ``df`` has few rows per key.
+    """
+    if salts == 1:
+        return df.join(side, list(on), how)
     left = df.withColumn("_salt", _row_salt(df, salts))
     right = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return left.join(right, [*on, "_salt"], how).drop("_salt")
@@ -43,19 +48,21 @@ def _key_list(ids: DataFrame, key: str) -> DataFrame:
     return ids.select(key).where(F.col(key).isNotNull()).distinct()
 
 
-def flag_members(df: DataFrame, ids: DataFrame, key: str = ID, name: str = "is_rc") -> DataFrame:
+def flag_members(
+    df: DataFrame, ids: DataFrame, key: str = ID, name: str = "is_rc", salts: int = SALTS
+) -> DataFrame:
     """Add boolean ``name``: is the key of the row in ``ids``?"""
     listed = _key_list(ids, key).withColumn("_listed", F.lit(True))
-    joined = salted_join(df, listed, [key], "left")
+    joined = salted_join(df, listed, [key], "left", salts)
     return joined.withColumn(name, F.col("_listed").isNotNull()).drop("_listed")
 
 
-def only_in(df: DataFrame, ids: DataFrame, key: str = ID) -> DataFrame:
-    return salted_join(df, _key_list(ids, key), [key], "left_semi")
+def only_in(df: DataFrame, ids: DataFrame, key: str = ID, salts: int = SALTS) -> DataFrame:
+    return salted_join(df, _key_list(ids, key), [key], "left_semi", salts)
 
 
-def not_in(df: DataFrame, ids: DataFrame, key: str = ID) -> DataFrame:
-    return salted_join(df, _key_list(ids, key), [key], "left_anti")
+def not_in(df: DataFrame, ids: DataFrame, key: str = ID, salts: int = SALTS) -> DataFrame:
+    return salted_join(df, _key_list(ids, key), [key], "left_anti", salts)
 
 
 def distinct_versions(ext: DataFrame) -> DataFrame:
@@ -83,9 +90,13 @@ def latest_ext(ext: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def join_latest_ext(orders: DataFrame, latest: DataFrame) -> DataFrame:
-    """Inner join of orders with :func:`latest_ext`."""
-    return orders.join(latest, ID)
+def join_latest_ext(orders: DataFrame, latest: DataFrame, salts: int = 2) -> DataFrame:
+    """Inner join of orders with :func:`latest_ext`.
+
+    ``latest`` is narrow but as long as the order list, so it is repeated only
+    twice: enough to put an exchange under it, the rest is up to AQE.
+    """
+    return salted_join(orders, latest, [ID], "inner", salts)
 
 
 def valid_with_latest_ext(orders: DataFrame, latest: DataFrame) -> DataFrame:

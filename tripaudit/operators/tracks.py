@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripaudit.functions.times import DAY, SHANGHAI_OFFSET
+from tripaudit.functions.times import epoch_day
 from tripaudit.operators.rows import ID
 
 SLICE = 3600
@@ -48,12 +48,21 @@ def _slices(low: Column, high: Column) -> Column:
 
 
 def _sliced_points(
-    trips: DataFrame, points: DataFrame, before: int, after: int, point_cols: Sequence[str]
+    trips: DataFrame,
+    points: DataFrame,
+    before: int,
+    after: int,
+    point_cols: Sequence[str],
+    day_col: str | None = None,
 ) -> DataFrame:
     low, high = F.col("start_time") - before, F.col("end_time") + after
     spread = trips.withColumn("slice", F.explode(_slices(low, high)))
-    cut = points.select(ID, *point_cols).withColumn("slice", _slice(F.col("t")))
-    return spread.join(cut, [ID, "slice"]).where(F.col("t").between(low, high))
+    on = [ID, "slice"]
+    if day_col:
+        spread = spread.withColumn(day_col, epoch_day(F.col("slice") * SLICE))
+        on.append(day_col)
+    cut = points.withColumn("slice", _slice(F.col("t"))).select(*on, *point_cols)
+    return spread.join(cut, on).where(F.col("t").between(low, high))
 
 
 def trip_points(
@@ -62,30 +71,13 @@ def trip_points(
     """Points of each trip from ``before`` s ahead of it to ``after`` s past it.
 
     An equi join on (order, time slice) with the exact range as residual. If
-    the points are partitioned by a Shanghai day (``day_col``, ``yyyymmdd``),
-    pass only the days of interest; :func:`track_days` lists them per trip.
+    the points are partitioned by the Shanghai day of ``t`` (``yyyymmdd``),
+    name that column in ``day_col``: it becomes a join key (a slice never
+    spans two days), so that Spark can prune the days no trip touches.
     """
     cols = [c for c in points.columns if c not in (ID, day_col)]
-    return _sliced_points(trips, points, before, after, cols).drop("slice")
-
-
-def track_days(trips: DataFrame, before: int = BEFORE, after: int = AFTER) -> DataFrame:
-    """Distinct Shanghai days (``yyyymmdd``) the windows of ``trips`` touch.
-
-    A day list is short however many trips there are, so it can be collected
-    for a partition filter on the points.
-    """
-    def day_no(t: Column) -> Column:
-        return F.floor((t + SHANGHAI_OFFSET) / DAY)
-
-    low, high = day_no(F.col("start_time") - before), day_no(F.col("end_time") + after)
-    days = F.when(low <= high, F.sequence(low, high))
-    date = F.date_from_unix_date(F.col("d").cast("int"))
-    return (
-        trips.select(F.explode(days).alias("d"))
-        .distinct()
-        .select((F.year(date) * 10000 + F.month(date) * 100 + F.dayofmonth(date)).cast("int").alias("day"))
-    )
+    found = _sliced_points(trips, points, before, after, cols, day_col)
+    return found.drop("slice", *([day_col] if day_col else []))
 
 
 def _fix_runs(points: DataFrame, keys: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
@@ -209,6 +201,7 @@ def track_stats(
     before: int = BEFORE,
     after: int = AFTER,
     long_gap: int = LONG_GAP,
+    day_col: str | None = None,
 ) -> DataFrame:
     """All numbers the rules need, one row per trip that has points.
 
@@ -218,7 +211,7 @@ def track_stats(
     """
     window = [*keys, "start_time", "end_time"]
     slim = trips.select(*dict.fromkeys([ID, *window]))
-    near = _sliced_points(slim, points, before, after, ["t", "latitude", "longitude"])
+    near = _sliced_points(slim, points, before, after, ["t", "latitude", "longitude"], day_col)
     in_trip = F.col("t").between(F.col("start_time"), F.col("end_time"))
 
     # Copies of a fix first, then all fixes of a second.
@@ -252,8 +245,8 @@ def track_stats(
         F.max(F.greatest("gap", "repeated")).alias("max_gap"),
         F.collect_set(F.when(F.col("gap") > long_gap, F.col("gap"))).alias("long"),
     )
-    steps = Window.partitionBy(*window).orderBy("slice")
-    next_first = F.min("first_in").over(steps.rowsBetween(1, Window.unboundedFollowing))
+    later = Window.partitionBy(*window).orderBy(F.desc("slice")).rowsBetween(Window.unboundedPreceding, -1)
+    next_first = F.last("first_in", ignorenulls=True).over(later)
     bridged = per_slice.withColumn("bridge", next_first - F.col("last_in"))
     long_bridge = F.when(F.col("bridge") > long_gap, F.array("bridge")).otherwise(
         F.array().cast("array<bigint>")
@@ -324,13 +317,17 @@ def rule_driver_dispute() -> Column:
 
 
 def classify_trips(
-    trips: DataFrame, points: DataFrame, keys: Sequence[str] = (ID,), max_long_gaps: int = 2
+    trips: DataFrame,
+    points: DataFrame,
+    keys: Sequence[str] = (ID,),
+    max_long_gaps: int = 2,
+    day_col: str | None = None,
 ) -> DataFrame:
     """``susp_type`` per trip: the first rule that holds, in fixed order.
 
     A rule whose inputs are unknown does not hold.
     """
-    stats = track_stats(trips, points, keys).withColumn("_has", F.lit(True))
+    stats = track_stats(trips, points, keys, day_col=day_col).withColumn("_has", F.lit(True))
     label = (
         F.when(F.col("_has").isNull(), NO_TRACK)
         .when(rule_lost_middle_ok_ends(max_long_gaps), LOST_MIDDLE_OK_ENDS)

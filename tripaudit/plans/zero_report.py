@@ -62,7 +62,8 @@ def report_summary(inputs: ZeroInputs, day: int, days: int = 10) -> DataFrame:
     """Daily summary over the last ``days`` days, in the stored column names."""
     base = summary_base(inputs.orders, inputs.ext, last_days(day, days), inputs.order)
     if inputs.use_rc:
-        base = flag_members(base, inputs.risk)
+        # One row per order, already partitioned by order id.
+        base = flag_members(base, inputs.risk, salts=1)
     return rename_cols(stats.daily_summary(base, inputs.use_rc), SUMMARY_NAMES)
 
 
