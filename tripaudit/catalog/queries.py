@@ -109,12 +109,16 @@ def op_split(spark, sf):
     return suspects.least_deviating_first(tagged)
 
 
+def _devices(spark, sf):
+    """Newest device rows with ``update_time`` in seconds."""
+    newest = joins.latest_device(I.fx_device(spark, sf), ["device_id"])
+    return newest.withColumn("update_time", F.expr("update_time div 1000000"))
+
+
 @query
 def format_detail(spark, sf):
-    devices = joins.latest_device(I.fx_device(spark, sf), ["device_id"])
     detail = suspects.distance_detail(_distance(spark, sf)).withColumn("execute_date", F.lit(I.SUSP_DAY))
-    seconds = devices.withColumn("update_time", F.expr("update_time div 1000000"))
-    return suspects.format_detail(joins.attach_device(detail, seconds))
+    return suspects.format_detail(joins.attach_device(detail, _devices(spark, sf)))
 
 
 @query
@@ -609,7 +613,7 @@ def susp_inputs(spark, sf) -> SuspInputs:
     return SuspInputs(
         orders=I.fx_order(spark, sf),
         ext=I.fx_ext(spark, sf),
-        devices=joins.latest_device(I.fx_device(spark, sf), ["device_id"]),
+        devices=_devices(spark, sf),
         points=I.fx_order_point(spark, sf),
         log=_log(spark, sf),
         distance_hist=hist,

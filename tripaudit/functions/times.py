@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 SHANGHAI_OFFSET = 8 * 3600
 DAY = 86400
 EPOCH = date(1970, 1, 1)
+# Local midnight of 0001-01-01 and the last local second of 9999.
+EPOCH_RANGE = (-62135596800 - SHANGHAI_OFFSET, 253402300799 - SHANGHAI_OFFSET)
 
 
 def parse_day(day: int | str) -> date:
@@ -65,12 +67,16 @@ def epoch_hour(epoch: Column) -> Column:
 
 
 def epoch_text(epoch: Column) -> Column:
-    """Shanghai ``yyyy-MM-dd HH:mm:ss``; NULL, 0 and unparsable give ``''``."""
+    """Shanghai ``yyyy-MM-dd HH:mm:ss``.
+
+    NULL, 0, unparsable values and years outside 1..9999 give ``''``.
+    """
     seconds = epoch.try_cast("bigint")
+    known = (seconds != 0) & seconds.between(*EPOCH_RANGE)
     stamp = F.timestamp_add(
         "SECOND", seconds + SHANGHAI_OFFSET, F.expr("timestamp_ntz'1970-01-01 00:00:00'")
     )
-    return F.when(seconds.isNull() | (seconds == 0), F.lit("")).otherwise(stamp.cast("string"))
+    return F.when(known, stamp.cast("string")).otherwise("")
 
 
 def dash_date(day: Column) -> Column:
