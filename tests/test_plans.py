@@ -76,11 +76,12 @@ def test_hot_track_is_split(spark):
     trips = spark.range(500).selectExpr(
         "id as service_order_id", "1000000 + id % 3 as start_time", "1003000 + id % 3 as end_time"
     )
+    hot, copy = "id % 3 = 0", "id % 6 = 0"
     points = spark.range(0, 900000, 1, 16).selectExpr(
-        "if(id % 3 = 0, 7, id % 500) as service_order_id",
-        "if(id % 3 = 0, 1001000, 1000010 + (id * 7) % 2900) as t",
-        "if(id % 3 = 0, 1D, id % 100 / 10D) as latitude",
-        "rand(1) * 0 + 2D as longitude",
+        f"if({hot}, 7, id % 500) as service_order_id",
+        f"if({copy}, 1001000, 1000810 + abs(xxhash64(id)) % 2100) as t",
+        f"if({copy}, 1D, abs(xxhash64(id, 1)) % 1000 / 10D) as latitude",
+        "2D as longitude",
     )
     for key, value in small.items():
         spark.conf.set(key, value)

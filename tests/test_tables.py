@@ -172,22 +172,57 @@ def test_zero_report_needs_rows(spark, tmp_path):
 
 
 def test_suspicious_report_saves_and_reruns(spark, tmp_path):
-    inputs = Q.susp_inputs(spark, SF)
+    """The history is read from the tables the new suspects go to."""
+    base = Q.susp_inputs(spark, SF)
     targets = [str(tmp_path / "dist_hist"), str(tmp_path / "op_hist")]
+    for target in targets:
+        writers.overwrite_partition(base.distance_hist, target, "execute_date")
+    kept = spark.read.parquet(targets[0]).count()
+
+    def history(target):
+        return readers.read_table(spark, target).select("service_order_id", "execute_date")
+
+    def inputs():
+        return susp_report.SuspInputs(
+            **{**base.__dict__, "distance_hist": history(targets[0]), "operation_hist": history(targets[1])}
+        )
+
     for _ in range(2):
-        paths = susp_report.save_suspicious_report(inputs, I.LAST_DAY, str(tmp_path / "susp"), *targets)
-    sheets = {name: spark.read.parquet(path) for name, path in paths.items()}
-    total = sheets["summary"].agg(*[F.sum(c).alias(c) for c in ("distance", "no_start", "no_end")]).first()
-    for name in ("distance", "no_start", "no_end"):
-        assert sheets[f"{name}_sheet"].count() == total[name] > 0
-    for kind, target in zip(("distance",), targets):
+        paths = susp_report.save_suspicious_report(inputs(), I.LAST_DAY, str(tmp_path / "susp"), *targets)
+        sheets = {name: spark.read.parquet(path) for name, path in paths.items()}
+        total = sheets["summary"].agg(*[F.sum(c).alias(c) for c in ("distance", "no_start", "no_end")]).first()
+        for name in ("distance", "no_start", "no_end"):
+            assert sheets[f"{name}_sheet"].count() == total[name] > 0
         fresh = sheets["distance_sheet"].where("is_new = 1").count()
-        assert spark.read.parquet(target).count() == fresh
-        assert rows_of(spark.read.parquet(target).select("execute_date").distinct()) == [(I.LAST_DAY,)]
-    # Marking against the table just written: nothing of an earlier day is new again.
-    later = readers.read_table(spark, targets[0]).select("service_order_id", "execute_date")
-    again = susp_report.suspicious_report(
-        susp_report.SuspInputs(**{**inputs.__dict__, "distance_hist": inputs.distance_hist.unionByName(later)}),
-        I.LAST_DAY + 1,
-    )["distance"]
-    assert again.where("is_new = 1").count() == 0
+        assert fresh > 0
+        table = spark.read.parquet(targets[0])
+        assert table.where(F.col("execute_date") == I.LAST_DAY).count() == fresh
+        assert table.count() == kept + fresh
+    later = susp_report.suspicious_report(inputs(), I.LAST_DAY + 1)["distance"]
+    assert later.where("is_new = 1").count() == 0
+
+
+def test_suspicious_report_expires_catalog_history(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS audit4")
+    base = Q.susp_inputs(spark, SF)
+    rows_ = susp_report.suspicious_report(base, I.LAST_DAY)
+    for name, kind in (("d", "distance"), ("o", "operation")):
+        tables.declare_table(spark, f"audit4.{name}", rows_[kind].schema, "execute_date")
+        old = spark.createDataFrame([("1", 20170318), ("2", 20170319)], "service_order_id string, execute_date int")
+        wide = old.select(*[
+            F.col(c) if c in old.columns else F.lit(None).cast(t).alias(c) for c, t in rows_[kind].dtypes
+        ])
+        writers.overwrite_partition(wide, f"audit4.{name}", "execute_date")
+    susp_report.save_suspicious_report(base, I.LAST_DAY, str(tmp_path / "susp"), "audit4.d", "audit4.o")
+    assert rows_of(tables.table_partitions(spark, "audit4.d", "execute_date")) == [(20170319,), (I.LAST_DAY,)]
+
+
+def test_zero_report_without_leaving_out_risk(spark):
+    inputs = Q.zero_inputs(spark, "/root/testdata/sf0.01")
+    plain = zero_report.ZeroInputs(**{**inputs.__dict__, "use_rc": False})
+    strict = zero_report.zero_distance_report(inputs, I.LAST_DAY)["zero_detail"]
+    loose = zero_report.zero_distance_report(plain, I.LAST_DAY)["zero_detail"]
+    assert loose.where(~F.col("is_rc")).count() == strict.count()
+    assert loose.where("is_rc").count() > 0 == strict.where("is_rc").count()
+    with pytest.raises(ValueError):
+        zero_report.ZeroInputs(**{**inputs.__dict__, "risk": None})

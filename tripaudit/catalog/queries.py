@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tripaudit.catalog import inputs as I
 from tripaudit.functions import numbers, text, times
 from tripaudit.operators import bases, filters, history, joins, rows, stats, suspects, tracks
-from tripaudit.plans.susp_report import SuspInputs, suspicious_report
+from tripaudit.plans.susp_report import SuspInputs, suspect_summary, suspicious_report
 from tripaudit.plans.zero_report import ZeroInputs, bundle_zero_report
 from tripaudit.schemas import declared_columns, schema_from_ddl
 from tripaudit.session import configure, scratch_dir
@@ -189,12 +189,7 @@ def trip_points(spark, sf):
 @query
 def susp_summary(spark, sf):
     """Categories counted over one pass for both kinds of suspects."""
-    both = suspects.all_suspects(I.fx_order(spark, sf), _latest_ext(spark, sf), ORDER)
-    kind = F.col("category")
-    distance = suspects.distance_detail(both.where(kind == "distance"))
-    no_start, no_end = suspects.split_by_sign(suspects.operation_detail(both.where(kind == "operation")))
-    named = {"distance": distance, "no_start": no_start, "no_end": no_end}
-    return suspects.align_counts({n: suspects.format_detail(df) for n, df in named.items()})
+    return suspect_summary(suspects.all_suspects(I.fx_order(spark, sf), _latest_ext(spark, sf), ORDER))
 
 
 # --- aggregations ------------------------------------------------------------
@@ -593,6 +588,7 @@ def zero_inputs(spark, sf) -> ZeroInputs:
         labels=I.fx_city(spark, sf),
         driver_hist=I.fx_driver_hist(spark, sf),
         risk=filters.risk_rows(I.fx_risk(spark, sf)),
+        use_rc=True,
         order=ORDER,
     )
 

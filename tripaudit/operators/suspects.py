@@ -121,11 +121,17 @@ def operation_detail(suspects: DataFrame) -> DataFrame:
 
 
 def most_deviating_first(df: DataFrame) -> DataFrame:
-    return df.orderBy(F.desc("pct_for_sort"), F.desc("deviation_distance"))
+    """Largest percentage first, then largest deviation.
+
+    Both take few different values. The order id as the last key lets the sort
+    cut a value shared by very many rows into several ranges.
+    """
+    return df.orderBy(F.desc("pct_for_sort"), F.desc("deviation_distance"), F.asc(ID))
 
 
 def least_deviating_first(df: DataFrame) -> DataFrame:
-    return df.orderBy(F.asc("pct_for_sort"), F.asc("deviation_distance"))
+    """The reverse report order; see :func:`most_deviating_first`."""
+    return df.orderBy(F.asc("pct_for_sort"), F.asc("deviation_distance"), F.asc(ID))
 
 
 def split_by_sign(df: DataFrame) -> tuple[DataFrame, DataFrame]:

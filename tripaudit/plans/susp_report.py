@@ -17,8 +17,11 @@ from tripaudit.operators.joins import attach_device, attach_distance_log, latest
 from tripaudit.operators.rows import ID
 from tripaudit.operators.tracks import classify_trips
 from tripaudit.plans.zero_report import require_rows
+from tripaudit.sources.tables import expire_partitions
 from tripaudit.sources.writers import overwrite_partition, write_bundle
 
+KEEP_DAYS = 10
+
 
 @dataclass
 class SuspInputs:
@@ -61,42 +64,63 @@ def enrich(
     """Device, type, distance-service columns and the new-or-seen mark."""
     named = types.select(F.col(ID).cast("string").alias(ID), "susp_type")
     typed = attach_device(detail, inputs.devices).join(named, ID, "left")
-    return mark_new(attach_distance_log(typed, inputs.log), hist, day)
-
+    return mark_new(attach_distance_log(typed, inputs.log), hist, day, KEEP_DAYS)
 
-def suspicious_report(
-    inputs: SuspInputs, day: int, suspects: DataFrame | None = None
-) -> dict[str, DataFrame]:
-    """Marked frames (``distance``, ``operation``) and the sheets built on them.
 
-    Nothing runs here. Every frame reads ``suspects``; pass a persisted one to
-    compute it once (see :func:`save_suspicious_report`).
-    """
-    suspects = report_suspects(inputs, day) if suspects is None else suspects
+def marked_suspects(inputs: SuspInputs, day: int, suspects: DataFrame) -> dict[str, DataFrame]:
+    """Enriched and marked suspects, ``distance`` and ``operation``."""
     types = suspect_types(suspects, inputs.points)
 
-    def part(category: str) -> tuple[DataFrame, DataFrame]:
-        chosen = F.col("category") == category
-        return suspects.where(chosen), types.where(chosen)
+    def part(category: str, detail: DataFrame, hist: DataFrame) -> DataFrame:
+        own = types.where(F.col("category") == category)
+        return enrich(detail, own, inputs, hist, day)
+
+    distance, operation = details(suspects)
+    return {
+        "distance": part("distance", distance, inputs.distance_hist),
+        "operation": part("operation", operation, inputs.operation_hist),
+    }
+
+
+def details(suspects: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Report columns of the distance and of the operation suspects."""
+    category = F.col("category")
+    return (
+        S.distance_detail(suspects.where(category == "distance")),
+        S.operation_detail(suspects.where(category == "operation")),
+    )
+
+
+def suspect_summary(suspects: DataFrame) -> DataFrame:
+    """Suspects per day and kind.
 
-    rows, kinds = part("distance")
-    distance = enrich(S.distance_detail(rows), kinds, inputs, inputs.distance_hist, day)
-    rows, kinds = part("operation")
-    operation = enrich(S.operation_detail(rows), kinds, inputs, inputs.operation_hist, day)
+    Counted before the enrichment, which neither adds nor drops rows.
+    """
+    distance, operation = details(suspects)
     no_start, no_end = S.split_by_sign(operation)
-    sheets = {
-        "distance_sheet": S.format_detail(S.most_deviating_first(distance)),
+    kinds = {"distance": distance, "no_start": no_start, "no_end": no_end}
+    return S.align_counts({name: S.format_detail(df) for name, df in kinds.items()})
+
+
+def report_sheets(marked: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Sorted and formatted sheets of the marked suspects."""
+    no_start, no_end = S.split_by_sign(marked["operation"])
+    return {
+        "distance_sheet": S.format_detail(S.most_deviating_first(marked["distance"])),
         "no_start_sheet": S.format_detail(S.most_deviating_first(no_start)),
         "no_end_sheet": S.format_detail(S.least_deviating_first(no_end)),
     }
-    summary = S.align_counts(
-        {
-            "distance": S.format_detail(distance),
-            "no_start": S.format_detail(no_start),
-            "no_end": S.format_detail(no_end),
-        }
-    )
-    return {"distance": distance, "operation": operation, "summary": summary, **sheets}
+
+
+def suspicious_report(inputs: SuspInputs, day: int) -> dict[str, DataFrame]:
+    """All frames of the report; nothing runs here.
+
+    To write them, use :func:`save_suspicious_report`, which computes the
+    shared parts once.
+    """
+    suspects = report_suspects(inputs, day)
+    marked = marked_suspects(inputs, day, suspects)
+    return {"summary": suspect_summary(suspects), **marked, **report_sheets(marked)}
 
 
 def save_suspicious_report(
@@ -104,19 +128,28 @@ def save_suspicious_report(
 ) -> dict[str, str]:
     """Write the sheets and append the new suspects to the first-seen tables.
 
-    The marked frames are kept before the tables they were compared with are
-    changed. The tables are partitioned by ``execute_date``, so a rerun of the
-    same day replaces its own rows.
+    The tables are partitioned by ``execute_date``: a rerun of a day replaces
+    its own rows, and since only earlier days are compared with, a target may
+    be the very table the history was read from. Catalog tables also lose the
+    days that are past the comparison window.
+
+    Suspects and their enriched form are kept while the tables are written; a
+    lost executor only costs recomputing its share.
     """
-    suspects = report_suspects(inputs, day).persist(StorageLevel.MEMORY_AND_DISK)
+    kept = [report_suspects(inputs, day).persist(StorageLevel.MEMORY_AND_DISK)]
+    suspects = kept[0]
     try:
         require_rows("suspects", suspects)
-        frames = suspicious_report(inputs, day, suspects)
-        sheets = {n: frames[n] for n in ("summary", "distance_sheet", "no_start_sheet", "no_end_sheet")}
-        paths = write_bundle(sheets, folder)
+        marked = marked_suspects(inputs, day, suspects)
+        for df in marked.values():
+            kept.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+        paths = write_bundle({"summary": suspect_summary(suspects), **report_sheets(marked)}, folder)
         for name, target in (("distance", distance_target), ("operation", operation_target)):
-            fresh = frames[name].where(F.col("is_new") == 1)
+            fresh = marked[name].where(F.col("is_new") == 1)
             overwrite_partition(fresh, target, "execute_date")
+            if "/" not in target:
+                expire_partitions(fresh.sparkSession, target, day, KEEP_DAYS + 1, "execute_date")
         return paths
     finally:
-        suspects.unpersist()
+        for df in kept:
+            df.unpersist()

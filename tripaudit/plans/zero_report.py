@@ -44,18 +44,23 @@ def require_rows(name: str, df: DataFrame) -> DataFrame:
 
 @dataclass
 class ZeroInputs:
-    """``risk`` is the whole risk list; without it risk orders are not told apart."""
+    """``risk``: confirmed risk orders, if known; ``use_rc`` leaves them out.
+
+    The summary leaves out every listed order, the tables of the day only
+    those listed in the last ten days.
+    """
 
     orders: DataFrame
     ext: DataFrame
     labels: DataFrame
     driver_hist: DataFrame
     risk: DataFrame | None = None
+    use_rc: bool = False
     order: Sequence[str] = ("update_time",)
 
-    @property
-    def use_rc(self) -> bool:
-        return self.risk is not None
+    def __post_init__(self) -> None:
+        if self.use_rc and self.risk is None:
+            raise ValueError("use_rc needs a risk list")
 
 
 def report_summary(inputs: ZeroInputs, day: int, days: int = 10) -> DataFrame:
@@ -68,8 +73,8 @@ def report_summary(inputs: ZeroInputs, day: int, days: int = 10) -> DataFrame:
 
 
 def report_base(inputs: ZeroInputs, day: int) -> DataFrame:
-    """Trips of the day; only risk orders of the last ten days are flagged."""
-    risk = recent_risk(inputs.risk, day) if inputs.use_rc else None
+    """Trips of the day, with ``is_rc`` set from the recent risk orders."""
+    risk = None if inputs.risk is None else recent_risk(inputs.risk, day)
     return day_base(inputs.orders, inputs.ext, day, risk, order=inputs.order)
 
 

@@ -23,10 +23,10 @@ def declare_table(
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet PARTITIONED BY ({part}){where}")
 
 
-def table_partitions(spark: SparkSession, table: str) -> DataFrame:
-    """``dt`` values of the partitions of a catalog table."""
+def table_partitions(spark: SparkSession, table: str, part: str = "dt") -> DataFrame:
+    """Days (``part``) of the partitions of a catalog table."""
     found = spark.sql(f"SHOW PARTITIONS {table}")
-    return found.select(F.regexp_extract("partition", r"dt=(\d+)", 1).cast("int").alias("dt"))
+    return found.select(F.regexp_extract("partition", rf"{part}=(\d+)", 1).cast("int").alias(part))
 
 
 def partition_ready(spark: SparkSession, source: str, day: int) -> bool:
@@ -44,7 +44,9 @@ def ready_days(spark: SparkSession, table: str, wanted: DataFrame) -> DataFrame:
     return wanted.join(have, "dt", "left").select("dt", F.col("_have").isNotNull().alias("ready"))
 
 
-def expire_partitions(spark: SparkSession, table: str, day: int, keep_days: int = 30) -> list[int]:
+def expire_partitions(
+    spark: SparkSession, table: str, day: int, keep_days: int = 30, part: str = "dt"
+) -> list[int]:
     """Drop partitions ``keep_days`` old or older; returns the dropped days.
 
     Deviation from the source system, which drops the one day that is exactly
@@ -52,8 +54,8 @@ def expire_partitions(spark: SparkSession, table: str, day: int, keep_days: int
     values, not data.
     """
     last = shift_day(day, -keep_days)
-    old = sorted(r.dt for r in table_partitions(spark, table).where(F.col("dt") <= last).collect())
+    old = sorted(r[part] for r in table_partitions(spark, table, part).where(F.col(part) <= last).collect())
     if old:
-        specs = ", ".join(f"PARTITION (dt={d})" for d in old)
+        specs = ", ".join(f"PARTITION ({part}={d})" for d in old)
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
     return old
