@@ -93,3 +93,21 @@ def test_hot_track_is_split(spark):
         for key in small:
             spark.conf.unset(key)
     assert len(found) == 500 and found[7]["min_gap"] == 0
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_points_are_read_once(spark, small):
+    """Both uses of the fixes share one exchange, with and without broadcast."""
+    from tripaudit.operators import tracks
+
+    if not small:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stats = tracks.track_stats(I.fx_trip(spark, SF), I.fx_point(spark, SF), small_trips=small)
+        stats.collect()
+        final = plan_of(stats).split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    scans = [line for line in final.splitlines() if "FileScan" in line and "value#" in line]
+    assert len(scans) == 1 and "ReusedExchange" in final
+    assert ("BroadcastHashJoin" in final) == small

@@ -57,9 +57,11 @@ def sample(request, spark):
     return trips, points, spark.createDataFrame(trips, TRIP), spark.createDataFrame(points, POINT)
 
 
-def test_track_stats_match_model(sample):
+@pytest.mark.parametrize("small", [False, True])
+def test_track_stats_match_model(sample, small):
     trips, points, trip_df, point_df = sample
-    got = {r["service_order_id"]: r.asDict() for r in tracks.track_stats(trip_df, point_df).collect()}
+    stats = tracks.track_stats(trip_df, point_df, small_trips=small)
+    got = {r["service_order_id"]: r.asDict() for r in stats.collect()}
     for trip in trips:
         want = model(trip, points)
         row = got.pop(trip[0], None)
@@ -69,6 +71,13 @@ def test_track_stats_match_model(sample):
     assert not got
 
 
+def test_slice_count_is_what_the_join_works_with(sample):
+    trips, _, trip_df, _ = sample
+    want = sum((t[3] + 300) // 3600 - (t[2] - 300) // 3600 + 1 for t in trips)
+    assert tracks.slice_count(trip_df).first()["n"] == want
+    assert tracks.slice_count(trip_df.limit(0)).first()["n"] == 0
+
+
 def test_trip_points_and_day_pruning_agree(sample):
     trips, points, trip_df, point_df = sample
     want = sum(1 for p in points for t in trips if p[0] == t[0] and t[2] - 300 <= p[1] <= t[3] + 300)

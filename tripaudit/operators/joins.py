@@ -83,11 +83,15 @@ def attach_versions(orders: DataFrame, ext: DataFrame) -> DataFrame:
 
 
 def latest_ext(ext: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
-    """Newest extension row per order with the predicted distance in metres."""
-    newest = latest_per_key(ext, [ID], ["update_time", *tiebreak])
-    return newest.select(
-        ID, "driver_version", "runtime", json_distance(F.col("estimate_snap")).alias("predict_distance")
-    )
+    """Newest extension row per order with the predicted distance in metres.
+
+    The distance is taken out of its JSON text first, so that a number and not
+    the whole text is sorted and shuffled.
+    """
+    columns = [ID, "driver_version", "runtime", "predict_distance"]
+    order = ["update_time", *tiebreak]
+    slim = ext.withColumn("predict_distance", json_distance(F.col("estimate_snap")))
+    return latest_per_key(slim.select(*dict.fromkeys([*columns, *order])), [ID], order).select(*columns)
 
 
 def join_latest_ext(orders: DataFrame, latest: DataFrame, salts: int = 2) -> DataFrame:

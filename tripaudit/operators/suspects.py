@@ -97,6 +97,11 @@ def cast_keys(df: DataFrame) -> DataFrame:
     return df.withColumns({**texts, **{c: F.col(c).try_cast("int") for c in TIME_COLUMNS}})
 
 
+# All that the report reads of a suspect.
+SUSPECT_COLUMNS = [
+    ID, "category", "driver_id", *TIME_COLUMNS, "driver_version", "predict_distance", "runtime",
+    "actual_time_length", "system_distance", "dependable_distance",
+]
 COMMON = [ID, "driver_id", *TIME_COLUMNS, "driver_version", "predict_distance"]
 DISTANCE_COLUMNS = [
     *COMMON, "system_distance", "dependable_distance", "deviation_distance",

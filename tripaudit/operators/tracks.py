@@ -54,6 +54,7 @@ def _sliced_points(
     after: int,
     point_cols: Sequence[str],
     day_col: str | None = None,
+    small_trips: bool = False,
 ) -> DataFrame:
     low, high = F.col("start_time") - before, F.col("end_time") + after
     spread = trips.withColumn("slice", F.explode(_slices(low, high)))
@@ -62,7 +63,17 @@ def _sliced_points(
         spread = spread.withColumn(day_col, epoch_day(F.col("slice") * SLICE))
         on.append(day_col)
     cut = points.withColumn("slice", _slice(F.col("t"))).select(*on, *point_cols)
-    return spread.join(cut, on).where(F.col("t").between(low, high))
+    side = F.broadcast(spread) if small_trips else spread
+    return side.join(cut, on).where(F.col("t").between(low, high))
+
+
+def slice_count(trips: DataFrame, before: int = BEFORE, after: int = AFTER) -> DataFrame:
+    """One row, ``n``: how many (trip, slice) rows the track join works with.
+
+    Ask this before setting ``small_trips``: those rows are what is broadcast.
+    """
+    slices = _slices(F.col("start_time") - before, F.col("end_time") + after)
+    return trips.agg(F.coalesce(F.sum(F.size(slices)), F.lit(0)).cast("bigint").alias("n"))
 
 
 def trip_points(
@@ -202,16 +213,21 @@ def track_stats(
     after: int = AFTER,
     long_gap: int = LONG_GAP,
     day_col: str | None = None,
+    small_trips: bool = False,
 ) -> DataFrame:
     """All numbers the rules need, one row per trip that has points.
 
     ``avg_before`` covers the fixes up to the start, ``avg_after`` those from
     the end on, the rest those in between; a fix right on an end is in both.
-    Both branches below read the same exchange of the points.
+    ``small_trips`` broadcasts the trips, which saves shuffling the points;
+    check :func:`slice_count` first. Positions are counted with a condition
+    instead of a filter, so that both uses of the fixes share one exchange and
+    the points are read once.
     """
     window = [*keys, "start_time", "end_time"]
     slim = trips.select(*dict.fromkeys([ID, *window]))
-    near = _sliced_points(slim, points, before, after, ["t", "latitude", "longitude"], day_col)
+    columns = ["t", "latitude", "longitude"]
+    near = _sliced_points(slim, points, before, after, columns, day_col, small_trips)
     in_trip = F.col("t").between(F.col("start_time"), F.col("end_time"))
 
     # Copies of a fix first, then all fixes of a second.
@@ -269,7 +285,8 @@ def track_stats(
         F.when(F.col("n_in") > 0, F.col("max_gap")).otherwise(-1).alias("max_gap"),
         F.size("long").cast("bigint").alias("n_long_gaps"),
     )
-    positions = distinct_positions(near.where(in_trip), keys)
+    places = fixes.groupBy(*keys, "latitude", "longitude").agg(F.sum(F.when(in_trip, F.col("n"))).alias("n"))
+    positions = places.where(F.col("n") > 0).groupBy(*keys).agg(F.count("*").alias("n_positions"))
     return stats.join(positions, list(keys), "left").withColumn(
         "n_positions", F.coalesce("n_positions", F.lit(0)).cast("bigint")
     )
@@ -322,12 +339,14 @@ def classify_trips(
     keys: Sequence[str] = (ID,),
     max_long_gaps: int = 2,
     day_col: str | None = None,
+    small_trips: bool = False,
 ) -> DataFrame:
     """``susp_type`` per trip: the first rule that holds, in fixed order.
 
     A rule whose inputs are unknown does not hold.
     """
-    stats = track_stats(trips, points, keys, day_col=day_col).withColumn("_has", F.lit(True))
+    stats = track_stats(trips, points, keys, day_col=day_col, small_trips=small_trips)
+    stats = stats.withColumn("_has", F.lit(True))
     label = (
         F.when(F.col("_has").isNull(), NO_TRACK)
         .when(rule_lost_middle_ok_ends(max_long_gaps), LOST_MIDDLE_OK_ENDS)

@@ -15,12 +15,15 @@ from tripaudit.operators.filters import in_days, on_days
 from tripaudit.operators.history import mark_new
 from tripaudit.operators.joins import attach_device, attach_distance_log, latest_ext
 from tripaudit.operators.rows import ID
-from tripaudit.operators.tracks import classify_trips
+from tripaudit.operators.tracks import classify_trips, slice_count
 from tripaudit.plans.zero_report import require_rows
 from tripaudit.sources.tables import expire_partitions
 from tripaudit.sources.writers import overwrite_partition, write_bundle
 
 KEEP_DAYS = 10
+# Up to this many (trip, hour slice) rows, below 100 bytes each, are broadcast
+# to the points; beyond it both sides are shuffled.
+BROADCAST_SLICES = 500_000
 
 
 @dataclass
@@ -28,7 +31,8 @@ class SuspInputs:
     """``devices``: newest row per user. ``log``: parsed, with ``log_day``.
 
     ``distance_hist`` and ``operation_hist`` are the first-seen tables
-    (``service_order_id``, ``execute_date``).
+    (``service_order_id``, ``execute_date``). ``point_day`` names the column
+    the points are partitioned by, if they are.
     """
 
     orders: DataFrame
@@ -40,6 +44,7 @@ class SuspInputs:
     operation_hist: DataFrame
     order: Sequence[str] = ("update_time",)
     ext_tiebreak: Sequence[str] = field(default_factory=tuple)
+    point_day: str | None = None
 
 
 def report_suspects(inputs: SuspInputs, day: int, days: int = 10) -> DataFrame:
@@ -47,15 +52,18 @@ def report_suspects(inputs: SuspInputs, day: int, days: int = 10) -> DataFrame:
     window = last_days(day, days)
     ext = on_days(inputs.ext, window) if "dt" in inputs.ext.columns else inputs.ext
     orders = in_days(on_days(inputs.orders, window), window[0], window[-1])
-    return S.all_suspects(orders, latest_ext(ext, inputs.ext_tiebreak), inputs.order)
+    found = S.all_suspects(orders, latest_ext(ext, inputs.ext_tiebreak), inputs.order)
+    return found.select(*S.SUSPECT_COLUMNS)
 
 
-def suspect_types(suspects: DataFrame, points: DataFrame) -> DataFrame:
+def suspect_types(
+    suspects: DataFrame, points: DataFrame, day_col: str | None = None, small: bool = False
+) -> DataFrame:
     """``susp_type`` per (order, category)."""
     trips = S.with_deviation(suspects).select(
         ID, "category", "arrival_time", "start_time", "end_time", "system_distance", "predict_distance"
     )
-    return classify_trips(trips, points, [ID, "category"])
+    return classify_trips(trips, points, [ID, "category"], day_col=day_col, small_trips=small)
 
 
 def enrich(
@@ -67,9 +75,14 @@ def enrich(
     return mark_new(attach_distance_log(typed, inputs.log), hist, day, KEEP_DAYS)
 
 
-def marked_suspects(inputs: SuspInputs, day: int, suspects: DataFrame) -> dict[str, DataFrame]:
-    """Enriched and marked suspects, ``distance`` and ``operation``."""
-    types = suspect_types(suspects, inputs.points)
+def marked_suspects(
+    inputs: SuspInputs, day: int, suspects: DataFrame, small: bool = False
+) -> dict[str, DataFrame]:
+    """Enriched and marked suspects, ``distance`` and ``operation``.
+
+    ``small`` says that the suspects were counted and may be broadcast.
+    """
+    types = suspect_types(suspects, inputs.points, inputs.point_day, small)
 
     def part(category: str, detail: DataFrame, hist: DataFrame) -> DataFrame:
         own = types.where(F.col("category") == category)
@@ -140,7 +153,8 @@ def save_suspicious_report(
     suspects = kept[0]
     try:
         require_rows("suspects", suspects)
-        marked = marked_suspects(inputs, day, suspects)
+        small = slice_count(suspects).first()["n"] <= BROADCAST_SLICES
+        marked = marked_suspects(inputs, day, suspects, small)
         for df in marked.values():
             kept.append(df.persist(StorageLevel.MEMORY_AND_DISK))
         paths = write_bundle({"summary": suspect_summary(suspects), **report_sheets(marked)}, folder)

@@ -16,13 +16,12 @@ from tripaudit.operators.rows import ID, dedupe
 TAB = "\t"
 
 
-def typed_columns(line: Column, schema: StructType) -> list[Column]:
-    """Cut a tab-separated line by position and cast each part.
+def typed_columns(parts: Column, schema: StructType) -> list[Column]:
+    """Cast the parts of a line by position.
 
     A part that does not fit its type, ``\\N`` and a missing part give NULL.
     Quotes are ordinary characters and an empty text stays an empty text.
     """
-    parts = F.split(line, TAB, -1)
     out = []
     for i, field in enumerate(schema.fields):
         text = F.nullif(F.get(parts, F.lit(i)), F.lit(NULL_TEXT))
@@ -30,10 +29,15 @@ def typed_columns(line: Column, schema: StructType) -> list[Column]:
     return out
 
 
+def _cut(lines: DataFrame, col: str, *keep: Column | str) -> DataFrame:
+    """Lines cut at tabs, once for all columns taken from them (``_parts``)."""
+    return lines.select(*keep, F.split(F.col(col), TAB, -1).alias("_parts"))
+
+
 def read_tsv(spark: SparkSession, path: str | Sequence[str], schema: StructType) -> DataFrame:
     """A headerless tab-separated extract in the Hive text format."""
     paths = [path] if isinstance(path, str) else list(path)
-    return spark.read.text(paths).select(*typed_columns(F.col("value"), schema))
+    return _cut(spark.read.text(paths), "value").select(*typed_columns(F.col("_parts"), schema))
 
 
 def extract_path(folder: str, table: str, day: int) -> str:
@@ -50,8 +54,8 @@ def read_extracts(
     """
     paths = [extract_path(folder, table, day) for day in days]
     file_day = F.regexp_extract(F.col("_metadata.file_path"), r"_(\d{8})\.tsv", 1)
-    lines = spark.read.text(paths).select("value", file_day.alias("_day"))
-    typed = lines.select("_day", *typed_columns(F.col("value"), schema))
+    lines = _cut(spark.read.text(paths), "value", file_day.alias("_day"))
+    typed = lines.select("_day", *typed_columns(F.col("_parts"), schema))
     own = typed.where(F.col("dt").cast("string").startswith(F.col("_day")))
     return own.withColumn("dt", F.col("_day").cast("int")).drop("_day")
 
@@ -105,13 +109,12 @@ def parse_distance_log(lines: DataFrame, col: str = "value", keep: Sequence[str]
     Lines without a tab are messages and dropped. A distance that is not a
     number is 0.0, a flag that is not all digits is 0.
     """
-    parts = F.split(F.col(col), TAB, -1)
-
     def part(name: str) -> Column:
-        return F.get(parts, F.lit(LOG_POSITIONS[name]))
+        return F.get("_parts", F.lit(LOG_POSITIONS[name]))
 
     distances = [n for n in LOG_POSITIONS if n.endswith("_dis")]
-    return lines.where(F.instr(F.col(col), TAB) > 1).select(
+    rows = lines.where(F.instr(F.col(col), TAB) > 1)
+    return _cut(rows, col, *keep).select(
         *keep,
         part(ID).alias(ID),
         *[safe_double(part(n), 0.0).alias(n) for n in distances],
