@@ -226,3 +226,33 @@ def test_zero_report_without_leaving_out_risk(spark):
     assert loose.where("is_rc").count() > 0 == strict.where("is_rc").count()
     with pytest.raises(ValueError):
         zero_report.ZeroInputs(**{**inputs.__dict__, "risk": None})
+
+
+def test_device_and_risk_extracts(spark, tmp_path):
+    device = ["5", "9", "1", "DR", "100", "5.1", "a", "b", "mac", "d", "s", "0", "n", "1", "20170328"]
+    (tmp_path / "device.tsv").write_text("\t".join(device) + "\n")
+    loads.load_devices(spark, str(tmp_path / "device.tsv"), str(tmp_path / "device"), 20170329)
+    got = spark.read.parquet(str(tmp_path / "device")).first()
+    assert (got["device_id"], got["user_type"], got["update_time"], got["dt"]) == (5, "DR", 100, 20170329)
+
+    def risk_line(i, flag):
+        cells = [str(i), "bj", "9", "8", "1.5", "2017-03-29 10:00:00", "", "c", "co", "p", "1", "2", "3", "4", "5", flag]
+        return "\t".join(cells) + "\n"
+
+    (tmp_path / "r1.txt").write_text(risk_line(1, "T") + risk_line(2, "T") + risk_line(3, "F"))
+    (tmp_path / "r2.txt").write_text(risk_line(2, "T") + risk_line(4, "T"))
+    loads.update_risk_list(spark, str(tmp_path / "r1.txt"), 20170328, None, str(tmp_path / "v1"))
+    old = spark.read.parquet(str(tmp_path / "v1"))
+    loads.update_risk_list(spark, str(tmp_path / "r2.txt"), 20170329, old, str(tmp_path / "v2"))
+    listed = spark.read.parquet(str(tmp_path / "v2"))
+    assert rows_of(listed.select("service_order_id", "dt")) == [(1, 20170328), (2, 20170329), (4, 20170329)]
+    assert str(listed.where("service_order_id = 4").first()["create_time"]) == "2017-03-29 10:00:00"
+    assert listed.where("complete_time is null").count() == 3
+
+
+def test_declared_schemas_parse(spark):
+    from tripaudit import schemas
+
+    declared = [schemas.ORDER, schemas.ORDER_EXT, schemas.TRACK_POINT, schemas.DRIVER_ORDER_HIST]
+    for text in declared:
+        assert schema_from_ddl(text).fieldNames() == [n for n, _ in schemas.declared_columns(text)]

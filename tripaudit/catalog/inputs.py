@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tripaudit.operators.filters import pure_zero, valid_trips
 from tripaudit.operators.joins import attach_versions, latest_ext, valid_with_latest_ext
@@ -18,8 +19,15 @@ E0 = 1489939200  # 2017-03-20 00:00 Asia/Shanghai
 ORDER = ("update_time", "l_linenumber", "l_extendedprice")
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; its schema is looked up in the file once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _day_number(col: str) -> str:

@@ -217,7 +217,7 @@ def track_stats(
 ) -> DataFrame:
     """All numbers the rules need, one row per trip that has points.
 
-    ``avg_before`` covers the fixes up to the start, ``avg_after`` those from
+    ``keys`` identify a trip. ``avg_before`` covers the fixes up to the start, ``avg_after`` those from
     the end on, the rest those in between; a fix right on an end is in both.
     ``small_trips`` broadcasts the trips, which saves shuffling the points;
     check :func:`slice_count` first. Positions are counted with a condition
@@ -261,13 +261,13 @@ def track_stats(
         F.max(F.greatest("gap", "repeated")).alias("max_gap"),
         F.collect_set(F.when(F.col("gap") > long_gap, F.col("gap"))).alias("long"),
     )
-    later = Window.partitionBy(*window).orderBy(F.desc("slice")).rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy(*keys).orderBy(F.desc("slice")).rowsBetween(Window.unboundedPreceding, -1)
     next_first = F.last("first_in", ignorenulls=True).over(later)
     bridged = per_slice.withColumn("bridge", next_first - F.col("last_in"))
     long_bridge = F.when(F.col("bridge") > long_gap, F.array("bridge")).otherwise(
         F.array().cast("array<bigint>")
     )
-    whole = bridged.groupBy(*window).agg(
+    whole = bridged.groupBy(*keys).agg(
         *[F.min(f"first_{p}").alias(f"first_{p}") for p in phases],
         *[F.max(f"last_{p}").alias(f"last_{p}") for p in phases],
         *[F.sum(f"n_{p}").alias(f"n_{p}") for p in phases],

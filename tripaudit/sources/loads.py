@@ -1,15 +1,18 @@
-"""Loading daily extracts into a day-partitioned table."""
+"""Loading daily extracts into tables."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tripaudit.functions.times import days_between
-from tripaudit.sources.readers import load_extracts
-from tripaudit.sources.writers import overwrite_partition
+from tripaudit.operators.history import risk_upsert
+from tripaudit.schemas import DEVICE, RISK_ORDER, schema_from_ddl
+from tripaudit.sources.readers import load_extracts, read_tsv
+from tripaudit.sources.writers import overwrite_partition, replace_table
 
 
 def backfill(
@@ -25,3 +28,24 @@ def backfill(
     """Load the extracts of a range of days, in one job instead of one per day."""
     rows = load_extracts(spark, folder, table, days_between(first, last), schema, dedupe_keys)
     overwrite_partition(rows, target)
+
+
+def load_devices(spark: SparkSession, path: str, target: str, day: int) -> None:
+    """Replace the device table by an extract, stamped with its load day."""
+    replace_table(read_tsv(spark, path, schema_from_ddl(DEVICE)), target, day)
+
+
+def read_risk_list(spark: SparkSession, path: str, day: int) -> DataFrame:
+    """A risk-list extract, stamped with its load day."""
+    return read_tsv(spark, path, schema_from_ddl(RISK_ORDER)).withColumn("dt", F.lit(int(day)))
+
+
+def update_risk_list(spark: SparkSession, path: str, day: int, old: DataFrame | None, target: str) -> None:
+    """Write the risk list after an extract to ``target``.
+
+    ``target`` must be another place than the one ``old`` is read from, for
+    example one folder per load day: a job that fails then leaves the old list
+    as it was.
+    """
+    new = read_risk_list(spark, path, day)
+    risk_upsert(new.limit(0) if old is None else old, new).write.mode("overwrite").parquet(target)
