@@ -254,8 +254,9 @@ def test_distance_log_is_deduplicated(spark):
         "log_day int, service_order_id string, r_yy_dis double, r_sys_dis double, driver_dis double, "
         "response_dis double, is_enable long",
     )
-    got = joins.attach_distance_log(df, log).collect()
-    assert [(r["r_sys_dis"], r["is_enable"]) for r in got] == [(2.0, 1)]
+    for salts in (1, 4):
+        got = joins.attach_distance_log(df, log, salts).collect()
+        assert [(r["r_sys_dis"], r["is_enable"]) for r in got] == [(2.0, 1)]
 
 
 def test_attach_device_only_drivers(spark):

@@ -135,19 +135,20 @@ def attach_device(df: DataFrame, devices: DataFrame) -> DataFrame:
 LOG_COLUMNS = ("r_yy_dis", "r_sys_dis", "driver_dis", "response_dis", "is_enable")
 
 
-def attach_distance_log(df: DataFrame, log: DataFrame) -> DataFrame:
+def attach_distance_log(df: DataFrame, log: DataFrame, salts: int = 1) -> DataFrame:
     """Left join distance-service columns on (Shanghai day of end, order id).
 
     Deviation from the source system: log rows are deduplicated, so repeated
-    log rows do not repeat orders. Meant for frames with few rows per order;
-    ids are compared as text, the type they have in the log.
+    log rows do not repeat orders. Ids are compared as text, the type they have
+    in the log. Suspects have one row per order; for a frame with hot orders
+    raise ``salts`` (see :func:`salted_join`).
     """
     keys = ["log_day", ID]
     unique = latest_per_key(log.select(*keys, *LOG_COLUMNS), keys, LOG_COLUMNS)
     keyed = df.withColumns(
         {ID: F.col(ID).cast("string"), "log_day": times.epoch_day(F.col("end_time"))}
     )
-    return keyed.join(unique, keys, "left").drop("log_day")
+    return salted_join(keyed, unique, keys, "left", salts).drop("log_day")
 
 
 def map_label(df: DataFrame, labels: DataFrame, col: str = "city", out: str = "label") -> DataFrame:
