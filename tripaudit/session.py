@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -40,14 +39,11 @@ def get_session(app: str = "tripaudit", master: str | None = None, **conf: str)
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder name under the shared scratch location.
 
-    The cluster names that location in ``spark.checkpoint.dir``. Only where it
-    is unset (tests on one machine) a temporary folder is made and recorded in
-    the session, so later calls share it.
+    The cluster names that location in ``spark.checkpoint.dir``. Where it is
+    unset (tests on one machine) the folder lies below the session's warehouse,
+    which the executors share by definition; no setting is changed.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        base = spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = tempfile.mkdtemp(prefix="tripaudit-")
-        spark.sparkContext.setCheckpointDir(base)
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
