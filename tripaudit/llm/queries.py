@@ -8,12 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripaudit.llm import host_rules, packing
+from tripaudit.llm import host_rules, html_text, license_scan, packing
 from tripaudit.llm.common import table
+from tripaudit.llm.oracle import ORACLE_SQL  # noqa: F401
 from tripaudit.session import configure
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
 
 
 def query(fn):
@@ -38,3 +38,15 @@ def op7_host_rules(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "source", "text")
     judged = host_rules.judge(docs, carry_text=False)
     return judged.select("doc_id", *host_rules.COUNTS, "base_failed", "kept")
+
+
+@query
+def op8_html_text(spark, sf):
+    """Main text of all pages."""
+    return html_text.extract_pages(table(spark, sf, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+@query
+def op10_license_scan(spark, sf):
+    """License phrases and sentences of all documents."""
+    return license_scan.scan(table(spark, sf, "documents"))
