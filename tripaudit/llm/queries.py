@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripaudit.llm import host_rules, html_text, license_scan, packing
+from tripaudit.llm import host_rules, html_text, license_scan, lm_scoring, packing
 from tripaudit.llm.common import table
 from tripaudit.llm.oracle import ORACLE_SQL  # noqa: F401
 from tripaudit.session import configure
@@ -25,6 +25,13 @@ def query(fn):
     return fn
 
 
+@query
+def op1_lm_scoring(spark, sf):
+    """Log-likelihoods of all documents; one in ten, by the checksum of its id, is held out of training."""
+    held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 10 == 0
+    return lm_scoring.score(table(spark, sf, "documents"), held)
+
+
 @query
 def op5_packing(spark, sf):
     """All documents packed into sequences of 1024 tokens."""
