@@ -261,7 +261,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     ).first()
     buckets = max(1, -(-size.bytes // block_bytes))
     n_train = size.train or 0
-    blocked = rows.withColumn("_block", F.pmod(F.xxhash64("_id"), F.lit(buckets)))
+    blocked = rows.withColumn("_block", F.pmod(F.xxhash64("_id", "_text"), F.lit(buckets)))
     totals = keep(_bucket_totals(_block_words(blocked, buckets)), "lm-words")
     vocabulary = Vocabulary(totals, n_train)
     weights = train_model(rows.where(~F.col("held_out")), vocabulary, n_train)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripaudit.llm import host_rules, html_text, license_scan, lm_scoring, packing
+from tripaudit.llm import host_rules, html_text, jaccard_join, license_scan, lm_scoring, packing
 from tripaudit.llm.common import table
 from tripaudit.llm.oracle import ORACLE_SQL  # noqa: F401
 from tripaudit.session import configure
@@ -53,6 +53,12 @@ def op8_html_text(spark, sf):
     return html_text.extract_pages(table(spark, sf, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
 
 
+@query
+def op9_jaccard_join(spark, sf):
+    """Near-duplicate groups of all documents."""
+    return jaccard_join.join(table(spark, sf, "documents"))
+
+
 @query
 def op10_license_scan(spark, sf):
     """License phrases and sentences of all documents."""
