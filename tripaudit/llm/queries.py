@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripaudit.llm import host_rules, html_text, jaccard_join, license_scan, lm_scoring, packing
+from tripaudit.llm import embedding_dedup, host_rules, html_text, jaccard_join, license_scan, lm_scoring, packing
 from tripaudit.llm.common import table
 from tripaudit.llm.oracle import ORACLE_SQL  # noqa: F401
 from tripaudit.session import configure
@@ -32,6 +32,12 @@ def op1_lm_scoring(spark, sf):
     return lm_scoring.score(table(spark, sf, "documents"), held)
 
 
+@query
+def op2_embedding_dedup(spark, sf):
+    """Near-duplicate groups of all embeddings."""
+    return embedding_dedup.dedup(table(spark, sf, "embeddings"))
+
+
 @query
 def op5_packing(spark, sf):
     """All documents packed into sequences of 1024 tokens."""
