@@ -88,4 +88,30 @@ FROM w LEFT JOIN found USING (doc_id)
 """
 
 
-ORACLE_SQL = {"op7_host_rules": host_rules_sql(), "op10_license_scan": license_scan_sql()}
+JACCARD_JOIN_SQL = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x09-\\x0D\\x20]+'), lambda x: x <> '') AS raw FROM documents
+), lowered AS (
+  SELECT doc_id, list_transform(raw, lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS ws FROM w
+), s AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(ws) < 5 THEN array_to_string(ws, ' ') ELSE array_to_string(ws[i:i + 4], ' ') END AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM lowered WHERE len(ws) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), met AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS m FROM s x JOIN s y USING (g) WHERE x.doc_id < y.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM met JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * m >= 75 * (x.n + y.n - m)
+), either AS (SELECT a, b FROM links UNION SELECT b, a FROM links
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM reach r JOIN either e ON r.b = e.a
+)
+SELECT documents.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id
+FROM documents LEFT JOIN n USING (doc_id)
+JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) c USING (doc_id)
+"""
+
+ORACLE_SQL = {
+    "op7_host_rules": host_rules_sql(),
+    "op9_jaccard_join": JACCARD_JOIN_SQL,
+    "op10_license_scan": license_scan_sql(),
+}

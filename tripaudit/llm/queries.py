@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripaudit.llm import embedding_dedup, host_rules, html_text, jaccard_join, license_scan, lm_scoring, packing
+from tripaudit.llm import embedding_dedup, host_rules, html_text, jaccard_join, license_scan, lm_scoring, packing, quality_classifier
 from tripaudit.llm.common import table
 from tripaudit.llm.oracle import ORACLE_SQL  # noqa: F401
 from tripaudit.session import configure
@@ -45,6 +45,13 @@ def op5_packing(spark, sf):
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+@query
+def op6_quality_classifier(spark, sf):
+    """Scores of all documents by co-trained views."""
+    scored = quality_classifier.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    return scored.select("doc_id", *quality_classifier.ADDED)
+
+
 @query
 def op7_host_rules(spark, sf):
     """Counts, base rules and host verdicts of all documents."""
