@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripaudit.llm import embedding_dedup, host_rules, html_text, jaccard_join, license_scan, lm_scoring, packing, quality_classifier
+from tripaudit.llm import embedding_dedup, host_rules, html_text, jaccard_join, license_scan, lm_scoring, packing, piece_sampling, quality_classifier
 from tripaudit.llm.common import table
 from tripaudit.llm.oracle import ORACLE_SQL  # noqa: F401
 from tripaudit.session import configure
@@ -38,6 +38,17 @@ def op2_embedding_dedup(spark, sf):
     return embedding_dedup.dedup(table(spark, sf, "embeddings"))
 
 
+@query
+def op4_piece_sampling(spark, sf):
+    """Sampled segmentations of all documents, with checksums of the ids and of what they decode to."""
+    found = piece_sampling.sample(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    spelled = F.array_join("ids", " ").cast("binary")
+    return found.select(
+        "doc_id", "rank", F.size("ids").cast("long").alias("n_pieces"), F.crc32(spelled).alias("ids_crc32"),
+        "log_prob", "perturbed", "log_inclusion", F.crc32(F.col("decoded").cast("binary")).alias("text_crc32"),
+    )
+
+
 @query
 def op5_packing(spark, sf):
     """All documents packed into sequences of 1024 tokens."""
