@@ -215,9 +215,10 @@ def _star(batches):
 
 def _links(sets: DataFrame, tree_shingles: int) -> DataFrame:
     """Links ``a, b`` between digests, enough to connect what all links connect."""
-    placed = keep(sets.drop("prefix").join(_neighbourhoods(sets.select("digest", "prefix")), "digest"), "hoods")
-    sizes = placed.groupBy("hood").agg(F.sum("n").alias("_total"))
-    sized = placed.join(sizes, "hood")
+    hoods = keep(sets.select("digest", "n").join(_neighbourhoods(sets.select("digest", "prefix")), "digest"), "hoods")
+    sizes = hoods.groupBy("hood").agg(F.sum("n").alias("_total"))
+    narrow = hoods.select("digest", "hood").join(sizes, "hood")
+    sized = sets.drop("prefix").join(narrow, "digest")
     small = sized.where(F.col("_total") <= tree_shingles).select("hood", "digest", "tokens", F.lit(0).alias("side"))
     found = small.groupBy("hood").applyInArrow(_tree_links, _LINKS)
     large = sized.where(F.col("_total") > tree_shingles)
