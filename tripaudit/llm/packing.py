@@ -49,7 +49,7 @@ class Units:
         fresh = set()
         for parts in cut:
             fresh.update(parts[1:])
-        fresh.difference_update(cache)
+        fresh = fresh.difference(cache)
         plain = [u for u in fresh if u and u == u.strip()]
         cache.update(dict.fromkeys(fresh))
         cache.update(zip(plain, self._encode([" " + u for u in plain])))
