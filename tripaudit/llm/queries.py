@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripaudit.llm import embedding_dedup, host_rules, html_text, jaccard_join, license_scan, lm_scoring, packing, piece_sampling, quality_classifier
+from tripaudit.llm import embedding_dedup, host_rules, html_text, jaccard_join, license_scan, lm_scoring, packing, piece_sampling, quality_classifier, tool_calls
 from tripaudit.llm.common import table
 from tripaudit.llm.oracle import ORACLE_SQL  # noqa: F401
 from tripaudit.session import configure
@@ -38,6 +38,12 @@ def op2_embedding_dedup(spark, sf):
     return embedding_dedup.dedup(table(spark, sf, "embeddings"))
 
 
+@query
+def op3_tool_calls(spark, sf):
+    """Calls and results of all conversations, linked, validated and serialised."""
+    return tool_calls.link(*tool_calls.calls_and_results(table(spark, sf, "conversations")))
+
+
 @query
 def op4_piece_sampling(spark, sf):
     """Sampled segmentations of all documents, with checksums of the ids and of what they decode to."""
