@@ -1,0 +1,57 @@
+import os
+import sys
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+import corpus_pipeline as cp
+import public_tokenizers
+from test_host_rules import counts
+from test_jaccard_join import brute
+from test_packing import check_layout
+from tokenizers import Tokenizer
+
+SF = "/root/testdata/sf0.01"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_stages_against_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").cache()
+    steps = dict(cp.STAGES)
+    assert [name for name, _ in cp.STAGES] == ["quality classifier", "quality rules", "n-gram Jaccard join", "packing"]
+
+    first = steps["quality classifier"](spark, docs, SF).cache()
+    labels = {r.doc_id: r for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    kept = {r.doc_id for r in first.collect()}
+    clean = [i for i, r in labels.items() if r.quality == 1 and not r.toxic]
+    assert first.columns == docs.columns and sum(i in kept for i in clean) > 0.98 * len(clean)
+    junk = [i for i, r in labels.items() if r.quality == 0]
+    assert sum(i in kept for i in junk) < 0.2 * len(junk)
+
+    second = steps["quality rules"](spark, first, SF).cache()
+    want = set()
+    for r in first.collect():
+        n, _, _, _, repeat = counts(r.text)
+        if n >= 50 and 100 * repeat <= 50 * n:
+            want.add(r.doc_id)
+    assert {r.doc_id for r in second.collect()} == want and second.columns == docs.columns
+
+    third = steps["n-gram Jaccard join"](spark, second, SF).cache()
+    rows = [(r.doc_id, r.text) for r in second.collect()]
+    assert sorted(r.doc_id for r in third.collect()) == sorted({c for _, c in brute(rows).values()}) and third.columns == docs.columns
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ids = {r.doc_id: tokenizer.encode(r.text, add_special_tokens=False).ids + [0] for r in third.collect()}
+    pieces = steps["packing"](spark, third, SF).collect()
+    check_layout(pieces, ids)
+    assert sorted(map(tuple, cp.run(spark, SF).select("doc_id", "start", "length", "ids_crc32").collect()))  # runs end to end
+
+
+def test_empty_nulls_repeats(spark):
+    text = " ".join(f"w{i}" for i in range(80))
+    other = " ".join(f"v{i}" for i in range(80))
+    rows = [(5, text), (3, text), (3, text), (7, other), (None, other + " more"), (None, " ".join(f"u{i}" for i in range(60))), (8, None)]
+    frame = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOCS)
+    third = cp.deduplicate(spark, cp.apply_rules(spark, frame, SF), SF).collect()
+    assert sorted((r.doc_id or 0, r.text[0]) for r in third) == [(0, "u"), (0, "v"), (3, "w"), (7, "v")]
+    for _, stage in cp.STAGES:
+        assert stage(spark, frame.limit(0), SF).collect() == []

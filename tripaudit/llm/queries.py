@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,3 +94,13 @@ def op9_jaccard_join(spark, sf):
 def op10_license_scan(spark, sf):
     """License phrases and sentences of all documents."""
     return license_scan.scan(table(spark, sf, "documents"))
+
+
+@query
+def pipeline(spark, sf):
+    """Documents classified, judged, deduplicated and packed."""
+    return corpus_pipeline.run(spark, sf)
+
+
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
