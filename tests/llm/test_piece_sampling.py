@@ -73,6 +73,14 @@ def test_draws_follow_the_probabilities(lattices):
         assert a != b and abs(seen / n - q) < 5 * math.sqrt(q / n) + 1e-3
 
 
+def test_far_regions_are_opened(lattices, monkeypatch):
+    """With far regions from the first step on, still every segmentation once and by its probability."""
+    monkeypatch.setattr(ps, "FAR", 0.0)
+    test_all_segmentations_once(lattices, "in\nan")
+    test_all_segmentations_once(lattices, "on the")
+    test_draws_follow_the_probabilities(lattices)
+
+
 def test_inclusion_scores_estimate_sums(lattices):
     """Weighting by 1 / inclusion gives unbiased sums over all segmentations (here: their number and pieces)."""
     text, n = "ones", 5000
@@ -86,7 +94,7 @@ def test_inclusion_scores_estimate_sums(lattices):
 @given(st.text(max_size=25), st.integers(0, 2**63))
 def test_round_trip_distinct_and_same(lattices, text, key):
     got = ps.sample_texts(lattices, [key], [text], 4)[0]
-    assert all(ps.decode(lattices.pieces, r[0].tolist()) == text.replace(ps.SPACE, " ") for r in got)
+    assert all(ps.Decoder(lattices.pieces)(r[0]) == text.replace(ps.SPACE, " ") for r in got)
     assert len({tuple(r[0].tolist()) for r in got}) == len(got) >= 1
     again = ps.sample_texts(ps.lattices_of(PATH, ps.ALPHA), [1, key, 2], ["other text", text, text + " more"], 4)[1]
     assert [(r[0].tolist(), r[2]) for r in got] == [(r[0].tolist(), pytest.approx(r[2])) for r in again]
@@ -102,7 +110,7 @@ def test_spark_nulls_repeats_long(spark):
     by = {}
     for r in got:
         by.setdefault(r.doc_id, []).append(r)
-    assert len(by[1]) == len(by[2]) == 1 and by[1][0].ids == [] and by[1][0].decoded == ""
+    assert len(by[1]) == len(by[2]) == 1 and by[1][0].ids == b"" and by[1][0].decoded == ""
     assert len(by[3]) == 4 and by[3][0].ids == by[3][2].ids and len(by[9]) == 2
     assert by[9][0].decoded == "wordswithoutanyspace" * 3000 and by[9][0].ids != by[9][1].ids
     assert ps.sample(spark.createDataFrame([], schema), PATH).collect() == []

@@ -27,8 +27,9 @@ from pyspark.sql import types as T
 
 ALPHA = 0.5  # weight of a piece: -ALPHA * log(2 + its rank)
 SAMPLES = 2
-CACHE_EDGES = 6_000_000
-BATCH_CHARS = 600_000
+CACHE_EDGES = 8_000_000
+BATCH_CHARS = 1_500_000
+FAR = 40.0  # nats
 SPACE = "▁"
 CHUNK = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
@@ -75,8 +76,9 @@ class _Growing:
 
 _BASE = np.uint64(0x100000001B3)
 NODE_ARRAYS = {"first_edge": np.int64, "n_edges": np.int8}
-EDGE_ARRAYS = {"siblings": np.int8, "edge_step": np.int8, "edge_id": np.int32, "edge_cum": np.float64, "edge_log": np.float64}
+EDGE_ARRAYS = {"siblings": np.int8, "edge_step": np.int8, "edge_id": np.int32, "edge_cum": np.float32, "edge_log": np.float64}
 CHUNK_ARRAYS = {"chunk_node": np.int64, "chunk_size": np.int64}
+PART_ARRAYS = {"part_first": np.int64, "part_chunks": np.int64, "chunks_of_part": np.int64}
 
 
 def _codes(text: str) -> np.ndarray:
@@ -130,16 +132,19 @@ class Lattices:
         self.reset()
 
     def reset(self) -> None:
-        self.parts: dict[str, tuple[int, ...]] = {}  # text between two cuts -> its chunks
+        self.parts: dict[str, int] = {}  # text between two spaces -> its number
+        self.runs: dict[str, int] = {}  # the same for what starts otherwise than with one space
         self.chunks: dict[str, int] = {}
-        self.store = {k: _Growing(t) for k, t in (NODE_ARRAYS | EDGE_ARRAYS | CHUNK_ARRAYS).items()}
+        self.store = {k: _Growing(t) for k, t in (NODE_ARRAYS | EDGE_ARRAYS | CHUNK_ARRAYS | PART_ARRAYS).items()}
 
     @property
     def full(self) -> bool:
         return self.store["edge_id"].size > CACHE_EDGES
 
-    def _add_parts(self, parts: list[str]) -> None:
-        """Cut new parts where no piece holds both neighbours, and build the new chunks."""
+    def _add(self, known: dict[str, int], names: list[str], parts: list[str]) -> None:
+        """Number new parts, cut them where no piece holds both neighbours, and build the new chunks."""
+        start = self.store["part_first"].size
+        known.update(zip(names, range(start, start + len(names))))
         joined = "".join(parts)
         codes = _codes(joined)
         cut = np.zeros(len(codes) + 1, bool)
@@ -154,9 +159,11 @@ class Lattices:
             start = len(self.chunks)
             self.chunks.update(zip(fresh, range(start, start + len(fresh))))
             self._build(fresh)
-        numbers = list(map(self.chunks.__getitem__, texts))
-        for part, a, b in zip(parts, firsts.tolist(), firsts[1:].tolist()):
-            self.parts[part] = tuple(numbers[a:b])
+        store = self.store
+        first = store["chunks_of_part"].size
+        store["chunks_of_part"].extend(np.fromiter(map(self.chunks.__getitem__, texts), np.int64, len(texts)))
+        store["part_first"].extend(first + firsts[:-1])
+        store["part_chunks"].extend(np.diff(firsts))
 
     def _spell(self, code: int) -> int:
         if code not in self.spelled_at:
@@ -234,21 +241,27 @@ class Lattices:
 
     def chunks_of(self, texts: list[str]) -> list[np.ndarray]:
         """Numbers of the chunks of each text; the empty text has none."""
-        cut = []
+        cut, fresh = [], ({}, {})
         for text in texts:
-            parts = text.split(" ")
+            parts, odd = text.split(" "), 0
             if "" in parts or SPACE in text:
-                cut.append(CHUNK.findall(SPACE + text.replace(" ", SPACE)) if text else [])
-            else:
-                cut.append([SPACE + p for p in parts])
-        fresh = set()
-        for parts in cut:
-            fresh.update(parts)
-        fresh = fresh.difference(self.parts)
-        if fresh:
-            self._add_parts(sorted(fresh))
-        get = self.parts.__getitem__
-        return [np.fromiter(chain.from_iterable(map(get, parts)), np.int64) for parts in cut]
+                parts, odd = CHUNK.findall(SPACE + text.replace(" ", SPACE)) if text else [], 1
+            known = (self.parts, self.runs)[odd]
+            numbers = list(map(known.get, parts))
+            if None in numbers:
+                fresh[odd].update((p, None) for p, n in zip(parts, numbers) if n is None)
+            cut.append((known, parts, numbers))
+        for known, own, lead in ((self.parts, fresh[0], SPACE), (self.runs, fresh[1], "")):
+            if own:
+                self._add(known, list(own), [lead + p for p in own])
+        found = [np.array(list(map(known.get, parts)) if None in numbers else numbers, np.int64) for known, parts, numbers in cut]
+        store = self.store
+        every = np.concatenate(found) if found else np.zeros(0, np.int64)
+        counts = store["part_chunks"].all[every]
+        ends = np.cumsum(counts)
+        chunks = store["chunks_of_part"].all[np.repeat(store["part_first"].all[every] - (ends - counts), counts) + np.arange(int(counts.sum()))]
+        bounds = np.concatenate([[0], ends])[np.cumsum([0, *map(len, found)])]
+        return [chunks[a:b] for a, b in zip(bounds.tolist(), bounds[1:].tolist())]
 
     def arrays(self) -> dict[str, np.ndarray]:
         return {k: v.all for k, v in self.store.items()}
@@ -302,31 +315,64 @@ class _Text:
         self.walks: list[tuple] = []
 
 
-def _split(a: dict, text: _Text, edges: np.ndarray, from_step: int, barred: tuple, value: float, salt: int, want: int) -> None:
-    """Add the best regions around a walk that has just been found: those that leave it at ``from_step`` or later."""
-    logs = a["edge_log"][edges]
+def _masses(a: dict, logs: np.ndarray, siblings: np.ndarray, from_step: int, barred: tuple) -> tuple[np.ndarray, np.ndarray]:
+    """Steps at which a walk can be left, from ``from_step`` on, and the log-mass that leaves it there."""
     before = np.cumsum(logs) - logs
     p = np.exp(logs[from_step:])
     if barred:
         p[0] += math.fsum(math.exp(a["edge_log"][e]) for e in barred)
     # What is left of a node's mass; where it is lost in rounding, a trace.
     mass = before[from_step:] + np.log(np.maximum(1 - p, 1e-17))
-    others = a["siblings"][edges[from_step:]] - 1
+    others = siblings[from_step:] - 1
     if barred:
         others[0] -= len(barred)
     at = np.nonzero(others > 0)[0]
-    if not len(at):
-        return
-    values = below(value, mass[at], uniforms(np.full(len(at), text.key, np.uint64), salt, at + from_step))
+    return at + from_step, mass[at]
+
+
+def _push(text: _Text, edges: np.ndarray, steps: np.ndarray, values: np.ndarray, from_step: int, barred: tuple, walk_number: int, want: int) -> None:
     best = np.argpartition(-values, want - 1)[:want] if len(values) > want else np.arange(len(values))
     for i in best.tolist():
-        step = from_step + int(at[i])
+        step = int(steps[i])
         own = (*(barred if step == from_step else ()), int(edges[step]))
-        heapq.heappush(text.regions, (-float(values[i]), len(text.walks) - 1, step, own))
+        heapq.heappush(text.regions, (-float(values[i]), walk_number, step, own))
+
+
+def _split(a: dict, text: _Text, from_step: int, barred: tuple, value: float, salt: int, want: int) -> None:
+    """Add the best regions around the walk found last: those that leave it at ``from_step`` or later.
+
+    All that leaves it after its probability has fallen by ``FAR`` is one
+    region, taken apart only if it is ever opened.
+    """
+    number = len(text.walks) - 1
+    edges, logs, siblings, _ = text.walks[number]
+    before = np.cumsum(logs) - logs
+    near = max(from_step + 1, int(np.searchsorted(-before, FAR - float(before[from_step]), side="right")))
+    steps, mass = _masses(a, logs[:near], siblings[:near], from_step, barred)
+    values = below(value, mass, uniforms(np.full(len(steps), text.key, np.uint64), salt, steps))
+    _push(text, edges, steps, values, from_step, barred, number, want)
+    if near < len(edges) and (siblings[near:] > 1).any():
+        rest = float(before[near]) + math.log(-math.expm1(min(-1e-17, float(logs[near:].sum()))))
+        u = uniforms(np.array([text.key], np.uint64), salt, np.array([near + (1 << 41)]))
+        heapq.heappush(text.regions, (-float(below(value, rest, u)[0]), number, near, ()))
     if len(text.regions) > want:
         text.regions = heapq.nsmallest(want, text.regions)
 
 
+def _open_far(a: dict, text: _Text, value: float, number: int, near: int, salt: int, want: int) -> tuple[int, tuple] | None:
+    """Step and barred edges of the region that holds the best walk of a far region; its other parts go back."""
+    edges, logs, siblings, _ = text.walks[number]
+    steps, mass = _masses(a, logs, siblings, near, ())
+    if not len(steps):
+        return None
+    keys = np.full(len(steps), text.key, np.uint64)
+    first = int(np.argmax(mass + gumbels(uniforms(keys, salt, steps + (1 << 42)))))
+    others = np.arange(len(steps)) != first
+    values = below(value, mass[others], uniforms(keys[others], salt, steps[others] + (1 << 43)))
+    _push(text, edges, steps[others], values, near, (), number, want)
+    return int(steps[first]), (int(edges[steps[first]]),)
+
+
 def _first_of(a: dict, edge: int) -> int:
     """First edge of the node that an edge leaves."""
     while edge > 0 and a["edge_cum"][edge - 1] < 2.0:
@@ -374,11 +420,17 @@ def sample_texts(lattices: Lattices, keys: list[int], texts: list[str], k: int)
             if not t.regions:
                 continue
             value, parent, step, barred = heapq.heappop(t.regions)
-            edges, chunk_of = t.walks[parent][0], t.walks[parent][1]
+            if not barred:
+                opened = _open_far(a, t, -value, parent, step, 2 * rank, k - rank + 1)
+                if opened is None:
+                    continue
+                step, barred = opened
+            edges = t.walks[parent][0]
             u = float(uniforms(np.array([t.key], np.uint64), 2 * rank, np.array([step + (1 << 40)]))[0])
             edge = _alternative(a, barred, u)
-            chunk = int(chunk_of[step])
-            inside = int(a["edge_step"][edges[:step][chunk_of[:step] == chunk]].sum()) + int(a["edge_step"][edge])
+            position = int(a["edge_step"][edges[:step]].sum(dtype=np.int64))
+            chunk = int(np.searchsorted(t.positions, position, side="right")) - 1
+            inside = position - int(t.positions[chunk]) + int(a["edge_step"][edge])
             shared = np.append(edges[:step], edge)
             jobs.append((t, -value, shared, barred, chunk, int(t.nodes[chunk]) + inside, inside))
         if not jobs:
@@ -392,37 +444,27 @@ def sample_texts(lattices: Lattices, keys: list[int], texts: list[str], k: int)
             positions.append(where)
             owners.append(np.full(len(own), t.key, np.uint64))
         edges, counts = walk(a, np.concatenate(nodes), np.concatenate(owners), np.concatenate(positions), 2 * rank)
-        at_edge = at_chunk = 0
-        for (t, value, shared, barred, chunk, _, _), own in zip(jobs, nodes):
-            n = counts[at_chunk : at_chunk + len(own)]
-            size = int(n.sum())
-            chosen = np.concatenate([shared, edges[at_edge : at_edge + size]])
-            chunk_of = np.repeat(np.arange(chunk, chunk + len(own)), n)
+        logs, siblings = a["edge_log"][edges], a["siblings"][edges]
+        ends = np.concatenate([[0], np.cumsum(counts)])[np.cumsum([0, *map(len, nodes)])].tolist()
+        for (t, value, shared, barred, _, _, _), low, high in zip(jobs, ends, ends[1:]):
+            own = edges[low:high], logs[low:high], siblings[low:high]
             if len(shared):
-                parent_chunks = np.append(_chunks_of(t, shared[:-1], a), chunk)
-                chunk_of = np.concatenate([parent_chunks, chunk_of])
-            t.walks.append((chosen, chunk_of, value))
-            _split(a, t, chosen, max(0, len(shared) - 1), barred, value, 2 * rank + 1, k - rank)
-            at_edge += size
-            at_chunk += len(own)
+                own = tuple(np.concatenate([x, y]) for x, y in zip((shared, a["edge_log"][shared], a["siblings"][shared]), own))
+            t.walks.append((*own, value))
+            if len(own[0]):
+                _split(a, t, max(0, len(shared) - 1), barred, value, 2 * rank + 1, k - rank)
     out = []
     for t in found:
         limit = -t.regions[0][0] if t.regions else None
         rows = []
-        for edges, _, value in t.walks:
-            log_prob = float(a["edge_log"][edges].sum())
+        for edges, logs, _, value in t.walks:
+            log_prob = float(logs.sum())
             inclusion = 0.0 if limit is None else _log_inclusion(log_prob - limit)
             rows.append((lattices.expand(a["edge_id"][edges]), log_prob, value, inclusion))
         out.append(rows)
     return out
 
 
-def _chunks_of(t: _Text, edges: np.ndarray, a: dict) -> np.ndarray:
-    """Chunk of each edge of a walk's beginning."""
-    ends = np.cumsum(a["edge_step"][edges].astype(np.int64)) - a["edge_step"][edges]
-    return np.searchsorted(t.positions, ends, side="right") - 1
-
-
 def _log_inclusion(x: float) -> float:
     """log(1 - exp(-exp(x)))"""
     if x < -30:
@@ -435,10 +477,20 @@ def lattices_of(path: str, alpha: float) -> Lattices:
     return Lattices(path, alpha)
 
 
-def decode(pieces: list[bytes], ids) -> str:
-    """Text of piece ids: the space put before the first word goes, bytes become characters."""
-    raw = b"".join(map(pieces.__getitem__, ids))
-    return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace")
+class Decoder:
+    """Texts of piece ids: the space put before the first word goes, bytes become characters."""
+
+    def __init__(self, pieces: list[bytes]):
+        self.sizes = np.array([len(p) for p in pieces])
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.flat = np.frombuffer(b"".join(pieces), np.uint8)
+
+    def __call__(self, ids: np.ndarray) -> str:
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes)
+        at = np.repeat(self.starts[ids] - (ends - sizes), sizes)
+        raw = self.flat[at + np.arange(len(at))].tobytes()
+        return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace")
 
 
 def sample(
@@ -446,7 +498,7 @@ def sample(
 ) -> DataFrame:
     """Rows ``id, rank, ids, log_prob, perturbed, log_inclusion, decoded``: up to ``k`` segmentations per text.
 
-    ``decoded`` is the text that the ids give back. Draws are seeded by the
+    ``ids`` are little-endian 32-bit numbers, ``decoded`` is the text that they give back. Draws are seeded by the
     row's id alone, so equal rows and runs again after a lost task give equal samples. A
     null or empty text has one segmentation, the empty one; a text with fewer
     than ``k`` segmentations gives all it has; an empty table gives an empty
@@ -458,7 +510,7 @@ def sample(
         [
             T.StructField(id_col, id_type),
             T.StructField("rank", T.IntegerType()),
-            T.StructField("ids", T.ArrayType(T.IntegerType(), False)),
+            T.StructField("ids", T.BinaryType()),
             *(T.StructField(n, T.DoubleType()) for n in ("log_prob", "perturbed", "log_inclusion")),
             T.StructField("decoded", T.StringType()),
         ]
@@ -466,16 +518,15 @@ def sample(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattices = lattices_of(model, alpha)
+        decode = Decoder(lattices.pieces)
 
         def emit(names, keys, texts):
             if lattices.full:
                 lattices.reset()
             rows = [(name, rank, *row) for name, own in zip(names, sample_texts(lattices, keys, texts, k)) for rank, row in enumerate(own)]
-            bounds = np.cumsum([0, *(len(r[2]) for r in rows)])
-            flat = np.concatenate([r[2] for r in rows]).astype(np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat))
+            ids = pa.array([r[2].astype("<i4").tobytes() for r in rows], pa.binary())
             doubles = [pa.array([r[i] for r in rows], pa.float64()) for i in (3, 4, 5)]
-            decoded = pa.array([decode(lattices.pieces, r[2].tolist()) for r in rows], pa.string())
+            decoded = pa.array([decode(r[2]) for r in rows], pa.string())
             return pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], kind), pa.array([r[1] for r in rows], pa.int32()), ids, *doubles, decoded],
                 names=[f.name for f in schema],

@@ -49,9 +49,8 @@ def op3_tool_calls(spark, sf):
 def op4_piece_sampling(spark, sf):
     """Sampled segmentations of all documents, with checksums of the ids and of what they decode to."""
     found = piece_sampling.sample(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
-    spelled = F.array_join("ids", " ").cast("binary")
     return found.select(
-        "doc_id", "rank", F.size("ids").cast("long").alias("n_pieces"), F.crc32(spelled).alias("ids_crc32"),
+        "doc_id", "rank", (F.octet_length("ids") / 4).cast("long").alias("n_pieces"), F.crc32("ids").alias("ids_crc32"),
         "log_prob", "perturbed", "log_inclusion", F.crc32(F.col("decoded").cast("binary")).alias("text_crc32"),
     )
 
