@@ -19,7 +19,7 @@ from tripaudit.session import get_session  # noqa: E402
 
 HEADLINE = [
     "daily_summary", "daily_summary_rc", "dist_suspects", "op_suspects", "susp_summary", "track_class",
-    "distance_hist", "driver_stats", "day_base", "city_stats",
+    "distance_hist", "driver_stats", "day_base", "city_stats", "susp_detail",
 ]
 RUNS = 3
 

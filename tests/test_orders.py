@@ -142,11 +142,11 @@ def test_membership_survives_hot_keys_nulls_and_copies(spark):
     df = spark.range(3000).selectExpr("if(id % 3 = 0, 7, if(id % 50 = 1, null, id)) as service_order_id", "id as x")
     ids = spark.createDataFrame([(7,), (7,), (None,), (10,), (11,)], "service_order_id long")
     plain = {r["x"]: r["service_order_id"] for r in df.collect()}
-    flagged = joins.flag_members(df, ids).collect()
+    flagged = joins.flag_members(df, ids, spread=("x",)).collect()
     assert len(flagged) == 3000
     assert all(r["is_rc"] == (plain[r["x"]] in (7, 10, 11)) for r in flagged)
-    inside = {r["x"] for r in joins.only_in(df, ids).collect()}
-    outside = [r["x"] for r in joins.not_in(df, ids).collect()]
+    inside = {r["x"] for r in joins.only_in(df, ids, spread=("x",)).collect()}
+    outside = [r["x"] for r in joins.not_in(df, ids, spread=("x",)).collect()]
     assert inside == {x for x, i in plain.items() if i in (7, 10, 11)}
     assert sorted(outside) == sorted(set(plain) - inside)
     assert sorted(map(tuple, joins.flag_members(df, ids, salts=1).collect()), key=str) == sorted(
@@ -263,7 +263,7 @@ def test_attach_device_only_drivers(spark):
     devices = spark.createDataFrame(
         [(9, 1, "DR", 5, "a"), (8, 1, "PA", 5, "b"), (7, 0, "DR", 5, "c")],
         "user_id long, status int, user_type string, update_time long, os_type string",
-    )
+    ).withColumns({c: F.lit(None).cast("string") for c in joins.DEVICE_COLUMNS if c != "os_type"})
     df = orders_of(spark, {}, {"driver_id": 8}, {"driver_id": 7})
     got = {r["driver_id"]: r["os_type"] for r in joins.attach_device(df, devices).collect()}
     assert got == {"9": "a", "8": None, "7": None}

@@ -4,14 +4,15 @@ import pytest
 
 import __spark_entry__ as entry_module
 from tripaudit.catalog import inputs as I
+from tripaudit.catalog.queries import REGISTRY
 from tripaudit.operators import rows
 
 SF = "/root/testdata/sf0.001"
 WRITES = {
     "risk_list", "tsv_roundtrip", "partition_overwrite", "expire_partitions", "partition_ready", "backfill_range",
-    "read_days", "upsert_by_date", "replace_dim", "report_bundle",
+    "read_days", "upsert_by_date", "replace_dim", "report_bundle", "rerun_empty_day", "load_day",
 }
-LAZY = sorted(set(entry_module.queries()) - WRITES)
+LAZY = sorted(set(REGISTRY) - WRITES)
 
 
 def plan_of(df):
@@ -95,19 +96,38 @@ def test_hot_track_is_split(spark):
     assert len(found) == 500 and found[7]["min_gap"] == 0
 
 
-@pytest.mark.parametrize("small", [False, True])
-def test_points_are_read_once(spark, small):
-    """Both uses of the fixes share one exchange, with and without broadcast."""
+def test_points_are_read_once(no_broadcast):
+    """Both uses of the fixes share one exchange."""
     from tripaudit.operators import tracks
 
-    if not small:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        stats = tracks.track_stats(I.fx_trip(spark, SF), I.fx_point(spark, SF), small_trips=small)
-        stats.collect()
-        final = plan_of(stats).split("== Initial Plan ==")[0]
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    stats = tracks.track_stats(I.fx_trip(no_broadcast, SF), I.fx_point(no_broadcast, SF))
+    stats.collect()
+    final = plan_of(stats).split("== Initial Plan ==")[0]
     scans = [line for line in final.splitlines() if "FileScan" in line and "value#" in line]
     assert len(scans) == 1 and "ReusedExchange" in final
-    assert ("BroadcastHashJoin" in final) == small
+
+
+@pytest.mark.parametrize("name", ["risk_semi", "risk_flag", "join_latest_ext", "valid_trips"])
+def test_salted_joins_read_only_what_they_use(no_broadcast, name):
+    """The salt comes from the key and narrow columns, not from whole rows."""
+    plan = plan_of(REGISTRY[name](no_broadcast, SF))
+    for column in ("l_tax", "l_discount", "l_comment", "l_shipmode"):
+        assert column not in plan
+    assert "SPARK_PARTITION_ID" not in plan
+
+
+def test_summary_has_one_window_chain(no_broadcast):
+    """The kinds of suspects are counted in one aggregate over one pass."""
+    plan = plan_of(REGISTRY["susp_summary"](no_broadcast, SF))
+    assert plan.count("FileScan parquet") == plan_of(REGISTRY["op_suspects"](no_broadcast, SF)).count("FileScan parquet")
+    assert "Union" not in plan
+
+
+def test_extension_days_are_filtered_at_the_scan(spark, tmp_path):
+    from tripaudit.operators import bases
+    from tripaudit.sources.writers import overwrite_partition
+
+    path = str(tmp_path / "ext")
+    overwrite_partition(I.fx_ext(spark, SF), path)
+    plan = plan_of(bases.day_base(I.fx_order(spark, SF), spark.read.parquet(path), I.LAST_DAY))
+    assert "PartitionFilters: [isnotnull(dt" in plan and str(I.LAST_DAY) in plan

@@ -256,3 +256,78 @@ def test_declared_schemas_parse(spark):
     declared = [schemas.ORDER, schemas.ORDER_EXT, schemas.TRACK_POINT, schemas.DRIVER_ORDER_HIST]
     for text in declared:
         assert schema_from_ddl(text).fieldNames() == [n for n, _ in schemas.declared_columns(text)]
+
+
+def test_tsv_keeps_tabs_line_ends_and_backslashes(spark, tmp_path):
+    values = ["a\tb", "c\nd", "e\r", "\\N", "\\t", "x\\\\ty", "", None, "\\", "end\\\t"]
+    frame = spark.createDataFrame(list(enumerate(values)), "service_order_id long, name string")
+    writers.export_tsv(frame, str(tmp_path / "odd"))
+    back = readers.read_tsv(spark, str(tmp_path / "odd"), frame.schema)
+    assert rows_of(back) == rows_of(frame)
+
+
+def test_missing_path_and_table_are_not_ready(spark, tmp_path):
+    assert tables.partition_ready(spark, str(tmp_path / "nothing"), 20170329) is False
+    assert tables.partition_ready(spark, "no_such_table", 20170329) is False
+
+
+def test_first_run_has_an_empty_history(spark, tmp_path):
+    schema = spark.createDataFrame([], "service_order_id string, execute_date int").schema
+    for source in (str(tmp_path / "nothing"), "no_such_history"):
+        got = loads.read_history(spark, source, schema)
+        assert got.schema == schema and got.isEmpty()
+    inputs = Q.susp_inputs(spark, SF)
+    nothing = loads.read_history(spark, str(tmp_path / "none"), schema)
+    first = susp_report.SuspInputs(**{**inputs.__dict__, "distance_hist": nothing, "operation_hist": nothing})
+    targets = [str(tmp_path / "d"), str(tmp_path / "o")]
+    paths = susp_report.save_suspicious_report(first, I.LAST_DAY, str(tmp_path / "susp"), *targets)
+    assert spark.read.parquet(targets[0]).count() == spark.read.parquet(paths["distance_sheet"]).count() > 0
+    zero = Q.zero_inputs(spark, SF)
+    hist = loads.read_history(spark, str(tmp_path / "zh"), zero.driver_hist.schema)
+    zero_report.save_zero_report(zero_report.ZeroInputs(**{**zero.__dict__, "driver_hist": hist}), I.LAST_DAY, str(tmp_path / "z"))
+
+
+def test_zero_report_rerun_without_zero_trips(spark, tmp_path):
+    """A late correction leaves no zero trip: the saved tables of the day end up without rows."""
+    inputs = Q.zero_inputs(spark, SF)
+    spark.sql("CREATE DATABASE IF NOT EXISTS audit5")
+    tables.declare_table(spark, "audit5.hist", inputs.driver_hist.schema)
+    folder = str(tmp_path / "report")
+    fixed = zero_report.ZeroInputs(**{**inputs.__dict__, "orders": inputs.orders.withColumn("dependable_distance", F.lit(900))})
+    for hist in (str(tmp_path / "hist"), "audit5.hist"):
+        zero_report.save_zero_report(inputs, I.LAST_DAY, folder, hist)
+        assert readers.read_table(spark, hist).where(F.col("dt") == I.LAST_DAY).count() > 0
+        paths = zero_report.save_zero_report(fixed, I.LAST_DAY, folder, hist)
+        assert readers.read_table(spark, hist).where(F.col("dt") == I.LAST_DAY).count() == 0
+        for name in ("zero_detail", "zero_version", "zero_city", "zero_driver"):
+            assert spark.read.parquet(paths[name]).count() == 0, name
+        assert spark.read.parquet(paths["zero_hour_distribute"]).agg(F.sum("cnt")).first()[0] == 0
+
+
+def test_suspicious_report_rerun_without_new_suspects(spark, tmp_path):
+    base = Q.susp_inputs(spark, SF)
+    spark.sql("CREATE DATABASE IF NOT EXISTS audit6")
+    wide = susp_report.suspicious_report(base, I.LAST_DAY)
+    every = wide["distance"].select("service_order_id").unionAll(wide["operation"].select("service_order_id"))
+    known = every.withColumn("execute_date", F.lit(I.LAST_DAY - 1))
+    seen = susp_report.SuspInputs(**{**base.__dict__, "distance_hist": known, "operation_hist": known})
+    for name, kind in (("d", "distance"), ("o", "operation")):
+        tables.declare_table(spark, f"audit6.{name}", wide[kind].schema, "execute_date")
+    for targets in ([str(tmp_path / "d"), str(tmp_path / "o")], ["audit6.d", "audit6.o"]):
+        for inputs, some in ((base, True), (seen, False)):
+            susp_report.save_suspicious_report(inputs, I.LAST_DAY, str(tmp_path / "susp"), *targets)
+            for target in targets:
+                assert readers.read_table(spark, target).where(F.col("execute_date") == I.LAST_DAY).isEmpty() != some
+
+
+def test_saved_suspicious_report_reads_points_once(spark, tmp_path):
+    """Everything that is saved comes from one enrichment: one scan of the points."""
+    base = Q.susp_inputs(spark, SF)
+    path = str(tmp_path / "points")
+    base.points.write.parquet(path)
+    inputs = susp_report.SuspInputs(**{**base.__dict__, "points": spark.read.parquet(path)})
+    suspects = susp_report.report_suspects(inputs, I.LAST_DAY)
+    marked = susp_report.marked_suspects(inputs, I.LAST_DAY, suspects)
+    marked.collect()
+    final = marked._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert sum("FileScan" in line and "latitude:double" in line for line in final.splitlines()) == 1

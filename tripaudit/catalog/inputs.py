@@ -90,12 +90,15 @@ def fx_ext(spark: SparkSession, sf_dir: str) -> DataFrame:
         """if(o_custkey % 17 = 0, 'not json',
               concat('{"distance":"', cast(floor(o_totalprice / 50) as bigint), '"}')) as estimate_snap""",
         f"cast({_day_number('o_orderdate')} as bigint) * 86400 + v as update_time",
+        f"cast(case when v = 0 then {FIRST_DAY} + (o_orderkey + o_custkey) % 10 when o_custkey % 2 = 0 then {LAST_DAY}"
+        " else 20170310 end as int) as dt",
     )
 
 
 def fx_city(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nations = table(spark, sf_dir, "nation").where("n_nationkey < 20")
-    return nations.selectExpr("n_name as code", "concat('CITY_', n_nationkey) as label")
+    """All labels; the codes of the last five nations are other ones, so their orders have none."""
+    code = "if(n_nationkey < 20, n_name, concat('old ', n_name)) as code"
+    return table(spark, sf_dir, "nation").selectExpr(code, "concat('CITY_', n_nationkey) as label")
 
 
 def _micros(col: str) -> str:
@@ -111,6 +114,9 @@ def fx_device(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{_micros('ts')} as update_time",
         "get_json_object(props, '$.k') as app_version",
         "event_type as os_type",
+        "concat('v', event_id % 7) as os_version",
+        "concat('os ', event_type) as os_name",
+        "concat('type ', event_id % 3) as device_type",
     )
 
 
@@ -157,6 +163,7 @@ def fx_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fx_point(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All fixes."""
     div = "case user_id % 3 when 0 then 720 when 1 then 4320 else 1440 end"
     fixes = table(spark, sf_dir, "events").selectExpr(
         "event_id",
@@ -164,8 +171,14 @@ def fx_point(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{E0} + cast(floor(({_micros('ts')} / 1000000D - 1704067200) / {div}) as bigint) as t",
         "39.9D + value / 1000 as latitude",
         "116.0D + cast(get_json_object(props, '$.k') as int) / 1000D as longitude",
-        f"cast(2592000 / {div} as bigint) as span",
     )
+    return fixes.select("event_id", ID, "t", "latitude", "longitude")
+
+
+def fx_point_lost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fixes that arrive: every fifth track loses its middle, which the rules are about."""
+    div = "case service_order_id % 3 when 0 then 720 when 1 then 4320 else 1440 end"
+    fixes = fx_point(spark, sf_dir).selectExpr("*", f"cast(2592000 / {div} as bigint) as span")
     # Trip ends follow from the user alone; recomputed here instead of joined.
     begin, end = f"({E0} + floor(span * 0.1D))", f"({E0} + floor(span * 0.9D))"
     lost = (
@@ -214,8 +227,8 @@ def fx_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fx_driver_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Driver history before the last day; every tenth driver or so has none."""
-    past = fx_valid(spark, sf_dir).where((F.col("dt") < LAST_DAY) & (F.col("driver_id") % 10 != 3))
+    """Driver history before the last day; drivers without an earlier zero trip have none."""
+    past = fx_valid(spark, sf_dir).where(F.col("dt") < LAST_DAY)
     counts = past.groupBy("dt", "driver_id").agg(
         F.count_if((F.col("system_distance") == 0) & (F.col("dependable_distance") == 0)).alias("zero_cnt"),
         F.count("*").alias("total_cnt"),

@@ -50,7 +50,9 @@ fx_ext AS (
     CAST(1 + o_orderkey % 50 AS INTEGER) AS runtime,
     CASE WHEN o_custkey % 17 = 0 THEN 'not json'
       ELSE '{"distance":"' || CAST(floor(o_totalprice / 50) AS BIGINT) || '"}' END AS estimate_snap,
-    date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) * 86400 + v AS update_time
+    date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) * 86400 + v AS update_time,
+    CAST(CASE WHEN v = 0 THEN 20170320 + (o_orderkey + o_custkey) % 10 WHEN o_custkey % 2 = 0 THEN 20170329
+      ELSE 20170310 END AS INTEGER) AS dt
   FROM (
     SELECT *, CASE WHEN v = 1 AND o_custkey % 3 = 0 THEN '_b' ELSE '' END AS suffix
     FROM orders CROSS JOIN (VALUES (0), (1)) AS versions(v)
@@ -91,14 +93,16 @@ fx_risk AS (
 
 FX_CITY = """
 fx_city AS (
-  SELECT n_name AS code, 'CITY_' || n_nationkey AS label FROM nation WHERE n_nationkey < 20
+  SELECT CASE WHEN n_nationkey < 20 THEN n_name ELSE 'old ' || n_name END AS code, 'CITY_' || n_nationkey AS label
+  FROM nation
 )"""
 
 FX_DEVICE = """
 fx_device AS (
   SELECT event_id AS device_id, user_id, CASE WHEN event_type = 'error' THEN 0 ELSE 1 END AS status,
     CASE WHEN event_id % 4 = 0 THEN 'PA' ELSE 'DR' END AS user_type, epoch_us(ts) AS update_time,
-    json_extract_string(props, '$.k') AS app_version, event_type AS os_type
+    json_extract_string(props, '$.k') AS app_version, event_type AS os_type, 'v' || event_id % 7 AS os_version,
+    'os ' || event_type AS os_name, 'type ' || event_id % 3 AS device_type
   FROM events
 ),
 newest_device AS (
@@ -125,7 +129,7 @@ parsed_log AS (
 
 DIV = "CASE user_id % 3 WHEN 0 THEN 720 WHEN 1 THEN 4320 ELSE 1440 END"
 
-FX_TRIP = f"""
+FX_TRIP_ALL = f"""
 fx_trip AS (
   SELECT user_id AS service_order_id, start_time - (user_id % 20) * 60 AS arrival_time, start_time, end_time,
     CASE WHEN user_id % 11 = 0 THEN 0 ELSE 1000 + user_id * 100 END AS predict_distance,
@@ -136,20 +140,14 @@ fx_trip AS (
     FROM (SELECT DISTINCT user_id, 2592000 // ({DIV}) AS span FROM events)
   )
 ),
-fx_point AS (
-  SELECT * EXCLUDE (user_id) FROM (
+all_point AS (
     SELECT event_id, user_id, user_id AS service_order_id,
       {E0} + CAST(floor((epoch_us(ts) / 1e6 - 1704067200) / ({DIV})) AS BIGINT) AS t,
       399e-1 + value / 1000 AS latitude,
       116e0 + CAST(json_extract_string(props, '$.k') AS INTEGER) / 1000 AS longitude
     FROM events
-  ) p
-  WHERE NOT EXISTS (
-    SELECT 1 FROM fx_trip x WHERE x.service_order_id = p.service_order_id AND p.user_id % 5 = 0
-      AND p.t > x.start_time + 2e-1 * (x.end_time - x.start_time)
-      AND p.t < x.start_time + 8e-1 * (x.end_time - x.start_time)
-  )
 ),
+fx_point AS (SELECT * EXCLUDE (user_id) FROM all_point p WHERE true),
 near AS (
   SELECT x.*, p.* EXCLUDE (service_order_id) FROM fx_trip x JOIN fx_point p USING (service_order_id)
   WHERE p.t BETWEEN x.start_time - 300 AND x.end_time + 300
@@ -160,6 +158,16 @@ gaps AS (
     lead(t) OVER (PARTITION BY service_order_id ORDER BY t, event_id) - t AS gap FROM in_trip
 )"""
 
+# The same with the middle of every fifth track lost.
+FX_TRIP_LOST = FX_TRIP_ALL.replace(
+    "WHERE true",
+    """WHERE NOT EXISTS (
+    SELECT 1 FROM fx_trip x WHERE x.service_order_id = p.service_order_id AND p.user_id % 5 = 0
+      AND p.t > x.start_time + 2e-1 * (x.end_time - x.start_time)
+      AND p.t < x.start_time + 8e-1 * (x.end_time - x.start_time)
+  )""",
+)
+
 DIST_COND = """round(dependable_distance / 1000, 1) > round(system_distance / 1000, 1)
     AND runtime = actual_time_length"""
 OP_COND = """round(dependable_distance / 1000, 1) <> round(system_distance / 1000, 1)
@@ -182,7 +190,7 @@ DRIVER_HIST = """
 hist AS (
   SELECT dt, driver_id, count(*) FILTER (system_distance = 0 AND dependable_distance = 0) AS zero_cnt,
     count(*) AS total_cnt
-  FROM fx_valid WHERE dt < 20170329 AND driver_id % 10 <> 3
+  FROM fx_valid WHERE dt < 20170329
   GROUP BY dt, driver_id
   HAVING count(*) FILTER (system_distance = 0 AND dependable_distance = 0) > 0
 ),
@@ -198,7 +206,8 @@ base AS (
   SELECT dt, service_order_id, system_distance, dependable_distance, start_time
   FROM (
     SELECT fx_order.* FROM fx_order
-    JOIN (SELECT DISTINCT service_order_id, driver_version FROM fx_ext) USING (service_order_id)
+    JOIN (SELECT DISTINCT service_order_id, driver_version FROM fx_ext WHERE dt BETWEEN 20170320 AND 20170329)
+      USING (service_order_id)
     WHERE {BASIC}
     QUALIFY row_number() OVER (PARTITION BY service_order_id {NEWEST}) = 1
   )
@@ -211,7 +220,7 @@ day_base AS (
     start_time, end_time,
     service_order_id IN (SELECT service_order_id FROM fx_risk WHERE is_rc = 'T' AND dt > 20170319) AS is_rc
   FROM fx_order
-  JOIN (SELECT DISTINCT service_order_id, driver_version FROM fx_ext) USING (service_order_id)
+  JOIN (SELECT DISTINCT service_order_id, driver_version FROM fx_ext WHERE dt = 20170329) USING (service_order_id)
   WHERE {BASIC} AND dt = 20170329
 )"""
 
@@ -224,9 +233,12 @@ ORDERS = _with(FX_ORDER)
 EXTS = _with(FX_EXT)
 VALID = _with(FX_ORDER, FX_EXT, LATEST_EXT, FX_VALID)
 SUSPECTS = _with(FX_ORDER, FX_EXT, LATEST_EXT, FX_VALID, DIST, OP)
+IN_WINDOW = LATEST_EXT.replace("FROM fx_ext", "FROM fx_ext WHERE dt BETWEEN 20170320 AND 20170329")
+WINDOW_SUSPECTS = _with(FX_ORDER, FX_EXT, IN_WINDOW, FX_VALID, DIST, OP)
 RISK = _with(FX_ORDER, FX_RISK)
 ZERO = _with(FX_ORDER, FX_EXT, FX_ZERO)
-TRACK = _with(FX_TRIP)
+TRACK = _with(FX_TRIP_ALL)
+LOST = _with(FX_TRIP_LOST)
 DRIVERS = _with(FX_ORDER, FX_EXT, LATEST_EXT, FX_VALID, DRIVER_HIST)
 
 _PER_MILLE = "round_even({part} / {total}, 4) * 1000"
@@ -328,9 +340,10 @@ stats AS (
   FROM phase LEFT JOIN gap_stats USING (service_order_id) LEFT JOIN positions USING (service_order_id)
 )"""
 
-ORDER_TRACK = f"""
+def _order_track(suspects: str) -> str:
+    return f"""
 near AS (
-  SELECT d.service_order_id, d.start_time, d.end_time, p.t, p.latitude, p.longitude FROM dist d JOIN (
+  SELECT d.service_order_id, d.start_time, d.end_time, p.t, p.latitude, p.longitude FROM {suspects} d JOIN (
     SELECT service_order_id, start_time + i * ((end_time - start_time) // 5) AS t,
       start_latitude + i * 1e-3 AS latitude, start_longitude AS longitude
     FROM fx_order CROSS JOIN range(6) AS steps(i)
@@ -355,6 +368,27 @@ def _susp_type(km: str) -> str:
       ELSE 'unknow' END"""
 
 
+def _sheet(suspects: str, detail: str, where: str) -> str:
+    """A sheet of the suspicious report, all columns."""
+    stamps = ", ".join(f"{_clock('d.' + c)} AS {c}" for c in ("arrival_time", "start_time", "end_time", "update_time"))
+    sign = ', "isDeviationPositive"' if suspects == "op" else ""
+    return f"""{WINDOW_SUSPECTS}, {FX_DEVICE}, {FX_LOG}, {_order_track(suspects)}, {TRACK_STATS},
+      detail AS ({detail}),
+      typed AS (SELECT service_order_id, {_susp_type('sys_km')} AS susp_type
+        FROM {suspects} LEFT JOIN stats s USING (service_order_id))
+      SELECT x.* EXCLUDE (arrival_time, start_time, end_time, update_time, pct_for_sort{sign}), {stamps},
+        substr({_clock('d.start_time')}, 1, 10) AS date, n.os_type, n.os_version, n.os_name, n.app_version,
+        coalesce({_clock('n.update_time // 1000000')}, '') AS device_update, susp_type,
+        r_yy_dis, r_sys_dis, driver_dis, response_dis, is_enable,
+        CASE WHEN d.service_order_id IN (SELECT service_order_id FROM dist WHERE dt < 20170327) THEN 0 ELSE 1 END AS is_new
+      FROM {suspects} d JOIN typed USING (service_order_id)
+      JOIN detail x ON x.service_order_id = CAST(d.service_order_id AS VARCHAR)
+      LEFT JOIN newest_device n ON n.user_type = 'DR' AND n.user_id = d.driver_id
+      LEFT JOIN parsed_log g ON g.service_order_id = CAST(d.service_order_id AS VARCHAR)
+        AND g.log_day = {_yyyymmdd('d.end_time')}
+      WHERE {where}"""
+
+
 EXTRACT = """service_order_id, city, status, passenger_name, driver_id, start_time, start_longitude,
     system_distance, update_time, l_linenumber, l_extendedprice, dt"""
 ROW = "service_order_id, l_linenumber, l_extendedprice"
@@ -399,7 +433,7 @@ def oracle_sql() -> dict[str, str]:
             {_clock('arrival_time')} AS arrival_time, {_clock('start_time')} AS start_time,
             {_clock('end_time')} AS end_time, {_clock('d.update_time')} AS update_time, driver_version,
             predict_distance, system_distance, dependable_distance, deviation_distance,
-            percent_deviation_distance, n.os_type, n.app_version,
+            percent_deviation_distance, n.os_type, n.os_version, n.os_name, n.app_version,
             coalesce({_clock('n.update_time // 1000000')}, '') AS device_update,
             substr({_clock('start_time')}, 1, 10) AS date
             FROM ({DIST_DETAIL}) d LEFT JOIN newest_device n
@@ -469,25 +503,22 @@ def oracle_sql() -> dict[str, str]:
         + _hist("(end_time - start_time) / 60", "fx_zero", MIN_EDGES, MIN_LABELS, "duration"),
         "track_avg_interval": f"""{TRACK} SELECT service_order_id,
             CAST((max(t) - min(t)) // count(*) AS BIGINT) AS avg_interval FROM in_trip GROUP BY service_order_id""",
-        "track_gaps": f"""{TRACK} SELECT service_order_id, t, fixes, gap FROM (
-            SELECT service_order_id, t, fixes,
-              coalesce(lead(t) OVER (PARTITION BY service_order_id ORDER BY t) - t,
-                CASE WHEN fixes > 1 THEN 0 END) AS gap
-            FROM (SELECT service_order_id, t, count(*) AS fixes FROM in_trip GROUP BY ALL))
+        "track_gaps": f"""{TRACK} SELECT service_order_id, event_id, t, latitude, longitude, gap FROM (
+            SELECT *, lead(t) OVER (PARTITION BY service_order_id ORDER BY t, event_id) - t AS gap FROM in_trip)
             WHERE gap IS NOT NULL""",
-        "track_gap_bounds": f"""{TRACK} SELECT service_order_id,
+        "track_gap_bounds": f"""{LOST} SELECT service_order_id,
             CASE WHEN count(g.t) = 0 THEN -1 ELSE min(gap) END AS min_gap,
             CASE WHEN count(g.t) = 0 THEN -1 ELSE max(gap) END AS max_gap
             FROM fx_trip LEFT JOIN gaps g USING (service_order_id) GROUP BY service_order_id""",
-        "track_long_gaps": f"""{TRACK} SELECT service_order_id, count(gap) AS n_long_gaps,
+        "track_long_gaps": f"""{LOST} SELECT service_order_id, count(gap) AS n_long_gaps,
             coalesce(string_agg(CAST(gap AS VARCHAR), ',' ORDER BY gap DESC), '') AS gaps
             FROM fx_trip LEFT JOIN (SELECT DISTINCT service_order_id, gap FROM gaps WHERE gap > 120)
             USING (service_order_id) GROUP BY service_order_id""",
         "track_positions": f"""{TRACK} SELECT service_order_id,
             count(DISTINCT (latitude, longitude)) AS n_positions FROM in_trip GROUP BY service_order_id""",
-        "track_stats": f"""{_with(FX_TRIP, TRACK_STATS)} SELECT service_order_id, avg_before, avg_in, avg_after,
+        "track_stats": f"""{_with(FX_TRIP_LOST, TRACK_STATS)} SELECT service_order_id, avg_before, avg_in, avg_after,
             min_gap, max_gap, n_long_gaps, n_positions FROM stats""",
-        "track_class": f"""{_with(FX_TRIP, TRACK_STATS)} SELECT service_order_id,
+        "track_class": f"""{_with(FX_TRIP_LOST, TRACK_STATS)} SELECT service_order_id,
             {_susp_type('system_distance')} AS susp_type
             FROM fx_trip t LEFT JOIN stats s USING (service_order_id)""",
         "latest_ext": f"{_with(FX_EXT, LATEST_EXT)} SELECT * FROM newest_ext",
@@ -496,7 +527,7 @@ def oracle_sql() -> dict[str, str]:
         "distinct_versions": f"{EXTS} SELECT DISTINCT service_order_id, driver_version FROM fx_ext",
         "risk_upsert": f"""{_with(FX_RISK)} SELECT service_order_id, is_rc,
             CASE WHEN service_order_id % 3 = 0 THEN 20170330 ELSE dt END AS dt FROM fx_risk
-            WHERE is_rc = 'T' AND (service_order_id % 2 = 0 OR service_order_id % 3 = 0)""",
+            WHERE is_rc = 'T'""",
         "version_label": f"""{EXTS} SELECT service_order_id, driver_version,
             CASE WHEN driver_version NOT LIKE '%\\_%' ESCAPE '\\' THEN 'other'
               WHEN regexp_matches(driver_version, '^[^_]*_1(_|$)') THEN 'And' || split_part(driver_version, '_', 1)
@@ -540,6 +571,9 @@ def oracle_sql() -> dict[str, str]:
         "expire_partitions": f"{ORDERS} {daily} WHERE dt > 20170324 GROUP BY dt",
         "partition_ready": f"""{ORDERS} SELECT DISTINCT CAST(dt + 2 AS INTEGER) AS dt,
             dt + 2 IN (SELECT dt FROM fx_order) AS ready FROM fx_order""",
+        "rerun_empty_day": f"""{ORDERS} SELECT {ROW}, dt FROM fx_order WHERE dt <> 20170325
+            UNION ALL SELECT {ROW}, dt FROM fx_order WHERE dt <> 20170325""",
+        "load_day": f"{ORDERS} SELECT {EXTRACT} FROM fx_order WHERE dt > 20170322",
         "backfill_range": f"{ORDERS} SELECT {EXTRACT} FROM fx_order WHERE dt BETWEEN 20170321 AND 20170324",
         "read_days": f"""{ORDERS} SELECT {ROW}, dt FROM fx_order WHERE dt IN (20170322, 20170323, 20170324)""",
         "upsert_by_date": f"""{ORDERS} SELECT dt, count(*) AS cnt FROM fx_order
@@ -550,27 +584,28 @@ def oracle_sql() -> dict[str, str]:
         "parse_tracks": f"""{TRACK} SELECT service_order_id, t, 'gps' AS provider,
             CAST(event_id % 30 AS DOUBLE) AS accuracy, latitude, longitude FROM fx_point
             WHERE event_id // 50 % 20 NOT IN (3, 7, 11)""",
-        "report_bundle": f"""{_with(FX_ORDER, FX_EXT, FX_RISK, FX_CITY, SUMMARY_BASE, DAY_BASE)},
-            zero AS (SELECT * FROM day_base WHERE system_distance = 0 AND dependable_distance = 0 AND NOT is_rc
-              AND service_order_id NOT IN {recent_ids})
-            SELECT 'zero_summary' AS sheet, count(DISTINCT dt) AS n FROM base
-            UNION ALL SELECT 'zero_detail', count(*) FROM zero
-            UNION ALL SELECT 'zero_version', count(DISTINCT CASE split_part(driver_version, '_', 2)
+        "report_bundle": f"""{_with(FX_ORDER, FX_EXT, LATEST_EXT, FX_VALID, FX_RISK, FX_CITY, SUMMARY_BASE, DAY_BASE, DRIVER_HIST)},
+            zero AS (SELECT * FROM day_base WHERE system_distance = 0 AND dependable_distance = 0 AND NOT is_rc),
+            drivers AS (SELECT driver_id, count(*) AS n FROM day_base GROUP BY driver_id
+              HAVING count(*) FILTER (system_distance = 0 AND dependable_distance = 0 AND NOT is_rc) > 0),
+            km AS ({_hist(_pickup("expect_start_longitude"), "zero", KM_EDGES, KM_LABELS, "item")}),
+            minutes AS ({_hist("(end_time - start_time) / 60", "zero", MIN_EDGES, MIN_LABELS, "item")})
+            SELECT 'zero_summary' AS sheet, strftime(strptime(CAST(dt AS VARCHAR), '%Y%m%d'), '%Y-%m-%d') AS item,
+              count(*) FILTER (system_distance = 0) AS n FROM base GROUP BY dt
+            UNION ALL SELECT 'zero_detail', CAST(service_order_id AS VARCHAR), start_time FROM zero
+            UNION ALL SELECT 'zero_version', CASE split_part(driver_version, '_', 2)
               WHEN '1' THEN 'And' || split_part(driver_version, '_', 1)
-              WHEN '2' THEN 'iOS' || split_part(driver_version, '_', 1) ELSE 'other' END) FROM zero
-            UNION ALL SELECT 'zero_city', count(DISTINCT coalesce(label, city)) FROM zero
-              LEFT JOIN fx_city ON code = city
-            UNION ALL SELECT 'zero_driver', count(DISTINCT driver_id) FROM zero
-            UNION ALL SELECT * FROM (VALUES ('zero_pos_diff', 15), ('zero_hour_distribute', 24),
-              ('zero_order_duration', 21))""",
-        "susp_detail": f"""{SUSPECTS}, {FX_DEVICE}, {FX_LOG}, {ORDER_TRACK}, {TRACK_STATS}
-            SELECT CAST(d.service_order_id AS VARCHAR) AS service_order_id, CAST(d.driver_id AS VARCHAR) AS driver_id,
-            substr({_clock('d.start_time')}, 1, 10) AS date, {_clock('d.start_time')} AS start_time,
-            sys_km AS system_distance, dep_km AS dependable_distance, n.os_type, {_susp_type('sys_km')} AS susp_type,
-            r_sys_dis, is_enable, CASE WHEN d.service_order_id IN (SELECT service_order_id FROM dist
-              WHERE dt < 20170327) THEN 0 ELSE 1 END AS is_new
-            FROM dist d LEFT JOIN stats s USING (service_order_id)
-            LEFT JOIN newest_device n ON n.user_type = 'DR' AND n.user_id = d.driver_id
-            LEFT JOIN parsed_log g ON g.service_order_id = CAST(d.service_order_id AS VARCHAR)
-              AND g.log_day = {_yyyymmdd('d.end_time')}""",
+              WHEN '2' THEN 'iOS' || split_part(driver_version, '_', 1) ELSE 'other' END AS v, count(*) FROM zero GROUP BY v
+            UNION ALL SELECT 'zero_city', coalesce(label, city) AS c, count(*) FROM zero
+              LEFT JOIN fx_city ON code = city GROUP BY c
+            UNION ALL SELECT 'zero_driver', CAST(driver_id AS VARCHAR), CAST(d.n + coalesce(h.total, 0) AS BIGINT)
+              FROM drivers d LEFT JOIN (SELECT driver_id, sum(total_cnt) AS total FROM hist GROUP BY driver_id) h
+              USING (driver_id)
+            UNION ALL SELECT 'zero_pos_diff', item, cnt FROM km
+            UNION ALL SELECT 'zero_hour_distribute', CAST(h AS VARCHAR), count(start_time)
+              FROM range(24) AS hours(h) LEFT JOIN zero ON (start_time + 28800) % 86400 // 3600 = h GROUP BY h
+            UNION ALL SELECT 'zero_order_duration', item, cnt FROM minutes""",
+        "susp_detail": _sheet("dist", DIST_DETAIL, "true"),
+        "susp_no_start": _sheet("op", OP_DETAIL, 'x."isDeviationPositive" = 1'),
+        "susp_no_end": _sheet("op", OP_DETAIL, 'x."isDeviationPositive" = 0'),
     }

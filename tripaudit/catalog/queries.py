@@ -100,13 +100,11 @@ def op_suspects(spark, sf):
 
 @query
 def op_split(spark, sf):
-    no_start, no_end = suspects.split_by_sign(suspects.operation_detail(_operation(spark, sf)))
+    """Both sides of the split, told apart in one pass."""
+    detail = suspects.operation_detail(_operation(spark, sf))
+    side = F.when(F.col("isDeviationPositive") == 1, "no_start").otherwise("no_end")
     cols = [ID, "pct_for_sort", "deviation_distance"]
-    tagged = rows.append_rows(
-        no_start.select(*cols, F.lit("no_start").alias("side")),
-        no_end.select(*cols, F.lit("no_end").alias("side")),
-    )
-    return suspects.least_deviating_first(tagged)
+    return suspects.least_deviating_first(detail.select(*cols, side.alias("side")))
 
 
 def _devices(spark, sf):
@@ -283,6 +281,10 @@ def _in_trip(spark, sf):
     return tracks.trip_points(I.fx_trip(spark, sf), I.fx_point(spark, sf), 0, 0)
 
 
+def _in_trip_lost(spark, sf):
+    return tracks.trip_points(I.fx_trip(spark, sf), I.fx_point_lost(spark, sf), 0, 0)
+
+
 @query
 def track_avg_interval(spark, sf):
     return tracks.avg_interval(_in_trip(spark, sf))
@@ -290,17 +292,19 @@ def track_avg_interval(spark, sf):
 
 @query
 def track_gaps(spark, sf):
-    return tracks.with_gap(_in_trip(spark, sf))
+    """Every fix with the seconds to the next one."""
+    stepped = tracks.with_gap(_in_trip(spark, sf), order=["event_id"])
+    return stepped.select(ID, "event_id", "t", "latitude", "longitude", "gap")
 
 
 @query
 def track_gap_bounds(spark, sf):
-    return tracks.gap_bounds(I.fx_trip(spark, sf), _in_trip(spark, sf))
+    return tracks.gap_bounds(I.fx_trip(spark, sf), _in_trip_lost(spark, sf))
 
 
 @query
 def track_long_gaps(spark, sf):
-    found = tracks.long_gaps(I.fx_trip(spark, sf), _in_trip(spark, sf), 120)
+    found = tracks.long_gaps(I.fx_trip(spark, sf), _in_trip_lost(spark, sf), 120)
     as_text = F.array_join(F.col("long_gaps").cast("array<string>"), ",")
     return found.select(ID, F.size("long_gaps").cast("bigint").alias("n_long_gaps"), as_text.alias("gaps"))
 
@@ -312,12 +316,12 @@ def track_positions(spark, sf):
 
 @query
 def track_stats(spark, sf):
-    return tracks.track_stats(I.fx_trip(spark, sf), I.fx_point(spark, sf))
+    return tracks.track_stats(I.fx_trip(spark, sf), I.fx_point_lost(spark, sf))
 
 
 @query
 def track_class(spark, sf):
-    return tracks.classify_trips(I.fx_trip(spark, sf), I.fx_point(spark, sf))
+    return tracks.classify_trips(I.fx_trip(spark, sf), I.fx_point_lost(spark, sf))
 
 
 # --- windows and set operations ----------------------------------------------
@@ -341,9 +345,9 @@ def distinct_versions(spark, sf):
 
 @query
 def risk_upsert(spark, sf):
-    listed = I.fx_risk(spark, sf)
-    old = listed.where(F.col(ID) % 2 == 0)
-    new = listed.where(F.col(ID) % 3 == 0).withColumn("dt", F.lit(20170330))
+    """The whole list as the old one; a load brings a third of it anew."""
+    old = I.fx_risk(spark, sf)
+    new = old.where(F.col(ID) % 3 == 0).withColumn("dt", F.lit(20170330))
     return history.risk_upsert(old, new)
 
 
@@ -540,6 +544,33 @@ def backfill_range(spark, sf):
     return readers.read_table(spark, target).select(*EXTRACT_COLUMNS)
 
 
+@query
+def rerun_empty_day(spark, sf):
+    """All days written to a path and a table; a rerun of two days has rows for one of them only."""
+    orders = I.fx_order(spark, sf).select(*EXTRACT_COLUMNS)
+    path, name = scratch_dir(spark, "orders"), _scratch_db(spark) + ".orders"
+    tables.declare_table(spark, name, schema_from_ddl(EXTRACT))
+    again = orders.where(F.col("dt") == 20170322)
+    for target in (path, name):
+        writers.overwrite_partition(orders, target)
+        writers.overwrite_partition(again, target, days=[20170322, 20170325])
+    both = [readers.read_table(spark, t).select(ID, LINE, "l_extendedprice", "dt") for t in (path, name)]
+    return rows.append_rows(*both)
+
+
+@query
+def load_day(spark, sf):
+    """Every daily extract loaded, the last one twice, with a week kept."""
+    folder, name = scratch_dir(spark, "extracts"), _scratch_db(spark) + ".orders"
+    orders = I.fx_order(spark, sf).select(*EXTRACT_COLUMNS)
+    keys = [ID, "update_time", "l_extendedprice"]
+    for day in I.DAYS:
+        writers.export_tsv(orders.where(F.col("dt") == day), readers.extract_path(folder, "orders", day))
+        loads.load_day(spark, folder, "orders", day, schema_from_ddl(EXTRACT), name, keys, keep_days=7)
+    loads.load_day(spark, folder, "orders", I.LAST_DAY, schema_from_ddl(EXTRACT), name, keys, keep_days=7)
+    return spark.table(name).select(*EXTRACT_COLUMNS)
+
+
 @query
 def read_days(spark, sf):
     path = scratch_dir(spark, "orders")
@@ -595,13 +626,22 @@ def zero_inputs(spark, sf) -> ZeroInputs:
 
 @query
 def report_bundle(spark, sf):
-    """Rows per table of the zero-distance report, read back from its folder."""
+    """Contents of the tables of the zero-distance report, read back from its folder, one row per cell."""
     paths = bundle_zero_report(zero_inputs(spark, sf), I.LAST_DAY, scratch_dir(spark, "report"))
-    counts = [
-        spark.read.parquet(path).agg(F.lit(name).alias("sheet"), F.count("*").alias("n"))
+    keys = {
+        "zero_summary": ("dt", "zero_cnt"), "zero_detail": (ID, "start_time"), "zero_version": ("driver_version", "cnt"),
+        "zero_city": ("city", "cnt"), "zero_driver": ("driver_id", "total_cnt"), "zero_pos_diff": ("start_pos_diff", "cnt"),
+        "zero_hour_distribute": ("hour", "cnt"), "zero_order_duration": ("duration", "cnt"),
+    }
+    cells = [
+        spark.read.parquet(path).select(
+            F.lit(name).alias("sheet"),
+            F.col(keys[name][0]).cast("string").alias("item"),
+            F.col(keys[name][1]).cast("bigint").alias("n"),
+        )
         for name, path in paths.items()
     ]
-    return rows.append_rows(*counts)
+    return rows.append_rows(*cells)
 
 
 def susp_inputs(spark, sf) -> SuspInputs:
@@ -620,9 +660,17 @@ def susp_inputs(spark, sf) -> SuspInputs:
 
 @query
 def susp_detail(spark, sf):
-    """Distance sheet of the suspicious report, all enrichments included."""
-    sheet = suspicious_report(susp_inputs(spark, sf), I.LAST_DAY)["distance_sheet"]
-    return sheet.select(
-        ID, "driver_id", "date", "start_time", "system_distance", "dependable_distance", "os_type",
-        "susp_type", "r_sys_dis", "is_enable", "is_new",
-    )
+    """Distance sheet of the suspicious report, all columns."""
+    return suspicious_report(susp_inputs(spark, sf), I.LAST_DAY)["distance_sheet"]
+
+
+@query
+def susp_no_start(spark, sf):
+    """Operation suspects that were billed more."""
+    return suspicious_report(susp_inputs(spark, sf), I.LAST_DAY)["no_start_sheet"]
+
+
+@query
+def susp_no_end(spark, sf):
+    """Operation suspects that were billed less."""
+    return suspicious_report(susp_inputs(spark, sf), I.LAST_DAY)["no_end_sheet"]

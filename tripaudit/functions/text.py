@@ -38,3 +38,25 @@ def json_distance(snap: Column) -> Column:
 def day_prefix(dt: Column, day: int | str) -> Column:
     """``dt like '<day>%'``. On a partition column prefer equality, which prunes."""
     return dt.cast("string").startswith(str(day))
+
+
+# Characters that the Hive text format escapes by a backslash.
+TSV_ESCAPES = {"\\": "\\\\", "\t": "\\t", "\n": "\\n", "\r": "\\r"}
+
+
+def escape_tsv(text: Column) -> Column:
+    for plain, escaped in TSV_ESCAPES.items():
+        text = F.replace(text, F.lit(plain), F.lit(escaped))
+    return text
+
+
+def _replacing(old: str, new: str):
+    return lambda text: F.replace(text, F.lit(old), F.lit(new))
+
+
+def unescape_tsv(text: Column) -> Column:
+    """Undo :func:`escape_tsv`; other backslashes stay as they are."""
+    parts = F.split(text, "\\\\\\\\", -1)  # at escaped backslashes
+    for plain, escaped in list(TSV_ESCAPES.items())[1:]:
+        parts = F.transform(parts, _replacing(escaped, plain))
+    return F.when(F.contains(text, F.lit("\\")), F.array_join(parts, "\\")).otherwise(text)

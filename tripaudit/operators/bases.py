@@ -33,7 +33,7 @@ def summary_base(
     """
     matching = in_days(on_days(finished_orders(orders), days), days[0], days[-1])
     newest = latest_per_key(matching, [ID], order)
-    with_version = versioned(on_days(ext, days) if "dt" in ext.columns else ext).select(ID).distinct()
+    with_version = versioned(on_days(ext, days)).select(ID).distinct()
     dated = newest.join(with_version, ID, "left_semi").select(
         epoch_day(F.col("start_time")).alias("dt"), ID, "system_distance", "dependable_distance", "start_time"
     )
@@ -50,15 +50,15 @@ def day_base(
 ) -> DataFrame:
     """All matching trips of one day, once per app version of the order.
 
-    ``dedupe`` keeps the newest version of each order only. ``risk`` sets
+    ``ext`` rows of the same day count. ``dedupe`` keeps the newest version of each order only. ``risk`` sets
     ``is_rc``; without it no row is flagged.
     """
-    same_day = ext.where(F.col("dt") == int(day)) if "dt" in ext.columns else ext
-    joined = attach_versions(orders.where(F.col("dt") == int(day)), same_day)
+    today = F.col("dt") == int(day)
+    joined = attach_versions(orders.where(today), ext.where(today))
     matching = in_days(valid_trips(joined), day)
     if dedupe:
         matching = latest_per_key(matching, [ID], [*order, "driver_version"])
     base = matching.select(*BASE_COLUMNS)
     if risk is None:
         return base.withColumn("is_rc", F.lit(False))
-    return flag_members(base, risk, ID, "is_rc")
+    return flag_members(base, risk, ID, "is_rc", spread=("start_time", "end_time"))

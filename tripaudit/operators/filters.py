@@ -43,16 +43,6 @@ def on_days(df: DataFrame, days: Sequence[int], col: str = "dt") -> DataFrame:
     return df.where(F.col(col).isin([int(d) for d in days]))
 
 
-def zero_flags(df: DataFrame) -> DataFrame:
-    """``is_sys_zero``: recorded distance 0; ``is_both_zero``: billed one too."""
-    return df.withColumns(
-        {
-            "is_sys_zero": F.col("system_distance") == 0,
-            "is_both_zero": (F.col("system_distance") == 0) & (F.col("dependable_distance") == 0),
-        }
-    )
-
-
 def pure_zero(df: DataFrame, use_rc: bool = False) -> DataFrame:
     """Trips with both distances 0; ``use_rc`` leaves out risk orders (``is_rc``)."""
     out = df.where((F.col("system_distance") == 0) & (F.col("dependable_distance") == 0))

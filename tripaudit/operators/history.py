@@ -47,7 +47,7 @@ def susp_history(marked: DataFrame, hist: DataFrame, day: int, keep_days: int =
 def risk_upsert(old: DataFrame, new: DataFrame) -> DataFrame:
     """Risk list after a load: confirmed new rows replace old ones by order id."""
     confirmed = risk_rows(new)
-    return append_rows(not_in(risk_rows(old), confirmed, ID), confirmed)
+    return append_rows(not_in(risk_rows(old), confirmed, ID, spread=("dt",)), confirmed)
 
 
 def driver_hist_rows(base: DataFrame, day: int, use_rc: bool = False) -> DataFrame:

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripaudit.functions import times
@@ -22,24 +22,23 @@ from tripaudit.operators.filters import active_devices, driver_devices, finished
 from tripaudit.operators.rows import ID, latest_per_key
 
 SALTS = 8
-
-
-def _row_salt(df: DataFrame, salts: int) -> Column:
-    # The partition id separates identical rows; both inputs stay the same
-    # when a task is run again, unlike a random number after a shuffle.
-    return F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns]), F.lit(salts)).cast("int")
+SPREAD = ("update_time",)
 
 
 def salted_join(
-    df: DataFrame, side: DataFrame, on: Sequence[str], how: str, salts: int = SALTS
+    df: DataFrame, side: DataFrame, on: Sequence[str], how: str, salts: int = SALTS, spread: Sequence[str] = SPREAD
 ) -> DataFrame:
     """Join ``df`` with a smaller ``side`` that is unique on ``on``.
 
     ``salts=1`` is the plain join, right where ``df`` has few rows per key.
+    ``spread`` names a few narrow columns of ``df`` that tell the rows of a key
+    apart; only they and the keys are read for the salt, which is the same
+    when a task runs again.
     """
     if salts == 1:
         return df.join(side, list(on), how)
-    left = df.withColumn("_salt", _row_salt(df, salts))
+    salt = F.pmod(F.xxhash64(*on, *spread), F.lit(salts)).cast("int")
+    left = df.withColumn("_salt", salt)
     right = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
@@ -49,20 +48,29 @@ def _key_list(ids: DataFrame, key: str) -> DataFrame:
 
 
 def flag_members(
-    df: DataFrame, ids: DataFrame, key: str = ID, name: str = "is_rc", salts: int = SALTS
+    df: DataFrame,
+    ids: DataFrame,
+    key: str = ID,
+    name: str = "is_rc",
+    salts: int = SALTS,
+    spread: Sequence[str] = SPREAD,
 ) -> DataFrame:
     """Add boolean ``name``: is the key of the row in ``ids``?"""
     listed = _key_list(ids, key).withColumn("_listed", F.lit(True))
-    joined = salted_join(df, listed, [key], "left", salts)
+    joined = salted_join(df, listed, [key], "left", salts, spread)
     return joined.withColumn(name, F.col("_listed").isNotNull()).drop("_listed")
 
 
-def only_in(df: DataFrame, ids: DataFrame, key: str = ID, salts: int = SALTS) -> DataFrame:
-    return salted_join(df, _key_list(ids, key), [key], "left_semi", salts)
+def only_in(
+    df: DataFrame, ids: DataFrame, key: str = ID, salts: int = SALTS, spread: Sequence[str] = SPREAD
+) -> DataFrame:
+    return salted_join(df, _key_list(ids, key), [key], "left_semi", salts, spread)
 
 
-def not_in(df: DataFrame, ids: DataFrame, key: str = ID, salts: int = SALTS) -> DataFrame:
-    return salted_join(df, _key_list(ids, key), [key], "left_anti", salts)
+def not_in(
+    df: DataFrame, ids: DataFrame, key: str = ID, salts: int = SALTS, spread: Sequence[str] = SPREAD
+) -> DataFrame:
+    return salted_join(df, _key_list(ids, key), [key], "left_anti", salts, spread)
 
 
 def distinct_versions(ext: DataFrame) -> DataFrame:
@@ -94,11 +102,11 @@ def latest_ext(ext: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
     return latest_per_key(slim.select(*dict.fromkeys([*columns, *order])), [ID], order).select(*columns)
 
 
-def join_latest_ext(orders: DataFrame, latest: DataFrame, salts: int = 2) -> DataFrame:
+def join_latest_ext(orders: DataFrame, latest: DataFrame, salts: int = SALTS) -> DataFrame:
     """Inner join of orders with :func:`latest_ext`.
 
-    ``latest`` is narrow but as long as the order list, so it is repeated only
-    twice: enough to put an exchange under it, the rest is up to AQE.
+    ``latest`` has four narrow columns; repeating it costs less than a hot
+    order in one task, and what is left of one is up to AQE.
     """
     return salted_join(orders, latest, [ID], "inner", salts)
 
@@ -118,15 +126,14 @@ def latest_device(devices: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame
 def attach_device(df: DataFrame, devices: DataFrame) -> DataFrame:
     """Left join device columns on the driver id, compared as text.
 
-    ``devices`` has one row per user. Grouping devices by the numeric id and
+    ``devices`` has one row per user and all of ``DEVICE_COLUMNS``. Grouping devices by the numeric id and
     joining on its text leaves an exchange under both sides, so a driver with
     very many trips can be split by AQE; small device lists are broadcast by
     Spark itself when their size allows it.
     """
-    present = [c for c in DEVICE_COLUMNS if c in devices.columns]
     side = driver_devices(devices).select(
         F.col("user_id").cast("string").alias("driver_id"),
-        *present,
+        *DEVICE_COLUMNS,
         F.col("update_time").alias("device_update"),
     )
     return df.withColumn("driver_id", F.col("driver_id").cast("string")).join(side, "driver_id", "left")

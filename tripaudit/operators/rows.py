@@ -40,10 +40,6 @@ def dedupe(
     return latest_per_key(df, keys, rest)
 
 
-def distinct_rows(df: DataFrame) -> DataFrame:
-    return df.distinct()
-
-
 def append_rows(*frames: DataFrame) -> DataFrame:
     """Concatenate by column name; columns missing on one side become NULL."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

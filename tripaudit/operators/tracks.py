@@ -27,6 +27,8 @@ SLICE = 3600
 BEFORE = 300
 AFTER = 300
 LONG_GAP = 300
+# A trip that would last longer has a broken time; it gets no fixes (label "no track").
+LONGEST_TRIP = 31 * 86400
 
 # Texts of the classification.
 NO_TRACK = "无轨迹数据"
@@ -42,9 +44,11 @@ def _slice(t: Column) -> Column:
 
 
 def _slices(low: Column, high: Column) -> Column:
-    """Every slice a time range touches; none for an empty range."""
+    """Every slice a time range touches; none for an empty, unknown or implausibly long range."""
     none = F.array().cast("array<bigint>")
-    return F.when(low <= high, F.sequence(_slice(low), _slice(high))).otherwise(none)
+    sound = (low <= high) & (high - low <= LONGEST_TRIP)
+    end = F.when(sound, high).otherwise(low)  # the sequence is short also where it is not used
+    return F.when(sound, F.sequence(_slice(low), _slice(end))).otherwise(none)
 
 
 def _sliced_points(
@@ -54,7 +58,6 @@ def _sliced_points(
     after: int,
     point_cols: Sequence[str],
     day_col: str | None = None,
-    small_trips: bool = False,
 ) -> DataFrame:
     low, high = F.col("start_time") - before, F.col("end_time") + after
     spread = trips.withColumn("slice", F.explode(_slices(low, high)))
@@ -63,17 +66,7 @@ def _sliced_points(
         spread = spread.withColumn(day_col, epoch_day(F.col("slice") * SLICE))
         on.append(day_col)
     cut = points.withColumn("slice", _slice(F.col("t"))).select(*on, *point_cols)
-    side = F.broadcast(spread) if small_trips else spread
-    return side.join(cut, on).where(F.col("t").between(low, high))
-
-
-def slice_count(trips: DataFrame, before: int = BEFORE, after: int = AFTER) -> DataFrame:
-    """One row, ``n``: how many (trip, slice) rows the track join works with.
-
-    Ask this before setting ``small_trips``: those rows are what is broadcast.
-    """
-    slices = _slices(F.col("start_time") - before, F.col("end_time") + after)
-    return trips.agg(F.coalesce(F.sum(F.size(slices)), F.lit(0)).cast("bigint").alias("n"))
+    return spread.join(cut, on).where(F.col("t").between(low, high))
 
 
 def trip_points(
@@ -85,6 +78,9 @@ def trip_points(
     the points are partitioned by the Shanghai day of ``t`` (``yyyymmdd``),
     name that column in ``day_col``: it becomes a join key (a slice never
     spans two days), so that Spark can prune the days no trip touches.
+
+    Deviation from the source system: a trip longer than ``LONGEST_TRIP``, one
+    of whose times is then not in seconds or not set, has no points.
     """
     cols = [c for c in points.columns if c not in (ID, day_col)]
     found = _sliced_points(trips, points, before, after, cols, day_col)
@@ -104,19 +100,20 @@ def _bridges(slices: DataFrame, keys: Sequence[str]) -> DataFrame:
     return slices.withColumn("bridge", F.lead("first_t").over(order) - F.col("last_t"))
 
 
-def with_gap(points: DataFrame, keys: Sequence[str] = (ID,)) -> DataFrame:
-    """Gap in seconds from each fix time to the next one of the same track.
+def with_gap(points: DataFrame, keys: Sequence[str] = (ID,), order: Sequence[str] = ()) -> DataFrame:
+    """Every fix but the last of its track, with all columns and the seconds to the next one (``gap``).
 
-    One row per distinct second: ``fixes`` counts the fixes in it, of which
-    all but one have a gap of 0. The last second of a track is left out when
-    it holds a single fix; else its gap is 0.
+    ``order`` tells fixes of one second apart; all but the last of them have a
+    gap of 0. Neighbours are looked up within a slice, and only a slice's last
+    fix looks for the first one of the next slice.
     """
-    runs = _fix_runs(points.withColumn("slice", _slice(F.col("t"))), keys)
-    ends = runs.groupBy(*keys, "slice").agg(F.min("t").alias("first_t"), F.max("t").alias("last_t"))
-    bridges = _bridges(ends, keys).select(*keys, "slice", F.col("last_t").alias("t"), "bridge")
-    joined = runs.join(bridges, [*keys, "slice", "t"], "left")
-    gap = F.coalesce("gap", "bridge", F.when(F.col("fixes") > 1, 0))
-    return joined.select(*keys, "t", "fixes", gap.alias("gap")).where(F.col("gap").isNotNull())
+    cut = points.withColumn("slice", _slice(F.col("t")))
+    ends = cut.groupBy(*keys, "slice").agg(F.min("t").alias("first_t"), F.max("t").alias("last_t"))
+    bridges = _bridges(ends, keys).select(*keys, "slice", "bridge")
+    within = Window.partitionBy(*keys, "slice").orderBy("t", *order)
+    stepped = cut.withColumn("gap", F.lead("t").over(within) - F.col("t")).join(bridges, [*keys, "slice"], "left")
+    gap = F.coalesce("gap", "bridge")
+    return stepped.withColumn("gap", gap).where(F.col("gap").isNotNull()).drop("slice", "bridge")
 
 
 def mean_interval(first: Column, last: Column, n: Column) -> Column:
@@ -213,21 +210,19 @@ def track_stats(
     after: int = AFTER,
     long_gap: int = LONG_GAP,
     day_col: str | None = None,
-    small_trips: bool = False,
 ) -> DataFrame:
     """All numbers the rules need, one row per trip that has points.
 
     ``keys`` identify a trip. ``avg_before`` covers the fixes up to the start, ``avg_after`` those from
     the end on, the rest those in between; a fix right on an end is in both.
-    ``small_trips`` broadcasts the trips, which saves shuffling the points;
-    check :func:`slice_count` first. Positions are counted with a condition
+    Positions are counted with a condition
     instead of a filter, so that both uses of the fixes share one exchange and
     the points are read once.
     """
     window = [*keys, "start_time", "end_time"]
     slim = trips.select(*dict.fromkeys([ID, *window]))
     columns = ["t", "latitude", "longitude"]
-    near = _sliced_points(slim, points, before, after, columns, day_col, small_trips)
+    near = _sliced_points(slim, points, before, after, columns, day_col)
     in_trip = F.col("t").between(F.col("start_time"), F.col("end_time"))
 
     # Copies of a fix first, then all fixes of a second.
@@ -339,13 +334,13 @@ def classify_trips(
     keys: Sequence[str] = (ID,),
     max_long_gaps: int = 2,
     day_col: str | None = None,
-    small_trips: bool = False,
 ) -> DataFrame:
     """``susp_type`` per trip: the first rule that holds, in fixed order.
 
-    A rule whose inputs are unknown does not hold.
+    A rule whose inputs are unknown does not hold. Every trip has a label,
+    also one with a broken time.
     """
-    stats = track_stats(trips, points, keys, day_col=day_col, small_trips=small_trips)
+    stats = track_stats(trips, points, keys, day_col=day_col)
     stats = stats.withColumn("_has", F.lit(True))
     label = (
         F.when(F.col("_has").isNull(), NO_TRACK)

@@ -9,26 +9,23 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripaudit.functions.times import last_days
+from tripaudit.functions.times import epoch_text, last_days
 from tripaudit.operators import suspects as S
 from tripaudit.operators.filters import in_days, on_days
-from tripaudit.operators.history import mark_new
-from tripaudit.operators.joins import attach_device, attach_distance_log, latest_ext
+from tripaudit.operators.history import earlier_history
+from tripaudit.operators.joins import DEVICE_COLUMNS, LOG_COLUMNS, attach_device, attach_distance_log, latest_ext
 from tripaudit.operators.rows import ID
-from tripaudit.operators.tracks import classify_trips, slice_count
+from tripaudit.operators.tracks import classify_trips
 from tripaudit.plans.zero_report import require_rows
 from tripaudit.sources.tables import expire_partitions
 from tripaudit.sources.writers import overwrite_partition, write_bundle
 
 KEEP_DAYS = 10
-# Up to this many (trip, hour slice) rows, below 100 bytes each, are broadcast
-# to the points; beyond it both sides are shuffled.
-BROADCAST_SLICES = 500_000
 
 
 @dataclass
 class SuspInputs:
-    """``devices``: newest row per user. ``log``: parsed, with ``log_day``.
+    """``ext`` is partitioned by ``dt``. ``devices``: newest row per user. ``log``: parsed, with ``log_day``.
 
     ``distance_hist`` and ``operation_hist`` are the first-seen tables
     (``service_order_id``, ``execute_date``). ``point_day`` names the column
@@ -50,76 +47,77 @@ class SuspInputs:
 def report_suspects(inputs: SuspInputs, day: int, days: int = 10) -> DataFrame:
     """Suspects of both kinds over the last ``days`` days."""
     window = last_days(day, days)
-    ext = on_days(inputs.ext, window) if "dt" in inputs.ext.columns else inputs.ext
+    ext = on_days(inputs.ext, window)
     orders = in_days(on_days(inputs.orders, window), window[0], window[-1])
     found = S.all_suspects(orders, latest_ext(ext, inputs.ext_tiebreak), inputs.order)
     return found.select(*S.SUSPECT_COLUMNS)
 
 
-def suspect_types(
-    suspects: DataFrame, points: DataFrame, day_col: str | None = None, small: bool = False
-) -> DataFrame:
+def suspect_types(suspects: DataFrame, points: DataFrame, day_col: str | None = None) -> DataFrame:
     """``susp_type`` per (order, category)."""
     trips = S.with_deviation(suspects).select(
         ID, "category", "arrival_time", "start_time", "end_time", "system_distance", "predict_distance"
     )
-    return classify_trips(trips, points, [ID, "category"], day_col=day_col, small_trips=small)
+    return classify_trips(trips, points, [ID, "category"], day_col=day_col)
 
 
-def enrich(
-    detail: DataFrame, types: DataFrame, inputs: SuspInputs, hist: DataFrame, day: int
-) -> DataFrame:
-    """Device, type, distance-service columns and the new-or-seen mark."""
-    named = types.select(F.col(ID).cast("string").alias(ID), "susp_type")
-    typed = attach_device(detail, inputs.devices).join(named, ID, "left")
-    return mark_new(attach_distance_log(typed, inputs.log), hist, day, KEEP_DAYS)
+def _seen_before(inputs: SuspInputs, day: int) -> DataFrame:
+    """Orders in the history of their category, as (order id as text, category)."""
+    parts = [
+        earlier_history(hist, day, KEEP_DAYS).select(F.col(ID).cast("string").alias(ID), F.lit(category).alias("category"))
+        for category, hist in (("distance", inputs.distance_hist), ("operation", inputs.operation_hist))
+    ]
+    return parts[0].unionByName(parts[1]).distinct().withColumn("_seen", F.lit(True))
 
 
-def marked_suspects(
-    inputs: SuspInputs, day: int, suspects: DataFrame, small: bool = False
-) -> dict[str, DataFrame]:
-    """Enriched and marked suspects, ``distance`` and ``operation``.
+def marked_suspects(inputs: SuspInputs, day: int, suspects: DataFrame) -> DataFrame:
+    """Suspects of both kinds with type, new-or-seen mark, distance-service and device columns.
 
-    ``small`` says that the suspects were counted and may be broadcast.
+    One pass for both kinds: ``category`` stays a column and is split off last.
+    What is keyed by the order comes first, the devices last.
     """
-    types = suspect_types(suspects, inputs.points, inputs.point_day, small)
+    types = suspect_types(suspects, inputs.points, inputs.point_day)
+    named = types.select(F.col(ID).cast("string").alias(ID), "category", "susp_type")
+    wide = S.cast_keys(S.with_deviation(suspects))
+    typed = wide.join(named, [ID, "category"], "left").join(_seen_before(inputs, day), [ID, "category"], "left")
+    dated = typed.withColumns({"execute_date": F.lit(int(day)), "is_new": F.when(F.col("_seen"), 0).otherwise(1)})
+    return attach_device(attach_distance_log(dated.drop("_seen"), inputs.log), inputs.devices)
 
-    def part(category: str, detail: DataFrame, hist: DataFrame) -> DataFrame:
-        own = types.where(F.col("category") == category)
-        return enrich(detail, own, inputs, hist, day)
 
-    distance, operation = details(suspects)
-    return {
-        "distance": part("distance", distance, inputs.distance_hist),
-        "operation": part("operation", operation, inputs.operation_hist),
-    }
+ADDED = [*DEVICE_COLUMNS, "device_update", "susp_type", *LOG_COLUMNS, "execute_date", "is_new"]
 
 
-def details(suspects: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Report columns of the distance and of the operation suspects."""
-    category = F.col("category")
-    return (
-        S.distance_detail(suspects.where(category == "distance")),
-        S.operation_detail(suspects.where(category == "operation")),
-    )
+def split_categories(marked: DataFrame) -> dict[str, DataFrame]:
+    """Report columns of the marked suspects by category."""
+    distance = marked.where(F.col("category") == "distance").withColumn("pct_for_sort", F.col("distance_pct"))
+    operation = marked.where(F.col("category") == "operation").withColumn("pct_for_sort", F.col("time_pct"))
+    return {
+        "distance": distance.select(*S.DISTANCE_COLUMNS, *ADDED),
+        "operation": operation.select(*S.OPERATION_COLUMNS, *ADDED),
+    }
 
 
 def suspect_summary(suspects: DataFrame) -> DataFrame:
-    """Suspects per day and kind.
+    """Suspects per day and kind, NULL where there are none: one conditional aggregate.
 
     Counted before the enrichment, which neither adds nor drops rows.
     """
-    distance, operation = details(suspects)
-    no_start, no_end = S.split_by_sign(operation)
-    kinds = {"distance": distance, "no_start": no_start, "no_end": no_end}
-    return S.align_counts({name: S.format_detail(df) for name, df in kinds.items()})
+    wide = S.with_deviation(suspects).withColumn("date", F.substring(epoch_text(F.col("start_time")), 1, 10))
+    operation = F.col("category") == "operation"
+    kinds = {
+        "distance": F.col("category") == "distance",
+        "no_start": operation & (F.col("isDeviationPositive") == 1),
+        "no_end": operation & (F.col("isDeviationPositive") == 0),
+    }
+    counts = [F.nullif(F.count_if(cond), F.lit(0).cast("bigint")).alias(name) for name, cond in kinds.items()]
+    return wide.groupBy("date").agg(*counts).orderBy("date")
 
 
-def report_sheets(marked: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def report_sheets(parts: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Sorted and formatted sheets of the marked suspects."""
-    no_start, no_end = S.split_by_sign(marked["operation"])
+    no_start, no_end = S.split_by_sign(parts["operation"])
     return {
-        "distance_sheet": S.format_detail(S.most_deviating_first(marked["distance"])),
+        "distance_sheet": S.format_detail(S.most_deviating_first(parts["distance"])),
         "no_start_sheet": S.format_detail(S.most_deviating_first(no_start)),
         "no_end_sheet": S.format_detail(S.least_deviating_first(no_end)),
     }
@@ -132,8 +130,8 @@ def suspicious_report(inputs: SuspInputs, day: int) -> dict[str, DataFrame]:
     shared parts once.
     """
     suspects = report_suspects(inputs, day)
-    marked = marked_suspects(inputs, day, suspects)
-    return {"summary": suspect_summary(suspects), **marked, **report_sheets(marked)}
+    parts = split_categories(marked_suspects(inputs, day, suspects))
+    return {"summary": suspect_summary(suspects), **parts, **report_sheets(parts)}
 
 
 def save_suspicious_report(
@@ -153,14 +151,12 @@ def save_suspicious_report(
     suspects = kept[0]
     try:
         require_rows("suspects", suspects)
-        small = slice_count(suspects).first()["n"] <= BROADCAST_SLICES
-        marked = marked_suspects(inputs, day, suspects, small)
-        for df in marked.values():
-            kept.append(df.persist(StorageLevel.MEMORY_AND_DISK))
-        paths = write_bundle({"summary": suspect_summary(suspects), **report_sheets(marked)}, folder)
+        kept.append(marked_suspects(inputs, day, suspects).persist(StorageLevel.MEMORY_AND_DISK))
+        parts = split_categories(kept[1])
+        paths = write_bundle({"summary": suspect_summary(suspects), **report_sheets(parts)}, folder)
         for name, target in (("distance", distance_target), ("operation", operation_target)):
-            fresh = marked[name].where(F.col("is_new") == 1)
-            overwrite_partition(fresh, target, "execute_date")
+            fresh = parts[name].where(F.col("is_new") == 1)
+            overwrite_partition(fresh, target, "execute_date", days=[day])
             if "/" not in target:
                 expire_partitions(fresh.sparkSession, target, day, KEEP_DAYS + 1, "execute_date")
         return paths

@@ -30,6 +30,8 @@ SUMMARY_NAMES = {
     "ext_zero_rate": "non_dual_zero_rate",
 }
 
+SUMMARY_DAYS = 10
+
 
 class EmptyReport(ValueError):
     """A report input has no rows."""
@@ -63,7 +65,7 @@ class ZeroInputs:
             raise ValueError("use_rc needs a risk list")
 
 
-def report_summary(inputs: ZeroInputs, day: int, days: int = 10) -> DataFrame:
+def report_summary(inputs: ZeroInputs, day: int, days: int = SUMMARY_DAYS) -> DataFrame:
     """Daily summary over the last ``days`` days, in the stored column names."""
     base = summary_base(inputs.orders, inputs.ext, last_days(day, days), inputs.order)
     if inputs.use_rc:
@@ -105,7 +107,7 @@ def summary_sheet(summary: DataFrame) -> DataFrame:
 
 
 def save_zero_report(inputs: ZeroInputs, day: int, folder: str, hist_target: str | None = None) -> dict[str, str]:
-    """Write the report tables under ``folder``, replacing the days they hold.
+    """Write the report tables under ``folder``, replacing their days also where no rows are left.
 
     The day base is computed once and kept in memory and on disk; a lost
     executor only costs recomputing its share. ``hist_target`` receives
@@ -117,9 +119,9 @@ def save_zero_report(inputs: ZeroInputs, day: int, folder: str, hist_target: str
         frames = zero_distance_report(inputs, day, base)
         paths = {name: f"{folder.rstrip('/')}/{name}" for name in frames}
         for name, df in frames.items():
-            upsert_by_date(df, paths[name])
+            upsert_by_date(df, paths[name], days=last_days(day, SUMMARY_DAYS) if name == "zero_summary" else [day])
         if hist_target:
-            overwrite_partition(driver_hist_rows(base, day, inputs.use_rc), hist_target)
+            overwrite_partition(driver_hist_rows(base, day, inputs.use_rc), hist_target, days=[day])
         return paths
     finally:
         base.unpersist()

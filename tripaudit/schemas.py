@@ -28,6 +28,7 @@ def schema_from_ddl(text: str) -> StructType:
     return StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in declared_columns(text)))
 
 
+# Columns of the order and extension extracts that the operators touch.
 ORDER = """
     service_order_id bigint
     city string

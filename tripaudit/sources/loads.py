@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tripaudit.functions.times import days_between
 from tripaudit.operators.history import risk_upsert
-from tripaudit.schemas import DEVICE, RISK_ORDER, schema_from_ddl
+from tripaudit.schemas import DEVICE, ORDER, ORDER_EXT, RISK_ORDER, schema_from_ddl
 from tripaudit.sources.readers import load_extracts, read_tsv
+from tripaudit.sources.tables import declare_table, expire_partitions
 from tripaudit.sources.writers import overwrite_partition, replace_table
 
 
@@ -30,6 +32,54 @@ def backfill(
     overwrite_partition(rows, target)
 
 
+def load_day(
+    spark: SparkSession,
+    folder: str,
+    table: str,
+    day: int,
+    schema: StructType,
+    target: str,
+    dedupe_keys: Sequence[str] | None = ("service_order_id", "update_time"),
+    keep_days: int = 30,
+) -> list[int]:
+    """The daily step: load one extract into a catalog table and drop old days; returns the dropped ones.
+
+    The table is created on the first run. Running a day again gives the same
+    table, also if its extract has become empty. ``dedupe_keys`` is None for a
+    table whose extract is taken as it is.
+    """
+    columns = StructType([f for f in schema.fields if f.name != "dt"] + [schema["dt"]])
+    declare_table(spark, target, columns)
+    rows = load_extracts(spark, folder, table, [day], schema, dedupe_keys)
+    overwrite_partition(rows, target, days=[day])
+    return expire_partitions(spark, target, day, keep_days)
+
+
+# The daily tables: declared columns, keys of the deduplication (None: taken as it is), days kept.
+DAILY = {
+    "order": (ORDER, ("service_order_id", "update_time"), 30),
+    "order_ext": (ORDER_EXT, ("service_order_id", "update_time"), 30),
+}
+
+
+def load_daily(spark: SparkSession, folder: str, table: str, day: int, target: str) -> list[int]:
+    """:func:`load_day` for one of the ``DAILY`` tables."""
+    ddl, keys, keep_days = DAILY[table]
+    return load_day(spark, folder, table, day, schema_from_ddl(ddl), target, keys, keep_days)
+
+
+def read_history(spark: SparkSession, source: str, schema: StructType) -> DataFrame:
+    """A history table, empty on the first run, when there is none yet."""
+    if "/" not in source:
+        return spark.table(source) if spark.catalog.tableExists(source) else spark.createDataFrame([], schema)
+    try:
+        return spark.read.schema(schema).parquet(source)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def load_devices(spark: SparkSession, path: str, target: str, day: int) -> None:
     """Replace the device table by an extract, stamped with its load day."""
     replace_table(read_tsv(spark, path, schema_from_ddl(DEVICE)), target, day)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tripaudit.functions.numbers import digits_or_zero, safe_double
-from tripaudit.functions.text import NULL_TEXT
+from tripaudit.functions.text import NULL_TEXT, unescape_tsv
 from tripaudit.operators.filters import on_days
 from tripaudit.operators.rows import ID, dedupe
 
@@ -20,11 +20,12 @@ def typed_columns(parts: Column, schema: StructType) -> list[Column]:
     """Cast the parts of a line by position.
 
     A part that does not fit its type, ``\\N`` and a missing part give NULL.
-    Quotes are ordinary characters and an empty text stays an empty text.
+    Quotes are ordinary characters, escaped tabs, line ends and backslashes
+    are restored, and an empty text stays an empty text.
     """
     out = []
     for i, field in enumerate(schema.fields):
-        text = F.nullif(F.get(parts, F.lit(i)), F.lit(NULL_TEXT))
+        text = unescape_tsv(F.nullif(F.get(parts, F.lit(i)), F.lit(NULL_TEXT)))
         out.append(text.try_cast(field.dataType).alias(field.name))
     return out
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -30,9 +31,17 @@ def table_partitions(spark: SparkSession, table: str, part: str = "dt") -> DataF
 
 
 def partition_ready(spark: SparkSession, source: str, day: int) -> bool:
-    """Has the partition of ``day`` arrived? Reads metadata or one row."""
+    """Has the partition of ``day`` arrived? Reads metadata or one row.
+
+    A path or a table that does not exist has no partitions.
+    """
     if "/" in source:
-        return not read_days(spark, source, [day]).limit(1).isEmpty()
+        try:
+            return not read_days(spark, source, [day]).limit(1).isEmpty()
+        except AnalysisException as error:
+            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return False
+            raise
     if not spark.catalog.tableExists(source):
         return False
     return not spark.sql(f"SHOW PARTITIONS {source} PARTITION (dt={int(day)})").isEmpty()

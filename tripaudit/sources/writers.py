@@ -7,16 +7,39 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripaudit.functions.text import NULL_TEXT
+from tripaudit.functions.text import NULL_TEXT, escape_tsv
 
 
-def overwrite_partition(df: DataFrame, target: str, part: str = "dt") -> None:
-    """Replace exactly the ``part`` values present in ``df``; rerunnable.
+def _clear(df: DataFrame, target: str, part: str, day: int) -> None:
+    """Leave the partition of ``day`` without rows, on a path or in a table."""
+    spark = df.sparkSession
+    if "/" in target:
+        empty = spark.createDataFrame([], df.drop(part).schema)
+        empty.write.mode("overwrite").parquet(f"{target.rstrip('/')}/{part}={day}")
+    else:
+        columns = [f for f in spark.table(target).schema if f.name != part]
+        nulls = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in columns)
+        spark.sql(f"INSERT OVERWRITE TABLE {target} PARTITION ({part}={day}) SELECT {nulls} WHERE false")
+
 
-    ``target`` is a catalog table or a Parquet path. Rows are rebalanced by
-    day first: a day becomes a few files of a sound size, and a day holding
-    most of the rows is split instead of being written by one task.
+def overwrite_partition(df: DataFrame, target: str, part: str = "dt", days: Sequence[int] | None = None) -> None:
+    """Replace the ``part`` values present in ``df``, or exactly the named ``days``; rerunnable.
+
+    A named day for which ``df`` has no rows ends up without rows, and rows of
+    other days are not written. ``target`` is a catalog table or a Parquet
+    path. Rows are rebalanced by day first: a day becomes a few files of a
+    sound size, and a day holding most of the rows is split instead of being
+    written by one task. The list of days found holds at most the named ones.
     """
+    if days is not None:
+        named = sorted({int(d) for d in days})
+        df = df.where(F.col(part).isin(named))
+        found = {r[0] for r in df.select(part).distinct().collect()}
+        for day in named:
+            if day not in found:
+                _clear(df, target, part, day)
+        if not found:
+            return
     rows = df.hint("rebalance", F.col(part))
     if "/" in target:
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -33,9 +56,9 @@ def overwrite_partition(df: DataFrame, target: str, part: str = "dt") -> None:
         spark.conf.set(key, before)
 
 
-def upsert_by_date(df: DataFrame, target: str, part: str = "dt") -> None:
-    """Replace the result rows of the dates present in ``df``."""
-    overwrite_partition(df, target, part)
+def upsert_by_date(df: DataFrame, target: str, part: str = "dt", days: Sequence[int] | None = None) -> None:
+    """Replace the result rows of the dates present in ``df``, or of the named ``days``."""
+    overwrite_partition(df, target, part, days)
 
 
 def replace_table(df: DataFrame, target: str, day: int) -> None:
@@ -49,9 +72,13 @@ def replace_table(df: DataFrame, target: str, day: int) -> None:
 
 
 def export_tsv(df: DataFrame, path: str, columns: Sequence[str] | None = None) -> None:
-    """Write tab-separated text without header or quotes, NULL as ``\\N``."""
+    """Write tab-separated text without header or quotes, NULL as ``\\N``.
+
+    Backslashes, tabs and line ends inside a value are escaped by a backslash
+    (so a text equal to the NULL mark is not NULL); ``read_tsv`` undoes it.
+    """
     names = columns or df.columns
-    texts = [F.coalesce(F.col(c).cast("string"), F.lit(NULL_TEXT)) for c in names]
+    texts = [F.coalesce(escape_tsv(F.col(c).cast("string")), F.lit(NULL_TEXT)) for c in names]
     df.select(F.concat_ws("\t", *texts).alias("value")).write.mode("overwrite").text(path)
 
 
