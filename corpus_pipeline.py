@@ -17,7 +17,7 @@ ORACLE_SQL = None
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained classifier accepts."""
     scored = quality_classifier.classify(docs, table(spark, sf_dir, "labels"))
-    return scored.where("accepted").select(*docs.columns)
+    return scored.where("kept").select(*docs.columns)
 
 
 def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from tripaudit.llm import quality_classifier as qc
 from tripaudit.llm.queries import REGISTRY
 
-DOCS = "doc_id long, text string, source string, lang string, n_chars long, accepted string"
+DOCS = "doc_id long, text string, source string, lang string, n_chars long, kept string"
 LABELS = "doc_id long, quality int, toxic int"
 
 
@@ -12,8 +12,8 @@ def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
     held = F.col("doc_id") % 4 == 0
-    scored = qc.classify(docs, labels.where(~held)).join(labels.where(held), "doc_id").select("doc_id", "accepted", "quality", "toxic").collect()
-    rates = {k: np.mean([r.accepted for r in rows]) for k, rows in (
+    scored = qc.classify(docs, labels.where(~held)).join(labels.where(held), "doc_id").select("doc_id", "kept", "quality", "toxic").collect()
+    rates = {k: np.mean([r.kept for r in rows]) for k, rows in (
         ("clean", [r for r in scored if r.quality == 1 and not r.toxic]),
         ("junk", [r for r in scored if r.quality == 0]),
         ("toxic", [r for r in scored if r.toxic]),
@@ -33,7 +33,7 @@ def test_nulls_repeats_empty_no_labels(spark):
     frame = spark.createDataFrame(rows, DOCS)
     for labels in ([], [(1, 1, None)], [(None, 1, 0), (2, None, 1)], [(1, 1, 0), (1, 0, 0), (2, 0, 0)]):
         out = qc.classify(frame, spark.createDataFrame(labels, LABELS)).collect()
-        assert len(out) == len(rows) and all(r.accepted for r in out)
+        assert len(out) == len(rows) and all(r.kept for r in out)
     assert qc.classify(spark.createDataFrame([], DOCS), spark.createDataFrame([], LABELS)).collect() == []
 
 

@@ -264,7 +264,7 @@ class Scorer:
         return self.model.text.raw(found)
 
 
-ADDED = ["text_score", "metadata_score", "quality_score", "accepted"]
+ADDED = ["text_score", "metadata_score", "quality_score", "kept"]
 
 
 def classify(
@@ -275,12 +275,12 @@ def classify(
     labelled: int = LABELLED,
     pool: int = POOL,
 ) -> DataFrame:
-    """All rows and columns of ``docs`` with ``text_score, metadata_score, quality_score, accepted``.
+    """All rows and columns of ``docs`` with ``text_score, metadata_score, quality_score, kept``.
 
     ``labels`` has ``doc_id``, ``quality`` and ``toxic``; good is quality 1 and
     not toxic. A null quality is no label, a null toxic is 0, and contradicting labels
     of an id count as bad. Null metadata is a value of its own, a null
-    text is empty. Without labels of both kinds every row is accepted. An
+    text is empty. Without labels of both kinds every row is kept. An
     empty table gives an empty result; repeated rows are scored each; columns
     with the names that are added are replaced.
     """
