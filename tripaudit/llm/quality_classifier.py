@@ -229,8 +229,11 @@ def fit(docs: DataFrame, labels: DataFrame, columns: Sequence[str], labelled: in
         rows = [r for b in batches for r in zip(b["id"].to_pylist(), b["own"].to_pylist(), b["good"].to_pylist())]
         rows.sort(key=lambda r: (r[0] or "", r[1]))
         texts, metadata, known, seen = [], [], [], set()
-        for _, own, good in rows:
-            text, other = pickle.loads(own)
+        shared: dict[bytes, bytes] = {}  # one object per feature, not one per document
+        rows.reverse()
+        while rows:
+            _, own, good = rows.pop()
+            text, other = ({shared.setdefault(f, f) for f in features} for features in pickle.loads(own))
             sketch = (_sketch(text), good)
             if sketch not in seen:  # one of each group of copies
                 seen.add(sketch)
