@@ -130,13 +130,14 @@ def judge(docs: DataFrame, text_col: str = "text", host_col: str = "source", car
     or more), it also passes the milder rules. Null and blank texts fail the
     base rules; an empty table gives an empty result; repeated rows stay and
     count each; columns of the names added here are replaced. The counted rows
-    are kept in the shared scratch folder so that texts are read once; hosts
-    meet documents in a join that Spark may broadcast (by its measured size)
-    or split where a host is hot.
+    are kept in the shared scratch folder so that texts are read once. The host
+    table is kept too: its size is then known, and Spark broadcasts it where it
+    is small and otherwise joins two plain scans, of which it can split a hot host.
     """
     counted = with_counts(docs, text_col).withColumn("_mild", mild_failures())
     counted = keep(counted if carry_text else counted.drop(text_col), "host-rules")
-    hosts = host_rates(counted, host_col).select(F.col("host").alias("_host"), F.col("shrunk_rate").alias("host_rate"))
+    rates = keep(host_rates(counted, host_col), "hosts")
+    hosts = rates.select(F.col("host").alias("_host"), F.col("shrunk_rate").alias("host_rate"))
     key = F.coalesce(F.col(host_col).cast("string"), F.lit(""))
     joined = counted.drop("host_rate", "kept").withColumn("_key", key).join(hosts, F.col("_key") == F.col("_host"), "left")
     ok = (F.col("host_rate") < BLOCKED) & ((F.col("host_rate") < WATCHED) | (F.col("_mild") == 0))
