@@ -37,6 +37,23 @@ def test_far_apart_paragraphs_stay():
     assert html_text.extract(page) == "first last"
 
 
+A, B, C = ("first part of it " * 5).strip(), ("second part of it " * 4).strip(), ("third part of it " * 6).strip()
+LINKS = "<ul>" + "<li><a href=x>Some other page</a></li>" * 5 + "</ul>"
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<div><p>{A}</p></div><div><p>{B}</p></div>", f"{A} {B}"),
+    (f"<section><h2>One</h2><p>{A}</p></section><section><h2>Two</h2><div><div><p>{B}</p></div></div></section>", f"One {A} Two {B}"),
+    (f"<div><p>{A}</p></div><div class='ad'><p>buy</p><p>buy</p><p>buy</p><p>buy</p></div><div><p>The end.</p></div>", f"{A} The end."),
+    (f"<div><p>{A}</p></div><nav>{LINKS}</nav><div><p>{B}</p></div>{LINKS}<div><p>{C}</p></div>", f"{A} {B} {C}"),
+    (f"<div><p>{A}</p></div>{LINKS}<div><p>short</p></div>{LINKS}<div><p>{C}</p></div>{LINKS}<p>site name</p>", f"{A} short {C}"),
+    (f"<p>{A}</p><p><a href=x>a link of the text</a></p><p>{B}</p>", f"{A} a link of the text {B}"),
+    (f"<div>one</div>{LINKS}<div>two</div>", "one two"),
+])
+def test_unmarked_pages_keep_every_passage(page, text):
+    assert html_text.extract(f"<body>{LINKS}{page}{LINKS}</body>") == text
+
+
 def test_long_page():
     body = "<p>" + "w " * 50 + "</p>"
     assert html_text.extract("<article>" + body * 4000 + "</article>").count("w") == 200000

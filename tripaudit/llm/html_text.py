@@ -58,7 +58,7 @@ def _is_boilerplate(tag: str, attributes: str, in_article: bool) -> bool:
 
 
 def lines(page: str) -> list[tuple[str, int, bool]]:
-    """Lines of a page as ``(text, linked characters, in article)``; boilerplate and markup are blank lines."""
+    """Lines of a page with text, as ``(text, linked characters, in article)``; boilerplate, and lines that only open or close elements, are left out."""
     out: list[tuple[str, int, bool]] = []
     parts: list[str] = []
     stack: list[tuple[str, bool]] = []
@@ -67,7 +67,9 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
 
     def end_line():
         nonlocal linked
-        out.append((" ".join("".join(parts).split()), linked, articles > 0))
+        line = " ".join("".join(parts).split())
+        if line:
+            out.append((line, linked, articles > 0))
         parts.clear()
         linked = 0
 
@@ -113,44 +115,42 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
     return out
 
 
+def _passages(sizes: list[int]) -> list[tuple[int, int, bool]]:
+    """Passages as ``(first line, line after the last, strong)``: a block of empty lines ends one, a block of ``SURGE`` makes it strong."""
+    out: list[tuple[int, int, bool]] = []
+    for i, size in enumerate(sizes):
+        if not size:
+            continue
+        start, end, strong = out.pop() if out and i - out[-1][1] < WINDOW else (i, i, False)
+        out.append((start, i + 1, strong or sum(sizes[max(start, i - WINDOW + 1) : i + 1]) >= SURGE))
+    return out
+
+
 def extract(page: str | None) -> str:
-    """Text between the surge and the dive of the line-block distribution.
+    """Text between the first surge and the last dive of the line-block distribution.
 
     A block is the sum of the text lengths of ``WINDOW`` lines in a row. A
     passage starts (surge) where blocks become positive and ends (dive) where
-    a whole block is empty again. Lines of a marked article count alone if the page
-    has one with text; else lines that are mostly links count as empty and
-    passages need a block of ``SURGE`` characters. The passage with the most
-    text is kept whole, with every other passage of a marked article.
+    a whole block is empty again; it is kept whole. Lines of a marked article
+    count alone if the page has one with text; else lines that are mostly
+    links count as empty, and the text reaches from the first to the last
+    passage with a block of ``SURGE`` characters (or over all passages, if
+    none has one), every passage in between included.
     """
     if not page:
         return ""
     found = lines(page)
-    marked = any(inside and t for t, _, inside in found)
+    marked = any(inside for _, _, inside in found)
     if marked:
-        sizes = [len(t) if inside else 0 for t, _, inside in found]
+        found = [line for line in found if line[2]]
+        sizes = [len(t) for t, _, _ in found]
     else:
         sizes = [len(t) if 2 * linked <= len(t) else 0 for t, linked, _ in found]
-    passages, start, end = [], None, 0
-    running = sum(sizes[: WINDOW - 1])
-    for i in range(len(sizes)):
-        running += (sizes[i + WINDOW - 1] if i + WINDOW - 1 < len(sizes) else 0) - (sizes[i - 1] if i else 0)
-        if running and start is None:
-            start = i
-        if running:
-            end = i + WINDOW
-        elif start is not None:
-            passages.append((start, end))
-            start = None
-    if start is not None:
-        passages.append((start, end))
-    if not passages:
-        return ""
-    if not marked:
-        most = max(passages, key=lambda p: sum(sizes[p[0] : p[1]]))
-        strong = [p for p in passages if max(sum(sizes[i : i + WINDOW]) for i in range(*p)) >= SURGE]
-        passages = [most] if most in strong or not strong else strong[:1]
-    return " ".join(t for a, b in passages for (t, _, _), n in zip(found[a:b], sizes[a:b]) if n)
+    passages = _passages(sizes)
+    strong = [k for k, p in enumerate(passages) if p[2]]
+    if strong and not marked:
+        passages = passages[strong[0] : strong[-1] + 1]
+    return " ".join(t for a, b, _ in passages for t, _, _ in found[a:b])
 
 
 def extract_pages(pages: DataFrame, html_col: str = "html", keep_cols: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
