@@ -54,6 +54,19 @@ def test_unmarked_pages_keep_every_passage(page, text):
     assert html_text.extract(f"<body>{LINKS}{page}{LINKS}</body>") == text
 
 
+CARDS = "".join(f"<article><a href=x><h3>Card {i}</h3></a></article>" for i in range(3))
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<div><p>{A}</p></div><div><p>{B}</p></div>{LINKS}{CARDS}", f"{A} {B} Card 0 Card 1 Card 2"),
+    (f"<div><p>{A}</p></div><article><p>in</p></article><div><p>{B}</p></div>", f"{A} in {B}"),
+    (f"<p>site name</p>{LINKS}<article><p>in</p><p><a href=x>source</a></p></article>{LINKS}<p>imprint</p>", "in source"),
+    (f"<main><p>in</p>{LINKS}<p>last</p></main>", "in " + "Some other page " * 5 + "last"),
+])
+def test_article_is_a_weight(page, text):
+    assert html_text.extract(f"<body>{page}</body>") == text
+
+
 def test_long_page():
     body = "<p>" + "w " * 50 + "</p>"
     assert html_text.extract("<article>" + body * 4000 + "</article>").count("w") == 200000

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 WINDOW = 3  # lines summed into one block
-SURGE = 40  # characters a block needs to start a passage, where nothing marks the article
+SURGE = 40  # weighted characters a block needs to make a passage strong
+WEIGHT = SURGE  # of a character inside article or main: any text there is strong
 
 # Element names and class or id words by their role in a page.
 RAW = "script|style|noscript|template|iframe|svg|textarea|select|object|canvas|title"
@@ -129,26 +130,21 @@ def _passages(sizes: list[int]) -> list[tuple[int, int, bool]]:
 def extract(page: str | None) -> str:
     """Text between the first surge and the last dive of the line-block distribution.
 
-    A block is the sum of the text lengths of ``WINDOW`` lines in a row. A
-    passage starts (surge) where blocks become positive and ends (dive) where
-    a whole block is empty again; it is kept whole. Lines of a marked article
-    count alone if the page has one with text; else lines that are mostly
-    links count as empty, and the text reaches from the first to the last
-    passage with a block of ``SURGE`` characters (or over all passages, if
-    none has one), every passage in between included.
+    A block is the sum of the weighted text lengths of ``WINDOW`` lines in a
+    row. A passage starts (surge) where blocks become positive and ends (dive)
+    where a whole block is empty again; it is kept whole. Lines inside article
+    or main have ``WEIGHT`` a character; elsewhere a character counts 1 and
+    lines that are mostly links count as empty. The text reaches from the
+    first to the last passage with a block of ``SURGE`` (or over all passages,
+    if none has one), every passage in between included.
     """
     if not page:
         return ""
     found = lines(page)
-    marked = any(inside for _, _, inside in found)
-    if marked:
-        found = [line for line in found if line[2]]
-        sizes = [len(t) for t, _, _ in found]
-    else:
-        sizes = [len(t) if 2 * linked <= len(t) else 0 for t, linked, _ in found]
+    sizes = [WEIGHT * len(t) if inside else len(t) if 2 * linked <= len(t) else 0 for t, linked, inside in found]
     passages = _passages(sizes)
     strong = [k for k, p in enumerate(passages) if p[2]]
-    if strong and not marked:
+    if strong:
         passages = passages[strong[0] : strong[-1] + 1]
     return " ".join(t for a, b, _ in passages for t, _, _ in found[a:b])
 
