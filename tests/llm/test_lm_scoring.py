@@ -1,6 +1,7 @@
 import math
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -59,6 +60,24 @@ def test_nulls_repeats_empty(spark):
     assert all(r.train_tokens == 0 and r.n_known == 0 and math.isfinite(r.score) for r in only_held)
 
 
+def test_every_window_gives_an_update(spark):
+    """The main round of short documents, against the same passes by hand."""
+    texts = [f"a b c{i % 3} d" for i in range(20)]
+    words = [b"a", b"b", b"d", b"c0", b"c1", b"c2"]
+    counts = np.array([20, 20, 20, 20, 7, 7, 6])
+    vocabulary = SimpleNamespace(head={w: i + 1 for i, w in enumerate(words)}, head_counts=counts, tail_counts=np.zeros(gru.TAIL_CLASSES))
+    docs = [np.array([*(vocabulary.head[w] for w in t.encode().split()), 0], np.int32) for t in texts]
+    p = gru.initial(counts, vocabulary.tail_counts)
+    for rate, epochs in ((0.01, 2), (0.003, 1)):
+        trainer = gru.Trainer(p, rate)
+        for _ in range(epochs):
+            trainer.learn(docs)
+        p = trainer.p
+    rows = spark.createDataFrame(list(enumerate(texts)), "_id long, _text string").coalesce(1)
+    got = lm_scoring.train_model(rows, vocabulary, len(texts))
+    assert np.allclose(got, gru.flatten(p), atol=1e-4)
+
+
 def test_probabilities_sum_to_one():
     p = gru.initial(np.arange(1, 200), np.arange(gru.TAIL_CLASSES))
     states = np.random.default_rng(1).standard_normal((3, gru.HIDDEN)).astype(np.float32)

@@ -74,9 +74,13 @@ def unflatten(flat: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _softmax(x: np.ndarray, rows: np.ndarray, picked: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log-probabilities of the picked columns; exponentials (in place of ``x``) and their sums."""
+    x -= x.max(axis=1, keepdims=True)
+    out = x[rows, picked]
+    np.exp(x, out=x)
+    total = x @ np.ones(x.shape[1], x.dtype)
+    return out - np.log(total), x, total
 
 
 def windows(docs: list[np.ndarray], steps: int = WINDOW) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -114,30 +118,29 @@ def run_states(p, grid, counts, h, save=False):
 def token_scores(p, states, tokens, gradient=False):
     """Natural log-probability of each token (a tail token: of its class), optionally with gradients."""
     is_head = tokens < HEAD
-    classes = np.where(is_head, tokens // CLASS_SIZE, tokens - HEAD + HEAD_CLASSES)
-    log_class = _log_softmax(states @ p["w_class"] + p["b_class"])
+    classes = np.where(is_head, tokens // CLASS_SIZE, tokens - HEAD + HEAD_CLASSES).astype(np.int16)  # 16 bits: sorted by radix
     rows = np.arange(len(tokens))
-    out = log_class[rows, classes]
+    out, d, total = _softmax(states @ p["w_class"] + p["b_class"], rows, classes)
     grads = None
     if gradient:
-        d = np.exp(log_class)
+        d /= total[:, None]
         d[rows, classes] -= 1
         grads = {"w_class": states.T @ d, "b_class": d.sum(0), "w_word": np.zeros(SHAPES["w_word"], np.float32)}
         grads["b_word"] = np.zeros(SHAPES["b_word"], np.float32)
         d_states = d @ p["w_class"].T
     order = np.argsort(classes, kind="stable")
-    bounds = np.searchsorted(classes[order], np.arange(HEAD_CLASSES + 1))
+    bounds = np.searchsorted(classes[order], np.arange(HEAD_CLASSES + 1, dtype=np.int16))
     for k in range(HEAD_CLASSES):
         own = order[bounds[k] : bounds[k + 1]]
         if not len(own):
             continue
-        log_word = _log_softmax(states[own] @ p["w_word"][k] + p["b_word"][k])
-        at, word = np.arange(len(own)), tokens[own] % CLASS_SIZE
-        out[own] += log_word[at, word]
+        at, word, inputs = rows[: len(own)], tokens[own] % CLASS_SIZE, states[own]
+        log_word, d, total = _softmax(inputs @ p["w_word"][k] + p["b_word"][k], at, word)
+        out[own] += log_word
         if gradient:
-            d = np.exp(log_word)
+            d /= total[:, None]
             d[at, word] -= 1
-            grads["w_word"][k] = states[own].T @ d
+            grads["w_word"][k] = inputs.T @ d
             grads["b_word"][k] = d.sum(0)
             d_states[own] += d @ p["w_word"][k].T
     return (out, grads, d_states) if gradient else out
@@ -162,7 +165,7 @@ def backward(p, grid, counts, before, saved, d_before, grads):
     grads["u_rz"] = flat_before.T @ flat[:, : 2 * HIDDEN]
     grads["u_c"] = (saved[0].reshape(-1, HIDDEN) * flat_before).T @ flat[:, 2 * HIDDEN :]
     tokens = grid.ravel()
-    order = np.argsort(tokens, kind="stable")
+    order = np.argsort(tokens.astype(np.int16), kind="stable")  # 16 bits: sorted by radix
     found, first = np.unique(tokens[order], return_index=True)
     grads["wx"] = np.zeros(SHAPES["wx"], np.float32)
     grads["wx"][found] = np.add.reduceat(flat[order], first, axis=0)
@@ -170,13 +173,12 @@ def backward(p, grid, counts, before, saved, d_before, grads):
 
 
 class Trainer:
-    """Adam on truncated windows; every document is run through, one window in ``every`` gives an update."""
+    """Adam on truncated windows; every window of every document gives an update."""
 
-    def __init__(self, p, rate: float = 0.01, every: int = 1):
-        self.p, self.rate, self.every, self.step, self.tokens = {k: v.copy() for k, v in p.items()}, rate, every, 0, 0
+    def __init__(self, p, rate: float = 0.01):
+        self.p, self.rate, self.step, self.tokens = {k: v.copy() for k, v in p.items()}, rate, 0, 0
         self.m = {k: np.zeros_like(v) for k, v in p.items()}
         self.v = {k: np.zeros_like(v) for k, v in p.items()}
-        self.turn = 0
 
     def learn(self, docs: list[np.ndarray], batch: int = 128) -> None:
         docs = sorted(docs, key=len, reverse=True)
@@ -184,12 +186,9 @@ class Trainer:
             own = docs[at : at + batch]
             h = np.zeros((len(own), HIDDEN), np.float32)
             for grid, counts in windows(own):
-                self.turn += 1
-                update = self.turn % self.every == 0
                 h = h[: grid.shape[1]]
-                before, saved = run_states(self.p, grid, counts, h, save=update)
-                if update:
-                    self._update(grid, counts, before, saved)
+                before, saved = run_states(self.p, grid, counts, h, save=True)
+                self._update(grid, counts, before, saved)
             self.tokens += sum(map(len, own))
 
     def _update(self, grid, counts, before, saved):

@@ -20,6 +20,7 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,7 +31,8 @@ from tripaudit.llm.common import keep, lower_ascii
 BLOCK_BYTES = 16 << 20
 WARM_DOCS = 3000  # documents of the warm start, about; bounds what one task trains on alone
 WARM_EPOCHS = 2
-EVERY = 4  # in the main round one window in so many gives an update; states run through all
+WARM_BATCH = 128
+BATCH = 512  # documents whose windows give one update together in the main round
 SMOOTH = 0.1
 
 
@@ -87,15 +89,15 @@ def _bucket_totals(pieces: DataFrame) -> DataFrame:
     """Per block and bucket the words' training totals; per bucket (block null) its sums and most frequent words."""
 
     def run(group: pa.Table) -> pa.Table:
-        lists = [w.split() for w in group["words"].to_pylist()]
-        coded = pa.array([w for own in lists for w in own], pa.binary()).dictionary_encode()
+        lists = pc.split_pattern(group["words"].combine_chunks(), b" ")  # in Arrow: only distinct words become objects
+        coded = lists.flatten().dictionary_encode()
         index = coded.indices.to_numpy(zero_copy_only=False)
         words = coded.dictionary.to_pylist()
         counts = np.frombuffer(b"".join(group["counts"].to_pylist()), "<i8")
         # Counts add up exactly in doubles below 2^53.
         totals = np.bincount(index, weights=counts, minlength=len(words)).astype("<i8")
         answers = totals[index]
-        bounds = np.cumsum([0, *map(len, lists)])
+        bounds = np.cumsum([0, *pc.list_value_length(lists).to_pylist()])
         kinds = np.array([gru.tail_class(w) for w in words], np.int64)
         seen = totals > 0
         tail = np.stack([np.bincount(kinds, weights=totals, minlength=gru.TAIL_CLASSES), np.bincount(kinds, weights=seen, minlength=gru.TAIL_CLASSES)])
@@ -151,12 +153,12 @@ def _le_long(column: str):
     return at
 
 
-def _train(docs: DataFrame, vocabulary: Vocabulary, start: np.ndarray, every: int, epochs: int, rate: float) -> DataFrame:
+def _train(docs: DataFrame, vocabulary: Vocabulary, start: np.ndarray, batch_docs: int, epochs: int, rate: float) -> DataFrame:
     """Each task trains from ``start`` on its rows of ``_text``: one row ``(tokens, weights)`` per task."""
     head = vocabulary.head
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trainer = gru.Trainer(gru.unflatten(start), rate, every)
+        trainer = gru.Trainer(gru.unflatten(start), rate)
         texts, size = [], 0
 
         def learn():
@@ -164,7 +166,7 @@ def _train(docs: DataFrame, vocabulary: Vocabulary, start: np.ndarray, every: in
             own = _model_ids(words, head)
             ready = [np.append(own[d], np.int32(0)) for d in docs]
             for _ in range(epochs):
-                trainer.learn(ready)
+                trainer.learn(ready, batch_docs)
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
@@ -199,8 +201,8 @@ def train_model(docs: DataFrame, vocabulary: Vocabulary, n_train: int) -> np.nda
     start = gru.flatten(gru.initial(vocabulary.head_counts, vocabulary.tail_counts))
     share = max(1, n_train // WARM_DOCS)
     warm = docs.where(F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(share)) == 0).repartition(1)
-    start = _average(_train(warm, vocabulary, start, 1, WARM_EPOCHS, 0.01), start)
-    return _average(_train(docs, vocabulary, start, EVERY, 1, 0.003), start)
+    start = _average(_train(warm, vocabulary, start, WARM_BATCH, WARM_EPOCHS, 0.01), start)
+    return _average(_train(docs, vocabulary, start, BATCH, 1, 0.003), start)
 
 
 def _score(blocked: DataFrame, totals: DataFrame, vocabulary: Vocabulary, weights: np.ndarray, buckets: int, id_type: T.DataType) -> DataFrame:
@@ -250,8 +252,8 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     rows whole. A null or empty text is the closing token alone; rows of one
     id, or equal rows, are scored each; an empty table gives an empty result;
     without training rows every word is unknown and the model is its uniform
-    start; other columns are not looked at. Gradients come from one window in
-    ``EVERY`` of each training document, counts from all tokens.
+    start; other columns are not looked at. Gradients and counts come from all
+    tokens of the training documents.
     """
     rows = docs.select(
         F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.coalesce(held_out, F.lit(True)).alias("held_out")
