@@ -63,3 +63,18 @@ def test_views_teach_each_other():
     assert b"w:late-foul" in model.text.weights and model.text.weights[b"w:late-foul"] < 0
     alone = qc.co_train(texts[:200], metadata[:200], labels[:200])
     assert b"w:late-foul" not in alone.text.weights
+
+
+def test_pseudo_labels_come_from_all_documents(spark):
+    """A word of 36 in 20,000 unlabelled documents, of which a sample of 6,000 has too few, is learnt."""
+    rows, labels = [], []
+    for i in range(20_800):
+        good, known = bool(i % 2), i < 800
+        word = ("fine" if good else "foul") if known else "rarefoul" if i in range(1000, 1072) and not good else "late"
+        rows.append((i, f"common{i % 9} {word} word{i}", "a" if good else "b", "en", 20, None))
+        if known:
+            labels.append((i, int(good), 0))
+    docs = spark.createDataFrame(rows, DOCS)
+    known = spark.createDataFrame(labels, LABELS).select(F.col("doc_id").alias("_id"), (F.col("quality") == 1).alias("_good"))
+    model = qc.fit(docs.withColumnRenamed("doc_id", "_id"), known, ("text", "source", "lang", "n_chars"))
+    assert model.text.weights.get(b"w:rarefoul", 0) < 0

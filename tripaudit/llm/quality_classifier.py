@@ -1,8 +1,9 @@
 """Quality classifier by co-training of a text view and a metadata view.
 
-The views are fitted on a bounded sample: at most about ``LABELLED`` labelled
-documents and ``POOL`` unlabelled ones, chosen by a hash of the id. All
-documents are scored.
+The views are fitted on a bounded sample of at most about ``LABELLED``
+labelled documents, chosen by a hash of the id, and on feature counts of all
+other documents that a view is confident about: in each round a map scores
+them, and their counts are added up by feature. All documents are scored.
 """
 
 from __future__ import annotations
@@ -20,11 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripaudit.llm.common import keep
+
 LABELLED = 12_000
-POOL = 6_000
 ROUNDS = 3
 CONFIDENT = 0.95  # least probability of a pseudo-label
-SHARE = 0.1  # of the pool that a view may label in a round
+FLUSH = 300_000  # distinct features that a task counts before it passes them on
 LOST = 0.002  # of good calibration documents that the threshold may cost, at most
 MIN_DOCS, MIN_Z = 5, 5.0  # a feature counts from so many documents and so many standard deviations on
 
@@ -91,22 +93,40 @@ class View:
         self.weights: dict[bytes, float] = {}
         self.bias, self.scale, self.shift = 0.0, 1.0, 0.0
 
-    def fit(self, docs: Sequence[set[bytes]], good: np.ndarray) -> None:
-        n, n_good = len(docs), int(good.sum())
-        in_good, in_all = Counter(), Counter()
-        for own, y in zip(docs, good):
-            in_all.update(own)
-            if y:
-                in_good.update(own)
+    def select(self, counts, n: int, n_good: int) -> list[bytes]:
+        """The features ``(name, in all, in good)`` that set ``n_good`` of ``n`` documents apart most."""
         rate = n_good / n if n else 0.5
         scored = []
-        for f, k in in_all.items():
+        for f, k, k_good in counts:
             if k >= MIN_DOCS and 0 < rate < 1:
                 spread = math.sqrt(k * rate * (1 - rate) * (1 - k / (n + 1)))
-                z = abs(in_good[f] - k * rate) / max(spread, 1e-9)
+                z = abs(k_good - k * rate) / max(spread, 1e-9)
                 if z >= self.min_z:
                     scored.append((-z, f))
-        names = [f for _, f in sorted(scored)[: self.bound]]
+        return [f for _, f in sorted(scored)[: self.bound]]
+
+    def fit(self, docs: Sequence[set[bytes]], good: np.ndarray, pseudo: dict[bytes, tuple[int, int]] | None = None) -> None:
+        """Fit on documents and on ``pseudo``: per feature its count in all and in good pseudo-labelled documents.
+
+        Each feature's pseudo-labels are a likelihood of its own: they count
+        at most as much as the documents with the feature, or in full where
+        fewer than ``MIN_DOCS`` have it. The key b"" has the totals.
+        """
+        pseudo = pseudo or {}
+        n, n_good = len(docs), int(good.sum())
+        total, total_good = pseudo.get(b"", (0, 0))
+        in_good, in_all = Counter(), Counter()
+        for own, y in zip(docs, good):
+            in_all.update(own)
+            if y:
+                in_good.update(own)
+        names = self.select(((f, k, in_good[f]) for f, k in in_all.items()), n, n_good)
+        known = set(names)
+        names += [f for f in self.select(((f, *k) for f, k in pseudo.items() if f), total, total_good) if f not in known]
+        extra = np.array([pseudo.get(f, (0, 0)) for f in names], np.float64).reshape(-1, 2)
+        own_counts = np.array([in_all[f] for f in names], np.float64)
+        extra *= np.where(own_counts < MIN_DOCS, 1.0, np.minimum(1.0, own_counts / np.maximum(extra[:, 0], 1)))[:, None]
+        odds = math.log((total_good + 1) / (total - total_good + 1))
         at = {f: i for i, f in enumerate(names)}
         rows, columns = [], []
         for i, own in enumerate(docs):
@@ -121,6 +141,7 @@ class View:
             p = _sigmoid(bias + np.bincount(rows, weights=w[columns], minlength=n)) if n else y
             error = p - y
             grad_w = np.bincount(columns, weights=error[rows], minlength=len(names)) + 0.5 * w
+            grad_w += extra[:, 0] * _sigmoid(odds + w) - extra[:, 1]
             grad_b = error.sum()
             squares += grad_w * grad_w
             square_b += grad_b * grad_b
@@ -164,55 +185,118 @@ class Model:
         return _sigmoid(logit(p_text) + logit(p_metadata) - logit(np.asarray(self.prior)))
 
 
-def co_train(texts: list[set[bytes]], metadata: list[set[bytes]], labels: list[bool | None], rounds: int = ROUNDS) -> Model:
-    """Views that label documents of the pool (label None) for each other over some rounds.
+def fit_views(texts: list[set[bytes]], metadata: list[set[bytes]], labels: list[bool], pseudo: Sequence[dict | None] = (None, None)) -> Model:
+    """Both views from labelled documents and pseudo-label counts of each view.
 
-    Every fifth labelled document calibrates and is not fitted. Without good
-    or without bad labels nothing is rejected.
+    Every fifth document calibrates and is not fitted. Without good or without
+    bad labels nothing is rejected.
     """
-    known = [i for i, y in enumerate(labels) if y is not None]
-    calibration, base = known[::5], [i for k, i in enumerate(known) if k % 5]
-    pool = [i for i, y in enumerate(labels) if y is None]
-    views = [View(), View(min_z=2.0)]
-    sides = [texts, metadata]
-    good = sum(bool(labels[i]) for i in base)
-    if not base or not 0 < good < len(base):
+    labels = np.array(labels, bool)
+    calibration = np.arange(len(labels)) % 5 == 0
+    views, y = [View(), View(min_z=2.0)], labels[~calibration]
+    if not len(y) or y.all() or not y.any():
         return Model(*views, 0.5, 0.0)
-    extra: list[dict[int, bool]] = [{}, {}]
-    for turn in range(rounds + 1):
-        for side, view, own in zip(sides, views, extra):
-            rows = base + list(own)
-            view.fit([side[i] for i in rows], np.array([labels[i] if i not in own else own[i] for i in rows], bool))
-            view.calibrate([side[i] for i in calibration], np.array([labels[i] for i in calibration], bool))
-        if turn == rounds or not pool:
-            break
-        for k in (0, 1):
-            p = views[k].probability([sides[k][i] for i in pool])
-            most = max(1, int(SHARE * len(pool)))
-            for want, score in ((True, p), (False, 1 - p)):
-                for j in np.argsort(-score, kind="stable")[:most]:
-                    if score[j] >= CONFIDENT:
-                        extra[1 - k].setdefault(pool[j], want)
-    model = Model(*views, good / len(base), 0.5)
-    p = model.combine(*(v.probability([s[i] for i in calibration]) for v, s in zip(views, sides)))
-    right = np.sort(p[np.array([labels[i] for i in calibration], bool)])
+    p = []
+    for side, view, counts in zip((texts, metadata), views, pseudo):
+        view.fit([side[i] for i in np.flatnonzero(~calibration)], y, counts)
+        held = [side[i] for i in np.flatnonzero(calibration)]
+        view.calibrate(held, labels[calibration])
+        p.append(view.probability(held))
+    model = Model(*views, float(y.mean()), 0.5)
+    right = np.sort(model.combine(*p)[labels[calibration]])
     if len(right):
         model.threshold = float(min(0.5, right[int(LOST * len(right))]))
     return model
 
 
+def confident(p: np.ndarray) -> list[bool | None]:
+    """Pseudo-labels: good, bad, or none."""
+    return [True if x >= CONFIDENT else False if x <= 1 - CONFIDENT else None for x in p]
+
+
+def count_labels(counts: dict[bytes, list[int]], own: set[bytes], good: bool) -> None:
+    for f in (b"", *own):
+        n = counts.setdefault(f, [0, 0])
+        n[0] += 1
+        n[1] += good
+
+
+def co_train(texts: list[set[bytes]], metadata: list[set[bytes]], labels: list[bool | None], rounds: int = ROUNDS) -> Model:
+    """Co-training in one process: views label documents without a label (None) for each other over some rounds."""
+    known, pool = ([i for i, y in enumerate(labels) if (y is None) == none] for none in (False, True))
+    sides = texts, metadata
+    sample = *([side[i] for i in known] for side in sides), [labels[i] for i in known]
+    model = fit_views(*sample)
+    for _ in range(rounds if pool and model.threshold else 0):
+        pseudo: list[dict] = [{}, {}]
+        for k, view in enumerate((model.text, model.metadata)):
+            for i, y in zip(pool, confident(view.probability([sides[k][i] for i in pool]))):
+                if y is not None:
+                    count_labels(pseudo[1 - k], sides[1 - k][i], y)
+        model = fit_views(*sample, pseudo)
+    return model
+
+
 def _sketch(own: set[bytes]) -> tuple:
     return tuple(sorted(xxhash.xxh64_intdigest(f) for f in own if f.startswith(b"w:"))[:4])
 
 
-def fit(docs: DataFrame, labels: DataFrame, columns: Sequence[str], labelled: int = LABELLED, pool: int = POOL) -> Model:
-    """Fit on a bounded sample in one task; ``labels`` has ``_id`` (distinct) and ``_good``."""
-    sizes = labels.count(), docs.count()
-    pick = lambda n, bound: F.pmod(F.xxhash64("_id", F.lit(3)), F.lit(max(1, -(-n // bound)))) == 0
-    chosen = labels.where(pick(sizes[0], labelled))
-    with_label = docs.join(F.broadcast(chosen), "_id")  # about ``labelled`` narrow rows at most
-    without = docs.where(pick(sizes[1], pool)).join(labels.select("_id"), "_id", "left_anti").withColumn("_good", F.lit(None).cast("boolean"))
-    sample = with_label.select("_id", *columns, "_good").unionByName(without.select("_id", *columns, "_good"))
+def _pseudo_counts(docs: DataFrame, columns: Sequence[str], model: Model) -> list[dict[bytes, tuple[int, int]]]:
+    """Feature counts per view of all ``docs`` that the other view is confident about, as far as they can matter."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer, counts = Scorer(model), ({}, {})
+
+        def flush(side: int) -> pa.RecordBatch:
+            own = counts[side]
+            n = np.array(list(own.values()), np.int64).reshape(-1, 2)
+            out = pa.record_batch([pa.array([side] * len(own), pa.int32()), pa.array(list(own), pa.binary()), pa.array(n[:, 0]), pa.array(n[:, 1])], names=["side", "feature", "n", "good"])
+            own.clear()
+            return out
+
+        for batch in batches:
+            text, *other = (batch[c].to_pylist() for c in columns)
+            meta = [metadata_features(*row) for row in zip(*other)]
+            by_text = confident(_sigmoid(np.array([scorer.text(t) for t in text]) * model.text.scale + model.text.shift))
+            by_meta = confident(model.metadata.probability(meta))
+            for t, m, y_text, y_meta in zip(text, meta, by_text, by_meta):
+                if y_meta is not None:
+                    count_labels(counts[0], text_features(t), y_meta)
+                    if len(counts[0]) > FLUSH:
+                        yield flush(0)
+                if y_text is not None:
+                    count_labels(counts[1], m, y_text)
+                    if len(counts[1]) > FLUSH:
+                        yield flush(1)
+        yield flush(0)
+        yield flush(1)
+
+    counted = docs.select(*columns).mapInArrow(run, "side int, feature binary, n long, good long")
+    summed = keep(counted.groupBy("side", "feature").agg(F.sum("n").alias("n"), F.sum("good").alias("good")), "classifier-counts")
+    out: list[dict[bytes, tuple[int, int]]] = [{}, {}]
+    for r in summed.where(F.length("feature") == 0).collect():
+        out[r.side][b""] = (r.n, r.good)
+    for side, view in enumerate((model.text, model.metadata)):
+        total, good = out[side].get(b"", (0, 0))
+        if not 0 < good < total:
+            continue
+        rate = good / total
+        own = summed.where((F.col("side") == side) & (F.length("feature") > 0) & (F.col("n") >= MIN_DOCS))
+        spread = F.sqrt(F.col("n") * (rate * (1 - rate)) * (1 - F.col("n") / (total + 1)))
+        z = F.abs(F.col("good") - F.col("n") * rate) / F.greatest(spread, F.lit(1e-9))
+        most = own.where(z >= view.min_z).orderBy(F.desc(z), "feature").limit(2 * view.bound)
+        fitted = own.sparkSession.createDataFrame([(f,) for f in view.weights], "feature binary")
+        for r in (*most.collect(), *own.join(F.broadcast(fitted), "feature", "left_semi").collect()):
+            out[side][bytes(r.feature)] = (r.n, r.good)
+    return out
+
+
+def fit(docs: DataFrame, labels: DataFrame, columns: Sequence[str], labelled: int = LABELLED) -> Model:
+    """Fit on a bounded labelled sample in one task and on counts of all other documents; ``labels`` has ``_id`` (distinct) and ``_good``."""
+    share = F.lit(max(1, -(-labels.count() // labelled)))
+    chosen = labels.where(F.pmod(F.xxhash64("_id", F.lit(3)), share) == 0)
+    sample = docs.join(F.broadcast(chosen), "_id").select("_id", *columns, "_good")  # about ``labelled`` narrow rows at most
+    pool = docs.join(F.broadcast(chosen.select("_id")), "_id", "left_anti")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -240,10 +324,15 @@ def fit(docs: DataFrame, labels: DataFrame, columns: Sequence[str], labelled: in
                 texts.append(text)
                 metadata.append(other)
                 known.append(good)
-        yield pa.record_batch({"model": pa.array([pickle.dumps(co_train(texts, metadata, known))], pa.binary())})
-
-    extracted = sample.mapInArrow(features, "id string, own binary, good boolean").repartition(1)
-    return pickle.loads(extracted.mapInArrow(learn, "model binary").first().model)
+        yield pa.record_batch({"model": pa.array([pickle.dumps(fit_views(texts, metadata, known, pseudo))], pa.binary())})
+
+    extracted = keep(sample.mapInArrow(features, "id string, own binary, good boolean"), "classifier-sample").repartition(1)
+    pseudo: Sequence[dict | None] = (None, None)
+    model = pickle.loads(extracted.mapInArrow(learn, "model binary").first().model)
+    for _ in range(ROUNDS if model.threshold else 0):
+        pseudo = _pseudo_counts(pool, columns, model)
+        model = pickle.loads(extracted.mapInArrow(learn, "model binary").first().model)
+    return model
 
 
 class Scorer:
@@ -276,7 +365,6 @@ def classify(
     id_col: str = "doc_id",
     columns: Sequence[str] = ("text", "source", "lang", "n_chars"),
     labelled: int = LABELLED,
-    pool: int = POOL,
 ) -> DataFrame:
     """All rows and columns of ``docs`` with ``text_score, metadata_score, quality_score, kept``.
 
@@ -291,7 +379,7 @@ def classify(
     known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
     known = known.groupBy(F.col("doc_id").alias("_id")).agg(F.min(good).alias("_good"))
     plain = docs.drop(*ADDED)
-    model = fit(plain.select(F.col(id_col).alias("_id"), *columns), known, columns, labelled, pool)
+    model = fit(plain.select(F.col(id_col).alias("_id"), *columns), known, columns, labelled)
     names = plain.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
