@@ -78,3 +78,12 @@ def test_pseudo_labels_come_from_all_documents(spark):
     known = spark.createDataFrame(labels, LABELS).select(F.col("doc_id").alias("_id"), (F.col("quality") == 1).alias("_good"))
     model = qc.fit(docs.withColumnRenamed("doc_id", "_id"), known, ("text", "source", "lang", "n_chars"))
     assert model.text.weights.get(b"w:rarefoul", 0) < 0
+
+
+def test_only_equal_texts_are_copies(spark):
+    """Documents that share almost all words, with another word each, are all fitted."""
+    words = " ".join(f"same{i}" for i in range(400))
+    rows = [(i, f"{words} {'fine' if i % 2 else 'foul'} own{i}", "s", "en", 20, None) for i in range(400)]
+    known = spark.createDataFrame([(i, bool(i % 2)) for i in range(400)], "_id long, _good boolean")
+    model = qc.fit(spark.createDataFrame(rows, DOCS).withColumnRenamed("doc_id", "_id"), known, ("text", "source", "lang", "n_chars"))
+    assert model.text.weights[b"w:foul"] < 0 < model.text.weights[b"w:fine"]

@@ -237,8 +237,9 @@ def co_train(texts: list[set[bytes]], metadata: list[set[bytes]], labels: list[b
     return model
 
 
-def _sketch(own: set[bytes]) -> tuple:
-    return tuple(sorted(xxhash.xxh64_intdigest(f) for f in own if f.startswith(b"w:"))[:4])
+def _digest(own: set[bytes]) -> bytes:
+    """Equal for equal feature sets."""
+    return xxhash.xxh3_128_digest(b"\n".join(sorted(own)))
 
 
 def _pseudo_counts(docs: DataFrame, columns: Sequence[str], model: Model) -> list[dict[bytes, tuple[int, int]]]:
@@ -318,9 +319,9 @@ def fit(docs: DataFrame, labels: DataFrame, columns: Sequence[str], labelled: in
         while rows:
             _, own, good = rows.pop()
             text, other = ({shared.setdefault(f, f) for f in features} for features in pickle.loads(own))
-            sketch = (_sketch(text), good)
-            if sketch not in seen:  # one of each group of copies
-                seen.add(sketch)
+            digest = (_digest(text), good)
+            if digest not in seen:  # one of each group of equal feature sets
+                seen.add(digest)
                 texts.append(text)
                 metadata.append(other)
                 known.append(good)
