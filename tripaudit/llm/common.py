@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripaudit.session import scratch_dir
+from tripaudit.session import drop_scratch, scratch_dir
 
 # The separators of words, and the same class for Java's regex.
 WORD_BYTES = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -28,6 +28,22 @@ def keep(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Rolling:
+    """The newest of a row of kept states; the one before is deleted when the next is written."""
+
+    def __init__(self, df: DataFrame, label: str):
+        self.spark, self.label, self.path = df.sparkSession, label, None
+        self.step(df)
+
+    def step(self, df: DataFrame) -> None:
+        path = scratch_dir(self.spark, self.label)
+        df.write.parquet(path)
+        before, self.path = self.path, path
+        self.df = self.spark.read.schema(df.schema).parquet(path)
+        if before:
+            drop_scratch(self.spark, before)
+
+
 def lower_ascii(text: str | None) -> bytes:
     """UTF-8 bytes with A-Z lower-cased and nothing else; null is empty."""
     return text.encode("utf-8", "surrogatepass").lower() if text else b""

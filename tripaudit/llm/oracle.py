@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tripaudit.llm import host_rules, license_scan
+from tripaudit.llm import centroids, filter_audit, host_rules, license_scan
 
 _WORDS = "list_filter(string_split_regex({text}, '{gap}'), lambda x: x <> '')"
 
@@ -110,8 +110,81 @@ FROM documents LEFT JOIN n USING (doc_id)
 JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) c USING (doc_id)
 """
 
+
+def filter_audit_sql() -> str:
+    words = _WORDS.format(text="coalesce(text, '')", gap="[\\x09-\\x0D\\x20]+")
+    letters = ", ".join(f"('{letter}', {1 << i})" for i, letter in enumerate(filter_audit.FILTERS))
+    size = len(filter_audit.FILTERS)
+    names = [f"f{i}" for i in range(size)]
+    pairs = [f"{a}.l <> {b}.l" for i, a in enumerate(names) for b in names[i + 1 :]]
+    steps = " UNION ALL ".join(
+        f"SELECT {' || '.join(f'{n}.l' for n in names)} AS filter_order, {i + 1} AS step, {names[i]}.l AS l, {names[i]}.bit AS bit, "
+        f"{' + '.join(['0', *(f'{n}.bit' for n in names[:i])])} AS before FROM {', '.join(f'f {n}' for n in names)} WHERE {' AND '.join(pairs)}"
+        for i in range(size)
+    )
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, {words} AS ws FROM documents
+), least AS (SELECT t, min(doc_id) AS first FROM d GROUP BY t
+), flags AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id
+), masked AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    (len(ws) < {filter_audit.MIN_WORDS})::INT + 2 * (100 * len(list_distinct(ws)) < 65 * len(ws))::INT
+    + 4 * (100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 5 * length(t))::INT
+    + 8 * regexp_matches(t, '[{filter_audit.SYMBOLS}]')::INT + 16 * coalesce(doc_id > first, false)::INT AS mask
+  FROM d JOIN least USING (t) LEFT JOIN flags USING (doc_id)
+), c AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM masked GROUP BY part, mask
+), f(l, bit) AS (VALUES {letters}
+), steps AS ({steps}
+), rows AS (
+  SELECT part, filter_order, step, l, coalesce(sum(n) FILTER (mask & before = 0 AND mask & bit = 0), 0) AS kept,
+    coalesce(sum(n) FILTER (mask & before = 0 AND mask & bit > 0), 0) AS removed,
+    coalesce(sum(n) FILTER (mask & before > 0 AND mask & bit > 0), 0) AS redundant,
+    coalesce(sum(n) FILTER (mask = bit), 0) AS unique_fails,
+    coalesce(sum(good) FILTER (mask & before = 0 AND mask & bit > 0), 0) AS good_lost,
+    coalesce(sum(toxic) FILTER (mask & before = 0 AND mask & bit > 0), 0) AS toxic_lost
+  FROM c, steps GROUP BY part, filter_order, step, l
+)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+  unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, l))::BIGINT AS shapley
+FROM rows
+"""
+
+
+def centroids_sql() -> str:
+    size = centroids.DIMENSIONS
+    fine = "list_filter(embedding, lambda v: v IS NOT NULL AND isfinite(v))"
+    parts = [f"""
+WITH v AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda v: floor({centroids.SCALE} * v::DOUBLE)::BIGINT) AS x
+  FROM embeddings WHERE len(embedding) = {size} AND len({fine}) = {size}
+), e AS MATERIALIZED (SELECT vec_id, unnest(range({size})) AS j, unnest(x) AS x FROM v
+), seeds AS (SELECT x, row_number() OVER (ORDER BY sha256('{centroids.SEED}' || vec_id), vec_id) - 1 AS k FROM v
+), c0 AS MATERIALIZED (SELECT k, unnest(range({size})) AS j, unnest(x) AS c FROM seeds WHERE k < {centroids.CLUSTERS}"""]
+    for r in range(centroids.ROUNDS + 1):
+        parts.append(f"""
+), a{r} AS MATERIALIZED (
+  SELECT vec_id, k, d FROM (SELECT vec_id, k, sum((x - c) * (x - c)) AS d FROM e JOIN c{r} USING (j) GROUP BY vec_id, k)
+  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, k) = 1""")
+        if r < centroids.ROUNDS:
+            parts.append(f"""
+), s{r} AS (SELECT k, j, sum(x) AS s, count(*) AS n FROM a{r} JOIN e USING (vec_id) GROUP BY k, j
+), c{r + 1} AS MATERIALIZED (
+  SELECT k, j, CASE WHEN n IS NULL THEN c ELSE ((s - ((s % n) + n) % n) // n)::BIGINT END AS c FROM c{r} LEFT JOIN s{r} USING (k, j)""")
+    last = centroids.ROUNDS
+    parts.append(f"""
+), digests AS (SELECT k, sha256(string_agg(c::VARCHAR, ',' ORDER BY j)) AS digest FROM c{last} GROUP BY k)
+SELECT vec_id, k::INT AS cluster, d::BIGINT AS distance, (sum(d) OVER (PARTITION BY k))::BIGINT AS cluster_inertia,
+  (sum(d) OVER ())::BIGINT AS inertia, digest AS centroid_sha256
+FROM a{last} JOIN digests USING (k)
+""")
+    return "".join(parts)
+
+
 ORACLE_SQL = {
     "op7_host_rules": host_rules_sql(),
     "op9_jaccard_join": JACCARD_JOIN_SQL,
     "op10_license_scan": license_scan_sql(),
+    "op11_filter_audit": filter_audit_sql(),
+    "op13_centroids": centroids_sql(),
 }

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripaudit.llm import embedding_dedup, host_rules, html_text, jaccard_join, license_scan, lm_scoring, packing, piece_sampling, quality_classifier, tool_calls
+from tripaudit.llm import centroids, embedding_dedup, filter_audit, host_rules, html_text, jaccard_join, license_scan, lm_scoring, packing, piece_sampling, quality_classifier, tool_calls
 from tripaudit.llm.common import table
 from tripaudit.llm.oracle import ORACLE_SQL  # noqa: F401
 from tripaudit.session import configure
@@ -95,6 +95,18 @@ def op10_license_scan(spark, sf):
     return license_scan.scan(table(spark, sf, "documents"))
 
 
+@query
+def op11_filter_audit(spark, sf):
+    """What each of five filters removes from the documents of every source under all orders."""
+    return filter_audit.audit(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query
+def op13_centroids(spark, sf):
+    """Clusters of all embeddings of 64 components."""
+    return centroids.cluster(table(spark, sf, "embeddings"))
+
+
 @query
 def pipeline(spark, sf):
     """Documents classified, judged, deduplicated and packed."""
