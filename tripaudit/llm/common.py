@@ -43,6 +43,10 @@ class Rolling:
         if before:
             drop_scratch(self.spark, before)
 
+    def drop(self) -> None:
+        """Delete the newest state as well."""
+        drop_scratch(self.spark, self.path)
+
 
 def lower_ascii(text: str | None) -> bytes:
     """UTF-8 bytes with A-Z lower-cased and nothing else; null is empty."""

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripaudit.llm import centroids, embedding_dedup, filter_audit, host_rules, html_text, jaccard_join, license_scan, lm_scoring, packing, piece_sampling, quality_classifier, tool_calls
+from tripaudit.llm import best_fit, centroids, embedding_dedup, filter_audit, host_rules, html_text, jaccard_join, license_scan, lm_scoring, packing, piece_sampling, quality_classifier, tool_calls
 from tripaudit.llm.common import table
 from tripaudit.llm.oracle import ORACLE_SQL  # noqa: F401
 from tripaudit.session import configure
@@ -101,6 +101,13 @@ def op11_filter_audit(spark, sf):
     return filter_audit.audit(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+@query
+def op12_best_fit(spark, sf):
+    """All documents packed into few sequences of at most 2048 tokens."""
+    pieces = best_fit.pack(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
 @query
 def op13_centroids(spark, sf):
     """Clusters of all embeddings of 64 components."""
