@@ -15,6 +15,7 @@ from tripaudit.llm.queries import REGISTRY
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 SF = "/root/testdata/sf0.01"
+TOKENIZER = Tokenizer.from_file(PATH)
 ODD = [
     "", " ", "a", "Don't STOP  it's", "x <|endoftext|> y<|startoftext|>z", "é b́ ́c", "日本 語 text", "1 22 333", "#$ %& x",
     "a\x1cb \x1dc\x1e \x1fd", "a\u180eb\u200bc\ufeffd", "ΣΑΣ İi ẞ", "end \n", *[f"a{chr(c)}b" for c in range(1 << 16) if chr(c).isspace()],
@@ -74,7 +75,7 @@ def test_words_equal_whole_encoding():
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=" \n\tab'SésÉ́1#<|endoftx>\x1c\x85 Σ", max_size=30))
 def test_words_random(text):
-    want = Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids + [0]
+    want = TOKENIZER.encode(text, add_special_tokens=False).ids + [0]
     assert np.frombuffer(best_fit.words(PATH).ids(text), "<u4").tolist() == want
 
 
