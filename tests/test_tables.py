@@ -71,14 +71,23 @@ def test_table_overwrite_expire_and_ready(spark, tmp_path):
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
 
 
-def test_external_table_keeps_files(spark, tmp_path):
+def parquet_files(folder):
+    return sorted(os.path.join(d, f) for d, _, names in os.walk(folder) for f in names if f.endswith(".parquet"))
+
+
+def test_expired_days_leave_no_files_on_external_tables_and_paths(spark, tmp_path):
     spark.sql("CREATE DATABASE IF NOT EXISTS audit2")
     schema = schema_from_ddl(SCHEMA)
     tables.declare_table(spark, "audit2.e", schema, location=f"{tmp_path}/ext")
-    writers.overwrite_partition(spark.createDataFrame([(9, "z", 1, 20170101)], schema), "audit2.e")
-    assert tables.expire_partitions(spark, "audit2.e", 20170330) == [20170101]
-    assert spark.table("audit2.e").count() == 0
-    assert os.path.exists(tmp_path / "ext" / "dt=20170101")
+    rows = spark.createDataFrame([(9, "z", 1, 20170101), (8, "y", 1, 20170329), (7, "x", 1, 20170228)], schema)
+    for target, folder in (("audit2.e", tmp_path / "ext"), (str(tmp_path / "path"), tmp_path / "path")):
+        writers.overwrite_partition(rows, target)
+        assert len(parquet_files(folder)) == 3
+        assert tables.expire_partitions(spark, target, 20170330) == [20170101, 20170228]
+        assert rows_of(readers.read_table(spark, target).select("service_order_id", "dt")) == [(8, 20170329)]
+        left = parquet_files(folder)
+        assert len(left) == 1 and "dt=20170329" in left[0]
+        assert tables.expire_partitions(spark, target, 20170330) == []
 
 
 def test_path_partitions_and_pruning(spark, tmp_path):

@@ -70,18 +70,34 @@ def test_track_stats_match_model(sample):
     assert not got
 
 
-def test_broken_times_end_no_job_and_lose_no_trip(sample, spark):
-    """An end in milliseconds, one of 0 and an unknown one beside sound trips: every trip has a label."""
+def test_broken_times_end_no_job_and_lose_no_fix(sample, spark):
+    """An end in milliseconds, one of 0 and an unknown one beside sound trips: the first keeps its fixes, all have a label."""
     trips, points, trip_df, point_df = sample
     sound = {r[0]: r[1] for r in tracks.classify_trips(trip_df, point_df).collect()}
     first = trips[0]
     broken = [(9001 + k, *first[1:3], end, *first[4:]) for k, end in enumerate((first[3] * 1000, 0, None))]
     both = trip_df.unionAll(spark.createDataFrame(broken, trip_df.schema))
-    fixes = point_df.unionAll(spark.createDataFrame([(i, first[2], 1.0, 1.0) for i in (9001, 9002, 9003)], point_df.schema))
+    far = [(9001, first[2] + 40 * 86400 * k, 1.0, 1.0) for k in range(5)]
+    fixes = point_df.unionAll(spark.createDataFrame([*far, (9002, first[2], 1.0, 1.0), (9003, first[2], 1.0, 1.0)], point_df.schema))
     got = {r[0]: r[1] for r in tracks.classify_trips(both, fixes).collect()}
-    assert got == sound | {i: tracks.NO_TRACK for i in (9001, 9002, 9003)}
-    stats = {r["service_order_id"] for r in tracks.track_stats(both, fixes).collect()}
-    assert stats == {r["service_order_id"] for r in tracks.track_stats(trip_df, point_df).collect()}
+    assert got.pop(9001) != tracks.NO_TRACK and got == sound | {i: tracks.NO_TRACK for i in (9002, 9003)}
+    stats = {r["service_order_id"]: r for r in tracks.track_stats(both, fixes).collect()}
+    assert set(stats) == {r["service_order_id"] for r in tracks.track_stats(trip_df, point_df).collect()} | {9001}
+    assert (stats[9001]["max_gap"], stats[9001]["n_long_gaps"]) == (40 * 86400, 1)
+    assert sorted(r["t"] for r in tracks.trip_points(both, fixes).where("service_order_id = 9001").collect()) == [f[1] for f in far]
+
+
+def test_fix_with_a_broken_time_costs_no_slices(sample, spark):
+    """A fix in milliseconds: the slices between it and the rest hold no fixes and are not there."""
+    trips, points, trip_df, point_df = sample
+    odd = point_df.unionAll(spark.createDataFrame([(trips[0][0], trips[0][2] * 1000, 1.0, 1.0), (trips[0][0], None, 1.0, 1.0)], point_df.schema))
+    index = tracks.slice_index(odd)
+    n_slices = len({(p[0], p[1] // 3600) for p in points}) + 1
+    assert index.count() == n_slices and index.agg(F.sum("fixes")).first()[0] == len(points) + 1
+    long_trip = spark.createDataFrame([(*trips[0][:3], trips[0][3] * 2000, *trips[0][4:])], trip_df.schema)
+    want = sorted([p[1] for p in points if p[0] == trips[0][0] and p[1] >= trips[0][2] - 300] + [trips[0][2] * 1000])
+    assert sorted(r["t"] for r in tracks.trip_points(long_trip, odd).collect()) == want
+    assert sorted(r["t"] for r in tracks.trip_points(long_trip, odd, index=index).collect()) == want
 
 
 def test_trip_points_and_day_pruning_agree(sample):
@@ -92,6 +108,9 @@ def test_trip_points_and_day_pruning_agree(sample):
     got = tracks.trip_points(trip_df, daily, day_col="day")
     assert got.count() == want
     assert "day" not in got.columns and "slice" not in got.columns
+    index = tracks.slice_index(daily, "day")
+    assert index.columns == ["service_order_id", "slice", "day", "fixes"]
+    assert tracks.trip_points(trip_df, daily, day_col="day", index=index).count() == want
 
 
 def test_gap_operators_match_model(sample):

@@ -11,6 +11,10 @@ at neighbouring fixes works within one slice first; the per-slice results (a
 few numbers each) are then combined per order, where only the step from one
 slice to the next non-empty one is left to add. Copies of a fix are counted
 before the window sees them.
+
+Which slices a trip needs is looked up in the index of slices that hold fixes,
+so that a trip of any length, also one whose end is in milliseconds, meets just
+the slices its track has.
 """
 
 from __future__ import annotations
@@ -27,8 +31,6 @@ SLICE = 3600
 BEFORE = 300
 AFTER = 300
 LONG_GAP = 300
-# A trip that would last longer has a broken time; it gets no fixes (label "no track").
-LONGEST_TRIP = 31 * 86400
 
 # Texts of the classification.
 NO_TRACK = "无轨迹数据"
@@ -43,12 +45,16 @@ def _slice(t: Column) -> Column:
     return F.floor(t / SLICE)
 
 
-def _slices(low: Column, high: Column) -> Column:
-    """Every slice a time range touches; none for an empty, unknown or implausibly long range."""
-    none = F.array().cast("array<bigint>")
-    sound = (low <= high) & (high - low <= LONGEST_TRIP)
-    end = F.when(sound, high).otherwise(low)  # the sequence is short also where it is not used
-    return F.when(sound, F.sequence(_slice(low), _slice(end))).otherwise(none)
+def slice_index(points: DataFrame, day_col: str | None = None) -> DataFrame:
+    """Slices that hold fixes, one row per (order, slice): as many as a track has hours.
+
+    Keep it as a table beside the points (with ``day_col`` partitioned like
+    them, so that a day is replaced in both) and hand it to what takes an
+    ``index``; points are then not read to build it.
+    """
+    days = [day_col] if day_col else []
+    found = points.where(F.col("t").isNotNull()).groupBy(ID, _slice(F.col("t")).alias("slice"), *days)
+    return found.agg(F.count("*").alias("fixes"))
 
 
 def _sliced_points(
@@ -58,9 +64,11 @@ def _sliced_points(
     after: int,
     point_cols: Sequence[str],
     day_col: str | None = None,
+    index: DataFrame | None = None,
 ) -> DataFrame:
     low, high = F.col("start_time") - before, F.col("end_time") + after
-    spread = trips.withColumn("slice", F.explode(_slices(low, high)))
+    held = slice_index(points) if index is None else index
+    spread = trips.join(held.select(ID, "slice"), ID).where(F.col("slice").between(_slice(low), _slice(high)))
     on = [ID, "slice"]
     if day_col:
         spread = spread.withColumn(day_col, epoch_day(F.col("slice") * SLICE))
@@ -70,20 +78,25 @@ def _sliced_points(
 
 
 def trip_points(
-    trips: DataFrame, points: DataFrame, before: int = BEFORE, after: int = AFTER, day_col: str | None = None
+    trips: DataFrame,
+    points: DataFrame,
+    before: int = BEFORE,
+    after: int = AFTER,
+    day_col: str | None = None,
+    index: DataFrame | None = None,
 ) -> DataFrame:
     """Points of each trip from ``before`` s ahead of it to ``after`` s past it.
 
-    An equi join on (order, time slice) with the exact range as residual. If
-    the points are partitioned by the Shanghai day of ``t`` (``yyyymmdd``),
-    name that column in ``day_col``: it becomes a join key (a slice never
-    spans two days), so that Spark can prune the days no trip touches.
-
-    Deviation from the source system: a trip longer than ``LONGEST_TRIP``, one
-    of whose times is then not in seconds or not set, has no points.
+    An equi join on (order, time slice) with the exact range as residual; the
+    slices of a trip come from ``index`` (:func:`slice_index`, built from the
+    points unless given). A trip with an unknown time, or one that ends more
+    than ``before + after`` ahead of its start, has no points. If the points
+    are partitioned by the Shanghai day of ``t`` (``yyyymmdd``), name that
+    column in ``day_col``: it becomes a join key (a slice never spans two
+    days), so that Spark can prune the days no trip touches.
     """
     cols = [c for c in points.columns if c not in (ID, day_col)]
-    found = _sliced_points(trips, points, before, after, cols, day_col)
+    found = _sliced_points(trips, points, before, after, cols, day_col, index)
     return found.drop("slice", *([day_col] if day_col else []))
 
 
@@ -210,6 +223,7 @@ def track_stats(
     after: int = AFTER,
     long_gap: int = LONG_GAP,
     day_col: str | None = None,
+    index: DataFrame | None = None,
 ) -> DataFrame:
     """All numbers the rules need, one row per trip that has points.
 
@@ -222,7 +236,7 @@ def track_stats(
     window = [*keys, "start_time", "end_time"]
     slim = trips.select(*dict.fromkeys([ID, *window]))
     columns = ["t", "latitude", "longitude"]
-    near = _sliced_points(slim, points, before, after, columns, day_col)
+    near = _sliced_points(slim, points, before, after, columns, day_col, index)
     in_trip = F.col("t").between(F.col("start_time"), F.col("end_time"))
 
     # Copies of a fix first, then all fixes of a second.
@@ -334,13 +348,15 @@ def classify_trips(
     keys: Sequence[str] = (ID,),
     max_long_gaps: int = 2,
     day_col: str | None = None,
+    index: DataFrame | None = None,
+    whole: bool = False,
 ) -> DataFrame:
     """``susp_type`` per trip: the first rule that holds, in fixed order.
 
     A rule whose inputs are unknown does not hold. Every trip has a label,
-    also one with a broken time.
+    also one with a broken time. With ``whole`` the trips keep all columns.
     """
-    stats = track_stats(trips, points, keys, day_col=day_col)
+    stats = track_stats(trips, points, keys, day_col=day_col, index=index)
     stats = stats.withColumn("_has", F.lit(True))
     label = (
         F.when(F.col("_has").isNull(), NO_TRACK)
@@ -350,4 +366,5 @@ def classify_trips(
         .when(rule_driver_dispute(), DRIVER_DISPUTE)
         .otherwise(UNKNOWN)
     )
-    return trips.join(stats, list(keys), "left").select(*keys, label.alias("susp_type"))
+    kept = trips.columns if whole else keys
+    return trips.join(stats, list(keys), "left").select(*kept, label.alias("susp_type"))

@@ -29,7 +29,8 @@ class SuspInputs:
 
     ``distance_hist`` and ``operation_hist`` are the first-seen tables
     (``service_order_id``, ``execute_date``). ``point_day`` names the column
-    the points are partitioned by, if they are.
+    the points are partitioned by, if they are, and ``point_index`` is their
+    kept :func:`~tripaudit.operators.tracks.slice_index`.
     """
 
     orders: DataFrame
@@ -42,6 +43,7 @@ class SuspInputs:
     order: Sequence[str] = ("update_time",)
     ext_tiebreak: Sequence[str] = field(default_factory=tuple)
     point_day: str | None = None
+    point_index: DataFrame | None = None
 
 
 def report_suspects(inputs: SuspInputs, day: int, days: int = 10) -> DataFrame:
@@ -53,14 +55,6 @@ def report_suspects(inputs: SuspInputs, day: int, days: int = 10) -> DataFrame:
     return found.select(*S.SUSPECT_COLUMNS)
 
 
-def suspect_types(suspects: DataFrame, points: DataFrame, day_col: str | None = None) -> DataFrame:
-    """``susp_type`` per (order, category)."""
-    trips = S.with_deviation(suspects).select(
-        ID, "category", "arrival_time", "start_time", "end_time", "system_distance", "predict_distance"
-    )
-    return classify_trips(trips, points, [ID, "category"], day_col=day_col)
-
-
 def _seen_before(inputs: SuspInputs, day: int) -> DataFrame:
     """Orders in the history of their category, as (order id as text, category)."""
     parts = [
@@ -76,10 +70,8 @@ def marked_suspects(inputs: SuspInputs, day: int, suspects: DataFrame) -> DataFr
     One pass for both kinds: ``category`` stays a column and is split off last.
     What is keyed by the order comes first, the devices last.
     """
-    types = suspect_types(suspects, inputs.points, inputs.point_day)
-    named = types.select(F.col(ID).cast("string").alias(ID), "category", "susp_type")
-    wide = S.cast_keys(S.with_deviation(suspects))
-    typed = wide.join(named, [ID, "category"], "left").join(_seen_before(inputs, day), [ID, "category"], "left")
+    typed = classify_trips(S.with_deviation(suspects), inputs.points, [ID, "category"], day_col=inputs.point_day, index=inputs.point_index, whole=True)
+    typed = S.cast_keys(typed).join(_seen_before(inputs, day), [ID, "category"], "left")
     dated = typed.withColumns({"execute_date": F.lit(int(day)), "is_new": F.when(F.col("_seen"), 0).otherwise(1)})
     return attach_device(attach_distance_log(dated.drop("_seen"), inputs.log), inputs.devices)
 
@@ -123,13 +115,14 @@ def report_sheets(parts: dict[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-def suspicious_report(inputs: SuspInputs, day: int) -> dict[str, DataFrame]:
+def suspicious_report(inputs: SuspInputs, day: int, suspects: DataFrame | None = None) -> dict[str, DataFrame]:
     """All frames of the report; nothing runs here.
 
-    To write them, use :func:`save_suspicious_report`, which computes the
-    shared parts once.
+    Suspects are used twice, as trips to be explained and as what is explained:
+    pass kept ones to compute them once. To write the frames, use
+    :func:`save_suspicious_report`, which computes all shared parts once.
     """
-    suspects = report_suspects(inputs, day)
+    suspects = report_suspects(inputs, day) if suspects is None else suspects
     parts = split_categories(marked_suspects(inputs, day, suspects))
     return {"summary": suspect_summary(suspects), **parts, **report_sheets(parts)}
 
@@ -146,13 +139,21 @@ def save_suspicious_report(
 
     Suspects and their enriched form are kept while the tables are written; a
     lost executor only costs recomputing its share.
+
+    A day without suspects has no report: the sheets and the day's rows in both
+    tables are cleared of what an earlier run left there, and
+    :class:`~tripaudit.plans.zero_report.EmptyReport` is raised.
     """
     kept = [report_suspects(inputs, day).persist(StorageLevel.MEMORY_AND_DISK)]
     suspects = kept[0]
     try:
-        require_rows("suspects", suspects)
         kept.append(marked_suspects(inputs, day, suspects).persist(StorageLevel.MEMORY_AND_DISK))
         parts = split_categories(kept[1])
+        if suspects.isEmpty():
+            write_bundle({name: df.limit(0) for name, df in {"summary": suspect_summary(suspects), **report_sheets(parts)}.items()}, folder)
+            for name, target in (("distance", distance_target), ("operation", operation_target)):
+                overwrite_partition(parts[name].limit(0), target, "execute_date", days=[day])
+        require_rows("suspects", suspects)
         paths = write_bundle({"summary": suspect_summary(suspects), **report_sheets(parts)}, folder)
         for name, target in (("distance", distance_target), ("operation", operation_target)):
             fresh = parts[name].where(F.col("is_new") == 1)

@@ -112,16 +112,26 @@ def save_zero_report(inputs: ZeroInputs, day: int, folder: str, hist_target: str
     The day base is computed once and kept in memory and on disk; a lost
     executor only costs recomputing its share. ``hist_target`` receives
     today's driver history rows.
+
+    A day whose base has turned out empty has no report: its tables and its
+    history are cleared of what an earlier run left there, the summary of the
+    days before is left as it is, and :class:`EmptyReport` is raised.
     """
     base = report_base(inputs, day).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        require_rows("day base", base)
         frames = zero_distance_report(inputs, day, base)
         paths = {name: f"{folder.rstrip('/')}/{name}" for name in frames}
+        history = driver_hist_rows(base, day, inputs.use_rc)
+        if base.isEmpty():
+            for name, df in frames.items():
+                overwrite_partition(df.limit(0), paths[name], days=[day])
+            if hist_target:
+                overwrite_partition(history.limit(0), hist_target, days=[day])
+        require_rows("day base", base)
         for name, df in frames.items():
             upsert_by_date(df, paths[name], days=last_days(day, SUMMARY_DAYS) if name == "zero_summary" else [day])
         if hist_target:
-            overwrite_partition(driver_hist_rows(base, day, inputs.use_rc), hist_target, days=[day])
+            overwrite_partition(history, hist_target, days=[day])
         return paths
     finally:
         base.unpersist()

@@ -12,6 +12,7 @@ from tripaudit.functions.numbers import digits_or_zero, safe_double
 from tripaudit.functions.text import NULL_TEXT, unescape_tsv
 from tripaudit.operators.filters import on_days
 from tripaudit.operators.rows import ID, dedupe
+from tripaudit.sources.swap import is_path, recover_path
 
 TAB = "\t"
 
@@ -79,8 +80,11 @@ def load_extracts(
 
 
 def read_table(spark: SparkSession, source: str) -> DataFrame:
-    """A catalog table by name, or a Parquet dataset by path."""
-    return spark.read.parquet(source) if "/" in source else spark.read.table(source)
+    """A catalog table by name, or a Parquet dataset by path (days a lost writer had moved aside are put back)."""
+    if not is_path(source):
+        return spark.read.table(source)
+    recover_path(spark, source)
+    return spark.read.parquet(source)
 
 
 def read_days(spark: SparkSession, source: str, days: Sequence[int]) -> DataFrame:

@@ -6,59 +6,30 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tripaudit.functions.text import NULL_TEXT, escape_tsv
+from tripaudit.sources.swap import is_path, replace_days
+from tripaudit.sources.tables import declare_table
 
 
-def _clear(df: DataFrame, target: str, part: str, day: int) -> None:
-    """Leave the partition of ``day`` without rows, on a path or in a table."""
-    spark = df.sparkSession
-    if "/" in target:
-        empty = spark.createDataFrame([], df.drop(part).schema)
-        empty.write.mode("overwrite").parquet(f"{target.rstrip('/')}/{part}={day}")
-    else:
-        columns = [f for f in spark.table(target).schema if f.name != part]
-        nulls = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in columns)
-        spark.sql(f"INSERT OVERWRITE TABLE {target} PARTITION ({part}={day}) SELECT {nulls} WHERE false")
+def overwrite_partition(df: DataFrame, target: str, part: str = "dt", days: Sequence[int] | None = None) -> dict[int, int]:
+    """Replace the ``part`` values present in ``df``, or exactly the named ``days``; rerunnable. Rows per day.
 
+    ``target`` is a Parquet path or a catalog table, which is created where it
+    does not exist. A named day for which ``df`` has no rows ends up without
+    rows, and rows of other days are not written. A day is replaced all or
+    nothing, see :mod:`tripaudit.sources.swap`.
+    """
+    if not is_path(target) and not df.sparkSession.catalog.tableExists(target):
+        own = [f for f in df.schema if f.name != part]
+        declare_table(df.sparkSession, target, StructType([*own, df.schema[part]]), part)
+    return replace_days(df, target, part, days)
 
-def overwrite_partition(df: DataFrame, target: str, part: str = "dt", days: Sequence[int] | None = None) -> None:
-    """Replace the ``part`` values present in ``df``, or exactly the named ``days``; rerunnable.
 
-    A named day for which ``df`` has no rows ends up without rows, and rows of
-    other days are not written. ``target`` is a catalog table or a Parquet
-    path. Rows are rebalanced by day first: a day becomes a few files of a
-    sound size, and a day holding most of the rows is split instead of being
-    written by one task. The list of days found holds at most the named ones.
-    """
-    if days is not None:
-        named = sorted({int(d) for d in days})
-        df = df.where(F.col(part).isin(named))
-        found = {r[0] for r in df.select(part).distinct().collect()}
-        for day in named:
-            if day not in found:
-                _clear(df, target, part, day)
-        if not found:
-            return
-    rows = df.hint("rebalance", F.col(part))
-    if "/" in target:
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(part).parquet(target)
-        return
-    spark = df.sparkSession
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
-        ordered = rows.select(*spark.table(target).columns)
-        ordered.write.insertInto(target, overwrite=True)
-    finally:
-        spark.conf.set(key, before)
-
-
-def upsert_by_date(df: DataFrame, target: str, part: str = "dt", days: Sequence[int] | None = None) -> None:
+def upsert_by_date(df: DataFrame, target: str, part: str = "dt", days: Sequence[int] | None = None) -> dict[int, int]:
     """Replace the result rows of the dates present in ``df``, or of the named ``days``."""
-    overwrite_partition(df, target, part, days)
+    return overwrite_partition(df, target, part, days)
 
 
 def replace_table(df: DataFrame, target: str, day: int) -> None:
