@@ -90,16 +90,23 @@ def attach_versions(orders: DataFrame, ext: DataFrame) -> DataFrame:
     return orders.join(distinct_versions(ext), ID, "left")
 
 
+EXT_COLUMNS = (ID, "driver_version", "runtime", "predict_distance")
+
+
+def latest_ext_rows(ext: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
+    """The columns of extension rows that are used, and those that order them."""
+    slim = ext.withColumn("predict_distance", json_distance(F.col("estimate_snap")))
+    return slim.select(*dict.fromkeys([*EXT_COLUMNS, "update_time", *tiebreak]))
+
+
 def latest_ext(ext: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
     """Newest extension row per order with the predicted distance in metres.
 
     The distance is taken out of its JSON text first, so that a number and not
     the whole text is sorted and shuffled.
     """
-    columns = [ID, "driver_version", "runtime", "predict_distance"]
     order = ["update_time", *tiebreak]
-    slim = ext.withColumn("predict_distance", json_distance(F.col("estimate_snap")))
-    return latest_per_key(slim.select(*dict.fromkeys([*columns, *order])), [ID], order).select(*columns)
+    return latest_per_key(latest_ext_rows(ext, tiebreak), [ID], order).select(*EXT_COLUMNS)
 
 
 def join_latest_ext(orders: DataFrame, latest: DataFrame, salts: int = SALTS) -> DataFrame:

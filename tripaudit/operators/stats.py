@@ -108,8 +108,9 @@ def driver_stats(base: DataFrame, hist: DataFrame, day: int, use_rc: bool = Fals
     """Per driver with a zero trip today: today's counts and the history.
 
     ``acc_zero_days`` leaves out today; ``total_cnt`` includes it. A driver
-    without history has 0 earlier days and today's trips as the total. The
-    history is reduced to today's drivers before it is added up.
+    without history has 0 earlier days and today's trips as the total. Where a
+    driver state is kept, :func:`~tripaudit.operators.rolling.driver_stats_from`
+    gives the same without reading the history.
 
     Deviation from the source system: later days do not count, so a rerun of
     an old day gives what the first run gave.
@@ -117,7 +118,6 @@ def driver_stats(base: DataFrame, hist: DataFrame, day: int, use_rc: bool = Fals
     today = driver_day_counts(base, use_rc)
     past = (
         hist.where(F.col("dt") < int(day))
-        .join(today.select("driver_id"), "driver_id", "left_semi")
         .groupBy("driver_id")
         .agg(
             F.count_distinct(F.when(F.col("zero_cnt") > 0, F.col("dt"))).alias("acc_zero_days"),

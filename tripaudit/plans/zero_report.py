@@ -15,7 +15,9 @@ from tripaudit.operators.bases import day_base, summary_base
 from tripaudit.operators.filters import pure_zero, recent_risk
 from tripaudit.operators.history import driver_hist_rows
 from tripaudit.operators.joins import flag_members
+from tripaudit.operators.rolling import driver_stats_from
 from tripaudit.operators.rows import rename_cols
+from tripaudit.sources.states import KeyedState, advance_drivers, drivers_before
 from tripaudit.sources.writers import overwrite_partition, upsert_by_date, write_bundle
 
 # Column names of the stored summary.
@@ -48,7 +50,8 @@ def require_rows(name: str, df: DataFrame) -> DataFrame:
 class ZeroInputs:
     """``risk``: confirmed risk orders, if known; ``use_rc`` leaves them out.
 
-    The summary leaves out every listed order, the tables of the day only
+    ``driver_state``: the rolling driver state, if one is kept; the history is
+    then not read. The summary leaves out every listed order, the tables of the day only
     those listed in the last ten days.
     """
 
@@ -59,6 +62,7 @@ class ZeroInputs:
     risk: DataFrame | None = None
     use_rc: bool = False
     order: Sequence[str] = ("update_time",)
+    driver_state: KeyedState | None = None
 
     def __post_init__(self) -> None:
         if self.use_rc and self.risk is None:
@@ -80,6 +84,12 @@ def report_base(inputs: ZeroInputs, day: int) -> DataFrame:
     return day_base(inputs.orders, inputs.ext, day, risk, order=inputs.order)
 
 
+def _driver_stats(inputs: ZeroInputs, base: DataFrame, day: int) -> DataFrame:
+    if inputs.driver_state is not None and inputs.driver_state.exists():
+        return driver_stats_from(base, drivers_before(inputs.driver_state, day), inputs.use_rc)
+    return stats.driver_stats(base, inputs.driver_hist, day, inputs.use_rc)
+
+
 def zero_distance_report(inputs: ZeroInputs, day: int, base: DataFrame | None = None) -> dict[str, DataFrame]:
     """Report tables by name, each with its ``dt``; nothing runs here.
 
@@ -92,7 +102,7 @@ def zero_distance_report(inputs: ZeroInputs, day: int, base: DataFrame | None =
         "zero_detail": zero,
         "zero_version": stats.version_stats(zero),
         "zero_city": stats.city_stats(zero, inputs.labels),
-        "zero_driver": stats.driver_stats(base, inputs.driver_hist, day, inputs.use_rc),
+        "zero_driver": _driver_stats(inputs, base, day),
         "zero_pos_diff": stats.distance_hist(zero).drop("bin"),
         "zero_hour_distribute": stats.hour_hist(zero),
         "zero_order_duration": stats.duration_hist(zero).drop("bin"),
@@ -127,11 +137,15 @@ def save_zero_report(inputs: ZeroInputs, day: int, folder: str, hist_target: str
                 overwrite_partition(df.limit(0), paths[name], days=[day])
             if hist_target:
                 overwrite_partition(history.limit(0), hist_target, days=[day])
+            if inputs.driver_state is not None:
+                advance_drivers(inputs.driver_state, history.limit(0), day)
         require_rows("day base", base)
         for name, df in frames.items():
             upsert_by_date(df, paths[name], days=last_days(day, SUMMARY_DAYS) if name == "zero_summary" else [day])
         if hist_target:
             overwrite_partition(history, hist_target, days=[day])
+        if inputs.driver_state is not None:
+            advance_drivers(inputs.driver_state, history, day)
         return paths
     finally:
         base.unpersist()
