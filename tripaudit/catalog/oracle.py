@@ -168,6 +168,17 @@ FX_TRIP_LOST = FX_TRIP_ALL.replace(
   )""",
 )
 
+# The same with the end of every third trip in milliseconds; what is lost depends on the true ends.
+BROKEN_TRIP_LOST = (
+    FX_TRIP_LOST.replace("fx_trip", "true_trip").replace("true_trip x JOIN fx_point p", "fx_trip x JOIN fx_point p")
+).replace(
+    "all_point AS (",
+    """fx_trip AS (
+  SELECT * REPLACE (CASE WHEN service_order_id % 3 = 0 THEN end_time * 1000 ELSE end_time END AS end_time) FROM true_trip
+),
+all_point AS (""",
+)
+
 DIST_COND = """round(dependable_distance / 1000, 1) > round(system_distance / 1000, 1)
     AND runtime = actual_time_length"""
 OP_COND = """round(dependable_distance / 1000, 1) <> round(system_distance / 1000, 1)
@@ -460,6 +471,12 @@ def oracle_sql() -> dict[str, str]:
         "city_label": f"""{ORDERS}, {FX_CITY} SELECT {ROW}, city, coalesce(label, city) AS label
             FROM fx_order LEFT JOIN fx_city ON code = city""",
         "trip_points": f"{TRACK} SELECT service_order_id, event_id, t, latitude, longitude FROM near",
+        "trip_points_broken_time": f"""{TRACK} SELECT service_order_id, event_id, t, latitude, longitude
+            FROM fx_trip x JOIN fx_point p USING (service_order_id) WHERE p.t BETWEEN x.start_time - 300 AND
+              CASE WHEN service_order_id % 3 = 0 THEN x.end_time * 1000 ELSE x.end_time END + 300""",
+        "track_class_broken_time": f"""{_with(BROKEN_TRIP_LOST, TRACK_STATS)} SELECT service_order_id,
+            {_susp_type('system_distance')} AS susp_type
+            FROM fx_trip t LEFT JOIN stats s USING (service_order_id)""",
         "susp_summary": f"""{SUSPECTS} SELECT date, nullif(sum(a), 0)::BIGINT AS distance,
             nullif(sum(b), 0)::BIGINT AS no_start, nullif(sum(c), 0)::BIGINT AS no_end FROM (
               SELECT substr({_clock('start_time')}, 1, 10) AS date, 1 AS a, 0 AS b, 0 AS c FROM dist
@@ -493,6 +510,13 @@ def oracle_sql() -> dict[str, str]:
             coalesce(h.days, 0) AS acc_zero_days, CAST(coalesce(h.total, 0) + t.total_cnt AS BIGINT) AS total_cnt
             FROM today t LEFT JOIN (SELECT driver_id, count(DISTINCT dt) AS days, sum(total_cnt) AS total
               FROM hist GROUP BY driver_id) h USING (driver_id)""",
+        "driver_state": f"""{DRIVERS} SELECT driver_id, count(*) AS zero_days, CAST(sum(total_cnt) AS BIGINT) AS total_cnt
+            FROM (SELECT driver_id, total_cnt FROM hist UNION ALL SELECT driver_id, total_cnt FROM today)
+            GROUP BY driver_id""",
+        "driver_stats_state": f"""{DRIVERS} SELECT driver_id, t.zero_cnt AS today_zero_cnt, t.total_cnt AS today_cnt,
+            coalesce(h.days, 0) AS acc_zero_days, CAST(coalesce(h.total, 0) + t.total_cnt AS BIGINT) AS total_cnt
+            FROM today t LEFT JOIN (SELECT driver_id, count(DISTINCT dt) AS days, sum(total_cnt) AS total
+              FROM hist GROUP BY driver_id) h USING (driver_id)""",
         "distance_hist": ZERO
         + _hist(_pickup("expect_start_longitude"), "fx_zero", KM_EDGES, KM_LABELS, "start_pos_diff"),
         "distance_hist_as_found": ZERO
@@ -522,6 +546,7 @@ def oracle_sql() -> dict[str, str]:
             {_susp_type('system_distance')} AS susp_type
             FROM fx_trip t LEFT JOIN stats s USING (service_order_id)""",
         "latest_ext": f"{_with(FX_EXT, LATEST_EXT)} SELECT * FROM newest_ext",
+        "ext_snapshot": f"{_with(FX_EXT, LATEST_EXT)} SELECT * FROM newest_ext",
         "latest_order": f"""{ORDERS} SELECT service_order_id, l_linenumber, update_time, city, driver_id
             FROM fx_order QUALIFY row_number() OVER (PARTITION BY service_order_id {NEWEST}) = 1""",
         "distinct_versions": f"{EXTS} SELECT DISTINCT service_order_id, driver_version FROM fx_ext",
@@ -568,6 +593,14 @@ def oracle_sql() -> dict[str, str]:
         "partition_overwrite": f"""{ORDERS} SELECT {ROW},
             CASE WHEN dt IN (20170322, 20170327) THEN -1 ELSE system_distance END AS system_distance, dt
             FROM fx_order""",
+        "swap_day": f"""{ORDERS}, one AS (SELECT {ROW},
+              CASE WHEN dt IN (20170322, 20170327) THEN -1 ELSE system_distance END AS system_distance, dt
+              FROM fx_order WHERE dt <> 20170324)
+            SELECT * FROM one UNION ALL SELECT * FROM one""",
+        "day_complete": f"""{ORDERS} SELECT CAST(dt AS INTEGER) AS dt, CASE WHEN dt <> 20170323 THEN n END AS n
+            FROM range(20170320, 20170331) AS days(dt) LEFT JOIN (SELECT dt, count(*) AS n FROM fx_order GROUP BY dt) USING (dt)""",
+        "expire_files": f"{ORDERS} SELECT dt, 2::BIGINT AS places, count(*) AS cnt FROM fx_order WHERE dt > 20170324 GROUP BY dt",
+        "added_column": f"""{ORDERS} SELECT {ROW}, CASE WHEN dt >= 20170325 THEN city END AS city, dt FROM fx_order""",
         "expire_partitions": f"{ORDERS} {daily} WHERE dt > 20170324 GROUP BY dt",
         "partition_ready": f"""{ORDERS} SELECT DISTINCT CAST(dt + 2 AS INTEGER) AS dt,
             dt + 2 IN (SELECT dt FROM fx_order) AS ready FROM fx_order""",

@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from tripaudit.catalog import inputs as I
 from tripaudit.functions import numbers, text, times
-from tripaudit.operators import bases, filters, history, joins, rows, stats, suspects, tracks
-from tripaudit.plans.susp_report import SuspInputs, suspect_summary, suspicious_report
+from tripaudit.operators import bases, filters, history, joins, rolling, rows, stats, suspects, tracks
+from tripaudit.plans.susp_report import SuspInputs, report_suspects, suspect_summary, suspicious_report
 from tripaudit.plans.zero_report import ZeroInputs, bundle_zero_report
 from tripaudit.schemas import declared_columns, schema_from_ddl
 from tripaudit.session import configure, scratch_dir
-from tripaudit.sources import loads, readers, tables, writers
+from tripaudit.sources import loads, readers, states, swap, tables, writers
+from tripaudit.sources.files import Files
 
 Query = Callable[[SparkSession, str], DataFrame]
 ID = rows.ID
@@ -184,6 +185,24 @@ def trip_points(spark, sf):
     return found.select(ID, "event_id", "t", "latitude", "longitude")
 
 
+def _broken_trips(spark, sf):
+    """Every third trip has its end in milliseconds."""
+    end = F.when(F.col(ID) % 3 == 0, F.col("end_time") * 1000).otherwise(F.col("end_time"))
+    return I.fx_trip(spark, sf).withColumn("end_time", end)
+
+
+@query
+def trip_points_broken_time(spark, sf):
+    """Trips that would last for millennia keep the fixes within their range."""
+    found = tracks.trip_points(_broken_trips(spark, sf), I.fx_point(spark, sf))
+    return found.select(ID, "event_id", "t", "latitude", "longitude")
+
+
+@query
+def track_class_broken_time(spark, sf):
+    return tracks.classify_trips(_broken_trips(spark, sf), I.fx_point_lost(spark, sf))
+
+
 @query
 def susp_summary(spark, sf):
     """Categories counted over one pass for both kinds of suspects."""
@@ -254,6 +273,38 @@ def driver_stats(spark, sf):
     return stats.driver_stats(today, I.fx_driver_hist(spark, sf), I.LAST_DAY)
 
 
+def _kept(df: DataFrame, label: str) -> DataFrame:
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _driver_state(spark, sf) -> tuple[states.KeyedState, DataFrame]:
+    """The state after every day of the history and today, the third day and today given twice; and that history."""
+    today = I.fx_valid(spark, sf).where(F.col("dt") == I.LAST_DAY)
+    hist = _kept(rows.append_rows(I.fx_driver_hist(spark, sf), history.driver_hist_rows(today, I.LAST_DAY)), "history")
+    state = states.KeyedState(spark, _scratch_db(spark) + ".drivers", "driver_id", scratch_dir(spark, "drivers"))
+    third = hist.where(F.col("dt") == I.DAYS[2])
+    states.advance_drivers(state, third.withColumn("total_cnt", F.col("total_cnt") + 5), I.DAYS[2])
+    for day in [*I.DAYS, I.LAST_DAY]:
+        states.advance_drivers(state, hist.where(F.col("dt") == day), day)
+    return state, hist
+
+
+@query
+def driver_state(spark, sf):
+    """Zero days and trips per driver, moved on day by day with reruns."""
+    return _driver_state(spark, sf)[0].read()
+
+
+@query
+def driver_stats_state(spark, sf):
+    """Driver statistics of the last day from the state before it."""
+    state, _ = _driver_state(spark, sf)
+    today = I.fx_valid(spark, sf).where(F.col("dt") == I.LAST_DAY)
+    return rolling.driver_stats_from(today, states.drivers_before(state, I.LAST_DAY))
+
+
 @query
 def distance_hist(spark, sf):
     return stats.distance_hist(I.fx_zero(spark, sf))
@@ -332,6 +383,16 @@ def latest_ext(spark, sf):
     return _latest_ext(spark, sf)
 
 
+@query
+def ext_snapshot(spark, sf):
+    """Newest extension rows, kept as a snapshot: all days one by one, the last one twice."""
+    ext = I.fx_ext(spark, sf)
+    state = states.KeyedState(spark, _scratch_db(spark) + ".newest", ID, scratch_dir(spark, "newest"))
+    for day in [20170310, *I.DAYS, I.LAST_DAY]:
+        states.advance_latest_ext(state, ext.where(F.col("dt") == day), day)
+    return state.read().select(*joins.EXT_COLUMNS)
+
+
 @query
 def latest_order(spark, sf):
     newest = rows.latest_per_key(I.fx_order(spark, sf), [ID], ORDER)
@@ -513,6 +574,61 @@ def partition_overwrite(spark, sf):
     return spark.table(name).select(ID, LINE, "l_extendedprice", "system_distance", "dt")
 
 
+@query
+def swap_day(spark, sf):
+    """A table and a path: a writer lost after staging changes nothing, two days are swapped, one ends up empty."""
+    orders = I.fx_order(spark, sf).select(*EXTRACT_COLUMNS)
+    path, name = scratch_dir(spark, "orders"), _scratch_db(spark) + ".orders"
+    changed = orders.withColumn("system_distance", F.lit(-1))
+    for target in (path, name):
+        writers.overwrite_partition(orders, target)
+        where = target if swap.is_path(target) else swap.table_location(spark, target)
+        swap.stage(filters.on_days(changed, [20170325, 20170326]), f"{where}/_stage-lost", "dt")
+        writers.overwrite_partition(filters.on_days(changed, [20170322, 20170327]), target, days=[20170322, 20170324, 20170327])
+    both = [readers.read_table(spark, t).select(ID, LINE, "l_extendedprice", "system_distance", "dt") for t in (path, name)]
+    return rows.append_rows(*both)
+
+
+@query
+def day_complete(spark, sf):
+    """Rows of each day as its marker says; a day that has lost a file is not whole."""
+    name = _scratch_db(spark) + ".orders"
+    writers.overwrite_partition(I.fx_order(spark, sf).select(*EXTRACT_COLUMNS), name)
+    folder = swap.day_folder(spark, name, 20170323)
+    files = Files(spark, folder)
+    files.delete(files.match(f"{folder}/*.parquet")[0])
+    found = [(day, swap.committed_rows(spark, name, day)) for day in [*I.DAYS, 20170330]]
+    return spark.createDataFrame(found, "dt int, n bigint")
+
+
+@query
+def expire_files(spark, sf):
+    """Days of an external table and of a path, read from the folders that are left."""
+    path, external = scratch_dir(spark, "counts"), scratch_dir(spark, "external")
+    name = _scratch_db(spark) + ".counts"
+    tables.declare_table(spark, name, schema_from_ddl(COUNTS), location=external)
+    counts = _kept(_daily_counts(spark, sf), "daily")
+    left = []
+    for target, folder in ((path, path), (name, external + "/load-*")):
+        writers.overwrite_partition(counts, target)
+        tables.expire_partitions(spark, target, 20170423)
+        left += [(int(f.rsplit("=", 1)[1]),) for f in Files(spark, path).match(f"{folder}/dt=*")]
+    days = spark.createDataFrame(left, "dt int").groupBy("dt").agg(F.count("*").alias("places"))
+    return days.join(spark.table(name), "dt")
+
+
+@query
+def added_column(spark, sf):
+    """A table declared with one column more half-way: earlier days have none."""
+    name = _scratch_db(spark) + ".orders"
+    orders = I.fx_order(spark, sf).select(ID, LINE, "l_extendedprice", "city", "dt")
+    early, late = F.col("dt") < 20170325, F.col("dt") >= 20170325
+    writers.overwrite_partition(orders.drop("city").where(early), name)
+    tables.declare_table(spark, name, orders.schema)
+    writers.overwrite_partition(orders.where(late), name)
+    return spark.table(name).select(ID, LINE, "l_extendedprice", "city", "dt")
+
+
 @query
 def expire_partitions(spark, sf):
     name = _scratch_db(spark) + ".counts"
@@ -645,7 +761,8 @@ def report_bundle(spark, sf):
 
 
 def susp_inputs(spark, sf) -> SuspInputs:
-    hist = _susp_hist(_distance(spark, sf))
+    """The report's inputs; its history is a table, written from earlier suspects."""
+    hist = _kept(_susp_hist(_distance(spark, sf)), "seen")
     return SuspInputs(
         orders=I.fx_order(spark, sf),
         ext=I.fx_ext(spark, sf),
@@ -658,19 +775,26 @@ def susp_inputs(spark, sf) -> SuspInputs:
     )
 
 
+def _sheet(spark, sf, name: str) -> DataFrame:
+    """A sheet of the suspicious report; suspects are written out first and flow through once."""
+    inputs = susp_inputs(spark, sf)
+    suspects = _kept(report_suspects(inputs, I.LAST_DAY), "suspects")
+    return suspicious_report(inputs, I.LAST_DAY, suspects)[name]
+
+
 @query
 def susp_detail(spark, sf):
     """Distance sheet of the suspicious report, all columns."""
-    return suspicious_report(susp_inputs(spark, sf), I.LAST_DAY)["distance_sheet"]
+    return _sheet(spark, sf, "distance_sheet")
 
 
 @query
 def susp_no_start(spark, sf):
     """Operation suspects that were billed more."""
-    return suspicious_report(susp_inputs(spark, sf), I.LAST_DAY)["no_start_sheet"]
+    return _sheet(spark, sf, "no_start_sheet")
 
 
 @query
 def susp_no_end(spark, sf):
     """Operation suspects that were billed less."""
-    return suspicious_report(susp_inputs(spark, sf), I.LAST_DAY)["no_end_sheet"]
+    return _sheet(spark, sf, "no_end_sheet")
