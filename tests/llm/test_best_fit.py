@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tripaudit.llm import best_fit
+from tripaudit.llm import best_fit, unit_cache
 from tripaudit.llm.queries import REGISTRY
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -68,22 +68,25 @@ def test_query_against_plain_encoding(spark):
 
 def test_words_equal_whole_encoding():
     tokenizer, own = Tokenizer.from_file(PATH), best_fit.Words(PATH)
-    for text in ODD:
-        assert np.frombuffer(own.ids(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids + [0], repr(text)
+    for text, ids in zip(ODD, own.ids(ODD)):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids + [0], repr(text)
 
 
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=" \n\tab'SésÉ́1#<|endoftx>\x1c\x85 Σ", max_size=30))
 def test_words_random(text):
     want = TOKENIZER.encode(text, add_special_tokens=False).ids + [0]
-    assert np.frombuffer(best_fit.words(PATH).ids(text), "<u4").tolist() == want
+    assert np.frombuffer(best_fit.words(PATH).ids([text])[0], "<u4").tolist() == want
 
 
 def test_cache_stays_bounded(monkeypatch):
-    monkeypatch.setattr(best_fit, "CACHE_WORDS", 10)
+    monkeypatch.setattr(unit_cache, "KEPT_UNITS", 10)
     own = best_fit.Words(PATH)
-    own.ids(" ".join(f"w{i}" for i in range(100)) + " " + "y" * 100)
-    assert len(own) <= 10 and "y" * 100 not in own
+    for n in range(30):
+        texts = [" ".join(f"w{i}" for i in range(n, n + 8)) + " common " + "y" * (100 + n)]
+        assert np.frombuffer(own.ids(texts)[0], "<u4").tolist() == TOKENIZER.encode(texts[0], add_special_tokens=False).ids + [0]
+        assert len(own.young) <= 21 and len(own.old) <= 21 and "common" in own.young
+    assert all(len(u) <= 64 for u in own.old)
 
 
 def layout(spark, sizes, capacity):

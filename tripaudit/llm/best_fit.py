@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import os
 from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -14,45 +14,50 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripaudit.llm.common import Rolling, keep
+from tripaudit.llm.unit_cache import LETTERS, SIGNS, UnitCache
 
 CAPACITY = 2048
-CACHE_WORDS = 600_000
 END = b"\0\0\0\0"
 # Python's split takes these for white space, the tokenizer does not.
-SEPARATORS = str.maketrans("", "", "\x1c\x1d\x1e\x1f")
+SEPARATORS = "\x1c\x1d\x1e\x1f"
 PIECES = "row bigint, doc_id {id}, piece int, start bigint, length bigint, ids binary"
 
 
-class Words(dict):
-    """Ids of white-space separated words as little-endian unsigned 32-bit bytes, encoded when first met.
+class Words(UnitCache):
+    """Ids of texts by way of their white-space separated words.
 
     The tokenizer drops white space and no token spans it, so the ids of a text
-    are those of its words.
+    are those of its words. Nor does one span a letter or digit and a run of
+    signs behind it. What is then letters only is one word to the tokenizer,
+    the same in upper and lower case.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        super().__init__()
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer = Tokenizer.from_file(path)
-
-    def encoded(self, text: str) -> bytes:
-        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def __missing__(self, word: str) -> bytes:
-        found = self.encoded(word)
-        if len(word) <= 64:
-            if len(self) >= CACHE_WORDS:
-                self.clear()
-            self[word] = found
-        return found
-
-    def ids(self, text: str) -> bytes:
-        """Ids of a text and the closing id 0."""
-        if len(text) != len(text.translate(SEPARATORS)):
-            return self.encoded(text) + END
-        return b"".join(map(self.__getitem__, text.split())) + END
+        super().__init__(path, led=False)
+
+    def encode_units(self, units: list[str]) -> list[bytes]:
+        bare = [u.rstrip(SIGNS) for u in units]
+        bare = [b.lower() if LETTERS.fullmatch(b) else b if b[-1:].isalnum() else u for b, u in zip(bare, units)]
+        signs = [u[len(b) :] for b, u in zip(bare, units)]
+        ids = {"": b""}
+        distinct = set(bare)
+        words = list(filter(LETTERS.fullmatch, distinct))
+        ids.update(zip(words, self.encode_words(words)))
+        rest = list({*distinct.difference(words), *signs} - {""})
+        ids.update(zip(rest, self.encode(rest)))
+        return [ids[b] + ids[s] for b, s in zip(bare, signs)]
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text and the closing id 0."""
+        odd = [i for i, t in enumerate(texts) if any(c in t for c in SEPARATORS)]
+        cut = [t.split() for t in texts]
+        for i in odd:
+            cut[i] = []
+        known = self.look_up(chain.from_iterable(cut))
+        out = [b"".join([known[w] for w in words]) + END for words in cut]
+        for i in odd:
+            out[i] = self.encode([texts[i]])[0] + END
+        return out
 
 
 @lru_cache(maxsize=1)
@@ -83,7 +88,7 @@ def pieces_of(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, capac
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                cut = _cut(part.column(0), [ids_of(t or "") for t in part.column(1).to_pylist()], row, capacity)
+                cut = _cut(part.column(0), ids_of([t or "" for t in part.column(1).to_pylist()]), row, capacity)
                 row += cut.num_rows
                 yield cut
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from heapq import heappop, heappush
+from itertools import chain
 import re
 
 import numpy as np
@@ -13,62 +14,59 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from tripaudit.llm.unit_cache import LETTERS, SIGNS, UnitCache
+
 CAPACITY = 1024
 # Cost of a piece of n tokens: LINEAR * n for projections, QUADRATIC * n * n for attention.
 LINEAR, QUADRATIC = 1.0, 1.0 / CAPACITY
 GROUP_TOKENS = 2_000_000
-CACHE_UNITS = 600_000
 END = b"\0\0\0\0"
 INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
-class Units:
+class Units(UnitCache):
     """Token ids of texts as little-endian unsigned 32-bit bytes, by way of a cache of space-led units.
 
     A single space between two visible characters always starts a new token of
     the byte-level pattern, so the ids of a text are those of its parts cut
-    before such spaces. The cache is emptied when it is full.
+    before such spaces. Letters with the space ahead of them are one word to
+    the tokenizer, and so is a run of signs behind a letter or digit.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[str, bytes | None] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in found]
+        super().__init__(path, led=True)
+
+    def encode_units(self, units: list[str]) -> list[bytes | None]:
+        """Ids of each unit with a space ahead of it; None for one that begins or ends with white space."""
+        bare = [u.rstrip(SIGNS) for u in units]
+        bare = [b if b[-1:].isalnum() else u for b, u in zip(bare, units)]
+        signs = [u[len(b) :] for b, u in zip(bare, units)]
+        distinct = {b for b in bare if b and b == b.strip()}
+        words = list(filter(LETTERS.fullmatch, distinct))
+        ids = dict(zip(words, self.encode_words([" " + w for w in words])))
+        rest = list(distinct.difference(words))
+        ids.update(zip(rest, self.encode([" " + u for u in rest])))
+        ends = list(set(signs))
+        tails = dict(zip(ends, self.encode(ends)))
+        return [ids[b] + tails[s] if b in ids else None for b, s in zip(bare, signs)]
 
     def ids(self, texts: Sequence[str]) -> list[bytes]:
         """Ids of each text, the closing id 0 included."""
         cut = [t.split(" ") for t in texts]
-        if len(self.cache) > CACHE_UNITS:
-            self.cache = {}
-        cache = self.cache
-        fresh = set()
-        for parts in cut:
-            fresh.update(parts[1:])
-        fresh = fresh.difference(cache)
-        plain = [u for u in fresh if u and u == u.strip()]
-        cache.update(dict.fromkeys(fresh))
-        cache.update(zip(plain, self._encode([" " + u for u in plain])))
-        heads = self._encode([parts[0] for parts in cut])
+        known = self.look_up(chain.from_iterable(parts[1:] for parts in cut))
+        heads = self.encode([parts[0] for parts in cut])
         out = []
         for text, parts, head in zip(texts, cut, heads):
-            tail = [cache[u] for u in parts[1:]]
+            tail = [known[u] for u in parts[1:]]
             if None in tail or parts[0][-1:].isspace() or (tail and not parts[0]):
                 # White space runs: cut only where both neighbours are visible.
-                head, *tail = self._encode([(" " if k else "") + u for k, u in enumerate(INNER_SPACE.split(text))])
+                head, *tail = self.encode([(" " if k else "") + u for k, u in enumerate(INNER_SPACE.split(text))])
             out.append(b"".join((head, *tail, END)))
         return out
 
 
 @lru_cache(maxsize=1)
 def units(path: str) -> Units:
-    import os
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return Units(path)
 
 
