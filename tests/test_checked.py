@@ -1,0 +1,71 @@
+"""Broken rows are set aside with line, column and reason."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tripaudit.schemas import schema_from_ddl
+from tripaudit.sources import checked, readers
+
+SCHEMA = """
+    service_order_id bigint
+    name string
+    price double
+    dt int
+"""
+LINES = ["1\ta\t1.5\t20170329", "x\t\\N\t1.5\t20170329", "3\t\\N\t\\N\t\\N", "4\tb\t1e400x\tno", "5\tb", "", "6\tc\t1\t2\t3", "7\ta\\tb\t2\t1", "99999999999999999999\td\t1\t1"]
+
+
+def test_tsv_lines(spark):
+    schema = schema_from_ddl(SCHEMA)
+    lines = spark.createDataFrame([(i, line) for i, line in enumerate(LINES)], "n int, value string")
+    rows = checked.check_tsv(lines, schema, keep=["n"])
+    found = {r["n"]: [tuple(p) for p in r["problems"]] for r in rows.collect()}
+    assert found == {
+        0: [], 1: [("service_order_id", "not a bigint")], 2: [], 3: [("price", "not a double"), ("dt", "not a int")],
+        4: [("price", "missing"), ("dt", "missing")],
+        5: [("service_order_id", "not a bigint"), ("name", "missing"), ("price", "missing"), ("dt", "missing")],
+        6: [("", "too many columns")], 7: [], 8: [("service_order_id", "not a bigint")],
+    }
+    plain = lines.select("n", *readers.typed_columns(F.split("value", "\t", -1), schema))
+    assert sorted(map(str, rows.drop("line", "problems").collect())) == sorted(map(str, plain.collect()))
+
+
+def test_log_lines(spark):
+    good = "a\tb\t17\tc\t1.5\td\tNULL\te\t\t4\tf\tg\th\t1"
+    lines = spark.createDataFrame([("OK",), ("\tstart",), (good,), (good.replace("17", ""),), ("a\tb\t18\tc\tx",), (None,)], "value string")
+    got = {r["line"]: [tuple(p) for p in r["problems"]] for r in checked.check_distance_log(lines).collect()}
+    assert got["OK"] == got["\tstart"] == got[None] == [("", "message")] and got[good] == []
+    assert got[good.replace("17", "")] == [("service_order_id", "missing")]
+    assert {c for c, _ in got["a\tb\t18\tc\tx"]} == {"r_sys_dis", "driver_dis", "response_dis", "is_enable"}
+
+
+def test_track_replies(spark):
+    fix = '{"timestamp":1489939217999,"provider":"gps","accuracy":3.5,"latitude":1.0,"longitude":2.0}'
+    bodies = [f'{{"results":[{fix}]}}', '{"results":[]}', "oops", None, '{"error":1}', "[1]", ' {"results":[{}]}']
+    raw = spark.createDataFrame(list(enumerate(bodies)), "service_order_id long, body string")
+    got = {r["service_order_id"]: [p["reason"] for p in r["problems"]] for r in checked.check_tracks(raw).collect()}
+    assert got == {0: [], 1: ["empty"], 2: ["not a JSON object"], 3: ["missing"], 4: ["missing"], 5: ["not a JSON object"], 6: []}
+
+
+@pytest.mark.parametrize("kind", ["tsv", "log", "track", "all good", "all bad", "none"])
+def test_good_and_bad_are_all_lines_in_one_scan(spark, tmp_path, kind):
+    n = 300
+    if kind == "log":
+        lines = spark.range(n).selectExpr("if(id % 7 = 0, 'OK', concat_ws('\t', 'a', 'b', id, 'c', 1, 'd', 2, 'e', 3, 4, 'f', 'g', 'h', 1)) as value")
+    elif kind == "track":
+        lines = spark.range(n).selectExpr("id as service_order_id", "if(id % 7 = 0, 'oops', '{\"results\":[{\"timestamp\":1}]}') as body")
+    else:
+        share = {"tsv": "id % 7 = 0", "all good": "false", "all bad": "true", "none": "false"}[kind]
+        lines = spark.range(n if kind != "none" else 0).selectExpr(f"if({share}, concat('x', id, '\ta'), concat_ws('\t', id, 'a', id * 0.5D, 20170329)) as value")
+    path = str(tmp_path / "lines")
+    lines.write.parquet(path)
+    read = spark.read.parquet(path)
+    rows = checked.check_distance_log(read) if kind == "log" else checked.check_tracks(read) if kind == "track" else checked.check_tsv(read, schema_from_ddl(SCHEMA))
+    assert rows._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    done = checked.set_aside(rows, str(tmp_path / "out"))
+    bad = {"all good": 0, "all bad": n, "none": 0}.get(kind, len(range(0, n, 7)))
+    assert (done.lines, done.bad) == (n if kind != "none" else 0, bad)
+    assert checked.good_rows(rows, done).count() == done.good
+    problems = checked.bad_rows(rows, done)
+    assert problems.select("line").distinct().count() == (1 if kind in ("log", "track") else bad)
+    assert problems.columns == ["line", "column", "reason"] and problems.where("reason is null").isEmpty()

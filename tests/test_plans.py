@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 WRITES = {
     "risk_list", "tsv_roundtrip", "partition_overwrite", "expire_partitions", "partition_ready", "backfill_range",
     "read_days", "upsert_by_date", "replace_dim", "report_bundle", "rerun_empty_day", "load_day", "swap_day", "day_complete",
-    "expire_files", "added_column", "driver_state", "driver_stats_state", "ext_snapshot",
+    "expire_files", "added_column", "backfill_resumed", "checked_extract", "checked_logs", "checked_tracks", "driver_state", "driver_stats_state", "ext_snapshot",
 }
 LAZY = sorted(set(REGISTRY) - WRITES)
 

@@ -12,7 +12,7 @@ from tripaudit.plans import susp_report, zero_report
 from tripaudit.catalog import inputs as I
 from tripaudit.catalog import queries as Q
 from tripaudit.schemas import schema_from_ddl
-from tripaudit.sources import readers, swap, tables, writers
+from tripaudit.sources import loads, readers, swap, tables, writers
 from tripaudit.sources.files import Files
 
 SF = "/root/testdata/sf0.001"
@@ -207,3 +207,44 @@ def test_rerun_of_a_day_that_turned_out_empty(spark, tmp_path):
         for name, path in more.items():
             rows = spark.read.parquet(path).where(F.col("dt") == I.LAST_DAY).count()
             assert rows == 0, name
+
+
+@pytest.mark.parametrize("kind", ["table", "path"])
+def test_backfill_takes_up_where_it_was_lost(spark, targets, tmp_path, monkeypatch, kind):
+    """Killed after two of five days and resumed, then with an extract changed and one that arrives late."""
+    target, clean = (targets[0], targets[1]) if kind == "table" else (targets[2], str(tmp_path / "clean"))
+    folder, log = tmp_path / "in", str(tmp_path / "log")
+    folder.mkdir()
+    days = [20170301, 20170302, 20170303, 20170304, 20170305]
+
+    def extract(day, *ids):
+        (folder / f"t_{day}.tsv").write_text("".join(f"{i}\tn\t{day}\n" for i in ids))
+
+    for n, day in enumerate(days[:4]):
+        extract(day, n, n, 10 + n)
+    args = (spark, str(folder), "t", days[0], days[-1], SCHEMA)
+    logged = []
+
+    def record(*a, plain=loads._record, **k):
+        if len(logged) == 2:
+            raise Lost
+        logged.append(a[3])
+        plain(*a, **k)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(loads, "_record", record)
+        with pytest.raises(Lost):
+            loads.resume_backfill(*args, target, log, ["id"])
+    assert logged == days[:2] and sorted(loads.job_log(spark, log, "t")) == days[:2]
+    states = loads.resume_backfill(*args, target, log, ["id"])
+    assert list(states.values()) == ["kept", "kept", "loaded", "loaded", "missing"]
+    extract(days[0], 77)
+    extract(days[4], 5)
+    os.utime(folder / f"t_{days[0]}.tsv", (1, 1))
+    states = loads.resume_backfill(*args, target, log, ["id"], keep_days=3)
+    assert list(states.values()) == ["loaded", "kept", "kept", "kept", "loaded"]
+    loads.resume_backfill(*args, clean, str(tmp_path / "log2"), ["id"], keep_days=3)
+    assert content(spark, target) == content(spark, clean) == [(2, days[2]), (3, days[3]), (5, days[4]), (12, days[2]), (13, days[3])]
+    entry = loads.job_log(spark, log, "t")[days[0]]
+    assert (entry["rows"], entry["state"], entry["modified"]) == (1, "loaded", 1000)
+    assert set(loads.resume_backfill(*args, target, log, ["id"]).values()) == {"kept"}

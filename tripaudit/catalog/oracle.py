@@ -604,6 +604,15 @@ def oracle_sql() -> dict[str, str]:
         "expire_partitions": f"{ORDERS} {daily} WHERE dt > 20170324 GROUP BY dt",
         "partition_ready": f"""{ORDERS} SELECT DISTINCT CAST(dt + 2 AS INTEGER) AS dt,
             dt + 2 IN (SELECT dt FROM fx_order) AS ready FROM fx_order""",
+        "backfill_resumed": f"{ORDERS} SELECT {EXTRACT} FROM fx_order WHERE dt BETWEEN 20170321 AND 20170326",
+        "checked_extract": f"""{ORDERS} SELECT CASE l_linenumber WHEN 1 THEN 'service_order_id' WHEN 2 THEN 'dt' ELSE '' END AS column,
+            CASE l_linenumber WHEN 1 THEN 'not a bigint' WHEN 2 THEN 'missing' WHEN 3 THEN 'too many columns' ELSE 'good' END AS reason,
+            count(*) AS n FROM fx_order GROUP BY ALL""",
+        "checked_logs": f"""{_with(FX_LOG)} SELECT count(*) FILTER (length(value) % 9 <> 0) AS good,
+            count(*) FILTER (length(value) % 9 = 0) AS bad FROM fx_log""",
+        "checked_tracks": f"""{TRACK}, pages AS (SELECT service_order_id, event_id // 50 AS page, count(*) AS n FROM fx_point GROUP BY ALL)
+            SELECT CASE page % 20 WHEN 3 THEN 'missing' WHEN 7 THEN 'not a JSON object' WHEN 11 THEN 'empty' ELSE 'points' END AS reason,
+              CAST(sum(CASE WHEN page % 20 IN (3, 7, 11) THEN 1 ELSE n END) AS BIGINT) AS n FROM pages GROUP BY ALL""",
         "rerun_empty_day": f"""{ORDERS} SELECT {ROW}, dt FROM fx_order WHERE dt <> 20170325
             UNION ALL SELECT {ROW}, dt FROM fx_order WHERE dt <> 20170325""",
         "load_day": f"{ORDERS} SELECT {EXTRACT} FROM fx_order WHERE dt > 20170322",

@@ -14,7 +14,7 @@ from tripaudit.plans.susp_report import SuspInputs, report_suspects, suspect_sum
 from tripaudit.plans.zero_report import ZeroInputs, bundle_zero_report
 from tripaudit.schemas import declared_columns, schema_from_ddl
 from tripaudit.session import configure, scratch_dir
-from tripaudit.sources import loads, readers, states, swap, tables, writers
+from tripaudit.sources import checked, loads, readers, states, swap, tables, writers
 from tripaudit.sources.files import Files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -660,6 +660,61 @@ def backfill_range(spark, sf):
     return readers.read_table(spark, target).select(*EXTRACT_COLUMNS)
 
 
+@query
+def backfill_resumed(spark, sf):
+    """Daily extracts of a week: three days loaded first, one of them replaced, then the whole range; five days kept."""
+    folder, log, name = scratch_dir(spark, "extracts"), scratch_dir(spark, "log"), _scratch_db(spark) + ".orders"
+    orders = I.fx_order(spark, sf).select(*EXTRACT_COLUMNS)
+    one_file = _kept(orders.where(F.col("dt") <= 20170326), "week")
+
+    def extract(day, rows):
+        path = scratch_dir(spark, "part")
+        writers.export_tsv(rows.where(F.col("dt") == day).coalesce(1), path)
+        files = Files(spark, path)
+        files.delete(readers.extract_path(folder, "orders", day))
+        files.rename(path, readers.extract_path(folder, "orders", day))
+
+    for day in I.DAYS[:7]:
+        extract(day, one_file if day != 20170321 else one_file.limit(0))
+    keys = [ID, "update_time", "l_extendedprice"]
+    loads.resume_backfill(spark, folder, "orders", I.FIRST_DAY, 20170322, schema_from_ddl(EXTRACT), name, log, keys)
+    extract(20170321, one_file)
+    loads.resume_backfill(spark, folder, "orders", I.FIRST_DAY, 20170326, schema_from_ddl(EXTRACT), name, log, keys, keep_days=6)
+    return spark.table(name).select(*EXTRACT_COLUMNS)
+
+
+@query
+def checked_extract(spark, sf):
+    """Lines of an extract, some of them broken, set aside: problems counted by column and reason, and the good rows."""
+    columns = [F.col(c).cast("string") for c in EXTRACT_COLUMNS]
+    n = F.col(LINE)
+    line = F.concat_ws("\t", *[F.coalesce(c, F.lit("\\N")) for c in columns])
+    broken = F.when(n == 1, F.concat(F.lit("x"), line)).when(n == 2, F.substring_index(line, "\t", 11)).when(n == 3, F.concat(line, F.lit("\tmore")))
+    lines = _kept(I.fx_order(spark, sf).select(F.coalesce(broken, line).alias("value")), "lines")
+    rows_ = checked.check_tsv(lines, schema_from_ddl(EXTRACT))
+    done = checked.set_aside(rows_, scratch_dir(spark, "checked"))
+    good = checked.good_rows(rows_, done).groupBy(F.lit("").alias("column"), F.lit("good").alias("reason")).agg(F.count("*").alias("n"))
+    return good.unionByName(checked.bad_rows(rows_, done).groupBy("column", "reason").agg(F.count("*").alias("n")))
+
+
+@query
+def checked_logs(spark, sf):
+    """Distance-service lines with a message for every ninth, set aside: good and bad ones."""
+    log = I.fx_distance_log(spark, sf)
+    lines = log.select(F.when(F.length("value") % 9 == 0, F.lit("OK")).otherwise(F.col("value")).alias("value"))
+    done = checked.set_aside(checked.check_distance_log(lines), scratch_dir(spark, "checked"))
+    return spark.createDataFrame([(done.good, done.bad)], "good bigint, bad bigint")
+
+
+@query
+def checked_tracks(spark, sf):
+    """Raw track replies set aside by what is wrong with them; points of the good ones."""
+    rows_ = checked.check_tracks(I.fx_track_reply(spark, sf))
+    done = checked.set_aside(rows_, scratch_dir(spark, "checked"))
+    points = readers.parse_tracks(checked.good_rows(rows_, done)).agg(F.lit("points").alias("reason"), F.count("*").alias("n"))
+    return points.unionByName(checked.bad_rows(rows_, done).groupBy("reason").agg(F.count("*").alias("n")))
+
+
 @query
 def rerun_empty_day(spark, sf):
     """All days written to a path and a table; a rerun of two days has rows for one of them only."""

@@ -11,7 +11,7 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from time import time
 
@@ -89,7 +89,7 @@ def stage(df: DataFrame, folder: str, part: str, days: Sequence[int] | None = No
     return Staged(folder, counts)
 
 
-def swap_table(spark: SparkSession, table: str, staged: Staged, part: str = "dt") -> None:
+def swap_table(spark: SparkSession, table: str, staged: Staged, part: str = "dt", done: Callable[[int, int], None] | None = None) -> None:
     """Let every staged day of a catalog table be read from where it was staged, day by day; old folders go last."""
     have = {_day_of("/" + r[0], part) for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
     old = {day: day_location(spark, table, day, part) for day in staged.days if day in have}
@@ -99,11 +99,13 @@ def swap_table(spark: SparkSession, table: str, staged: Staged, part: str = "dt"
             spark.sql(f"ALTER TABLE {table} PARTITION ({part}={day}) SET LOCATION '{where}'")
         else:
             spark.sql(f"ALTER TABLE {table} ADD PARTITION ({part}={day}) LOCATION '{where}'")
+        if done:
+            done(day, staged.days[day])
     for folder in old.values():
         Files(spark, folder).delete(folder)
 
 
-def swap_path(spark: SparkSession, target: str, staged: Staged, part: str = "dt") -> None:
+def swap_path(spark: SparkSession, target: str, staged: Staged, part: str = "dt", done: Callable[[int, int], None] | None = None) -> None:
     """Put every staged day in the place of the one on the path."""
     files = Files(spark, target)
     aside = f"{target}/_aside-{uuid.uuid4().hex}"
@@ -117,6 +119,8 @@ def swap_path(spark: SparkSession, target: str, staged: Staged, part: str = "dt"
                 break
         else:
             raise BrokenStage(f"{live} could not be replaced")
+        if done:
+            done(day, staged.days[day])
     for folder in [*files.match(f"{aside}-*"), staged.folder]:
         files.delete(folder)
 
@@ -131,9 +135,13 @@ def recover_path(spark: SparkSession, target: str) -> list[str]:
     return back
 
 
-def replace_days(df: DataFrame, target: str, part: str = "dt", days: Sequence[int] | None = None) -> dict[int, int]:
+def replace_days(
+    df: DataFrame, target: str, part: str = "dt", days: Sequence[int] | None = None, done: Callable[[int, int], None] | None = None
+) -> dict[int, int]:
     """Replace the days found in ``df``, or exactly the named ones, all or nothing for each; rows per day.
 
+    ``done`` is called with day and rows after each swap.
+
     The frame is computed once. No setting of the session is changed, so
     several writers can share one. A table's columns are cast to its types.
     """
@@ -153,7 +161,7 @@ def replace_days(df: DataFrame, target: str, part: str = "dt", days: Sequence[in
     except BaseException:
         Files(spark, folder).delete(folder)
         raise
-    (swap_path if is_path(target) else swap_table)(spark, target, staged, part)
+    (swap_path if is_path(target) else swap_table)(spark, target, staged, part, done)
     return staged.days
 
 
