@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tripaudit.llm import quality_classifier as qc
@@ -42,8 +43,11 @@ def test_scorer_equals_plain_features():
     texts = [f"good word{i} plain text here" for i in range(40)] + [f"bad### word{i} AWFUL awful### text" for i in range(40)]
     view.fit([qc.text_features(t) for t in texts], np.arange(80) < 40)
     scorer = qc.Scorer(qc.Model(view, qc.View(), 0.5, 0.5), bound=3)
-    for t in texts + ["", None, "awful### new"]:
-        assert np.isclose(scorer.text(t), view.raw(qc.text_features(t)))
+    texts += ["", None, "awful### new", "  bad###\tAWFUL \n", "É éb### \u2003x", "w " * 3000]
+    for part in (texts, texts[:1], texts[-6:-4]):
+        got = scorer.texts(pa.array(part, pa.string()))
+        assert np.allclose(got, [view.raw(qc.text_features(t)) for t in part])
+    assert len(scorer.texts(pa.array([], pa.string()))) == 0
     assert view.raw(qc.text_features("awful###")) < view.raw(qc.text_features("good plain"))
 
 
@@ -87,3 +91,26 @@ def test_only_equal_texts_are_copies(spark):
     known = spark.createDataFrame([(i, bool(i % 2)) for i in range(400)], "_id long, _good boolean")
     model = qc.fit(spark.createDataFrame(rows, DOCS).withColumnRenamed("doc_id", "_id"), known, ("text", "source", "lang", "n_chars"))
     assert model.text.weights[b"w:foul"] < 0 < model.text.weights[b"w:fine"]
+
+
+def test_classify_equals_plain_co_training(spark):
+    """The distributed rounds against the same in one process, on 500 documents of which 300 are labelled."""
+    rng = np.random.default_rng(5)
+    rows, labels = [], []
+    for i in range(500):
+        good = bool(rng.integers(2))
+        words = [f"w{rng.integers(40)}" for _ in range(20)] + ["fine" if good else "foul"] * int(rng.integers(2)) + [f"own{i}"]
+        rows.append((i, " ".join(words), "a" if good == (rng.random() < 0.97) else "b", "en", 100, None))
+        if i < 300:
+            labels.append((i, int(good), 0))
+    frame = spark.createDataFrame(rows, DOCS).repartition(3)
+    got = {r.doc_id: r for r in qc.classify(frame, spark.createDataFrame(labels, LABELS)).collect()}
+    order = sorted(range(300), key=lambda i: (str(i), qc._digest(sorted(qc.text_features(rows[i][1]))))) + list(range(300, 500))
+    known = dict((i, bool(q)) for i, q, _ in labels)
+    texts = [qc.text_features(rows[i][1]) for i in order]
+    metadata = [qc.metadata_features(*rows[i][2:5]) for i in order]
+    model = qc.co_train(texts, metadata, [known.get(i) for i in order])
+    p = model.combine(model.text.probability(texts), model.metadata.probability(metadata))
+    assert len(got) == 500 and np.allclose([got[i].quality_score for i in order], p, atol=1e-4)
+    sure = np.abs(p - model.threshold) > 1e-3
+    assert np.array([got[i].kept for i in order])[sure].tolist() == (p >= model.threshold)[sure].tolist() and sure.sum() > 400

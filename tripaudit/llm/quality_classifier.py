@@ -11,11 +11,12 @@ from __future__ import annotations
 import math
 import pickle
 import re
-from collections import Counter
 from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,7 +27,8 @@ from tripaudit.llm.common import keep
 LABELLED = 12_000
 ROUNDS = 3
 CONFIDENT = 0.95  # least probability of a pseudo-label
-FLUSH = 300_000  # distinct features that a task counts before it passes them on
+FLUSH = 150_000  # distinct features that a task counts before it passes them on
+TEXTS_AT_ONCE = 512
 LOST = 0.002  # of good calibration documents that the threshold may cost, at most
 MIN_DOCS, MIN_Z = 5, 5.0  # a feature counts from so many documents and so many standard deviations on
 
@@ -53,9 +55,9 @@ def _level(x: float, steps: Sequence[float]) -> int:
     return sum(x >= s for s in steps)
 
 
-def shape_features(raw: bytes, words: list[bytes], distinct: int) -> list[bytes]:
+def shape_features(raw: bytes, n_words: int, distinct: int) -> list[bytes]:
     """Levels of a text's overall shape."""
-    n, size = max(1, len(words)), max(1, len(raw))
+    n, size = max(1, n_words), max(1, len(raw))
     values = {
         "upper": _level((size - len(raw.translate(None, UPPER))) / size, (0.1, 0.25, 0.5)),
         "signs": _level((size - len(raw.translate(None, SIGNS))) / size, (0.01, 0.03, 0.1, 0.2)),
@@ -70,7 +72,7 @@ def text_features(text: str | None) -> set[bytes]:
     raw = (text or "").encode("utf-8", "surrogatepass")
     words = raw.split()
     distinct = set(words)
-    out = set(shape_features(raw, words, len(distinct)))
+    out = set(shape_features(raw, len(words), len(distinct)))
     for word in distinct:
         out.update(_word_features(word))
     return out
@@ -85,6 +87,35 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+class Rows:
+    """Feature sets of documents as numbers: ``items[starts[i] : starts[i + 1]]`` are those of document i in ``names``."""
+
+    def __init__(self, names: list[bytes], starts: np.ndarray, items: np.ndarray):
+        self.names, self.starts, self.items = names, starts, items
+
+    @classmethod
+    def of(cls, docs) -> Rows:
+        """From feature sets, one at a time: only numbers and one object per feature stay."""
+        if isinstance(docs, cls):
+            return docs
+        numbers: dict[bytes, int] = {}
+        parts = [np.fromiter((numbers.setdefault(f, len(numbers)) for f in own), np.int32, len(own)) for own in docs]
+        starts = np.concatenate(([0], np.cumsum([len(p) for p in parts]))).astype(np.int64)
+        return cls(list(numbers), starts, np.concatenate(parts) if parts else np.zeros(0, np.int32))
+
+    def __len__(self) -> int:
+        return len(self.starts) - 1
+
+    def document(self) -> np.ndarray:
+        """The document of each item."""
+        return np.repeat(np.arange(len(self)), np.diff(self.starts))
+
+    def take(self, chosen: np.ndarray) -> Rows:
+        """The documents that ``chosen`` (boolean) marks, in order."""
+        sizes = np.diff(self.starts)
+        return Rows(self.names, np.concatenate(([0], np.cumsum(sizes[chosen]))), self.items[np.repeat(chosen, sizes)])
+
+
 class View:
     """Logistic regression on the presence of features that set good and bad documents apart."""
 
@@ -112,28 +143,25 @@ class View:
         at most as much as the documents with the feature, or in full where
         fewer than ``MIN_DOCS`` have it. The key b"" has the totals.
         """
-        pseudo = pseudo or {}
+        pseudo, docs = pseudo or {}, Rows.of(docs)
         n, n_good = len(docs), int(good.sum())
         total, total_good = pseudo.get(b"", (0, 0))
-        in_good, in_all = Counter(), Counter()
-        for own, y in zip(docs, good):
-            in_all.update(own)
-            if y:
-                in_good.update(own)
-        names = self.select(((f, k, in_good[f]) for f, k in in_all.items()), n, n_good)
+        document = docs.document()
+        in_all = np.bincount(docs.items, minlength=len(docs.names))
+        in_good = np.bincount(docs.items[good[document]], minlength=len(docs.names))
+        several = np.flatnonzero(in_all >= MIN_DOCS)
+        names = self.select(((docs.names[i], int(in_all[i]), int(in_good[i])) for i in several), n, n_good)
         known = set(names)
         names += [f for f in self.select(((f, *k) for f, k in pseudo.items() if f), total, total_good) if f not in known]
         extra = np.array([pseudo.get(f, (0, 0)) for f in names], np.float64).reshape(-1, 2)
-        own_counts = np.array([in_all[f] for f in names], np.float64)
+        at = {f: i for i, f in enumerate(names)}
+        column = np.array([at.get(f, -1) for f in docs.names], np.int64)
+        own_counts = np.zeros(len(names))
+        own_counts[column[column >= 0]] = in_all[column >= 0]
         extra *= np.where(own_counts < MIN_DOCS, 1.0, np.minimum(1.0, own_counts / np.maximum(extra[:, 0], 1)))[:, None]
         odds = math.log((total_good + 1) / (total - total_good + 1))
-        at = {f: i for i, f in enumerate(names)}
-        rows, columns = [], []
-        for i, own in enumerate(docs):
-            for f in own & at.keys():
-                rows.append(i)
-                columns.append(at[f])
-        rows, columns = np.array(rows, np.int64), np.array(columns, np.int64)
+        columns = column[docs.items]
+        rows, columns = document[columns >= 0], columns[columns >= 0]
         y = good.astype(np.float64)
         w, bias = np.zeros(len(names)), math.log((n_good + 1) / (n - n_good + 1))
         grad_w, grad_b, squares, square_b = w, 0.0, np.full(len(names), 1e-6), 1e-6
@@ -153,14 +181,20 @@ class View:
         get = self.weights.get
         return self.bias + sum(get(f, 0.0) for f in own)
 
+    def raw_rows(self, docs: Rows) -> np.ndarray:
+        get = self.weights.get
+        weights = np.array([get(f, 0.0) for f in docs.names])
+        return self.bias + np.bincount(docs.document(), weights=weights[docs.items], minlength=len(docs)) if len(docs) else np.zeros(0)
+
     def probability(self, docs) -> np.ndarray:
-        return _sigmoid(np.array([self.raw(d) for d in docs]) * self.scale + self.shift)
+        raw = self.raw_rows(docs) if isinstance(docs, Rows) else np.array([self.raw(d) for d in docs])
+        return _sigmoid(raw * self.scale + self.shift)
 
     def calibrate(self, docs, good: np.ndarray) -> None:
         """Platt scaling with smoothed targets on documents that were not fitted."""
         if not len(docs) or good.all() or not good.any():
             return
-        x = np.array([self.raw(d) for d in docs])
+        x = self.raw_rows(Rows.of(docs))
         n1, n0 = good.sum(), (~good).sum()
         y = np.where(good, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
         a, b = 1.0, 0.0
@@ -198,8 +232,9 @@ def fit_views(texts: list[set[bytes]], metadata: list[set[bytes]], labels: list[
         return Model(*views, 0.5, 0.0)
     p = []
     for side, view, counts in zip((texts, metadata), views, pseudo):
-        view.fit([side[i] for i in np.flatnonzero(~calibration)], y, counts)
-        held = [side[i] for i in np.flatnonzero(calibration)]
+        side = Rows.of(side)
+        view.fit(side.take(~calibration), y, counts)
+        held = side.take(calibration)
         view.calibrate(held, labels[calibration])
         p.append(view.probability(held))
     model = Model(*views, float(y.mean()), 0.5)
@@ -237,9 +272,9 @@ def co_train(texts: list[set[bytes]], metadata: list[set[bytes]], labels: list[b
     return model
 
 
-def _digest(own: set[bytes]) -> bytes:
-    """Equal for equal feature sets."""
-    return xxhash.xxh3_128_digest(b"\n".join(sorted(own)))
+def _digest(own: list[bytes]) -> bytes:
+    """Equal for equal sorted features."""
+    return xxhash.xxh3_128_digest(b"\n".join(own))
 
 
 def _pseudo_counts(docs: DataFrame, columns: Sequence[str], model: Model) -> list[dict[bytes, tuple[int, int]]]:
@@ -256,13 +291,13 @@ def _pseudo_counts(docs: DataFrame, columns: Sequence[str], model: Model) -> lis
             return out
 
         for batch in batches:
-            text, *other = (batch[c].to_pylist() for c in columns)
+            other = [batch[c].to_pylist() for c in columns[1:]]
             meta = [metadata_features(*row) for row in zip(*other)]
-            by_text = confident(_sigmoid(np.array([scorer.text(t) for t in text]) * model.text.scale + model.text.shift))
+            by_text = confident(_sigmoid(scorer.texts(batch[columns[0]]) * model.text.scale + model.text.shift))
             by_meta = confident(model.metadata.probability(meta))
-            for t, m, y_text, y_meta in zip(text, meta, by_text, by_meta):
+            for t, m, y_text, y_meta in zip(batch[columns[0]], meta, by_text, by_meta):
                 if y_meta is not None:
-                    count_labels(counts[0], text_features(t), y_meta)
+                    count_labels(counts[0], text_features(t.as_py()), y_meta)
                     if len(counts[0]) > FLUSH:
                         yield flush(0)
                 if y_text is not None:
@@ -282,10 +317,10 @@ def _pseudo_counts(docs: DataFrame, columns: Sequence[str], model: Model) -> lis
         if not 0 < good < total:
             continue
         rate = good / total
-        own = summed.where((F.col("side") == side) & (F.length("feature") > 0) & (F.col("n") >= MIN_DOCS))
+        own = summed.where((F.col("side") == side) & (F.length("feature") > 0))
         spread = F.sqrt(F.col("n") * (rate * (1 - rate)) * (1 - F.col("n") / (total + 1)))
         z = F.abs(F.col("good") - F.col("n") * rate) / F.greatest(spread, F.lit(1e-9))
-        most = own.where(z >= view.min_z).orderBy(F.desc(z), "feature").limit(2 * view.bound)
+        most = own.where((F.col("n") >= MIN_DOCS) & (z >= view.min_z)).orderBy(F.desc(z), "feature").limit(2 * view.bound)
         fitted = own.sparkSession.createDataFrame([(f,) for f in view.weights], "feature binary")
         for r in (*most.collect(), *own.join(F.broadcast(fitted), "feature", "left_semi").collect()):
             out[side][bytes(r.feature)] = (r.n, r.good)
@@ -303,31 +338,38 @@ def fit(docs: DataFrame, labels: DataFrame, columns: Sequence[str], labelled: in
         for batch in batches:
             text, source, lang, size = (batch[c].to_pylist() for c in columns)
             for at in range(0, len(text), 500):
-                rows = [
-                    pickle.dumps((text_features(t), metadata_features(s, la, n)))
-                    for t, s, la, n in zip(text[at : at + 500], source[at : at + 500], lang[at : at + 500], size[at : at + 500])
-                ]
+                own = [sorted(text_features(t)) for t in text[at : at + 500]]
+                meta = [sorted(metadata_features(*row)) for row in zip(source[at : at + 500], lang[at : at + 500], size[at : at + 500])]
                 part = batch.slice(at, 500)
-                yield pa.RecordBatch.from_arrays([part["_id"].cast(pa.string()), pa.array(rows, pa.binary()), part["_good"]], names=["id", "own", "good"])
+                yield pa.RecordBatch.from_arrays(
+                    [part["_id"].cast(pa.string()), pa.array([_digest(f) for f in own], pa.binary()), pa.array(own, pa.list_(pa.binary())), pa.array(meta, pa.list_(pa.binary())), part["_good"]],
+                    names=["id", "digest", "own", "other", "good"],
+                )
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [r for b in batches for r in zip(b["id"].to_pylist(), b["own"].to_pylist(), b["good"].to_pylist())]
+        numbers: tuple[dict[bytes, int], dict[bytes, int]] = ({}, {})
+        rows = []
+        for batch in batches:  # numbers in place of features as soon as they are read
+            sides = []
+            for own, seen in zip((batch["own"], batch["other"]), numbers):
+                coded = own.flatten().dictionary_encode()
+                code = np.array([seen.setdefault(f, len(seen)) for f in coded.dictionary.to_pylist()], np.int32)
+                sides.append(np.split(code[coded.indices.to_numpy(zero_copy_only=False)], np.cumsum(pc.list_value_length(own).to_numpy(zero_copy_only=False))[:-1]))
+            rows += zip(batch["id"].to_pylist(), batch["digest"].to_pylist(), batch["good"].to_pylist(), *sides)
         rows.sort(key=lambda r: (r[0] or "", r[1]))
-        texts, metadata, known, seen = [], [], [], set()
-        shared: dict[bytes, bytes] = {}  # one object per feature, not one per document
-        rows.reverse()
-        while rows:
-            _, own, good = rows.pop()
-            text, other = ({shared.setdefault(f, f) for f in features} for features in pickle.loads(own))
-            digest = (_digest(text), good)
-            if digest not in seen:  # one of each group of equal feature sets
-                seen.add(digest)
-                texts.append(text)
-                metadata.append(other)
-                known.append(good)
-        yield pa.record_batch({"model": pa.array([pickle.dumps(fit_views(texts, metadata, known, pseudo))], pa.binary())})
-
-    extracted = keep(sample.mapInArrow(features, "id string, own binary, good boolean"), "classifier-sample").repartition(1)
+        kept, seen_before = [], set()
+        for row in rows:
+            if row[1:3] not in seen_before:  # one of each group of equal feature sets
+                seen_before.add(row[1:3])
+                kept.append(row)
+        sides = []
+        for side, names in zip((3, 4), numbers):
+            parts = [row[side] for row in kept]
+            starts = np.concatenate(([0], np.cumsum([len(p) for p in parts]))).astype(np.int64)
+            sides.append(Rows(list(names), starts, np.concatenate(parts) if parts else np.zeros(0, np.int32)))
+        yield pa.record_batch({"model": pa.array([pickle.dumps(fit_views(*sides, [row[2] for row in kept], pseudo))], pa.binary())})
+
+    extracted = keep(sample.mapInArrow(features, "id string, digest binary, own array<binary>, other array<binary>, good boolean"), "classifier-sample").repartition(1)
     pseudo: Sequence[dict | None] = (None, None)
     model = pickle.loads(extracted.mapInArrow(learn, "model binary").first().model)
     for _ in range(ROUNDS if model.threshold else 0):
@@ -337,24 +379,53 @@ def fit(docs: DataFrame, labels: DataFrame, columns: Sequence[str], labelled: in
 
 
 class Scorer:
-    """Scores of texts by way of a cache of the words that carry weight; the cache is emptied when full."""
-
-    def __init__(self, model: Model, bound: int = 1_000_000):
-        self.model, self.cache, self.bound = model, {}, bound
-
-    def text(self, text: str | None) -> float:
-        raw = (text or "").encode("utf-8", "surrogatepass")
-        words = raw.split()
-        distinct = set(words)
-        cache, weights = self.cache, self.model.text.weights
+    """Scores of texts, each different word of a batch looked up once in a cache of the features that carry weight; the cache is emptied when full."""
+
+    def __init__(self, model: Model, bound: int = 250_000):
+        self.view, self.cache, self.bound = model.text, {}, bound
+        self.numbers = {f: i for i, f in enumerate(self.view.weights)}
+        self.weights = np.array([*self.view.weights.values(), 0.0])
+
+    def _weighted(self, word: bytes) -> tuple[int, ...]:
+        return tuple(self.numbers[f] for f in _word_features(word) if f in self.numbers)
+
+    def _texts(self, texts: pa.Array) -> np.ndarray:
+        cut = pc.ascii_split_whitespace(texts)
+        coded = cut.flatten().dictionary_encode()
+        words, code = coded.dictionary.cast(pa.binary()).to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
+        document = np.repeat(np.arange(len(texts)), np.diff(cut.offsets.to_numpy()))
+        if b"" in words:  # white space at the ends of a text
+            real = code != words.index(b"")
+            document, code = document[real], code[real]
+        n_words = np.bincount(document, minlength=len(texts))
+        pairs = np.sort(document * len(words) + code)
+        pairs = pairs[np.concatenate(([True], pairs[1:] != pairs[:-1]))] if len(pairs) else pairs
+        document, code = np.divmod(pairs, max(1, len(words)))
+        n_distinct = np.bincount(document, minlength=len(texts))
+        cache = self.cache
         if len(cache) > self.bound:
             cache.clear()
-        for word in distinct.difference(cache):
-            cache[word] = tuple(f for f in _word_features(word) if f in weights) or None
-        found = set(f for f in shape_features(raw, words, len(distinct)) if f in weights)
-        for own in filter(None, map(cache.__getitem__, distinct)):
-            found.update(own)
-        return self.model.text.raw(found)
+        found = list(map(cache.get, words))
+        if None in found:
+            for i, word in enumerate(words):
+                if found[i] is None:
+                    found[i] = cache[word] = self._weighted(word)
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        flat = np.fromiter(chain.from_iterable(found), np.int64, int(sizes.sum()))
+        own = sizes[code]
+        starts = (np.cumsum(sizes) - sizes)[code] - (np.cumsum(own) - own)
+        features = flat[np.arange(own.sum()) + np.repeat(starts, own)]
+        keys = [np.repeat(document, own) * len(self.weights) + features]
+        for i, raw in enumerate(texts.cast(pa.binary()).to_pylist()):
+            shape = shape_features(raw, int(n_words[i]), int(n_distinct[i]))
+            keys.append(np.array([i * len(self.weights) + self.numbers[f] for f in shape if f in self.numbers], np.int64))
+        document, feature = np.divmod(np.unique(np.concatenate(keys)), len(self.weights))
+        return self.view.bias + np.bincount(document, weights=self.weights[feature], minlength=len(texts))
+
+    def texts(self, texts: pa.Array) -> np.ndarray:
+        """Raw scores; null texts are empty."""
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        return np.concatenate([self._texts(texts.slice(at, TEXTS_AT_ONCE)) for at in range(0, max(1, len(texts)), TEXTS_AT_ONCE)])
 
 
 ADDED = ["text_score", "metadata_score", "quality_score", "kept"]
@@ -386,8 +457,8 @@ def classify(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
         for batch in batches:
-            text, source, lang, size = (batch[c].to_pylist() for c in columns)
-            p_text = _sigmoid(np.array([scorer.text(t) for t in text]) * model.text.scale + model.text.shift)
+            source, lang, size = (batch[c].to_pylist() for c in columns[1:])
+            p_text = _sigmoid(scorer.texts(batch[columns[0]]) * model.text.scale + model.text.shift)
             p_meta = model.metadata.probability([metadata_features(*row) for row in zip(source, lang, size)])
             p = model.combine(p_text, p_meta)
             added = [pa.array(p_text), pa.array(p_meta), pa.array(p), pa.array(p >= model.threshold)]
