@@ -1,4 +1,5 @@
 import re
+import time
 from html import unescape
 
 import pytest
@@ -67,6 +68,51 @@ def test_article_is_a_weight(page, text):
     assert html_text.extract(f"<body>{page}</body>") == text
 
 
+LONG = " ".join(["one paragraph of two hundred characters in an element whose name says little"] * 3)[:200].strip()
+
+
+@pytest.mark.parametrize("start", [
+    '<div class="layout has-sidebar">', '<div id="content" class="no-sidebar">', '<div class="search-results">', '<div title="the hidden life">',
+    '<article title="the hidden life">', '<div class="main hidden-print">', '<div data-x="aria-hidden=true">', "<div class='page' id=main>",
+    '<p class="lead-in">', '<div class="notice">', '<section class="legal">',
+])
+def test_names_are_looked_at_as_a_whole(start):
+    tag = re.match("<([a-z]+)", start)[1]
+    assert html_text.extract(f"{start}<p>{LONG}</p></{tag}>") == LONG
+    assert html_text.extract(f"<article><p>first</p>{start}<p>{LONG}</p></{tag}></article>") == f"first {LONG}"
+
+
+@pytest.mark.parametrize("block", [
+    "<p class='advert'>buy</p>", "<p class=advert>buy", "<ul><li class='nav'>go<li class=nav>on</ul>", "<div class='legal'>all rights</div>",
+    "<table><tr><td class='sidebar'>aside</td></tr></table>", "<div class='notice'><p>" + "<a href=x>long link text of a notice</a> " * 6 + "</p></div>",
+    "<div hidden>no</div>", "<div aria-hidden='true'>no</div>", "<div class='site-footer'>f</div>", "<div class='teaser'>" + LONG + "</div>",
+    "<section class='comment-list'><p>" + LONG + "</p></section>", "<div class='share_buttons'>s</div>", "<h3 class='related-posts'>more</h3>",
+])
+def test_boilerplate_of_any_element(block):
+    assert html_text.extract(f"<article><p>first</p>{block}<p>last</p></article>") == "first last"
+    assert html_text.extract(f"<div><p>{A}</p></div>{block}<div><p>{B}</p></div>") == f"{A} {B}"
+
+
+def test_unmarked_blocks_go_by_the_distribution():
+    """A doubted name beside the text: kept where it is text, dropped where it is short; links between passages stay empty lines."""
+    notice = "<div class='notice'><p>{}</p></div>"
+    assert html_text.extract(f"<div><p>{A}</p>{notice.format('short')}<p>{B}</p></div>") == f"{A} {B}"
+    assert html_text.extract(f"<div><p>{A}</p>{notice.format(LONG)}<p>{B}</p></div>") == f"{A} {LONG} {B}"
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<script ", "<!", "</", '<a "', "<a '\"", "<div class=a", "<a b='c", "<b", "<!--", "<a href=x>", "<p class='ad'>x"])
+def test_broken_markup_takes_linear_time(piece):
+    start = time.process_time()
+    html_text.extract(piece * 100_000)
+    assert time.process_time() - start < 5
+
+
+def test_deep_nesting_takes_linear_time():
+    start = time.process_time()
+    html_text.extract("<div>" * 50_000 + "</span>" * 50_000)
+    assert time.process_time() - start < 5
+
+
 def test_long_page():
     body = "<p>" + "w " * 50 + "</p>"
     assert html_text.extract("<article>" + body * 4000 + "</article>").count("w") == 200000

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -22,55 +23,83 @@ BLOCKS = set(
     "tbody td tfoot th thead tr ul".split()
 )
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
-NESTING = BLOCKS - VOID - set("p li dd dt td th tr tbody thead tfoot option caption html body h1 h2 h3 h4 h5 h6".split()) | {"span", "label"}
+# Elements whose end tag may be missing, with the elements that end them where they open.
+IMPLIED = {
+    "p": BLOCKS - {"br"}, "li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "option": {"option"}, "caption": {"tr", "tbody", "thead"},
+    "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "tr": {"tr", "tbody", "tfoot"},
+    "h1": set(), "h2": set(), "h3": set(), "h4": set(), "h5": set(), "h6": set(),
+}
+NESTING = BLOCKS - VOID - set(IMPLIED) - set("tbody thead tfoot html body".split()) | {"span", "label"}
 BOILERPLATE = set("head nav footer aside form menu dialog button label".split())
 ROLES = set("navigation banner contentinfo complementary search alert dialog menu menubar alertdialog form".split())
-NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo(?:tion)?|banner|cookies?|consent|gdpr|"
-    r"notices?|popup|modal|overlay|newsletter|subscribe|subscription|nav|navbar|navigation|menu|breadcrumbs?|sidebar|side|"
-    r"widgets?|footer|header|masthead|topbar|comments?|comment-list|respond|replies|reply|disqus|share|sharing|social|"
-    r"related|recommend(?:ed|ations)?|login|signup|search|toolbar|pagination|pager|paywall|tags|copyright|legal|"
-    r"skip|alert|disclaimer)(?:$|[\s_-])",
-    re.I,
-)
+# Words of a class or id that name boilerplate; layout words do so only where the text is short or mostly links.
+NAMES = set(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent gdpr popup modal "
+    "overlay newsletter subscribe subscription nav navbar navigation menu breadcrumb breadcrumbs sidebar footer masthead topbar "
+    "comment comments respond replies reply disqus share sharing social related recommend recommended recommendations login signup "
+    "pagination pager paywall teaser teasers".split()
+)
+LAYOUT = set("banner notice notices side widget widgets header search toolbar tags copyright legal skip alert disclaimer".split())
+# Words that may stand beside them in one name.
+BESIDE = set(
+    "site page main box bar list section container wrapper wrap area block slot unit link links top bottom left right inner outer item "
+    "items button buttons icon icons panel form thread post posts story stories text".split()
+)
+FEW = 120  # characters below which a block with a layout word is boilerplate
 
+# No part of it goes back over what it has read, and none reads past the next tag in vain.
+INSIDE = r"(?:\"[^\"]*+\"|'[^']*+'|[^'\"<>]++)*+"
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>"
-    r"|<[!?/][^>]*>",
+    rf"|<({RAW})\b{INSIDE}>.*?(?:</\1\s*>|\Z)"
+    rf"|<(/?)([a-zA-Z][^\s/<>]*+)({INSIDE})>"
+    r"|<[!?/][^<>]*+>",
     re.S | re.I,
 )
-ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+ATTRIBUTE = re.compile(r"([a-zA-Z][^\s=\"'<>/]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'<>]++)))?+|\"[^\"]*+\"|'[^']*+'")
+
+KEEP, DOUBT, DROP = range(3)
+
 
+def _named(value: str) -> int:
+    """What the names in a class or id say; a name counts as a whole, so that ``has-sidebar`` is not ``sidebar``."""
+    found = KEEP
+    for name in value.lower().split():
+        parts = set(re.split(r"[_-]+", name)) - {""}
+        if parts <= NAMES | LAYOUT | BESIDE:
+            found = max(found, DROP if parts & NAMES else DOUBT if parts & LAYOUT else KEEP)
+    return found
 
-def _is_boilerplate(tag: str, attributes: str, in_article: bool) -> bool:
+
+def _verdict(tag: str, attributes: str, in_article: bool) -> int:
+    """Whether an element is boilerplate (``DROP``), or is if its text is short or mostly links (``DOUBT``)."""
     if tag in BOILERPLATE or (tag == "header" and not in_article):
-        return True
-    for kind, *values in ATTRIBUTE.findall(attributes) if "=" in attributes else ():
-        value = "".join(values)
-        if kind.lower() == "role":
-            if value.lower() in ROLES:
-                return True
-        elif tag not in ("article", "main") or "comment" in value.lower():
-            if NAMES.search(value):
-                return True
-    return bool(re.search(r"\s(?:hidden|aria-hidden=.?true)", attributes, re.I))
+        return DROP
+    found = KEEP
+    for name, *values in ATTRIBUTE.findall(attributes) if attributes else ():
+        name, value = name.lower(), "".join(values)
+        if name == "hidden" or (name == "aria-hidden" and value.lower() == "true") or (name == "role" and value.lower() in ROLES):
+            return DROP
+        if name in ("class", "id") and (tag not in ("article", "main") or "comment" in value.lower()):
+            found = max(found, _named(value))
+    return found
 
 
 def lines(page: str) -> list[tuple[str, int, bool]]:
     """Lines of a page with text, as ``(text, linked characters, in article)``; boilerplate, and lines that only open or close elements, are left out."""
-    out: list[tuple[str, int, bool]] = []
+    out: list[tuple[str, int, bool, tuple[int, ...]]] = []
     parts: list[str] = []
-    stack: list[tuple[str, bool]] = []
-    skipped = articles = linked = links = 0
+    stack: list[tuple[str, int, int]] = []  # element, verdict, number of a doubted block
+    opened: Counter[str] = Counter()
+    doubted: list[int] = []
+    skipped = articles = linked = links = doubts = 0
     at = 0
 
     def end_line():
         nonlocal linked
         line = " ".join("".join(parts).split())
         if line:
-            out.append((line, linked, articles > 0))
+            out.append((line, linked, articles > 0, tuple(doubted)))
         parts.clear()
         linked = 0
 
@@ -82,6 +111,16 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
             if links:
                 linked += len(piece)
 
+    def leave():
+        nonlocal skipped, articles
+        name, verdict, number = stack.pop()
+        opened[name] -= 1
+        skipped -= verdict == DROP
+        articles -= name in ("article", "main")
+        if number:
+            doubted.remove(number)
+        return name
+
     for m in TOKEN.finditer(page):
         text(page[at : m.start()])
         at = m.end()
@@ -92,28 +131,44 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
             links = 0 if closing else 1
         if tag in BLOCKS:
             end_line()
-        if tag not in NESTING:
+            if not closing and stack and tag in IMPLIED.get(stack[-1][0], ()):
+                leave()
+        if tag not in NESTING and tag not in IMPLIED:
             continue
         if closing:
-            if any(name == tag for name, _ in stack):
-                while stack:
-                    name, hidden = stack.pop()
-                    skipped -= hidden
-                    articles -= name in ("article", "main")
-                    if name == tag:
-                        break
-        else:
-            hidden = _is_boilerplate(tag, m[4], articles > 0)
-            if tag in ("article", "main") and not hidden and skipped and not any(h and n in ("article", "section", "aside") for n, h in stack):
-                # A container before the article was never closed.
-                stack, skipped = [(n, False) for n, _ in stack], 0
-            if tag != "span" or hidden or m[4]:
-                stack.append((tag, hidden))
-                skipped += hidden
-                articles += tag in ("article", "main")
+            if opened[tag]:
+                while leave() != tag:
+                    pass
+            continue
+        verdict = _verdict(tag, m[4], articles > 0)
+        if tag in IMPLIED and verdict == KEEP:
+            continue
+        if tag in ("article", "main") and verdict != DROP and skipped and not any(v == DROP and n in ("article", "section", "aside") for n, v, _ in stack):
+            # A container before the article was never closed.
+            stack, skipped, doubted = [(n, KEEP, 0) for n, _, _ in stack], 0, []
+        if tag != "span" or verdict or m[4]:
+            number = 0
+            if verdict == DOUBT:
+                doubts = number = doubts + 1
+                doubted.append(number)
+            stack.append((tag, verdict, number))
+            opened[tag] += 1
+            skipped += verdict == DROP
+            articles += tag in ("article", "main")
     text(page[at:])
     end_line()
-    return out
+    return _settled(out, doubts)
+
+
+def _settled(found: list[tuple[str, int, bool, tuple[int, ...]]], doubts: int) -> list[tuple[str, int, bool]]:
+    """The lines without those of doubted blocks with little text of their own, or mostly links."""
+    size, linked = [0] * (doubts + 1), [0] * (doubts + 1)
+    for line, in_links, _, blocks in found:
+        for k in blocks:
+            size[k] += len(line)
+            linked[k] += in_links
+    bad = {k for k in range(1, doubts + 1) if size[k] < FEW or 2 * linked[k] > size[k]}
+    return [(line, in_links, inside) for line, in_links, inside, blocks in found if not bad.intersection(blocks)]
 
 
 def _passages(sizes: list[int]) -> list[tuple[int, int, bool]]:
