@@ -62,3 +62,11 @@ def test_repeats_and_empty(spark):
 def test_native(spark):
     plan = license_scan.scan(spark.createDataFrame(TEXTS and [(1, "a")], "doc_id long, text string"))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
+
+
+def test_only_ascii_letters_are_lower_cased(spark):
+    """A Kelvin sign is no k and a dotted capital I no i."""
+    text = "THIS WORK IS LICENSED UNDER THE GNU GENERAL PUBLIC LICENSE VERSION"
+    rows = [(1, text), (2, text.replace("K", "K")), (3, text.replace("I", "İ"))]
+    got = {r.doc_id: r for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1].score == 1.0 and got[2].score < 1.0 and got[3].n_base == 0

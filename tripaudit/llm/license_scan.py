@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from tripaudit.llm.common import let
 
 # Phrases that count as base places, with their labels.
 PHRASES = [("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl")]
+UPPER = string.ascii_uppercase
+
 # Customary license sentences, lower case without punctuation, with their labels.
 SENTENCES = [
     ("permission is hereby granted free of charge to any person obtaining a copy of this software", "mit"),
@@ -47,7 +51,7 @@ def templates(spark: SparkSession, phrases=None, sentences=None) -> DataFrame:
 
 
 def _words(text: Column) -> Column:
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), WORD_GAP), lambda w: w != "")
+    return F.filter(F.split(F.translate(F.coalesce(text, F.lit("")), UPPER, UPPER.lower()), WORD_GAP), lambda w: w != "")
 
 
 def scan(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", phrases=None, sentences=None) -> DataFrame:

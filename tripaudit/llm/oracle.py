@@ -57,7 +57,7 @@ FROM judged JOIN rates USING (host)
 
 
 def license_scan_sql() -> str:
-    words = _WORDS.format(text="lower(coalesce(text, ''))", gap=license_scan.WORD_GAP)
+    words = _WORDS.format(text=f"translate(coalesce(text, ''), '{license_scan.UPPER}', '{license_scan.UPPER.lower()}')", gap=license_scan.WORD_GAP)
     return f"""
 WITH tpl(t, label, base, pairs, pos, gram) AS (VALUES {_template_rows()}
 ), w AS (SELECT doc_id, {words} AS ws FROM documents
