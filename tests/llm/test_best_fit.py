@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -68,15 +69,25 @@ def test_query_against_plain_encoding(spark):
 
 def test_words_equal_whole_encoding():
     tokenizer, own = Tokenizer.from_file(PATH), best_fit.Words(PATH)
-    for text, ids in zip(ODD, own.ids(ODD)):
-        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids + [0], repr(text)
+    ids, n = own.ids(pa.array([*ODD, None]))
+    for text, found in zip([*ODD, ""], np.split(ids, np.cumsum(n)[:-1])):
+        assert found.tolist() == tokenizer.encode(text, add_special_tokens=False).ids + [0], repr(text)
 
 
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=" \n\tab'SésÉ́1#<|endoftx>\x1c\x85 Σ", max_size=30))
 def test_words_random(text):
     want = TOKENIZER.encode(text, add_special_tokens=False).ids + [0]
-    assert np.frombuffer(best_fit.words(PATH).ids([text])[0], "<u4").tolist() == want
+    assert best_fit.words(PATH).ids(pa.array([text]))[0].tolist() == want
+
+
+def test_slices_hold_about_so_many_bytes():
+    rng = random.Random(6)
+    for _ in range(100):
+        texts = [None if rng.random() < 0.1 else "x" * rng.choice([0, 1, 5, 40]) for _ in range(rng.randint(0, 30))]
+        runs = unit_cache.text_slices(pa.array(texts, pa.string()), 20)
+        assert [i for at, n in runs for i in range(at, at + n)] == list(range(len(texts)))
+        assert all(sum(len(t or "") for t in texts[at + 1 : at + n]) <= 20 for at, n in runs)
 
 
 def test_cache_stays_bounded(monkeypatch):
@@ -84,7 +95,7 @@ def test_cache_stays_bounded(monkeypatch):
     own = best_fit.Words(PATH)
     for n in range(30):
         texts = [" ".join(f"w{i}" for i in range(n, n + 8)) + " common " + "y" * (100 + n)]
-        assert np.frombuffer(own.ids(texts)[0], "<u4").tolist() == TOKENIZER.encode(texts[0], add_special_tokens=False).ids + [0]
+        assert own.ids(pa.array(texts))[0].tolist() == TOKENIZER.encode(texts[0], add_special_tokens=False).ids + [0]
         assert len(own.young) <= 21 and len(own.old) <= 21 and "common" in own.young
     assert all(len(u) <= 64 for u in own.old)
 

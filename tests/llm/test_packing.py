@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -54,7 +55,7 @@ def test_query_against_plain_encoding(spark):
 
 def test_units_equal_whole_encoding():
     tokenizer, own = Tokenizer.from_file(PATH), packing.Units(PATH)
-    got = own.ids(ODD)
+    got = own.ids(pa.array(ODD))
     for text, ids in zip(ODD, got):
         assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids + [0], text
 
@@ -64,7 +65,7 @@ def test_units_equal_whole_encoding():
 def test_units_random(text):
     own, tokenizer = packing.units(PATH), Tokenizer.from_file(PATH)
     want = tokenizer.encode(text, add_special_tokens=False).ids + [0]
-    assert np.frombuffer(own.ids([text])[0], "<u4").tolist() == want
+    assert np.frombuffer(own.ids(pa.array([text]))[0], "<u4").tolist() == want
 
 
 @settings(max_examples=200, deadline=None)

@@ -5,21 +5,18 @@ from __future__ import annotations
 from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripaudit.llm.common import Rolling, keep
-from tripaudit.llm.unit_cache import LETTERS, SIGNS, UnitCache
+from tripaudit.llm.unit_cache import LETTERS, SIGNS, UnitCache, text_slices
 
 CAPACITY = 2048
-END = b"\0\0\0\0"
-# Python's split takes these for white space, the tokenizer does not.
-SEPARATORS = "\x1c\x1d\x1e\x1f"
 PIECES = "row bigint, doc_id {id}, piece int, start bigint, length bigint, ids binary"
 
 
@@ -47,17 +44,15 @@ class Words(UnitCache):
         ids.update(zip(rest, self.encode(rest)))
         return [ids[b] + ids[s] for b, s in zip(bare, signs)]
 
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text and the closing id 0."""
-        odd = [i for i, t in enumerate(texts) if any(c in t for c in SEPARATORS)]
-        cut = [t.split() for t in texts]
-        for i in odd:
-            cut[i] = []
-        known = self.look_up(chain.from_iterable(cut))
-        out = [b"".join([known[w] for w in words]) + END for words in cut]
-        for i in odd:
-            out[i] = self.encode([texts[i]])[0] + END
-        return out
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, each with the closing id 0, and how many each has.
+
+        Words are cut at the white space of ASCII.
+        """
+        cut = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        ids, n = self.gather(cut.flatten())
+        ends = np.concatenate(([0], np.cumsum(n)))[cut.offsets.to_numpy()[1:]]
+        return np.insert(ids, ends, 0), np.diff(ends, prepend=0) + 1
 
 
 @lru_cache(maxsize=1)
@@ -65,16 +60,15 @@ def words(path: str) -> Words:
     return Words(path)
 
 
-def _cut(keys: pa.Array, ids: list[bytes], first: int, capacity: int) -> pa.RecordBatch:
-    """Pieces of at most ``capacity`` tokens, numbered from ``first``; the ids of all of them are one buffer."""
-    n = np.array([len(i) // 4 for i in ids], np.int64)
+def _cut(keys: pa.Array, ids: np.ndarray, n: np.ndarray, first: int, capacity: int) -> pa.RecordBatch:
+    """Pieces of at most ``capacity`` tokens, numbered from ``first``; their ids stay one buffer."""
     pieces = -(-n // capacity)
     item = np.repeat(np.arange(len(n)), pieces)
     piece = np.arange(len(item)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
     start = piece * capacity
     length = np.minimum(n[item] - start, capacity)
     ends = np.concatenate(([0], np.cumsum(4 * length)))
-    data = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(item), [None, pa.py_buffer(ends), pa.py_buffer(b"".join(ids))])
+    data = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(item), [None, pa.py_buffer(ends), pa.py_buffer(ids)])
     columns = [first + np.arange(len(item)), keys.take(pa.array(item)), piece.astype(np.int32), start, length, data.cast(pa.binary())]
     names = ["row", "doc_id", "piece", "start", "length", "ids"]
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=names)
@@ -86,9 +80,9 @@ def pieces_of(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, capac
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of, row = words(tokenizer).ids, TaskContext.get().partitionId() << 40
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                cut = _cut(part.column(0), ids_of([t or "" for t in part.column(1).to_pylist()]), row, capacity)
+            for at, n in text_slices(batch.column(1)):
+                part = batch.slice(at, n)
+                cut = _cut(part.column(0), *ids_of(part.column(1)), row, capacity)
                 row += cut.num_rows
                 yield cut
 

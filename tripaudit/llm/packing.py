@@ -5,16 +5,16 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from heapq import heappop, heappush
-from itertools import chain
 import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tripaudit.llm.unit_cache import LETTERS, SIGNS, UnitCache
+from tripaudit.llm.unit_cache import LETTERS, SIGNS, UnitCache, text_slices
 
 CAPACITY = 1024
 # Cost of a piece of n tokens: LINEAR * n for projections, QUADRATIC * n * n for attention.
@@ -36,8 +36,8 @@ class Units(UnitCache):
     def __init__(self, path: str):
         super().__init__(path, led=True)
 
-    def encode_units(self, units: list[str]) -> list[bytes | None]:
-        """Ids of each unit with a space ahead of it; None for one that begins or ends with white space."""
+    def encode_units(self, units: list[str]) -> list[bytes]:
+        """Ids of each unit with a space ahead of it; none for one that begins or ends with white space."""
         bare = [u.rstrip(SIGNS) for u in units]
         bare = [b if b[-1:].isalnum() else u for b, u in zip(bare, units)]
         signs = [u[len(b) :] for b, u in zip(bare, units)]
@@ -48,20 +48,30 @@ class Units(UnitCache):
         ids.update(zip(rest, self.encode([" " + u for u in rest])))
         ends = list(set(signs))
         tails = dict(zip(ends, self.encode(ends)))
-        return [ids[b] + tails[s] if b in ids else None for b, s in zip(bare, signs)]
+        return [ids[b] + tails[s] if b in ids else b"" for b, s in zip(bare, signs)]
 
-    def ids(self, texts: Sequence[str]) -> list[bytes]:
+    def ids(self, texts: pa.Array) -> list[bytes]:
         """Ids of each text, the closing id 0 included."""
-        cut = [t.split(" ") for t in texts]
-        known = self.look_up(chain.from_iterable(parts[1:] for parts in cut))
-        heads = self.encode([parts[0] for parts in cut])
-        out = []
-        for text, parts, head in zip(texts, cut, heads):
-            tail = [known[u] for u in parts[1:]]
-            if None in tail or parts[0][-1:].isspace() or (tail and not parts[0]):
+        cut = pc.split_pattern(pc.fill_null(texts, ""), " ")
+        parts, offsets = cut.flatten(), cut.offsets.to_numpy()
+        led = np.ones(len(parts), bool)
+        led[offsets[:-1]] = False
+        ids, n = self.gather(parts.filter(pa.array(led)))
+        ends = offsets[1:] - np.arange(1, len(offsets))  # units before the end of each text
+        odd = np.diff(np.concatenate(([0], np.cumsum(n == 0)))[ends], prepend=0) > 0
+        stops = (4 * np.concatenate(([0], np.cumsum(n)))[ends]).tolist()
+        several = (np.diff(ends, prepend=0) > 0).tolist()
+        heads = parts.take(pa.array(offsets[:-1])).to_pylist()
+        data, at, out = memoryview(ids.tobytes()), 0, []
+        for row, (first, head, stop) in enumerate(zip(heads, self.encode(heads), stops)):
+            if odd[row] or first[-1:].isspace() or (several[row] and not first):
                 # White space runs: cut only where both neighbours are visible.
-                head, *tail = self.encode([(" " if k else "") + u for k, u in enumerate(INNER_SPACE.split(text))])
-            out.append(b"".join((head, *tail, END)))
+                whole = INNER_SPACE.split(texts[row].as_py())
+                own = self.encode([(" " if k else "") + u for k, u in enumerate(whole)])
+                out.append(b"".join((*own, END)))
+            else:
+                out.append(b"".join((head, data[at:stop], END)))
+            at = stop
         return out
 
 
@@ -177,11 +187,10 @@ def pack(
 
         for batch in batches:
             names = batch.schema.field(0).type
-            texts = [t or "" for t in batch.column(1).to_pylist()]
             own_keys = batch.column(0).to_pylist()
-            for at in range(0, len(texts), 256):
-                found = encode(texts[at : at + 256])
-                keys += own_keys[at : at + 256]
+            for at, n in text_slices(batch.column(1)):
+                found = encode(batch.column(1).slice(at, n))
+                keys += own_keys[at : at + n]
                 ids += found
                 held += sum(map(len, found)) // 4
                 if held >= group_tokens:

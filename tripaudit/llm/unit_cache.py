@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterable
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # Units kept in each of two generations, and the longest that is kept beyond its batch.
 KEPT_UNITS = 300_000
@@ -30,6 +31,16 @@ SPACE = chr(BYTE_LETTERS[32])
 WORD_END = "</w>"
 
 
+BYTES_AT_ONCE = 6_000_000
+
+
+def text_slices(texts: pa.Array, most: int = BYTES_AT_ONCE) -> list[tuple[int, int]]:
+    """``(start, number)`` of runs of texts of about ``most`` bytes together; a longer text is a run of its own."""
+    run = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64) // most
+    starts = np.flatnonzero(np.diff(run, prepend=-1))
+    return list(zip(starts.tolist(), np.diff(starts, append=len(texts)).tolist()))
+
+
 class UnitCache:
     """Ids as little-endian unsigned 32-bit bytes, by unit.
 
@@ -70,18 +81,33 @@ class UnitCache:
             out += [data[a:z] for a, z in zip([0, *ends], ends)]
         return out
 
-    def look_up(self, units: Iterable[str]) -> dict[str, bytes]:
-        """A dictionary that holds (at least) these units; it is to be used before the next call."""
+    def look_up(self, units: list[str]) -> list[bytes]:
+        """Ids of different units."""
         if len(self.young) > KEPT_UNITS:
             self.old = {u: i for u, i in self.young.items() if len(u) <= KEPT_CHARS}
             self.young = {}
         young, old = self.young, self.old
-        unseen = set(units).difference(young)
-        fresh = [u for u in unseen if u not in old]
-        if len(fresh) < len(unseen):
-            young.update((u, old[u]) for u in unseen if u in old)
-        young.update(zip(fresh, self.encode_units(fresh)))
-        return young
+        found = list(map(young.get, units))
+        if None in found:
+            unseen = [u for u, ids in zip(units, found) if ids is None]
+            fresh = [u for u in unseen if u not in old]
+            if len(fresh) < len(unseen):
+                young.update((u, old[u]) for u in unseen if u in old)
+            young.update(zip(fresh, self.encode_units(fresh)))
+            found = [young[u] if ids is None else ids for u, ids in zip(units, found)]
+        return found
+
+    def gather(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all units one after the other, and how many each has; each different unit is looked up once."""
+        coded = units.dictionary_encode()
+        own = self.look_up(coded.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, own), np.int64, len(own)) // 4
+        data = np.frombuffer(b"".join(own), "<u4")
+        code = coded.indices.to_numpy(zero_copy_only=False)
+        n = sizes[code]
+        ends = np.cumsum(n)
+        first = (np.cumsum(sizes) - sizes)[code] - (ends - n)
+        return data[np.arange(n.sum()) + np.repeat(first, n)], n
 
     def encode_units(self, units: list[str]) -> list[bytes]:
         return self.encode(units)
