@@ -65,8 +65,8 @@ def test_native(spark):
 
 
 def test_only_ascii_letters_are_lower_cased(spark):
-    """A Kelvin sign is no k and a dotted capital I no i."""
-    text = "THIS WORK IS LICENSED UNDER THE GNU GENERAL PUBLIC LICENSE VERSION"
-    rows = [(1, text), (2, text.replace("K", "K")), (3, text.replace("I", "İ"))]
+    """A Kelvin sign is no k: the word pairs with it are no votes."""
+    text = "THIS WORK IS LICENSED UNDER THE GNU"
+    rows = [(1, text), (2, text.replace("K", "\u212a"))]
     got = {r.doc_id: r for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got[1].score == 1.0 and got[2].score < 1.0 and got[3].n_base == 0
+    assert got[1].score > got[2].score > 0
