@@ -39,7 +39,8 @@ def salted_join(
         return df.join(side, list(on), how)
     salt = F.pmod(F.xxhash64(*on, *spread), F.lit(salts)).cast("int")
     left = df.withColumn("_salt", salt)
-    right = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    # Spark does not see that the side becomes ``salts`` times as large, and would broadcast all of it.
+    right = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).hint("merge")
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
