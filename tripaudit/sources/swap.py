@@ -58,18 +58,20 @@ def _day_of(path: str, part: str) -> int | None:
     return int(found.group(1)) if found else None
 
 
-def stage(df: DataFrame, folder: str, part: str, days: Sequence[int] | None = None) -> Staged:
+def stage(df: DataFrame, folder: str, part: str, days: Sequence[int] | None = None, together: bool = False) -> Staged:
     """Write ``df`` once to ``folder``, check it, and mark every day with its rows and files.
 
     Rows are rebalanced by day first: a day becomes a few files of a sound
     size, and a day holding most of the rows is split instead of being written
-    by one task. The rows are counted by the run that writes them, the staged
+    by one task. Where the rows of a day lie ``together`` in a few tasks of a
+    sound size as they come, they are written so, without an exchange. The rows are counted by the run that writes them, the staged
     ones from the footers of the files; the days are the folders found. Named
     days without rows are staged empty.
     """
     spark, files = df.sparkSession, Files(df.sparkSession, folder)
     seen = Observation()
-    rows = df.hint("rebalance", F.col(part)).observe(seen, F.count(F.lit(1)).alias("n"))
+    dealt = df if together else df.hint("rebalance", F.col(part))
+    rows = dealt.observe(seen, F.count(F.lit(1)).alias("n"))
     rows.write.partitionBy(part).parquet(folder)
     found = {_day_of(p, part): p for p in files.match(f"{folder}/{part}=*")}
     if None in found:
@@ -136,11 +138,16 @@ def recover_path(spark: SparkSession, target: str) -> list[str]:
 
 
 def replace_days(
-    df: DataFrame, target: str, part: str = "dt", days: Sequence[int] | None = None, done: Callable[[int, int], None] | None = None
+    df: DataFrame,
+    target: str,
+    part: str = "dt",
+    days: Sequence[int] | None = None,
+    done: Callable[[int, int], None] | None = None,
+    together: bool = False,
 ) -> dict[int, int]:
     """Replace the days found in ``df``, or exactly the named ones, all or nothing for each; rows per day.
 
-    ``done`` is called with day and rows after each swap.
+    ``done`` is called with day and rows after each swap; ``together`` is that of :func:`stage`.
 
     The frame is computed once. No setting of the session is changed, so
     several writers can share one. A table's columns are cast to its types.
@@ -157,7 +164,7 @@ def replace_days(
         folder = f"{table_location(spark, target)}/load-{uuid.uuid4().hex}"
         rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in spark.table(target).schema])
     try:
-        staged = stage(rows, folder, part, days)
+        staged = stage(rows, folder, part, days, together)
     except BaseException:
         Files(spark, folder).delete(folder)
         raise

@@ -13,18 +13,21 @@ from tripaudit.sources.swap import is_path, replace_days
 from tripaudit.sources.tables import declare_table
 
 
-def overwrite_partition(df: DataFrame, target: str, part: str = "dt", days: Sequence[int] | None = None) -> dict[int, int]:
+def overwrite_partition(
+    df: DataFrame, target: str, part: str = "dt", days: Sequence[int] | None = None, together: bool = False
+) -> dict[int, int]:
     """Replace the ``part`` values present in ``df``, or exactly the named ``days``; rerunnable. Rows per day.
 
     ``target`` is a Parquet path or a catalog table, which is created where it
     does not exist. A named day for which ``df`` has no rows ends up without
     rows, and rows of other days are not written. A day is replaced all or
-    nothing, see :mod:`tripaudit.sources.swap`.
+    nothing, see :mod:`tripaudit.sources.swap`. Set ``together`` for rows that
+    come by day, such as one day's or those read from days: they are not moved.
     """
     if not is_path(target) and not df.sparkSession.catalog.tableExists(target):
         own = [f for f in df.schema if f.name != part]
         declare_table(df.sparkSession, target, StructType([*own, df.schema[part]]), part)
-    return replace_days(df, target, part, days)
+    return replace_days(df, target, part, days, together=together)
 
 
 def upsert_by_date(df: DataFrame, target: str, part: str = "dt", days: Sequence[int] | None = None) -> dict[int, int]:
