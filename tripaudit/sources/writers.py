@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -9,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tripaudit.functions.text import NULL_TEXT, escape_tsv
+from tripaudit.sources.files import Files
+from tripaudit.sources.readers import extract_path
 from tripaudit.sources.swap import is_path, replace_days
 from tripaudit.sources.tables import declare_table
 
@@ -45,15 +48,38 @@ def replace_table(df: DataFrame, target: str, day: int) -> None:
         writer.format("parquet").saveAsTable(target)
 
 
+def _tsv_line(names: Sequence[str]) -> Column:
+    texts = [F.coalesce(escape_tsv(F.col(c).cast("string")), F.lit(NULL_TEXT)) for c in names]
+    return F.concat_ws("\t", *texts).alias("value")
+
+
 def export_tsv(df: DataFrame, path: str, columns: Sequence[str] | None = None) -> None:
     """Write tab-separated text without header or quotes, NULL as ``\\N``.
 
     Backslashes, tabs and line ends inside a value are escaped by a backslash
     (so a text equal to the NULL mark is not NULL); ``read_tsv`` undoes it.
     """
-    names = columns or df.columns
-    texts = [F.coalesce(escape_tsv(F.col(c).cast("string")), F.lit(NULL_TEXT)) for c in names]
-    df.select(F.concat_ws("\t", *texts).alias("value")).write.mode("overwrite").text(path)
+    df.select(_tsv_line(columns or df.columns)).write.mode("overwrite").text(path)
+
+
+def export_days(df: DataFrame, folder: str, table: str, columns: Sequence[str] | None = None, part: str = "dt") -> list[int]:
+    """The daily extracts of all days in ``df`` by one job that moves no rows, in the format of :func:`export_tsv`; returns the days.
+
+    Each extract is a folder where :func:`~tripaudit.sources.readers.extract_path`
+    says, in place of one that is there. Rows without a day are in none.
+    """
+    spark, stage = df.sparkSession, f"{folder.rstrip('/')}/_days-{uuid.uuid4().hex}"
+    files = Files(spark, stage)
+    lines = df.where(F.col(part).isNotNull()).select(F.col(part).alias("_day"), _tsv_line(columns or df.columns))
+    lines.write.partitionBy("_day").text(stage)
+    found = {int(f.rsplit("=", 1)[1]): f for f in files.match(f"{stage}/_day=*")}
+    for day, own in found.items():
+        path = extract_path(folder, table, day)
+        files.delete(path)
+        if not files.rename(own, path):
+            raise OSError(f"{own} could not be moved to {path}")
+    files.delete(stage)
+    return sorted(found)
 
 
 def write_bundle(frames: Mapping[str, DataFrame], folder: str) -> dict[str, str]:
