@@ -107,12 +107,13 @@ def load_day(
 
     The table is created on the first run. Running a day again gives the same
     table, also if its extract has become empty. ``dedupe_keys`` is None for a
-    table whose extract is taken as it is.
+    table whose extract is taken as it is. All rows are of one day, so they are
+    moved for the deduplication only.
     """
     columns = StructType([f for f in schema.fields if f.name != "dt"] + [schema["dt"]])
     declare_table(spark, target, columns)
     rows = load_extracts(spark, folder, table, [day], schema, dedupe_keys)
-    overwrite_partition(rows, target, days=[day])
+    overwrite_partition(rows, target, days=[day], together=True)
     return expire_partitions(spark, target, day, keep_days)
 
 
