@@ -101,3 +101,16 @@ def test_long_text_and_small_groups(spark):
     frame = spark.createDataFrame([(i, "word " * 3000 if i == 4 else "alpha beta") for i in range(40)], "doc_id long, text string")
     out = packing.pack(frame.coalesce(1), PATH, group_tokens=500).collect()
     assert max(r.length for r in out) == 1024 and len({r.doc_id for r in out}) == 40
+
+
+def test_few_texts_are_looked_up_at_once():
+    """A task held the units of 6 MB of text, which took the pipeline over an executor's memory."""
+    texts, seen = pa.array(["a" * 500_000] * 12 + [None]), []
+
+    def encode(part):
+        seen.append(sum(len(t or "") for t in part.to_pylist()))
+        return [b""] * len(part)
+
+    parts = list(packing.encoded(list(range(13)), texts, encode))
+    assert [k for keys, _ in parts for k in keys] == list(range(13))
+    assert max(seen) <= 2_500_000 and sum(seen) == 6_000_000

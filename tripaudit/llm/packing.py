@@ -20,6 +20,8 @@ CAPACITY = 1024
 # Cost of a piece of n tokens: LINEAR * n for projections, QUADRATIC * n * n for attention.
 LINEAR, QUADRATIC = 1.0, 1.0 / CAPACITY
 GROUP_TOKENS = 2_000_000
+# Text whose units are looked up at once: what a task holds at its peak grows with it.
+TEXT_BYTES = 2_000_000
 END = b"\0\0\0\0"
 INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
@@ -80,6 +82,12 @@ def units(path: str) -> Units:
     return Units(path)
 
 
+def encoded(keys: list, texts: pa.Array, encode) -> Iterator[tuple[list, list[bytes]]]:
+    """Keys and ids of a batch, about ``TEXT_BYTES`` of text at a time."""
+    for at, n in text_slices(texts, TEXT_BYTES):
+        yield keys[at : at + n], encode(texts.slice(at, n))
+
+
 def cost(length, linear: float = LINEAR, quadratic: float = QUADRATIC):
     return linear * length + quadratic * length * length
 
@@ -187,10 +195,8 @@ def pack(
 
         for batch in batches:
             names = batch.schema.field(0).type
-            own_keys = batch.column(0).to_pylist()
-            for at, n in text_slices(batch.column(1)):
-                found = encode(batch.column(1).slice(at, n))
-                keys += own_keys[at : at + n]
+            for own, found in encoded(batch.column(0).to_pylist(), batch.column(1), encode):
+                keys += own
                 ids += found
                 held += sum(map(len, found)) // 4
                 if held >= group_tokens:
