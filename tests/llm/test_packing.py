@@ -111,6 +111,6 @@ def test_few_texts_are_looked_up_at_once():
         seen.append(sum(len(t or "") for t in part.to_pylist()))
         return [b""] * len(part)
 
-    parts = list(packing.encoded(list(range(13)), texts, encode))
+    parts = list(packing.encoded(list(range(13)), texts, encode, 2_000_000))
     assert [k for keys, _ in parts for k in keys] == list(range(13))
     assert max(seen) <= 2_500_000 and sum(seen) == 6_000_000

@@ -14,14 +14,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tripaudit.llm.unit_cache import LETTERS, SIGNS, UnitCache, text_slices
+from tripaudit.llm.unit_cache import BYTES_AT_ONCE, LETTERS, SIGNS, UnitCache, text_slices
 
 CAPACITY = 1024
 # Cost of a piece of n tokens: LINEAR * n for projections, QUADRATIC * n * n for attention.
 LINEAR, QUADRATIC = 1.0, 1.0 / CAPACITY
 GROUP_TOKENS = 2_000_000
-# Text whose units are looked up at once: what a task holds at its peak grows with it.
-TEXT_BYTES = 2_000_000
 END = b"\0\0\0\0"
 INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
@@ -82,9 +80,9 @@ def units(path: str) -> Units:
     return Units(path)
 
 
-def encoded(keys: list, texts: pa.Array, encode) -> Iterator[tuple[list, list[bytes]]]:
-    """Keys and ids of a batch, about ``TEXT_BYTES`` of text at a time."""
-    for at, n in text_slices(texts, TEXT_BYTES):
+def encoded(keys: list, texts: pa.Array, encode, most: int = BYTES_AT_ONCE) -> Iterator[tuple[list, list[bytes]]]:
+    """Keys and ids of a batch, about ``most`` bytes of text at a time."""
+    for at, n in text_slices(texts, most):
         yield keys[at : at + n], encode(texts.slice(at, n))
 
 
@@ -152,12 +150,15 @@ def pack(
     linear: float = LINEAR,
     quadratic: float = QUADRATIC,
     group_tokens: int = GROUP_TOKENS,
+    text_bytes: int = BYTES_AT_ONCE,
 ) -> DataFrame:
     """Pieces ``doc_id, start, length, ids, doc_tokens, sequence_id, offset`` of all documents.
 
     ``ids`` holds the piece's token ids as little-endian unsigned 32-bit bytes.
     Each task packs what it reads in groups of about ``group_tokens`` tokens: no
     shuffle, bounded memory, and less than one sequence of padding per group.
+    The units of about ``text_bytes`` of text are looked up at once: less takes
+    less memory and more time, and gives the same ids.
     ``sequence_id`` is the task's number times 2^32 plus a running number, the
     same when a lost task runs again on the same input.
 
@@ -195,7 +196,7 @@ def pack(
 
         for batch in batches:
             names = batch.schema.field(0).type
-            for own, found in encoded(batch.column(0).to_pylist(), batch.column(1), encode):
+            for own, found in encoded(batch.column(0).to_pylist(), batch.column(1), encode, text_bytes):
                 keys += own
                 ids += found
                 held += sum(map(len, found)) // 4
