@@ -189,3 +189,16 @@ def test_two_long_gaps_need_a_higher_limit(spark):
 def test_mean_is_cut_and_divides_by_fixes(spark):
     points = spark.createDataFrame([(1, t, 0.0, 0.0) for t in (0, 10, 32)], POINT)
     assert tracks.avg_interval(points).first()["avg_interval"] == 10
+
+
+def test_trips_of_few_and_many_slices(spark):
+    """Trips around the number of slices from which on the index is asked, one of them without fixes."""
+    hours = (0, 1, tracks.FEW - 2, tracks.FEW - 1, tracks.FEW, tracks.FEW + 1, 500)
+    trips = [(k, 1490000000, 1490000100, 1490000100 + h * 3600, 1.0, 1000) for k, h in enumerate(hours)]
+    points = [(k, 1490000100 + s, s % 7 / 10, 1.0) for k, h in enumerate(hours[:-1]) for s in range(-400, h * 3600 + 400, 1700)]
+    stats = tracks.track_stats(spark.createDataFrame(trips, TRIP), spark.createDataFrame(points, POINT))
+    got = {r["service_order_id"]: r.asDict() for r in stats.collect()}
+    for trip in trips:
+        want = model(trip, points)
+        assert (trip[0] in got) == (want is not None)
+        assert want is None or {k: got[trip[0]][k] for k in want} == want

@@ -23,6 +23,7 @@ from tripaudit.operators.rows import ID, latest_per_key
 
 SALTS = 8
 SPREAD = ("update_time",)
+SIEVE_BITS = 1 << 26
 
 
 def salted_join(
@@ -74,6 +75,24 @@ def not_in(
     return salted_join(df, _key_list(ids, key), [key], "left_anti", salts, spread)
 
 
+def sieve(df: DataFrame, ids: DataFrame, key: str = ID) -> DataFrame:
+    """``df`` without nearly all rows whose key is not in ``ids``, ahead of any exchange.
+
+    For a join of a large table with few keys, which has to follow: a key that
+    shares its hash with a listed one stays, a listed one always does. The keys
+    are broadcast as bits in at most ``SIEVE_BITS / 64`` rows, however many
+    they are; with very many of them less is dropped. Keys of two types hash
+    differently, so ``df`` is then returned as it is.
+    """
+    if df.schema[key].dataType != ids.schema[key].dataType:
+        return df
+    place = F.pmod(F.xxhash64(key), F.lit(SIEVE_BITS))
+    bits = ids.select(place.alias("_place")).selectExpr("_place div 64 as _word", "shiftleft(1L, int(_place % 64)) as _bit")
+    words = bits.groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    here = (place / 64).cast("bigint") == F.col("_word")
+    return df.join(F.broadcast(words), here & (F.getbit("_bits", (place % 64).cast("int")) == 1), "left_semi")
+
+
 def distinct_versions(ext: DataFrame) -> DataFrame:
     """Distinct ``(order, app version)`` pairs."""
     return ext.select(ID, "driver_version").distinct()

@@ -12,9 +12,10 @@ few numbers each) are then combined per order, where only the step from one
 slice to the next non-empty one is left to add. Copies of a fix are counted
 before the window sees them.
 
-Which slices a trip needs is looked up in the index of slices that hold fixes,
-so that a trip of any length, also one whose end is in milliseconds, meets just
-the slices its track has.
+A trip of up to ``FEW`` slices meets all of them. For a longer one, also one
+whose end is in milliseconds, it is looked up in the index of slices that hold
+fixes which of them its track has; where no index is kept, it is built from the
+points of such orders only, and without such a trip the points are not read for it.
 """
 
 from __future__ import annotations
@@ -25,9 +26,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripaudit.functions.times import epoch_day
+from tripaudit.operators.joins import sieve
 from tripaudit.operators.rows import ID
 
 SLICE = 3600
+FEW = 48
 BEFORE = 300
 AFTER = 300
 LONG_GAP = 300
@@ -67,8 +70,12 @@ def _sliced_points(
     index: DataFrame | None = None,
 ) -> DataFrame:
     low, high = F.col("start_time") - before, F.col("end_time") + after
-    held = slice_index(points) if index is None else index
-    spread = trips.join(held.select(ID, "slice"), ID).where(F.col("slice").between(_slice(low), _slice(high)))
+    first, last = _slice(low), _slice(high)
+    long = trips.where(last - first >= FEW)
+    held = slice_index(sieve(points, long)) if index is None else index
+    looked_up = long.join(held.select(ID, "slice"), ID).where(F.col("slice").between(first, last))
+    short = trips.where((last >= first) & (last - first < FEW))
+    spread = short.withColumn("slice", F.explode(F.sequence(first, last))).unionByName(looked_up)
     on = [ID, "slice"]
     if day_col:
         spread = spread.withColumn(day_col, epoch_day(F.col("slice") * SLICE))
@@ -229,9 +236,12 @@ def track_stats(
 
     ``keys`` identify a trip. ``avg_before`` covers the fixes up to the start, ``avg_after`` those from
     the end on, the rest those in between; a fix right on an end is in both.
-    Positions are counted with a condition
-    instead of a filter, so that both uses of the fixes share one exchange and
-    the points are read once.
+    The fixes a trip has are used twice, for gaps and for positions. Both uses
+    begin with the same grouping of all columns, and positions are counted with
+    a condition instead of a filter, so that they share one exchange of the
+    joined fixes, and trips and points are joined once. Both results meet in a
+    grouping: a join would pass a condition of the caller down to both uses in
+    two forms, and nothing would be shared.
     """
     window = [*keys, "start_time", "end_time"]
     slim = trips.select(*dict.fromkeys([ID, *window]))
@@ -240,7 +250,11 @@ def track_stats(
     in_trip = F.col("t").between(F.col("start_time"), F.col("end_time"))
 
     # Copies of a fix first, then all fixes of a second.
-    fixes = near.groupBy(*window, "slice", "t", "latitude", "longitude").agg(F.count("*").alias("n"))
+    fix = [*window, "slice", "t", "latitude", "longitude"]
+    # With a fixed number AQE leaves the parts small: grouped fixes are many times their shuffled size.
+    partitions = int(trips.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = near.groupBy(*fix).agg(F.count("*").alias("n")).repartition(partitions, *window, "slice")
+    fixes = counted.groupBy(*fix).agg(F.sum("n").alias("n"))
     runs = fixes.groupBy(*window, "slice", "t").agg(F.sum("n").alias("fixes"))
     phases = {
         "before": F.col("t") <= F.col("start_time"),
@@ -296,9 +310,9 @@ def track_stats(
     )
     places = fixes.groupBy(*keys, "latitude", "longitude").agg(F.sum(F.when(in_trip, F.col("n"))).alias("n"))
     positions = places.where(F.col("n") > 0).groupBy(*keys).agg(F.count("*").alias("n_positions"))
-    return stats.join(positions, list(keys), "left").withColumn(
-        "n_positions", F.coalesce("n_positions", F.lit(0)).cast("bigint")
-    )
+    both = stats.unionByName(positions, allowMissingColumns=True)
+    numbers = [F.max(c).alias(c) for c in stats.columns if c not in keys]
+    return both.groupBy(*keys).agg(*numbers, F.coalesce(F.max("n_positions"), F.lit(0).cast("bigint")).alias("n_positions"))
 
 
 def _ratio() -> Column:
