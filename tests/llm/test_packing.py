@@ -114,3 +114,14 @@ def test_few_texts_are_looked_up_at_once():
     parts = list(packing.encoded(list(range(13)), texts, encode, 2_000_000))
     assert [k for keys, _ in parts for k in keys] == list(range(13))
     assert max(seen) <= 2_500_000 and sum(seen) == 6_000_000
+
+
+def test_gathered_ids_are_those_of_each_unit():
+    """Repeated, empty and Latin-1 units, more than one run of words, a slice and no unit at all."""
+    cache = packing.Units(PATH)
+    words = [chr(97 + k % 26) * (1 + k // 26) + "é" * (k % 3) for k in range(600)]
+    units = pa.array(["a", *words, "", "über,", "ÿ", *words])
+    for part in (units, units.slice(5, 9), units.slice(0, 0)):
+        ids, n = cache.gather(part)
+        own = [cache.tokenizer.encode(" " + u, add_special_tokens=False).ids if u else [] for u in part.to_pylist()]
+        assert ids.tolist() == [i for u in own for i in u] and n.tolist() == [len(u) for u in own]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,7 @@ def _byte_letters() -> dict[int, int]:
 
 
 BYTE_LETTERS = _byte_letters()
+RUN_LETTERS = BYTE_LETTERS | {10: 32}  # of words with line ends between them
 SPACE = chr(BYTE_LETTERS[32])
 WORD_END = "</w>"
 
@@ -66,12 +68,12 @@ class UnitCache:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        return [array("I", e.ids).tobytes() for e in found]
 
     def encode_words(self, words: list[str]) -> list[bytes]:
-        """Ids of units that are one word to the tokenizer (with its space, if that leads it), by its model alone, many words to a call."""
-        letters = [w.encode().decode("latin-1").translate(BYTE_LETTERS) for w in words]
-        joined = [" ".join(letters[at : at + WORDS_AT_ONCE]) for at in range(0, len(letters), WORDS_AT_ONCE)]
+        """Ids of units that are one word of letters to the tokenizer (with its space, if that leads it), by its model alone, many words to a call."""
+        runs = ["\n".join(words[at : at + WORDS_AT_ONCE]) for at in range(0, len(words), WORDS_AT_ONCE)]
+        joined = [run.encode().decode("latin-1").translate(RUN_LETTERS) for run in runs]
         out = []
         for found in self.model.encode_batch_fast(joined, add_special_tokens=False):
             ids = np.array(found.ids, "<u4")
@@ -90,7 +92,7 @@ class UnitCache:
         found = list(map(young.get, units))
         if None in found:
             unseen = [u for u, ids in zip(units, found) if ids is None]
-            fresh = [u for u in unseen if u not in old]
+            fresh = [u for u in unseen if u not in old] if old else unseen
             if len(fresh) < len(unseen):
                 young.update((u, old[u]) for u in unseen if u in old)
             young.update(zip(fresh, self.encode_units(fresh)))
@@ -101,13 +103,9 @@ class UnitCache:
         """Ids of all units one after the other, and how many each has; each different unit is looked up once."""
         coded = units.dictionary_encode()
         own = self.look_up(coded.dictionary.to_pylist())
-        sizes = np.fromiter(map(len, own), np.int64, len(own)) // 4
-        data = np.frombuffer(b"".join(own), "<u4")
-        code = coded.indices.to_numpy(zero_copy_only=False)
-        n = sizes[code]
-        ends = np.cumsum(n)
-        first = (np.cumsum(sizes) - sizes)[code] - (ends - n)
-        return data[np.arange(n.sum()) + np.repeat(first, n)], n
+        ids = pa.array(own, pa.large_binary()).take(coded.indices)
+        ends = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1, 8 * ids.offset) // 4
+        return np.frombuffer(ids.buffers()[2] or b"", "<u4", ends[-1] - ends[0], 4 * ends[0]), np.diff(ends)
 
     def encode_units(self, units: list[str]) -> list[bytes]:
         return self.encode(units)
