@@ -4,6 +4,7 @@ from collections import Counter
 from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -124,3 +125,44 @@ def test_state_is_carried():
     grid, counts = next(gru.windows([doc], steps=100))
     before, _ = gru.run_states(p, grid, counts, np.zeros((1, gru.HIDDEN), np.float32))
     assert whole == pytest.approx(float(gru.token_scores(p, before[:, 0], grid[:, 0]).sum()), rel=1e-4)
+
+
+def test_words_and_classes_in_arrays():
+    """Words, their classes and buckets found in arrays equal those found word by word."""
+    texts = [None, "", " \t\n", "A b\x0bC\x0cd\re", " é!! ab, É ;;. x9 9. !a. a!. \x1c\x1f q\x00z ", "A b 日本.", "z " * 50]
+    for part in (texts, texts[:3], texts[4:5], []):
+        words, ids, counts = lm_scoring._local_ids(pa.array(["cut off", *part, None], pa.string()).slice(1, len(part)))
+        plain = [(t or "").encode().lower().split() for t in part]
+        own = words.to_pylist()
+        assert [own[i] for i in ids] == [w for t in plain for w in t] and counts.tolist() == [len(t) for t in plain]
+        assert len(set(own)) == len(own)
+        assert gru.tail_classes(*lm_scoring._bytes_of(words)).tolist() == [gru.tail_class(w) for w in own]
+        head = {w: i + 1 for i, w in enumerate(own[:3])}
+        assert lm_scoring._model_ids(words, head).tolist() == [head.get(w, gru.HEAD + gru.tail_class(w)) for w in own]
+        order, met, bounds = lm_scoring._by_bucket(words, 3)
+        assert {zlib.crc32(own[i]) % 3 for i in order} == set(met.tolist()) and bounds[-1] == len(own) == len(set(order.tolist()))
+        closed = lm_scoring._documents(lm_scoring._closed(ids + 1, counts))
+        assert [c[-1] for c in closed] == [0] * len(part) and [len(c) - 1 for c in closed] == counts.tolist()
+        assert [own[i - 1] for c in closed for i in c[:-1]] == [w for t in plain for w in t]
+
+
+def test_portions_hold_all_texts_once():
+    texts = [None, "ab", "", "c" * 30, "é", "d", None, "e" * 9]
+    for size in (1, 4, 10, 1000):
+        batches = [pa.record_batch({"t": pa.array(part, pa.string())}) for part in (texts[:3], [], texts[3:4], texts[4:])]
+        got = [p.to_pylist() for p in lm_scoring._portions(iter(batches), size)]
+        assert [t for p in got for t in p] == texts
+        assert all(sum(len((t or "").encode()) for t in p) >= size for p in got[:-1])
+
+
+def test_blocks_without_words(spark):
+    got = lm_scoring.score(small(spark, [(i, None if i % 2 else " ", "", "") for i in range(9)]), F.col("doc_id") == 2, block_bytes=1).collect()
+    assert sorted((r.doc_id, r.n_tokens, r.train_tokens) for r in got) == [(i, 1, 8) for i in range(9)]
+
+
+def test_far_logits():
+    """Numbers whose exponentials would overflow or vanish give the same as small ones moved together."""
+    x = np.array([[100.0, 99, 0], [-200, -201, -300], [0, 1, 2]], np.float32)
+    places = np.array([1, 3, 8])
+    want = [float(r[k] - r.max() - np.log(np.exp(r - r.max()).sum())) for r, k in zip(x.astype(float), (1, 0, 2))]
+    assert gru._softmax(x.copy(), places)[0] == pytest.approx(want, abs=1e-5)

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 
@@ -22,6 +23,7 @@ TAIL_CLASSES = 64
 CLASSES = HEAD_CLASSES + TAIL_CLASSES
 INPUTS = HEAD + TAIL_CLASSES
 WINDOW = 16  # steps of truncated backpropagation
+FLAT = 60.0  # exponentials of numbers within plus and minus this are taken as they are
 
 SHAPES = {
     "wx": (INPUTS, 3 * HIDDEN),
@@ -47,6 +49,31 @@ def tail_class(word: bytes) -> int:
     return 4 * kind + zlib.crc32(word[:2]) % 4
 
 
+@lru_cache(maxsize=1)
+def _byte_tables() -> tuple[np.ndarray, ...]:
+    """Per byte: bits of accents and digits, ends of clauses, signs; per two first bytes (256 and up: one byte) their hash."""
+    bits = np.array([(b >= 128) + 8 * (b in _DIGITS) for b in range(256)], np.uint8)
+    clause, sign = (np.array([b in own for b in range(256)]) for own in (_CLAUSE, _SIGNS))
+    hashes = np.array([zlib.crc32(bytes([a, b])) % 4 for a in range(256) for b in range(256)] + [zlib.crc32(bytes([a])) % 4 for a in range(256)], np.uint8)
+    return bits, clause, sign, hashes
+
+
+def tail_classes(text: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """``tail_class`` of many words: word i is the bytes ``text[offsets[i] : offsets[i + 1]]``, none is empty."""
+    bits, clause, sign, hashes = _byte_tables()
+    starts, ends = offsets[:-1], offsets[1:]
+    if not len(starts):
+        return np.zeros(0, np.int64)
+    at = np.arange(len(text), dtype=np.int32)
+    closing = clause[text]
+    last_of_stem = np.maximum.reduceat(np.where(closing, np.int32(-1), at), starts)
+    first_sign = np.minimum.reduceat(np.where(sign[text], at, np.int32(len(text))), starts)
+    first = text[starts].astype(np.int64)
+    second = np.where(ends - starts > 1, first * 256 + text[np.minimum(starts + 1, len(text) - 1)], 65536 + first)
+    kind = np.bitwise_or.reduceat(bits[text], starts) + 2 * closing[ends - 1] + 4 * (first_sign <= last_of_stem)
+    return 4 * kind.astype(np.int64) + hashes[second]
+
+
 def initial(head_counts: np.ndarray, tail_counts: np.ndarray, seed: int = 7) -> dict[str, np.ndarray]:
     """Weights at the start; biases make the model the smoothed unigram distribution."""
     rng = np.random.default_rng(seed)
@@ -74,10 +101,12 @@ def unflatten(flat: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def _softmax(x: np.ndarray, rows: np.ndarray, picked: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Log-probabilities of the picked columns; exponentials (in place of ``x``) and their sums."""
-    x -= x.max(axis=1, keepdims=True)
-    out = x[rows, picked]
+def _softmax(x: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log-probabilities of one column a row, at ``places`` of the raveled ``x``; exponentials (in place of ``x``) and their sums."""
+    out = x.take(places)
+    if len(out) and (x.max() > FLAT or out.min() < -FLAT):  # else no exponential overflows and no sum vanishes
+        x -= x.max(axis=1, keepdims=True)
+        out = x.take(places)
     np.exp(x, out=x)
     total = x @ np.ones(x.shape[1], x.dtype)
     return out - np.log(total), x, total
@@ -85,65 +114,85 @@ def _softmax(x: np.ndarray, rows: np.ndarray, picked: np.ndarray) -> tuple[np.nd
 
 def windows(docs: list[np.ndarray], steps: int = WINDOW) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Token grids ``[steps, active]`` of documents sorted by falling length, with the active count per step."""
-    lengths = np.array([len(d) for d in docs])
+    lengths = np.array([len(d) for d in docs], np.int64)
+    flat = np.concatenate([*docs, np.zeros(steps, np.int32)])
+    starts = np.cumsum(lengths) - lengths
     for start in range(0, int(lengths[0]) if len(docs) else 0, steps):
-        active = int((lengths > start).sum())
-        grid = np.zeros((steps, active), np.int32)
-        for j in range(active):
-            piece = docs[j][start : start + steps]
-            grid[: len(piece), j] = piece
-        counts = (lengths[None, :active] > start + np.arange(steps)[:, None]).sum(1)
-        yield grid[counts > 0], counts[counts > 0]
+        times = np.arange(start, min(start + steps, int(lengths[0])))[:, None]
+        active = int(np.searchsorted(-lengths, -start))
+        live = lengths[:active] > times
+        yield np.where(live, flat[starts[:active] + times], np.int32(0)), live.sum(1)
 
 
 def run_states(p, grid, counts, h, save=False):
     """Advance the states ``h`` (in place) over a window; the state before each step, and what backpropagation needs."""
     steps, active = grid.shape
     before = np.zeros((steps, active, HIDDEN), np.float32)
-    saved = np.zeros((3, steps, active, HIDDEN), np.float32) if save else None
-    driven = p["wx"][grid]
+    gates, found = np.zeros((steps, active, 2 * HIDDEN), np.float32), np.zeros((steps, active, HIDDEN), np.float32)
+    driven = p["wx"].take(grid, axis=0)
+    u_rz, u_c = p["u_rz"].astype(np.float32), p["u_c"].astype(np.float32)
     for t in range(steps):
         n = counts[t]
-        old = h[:n]
+        old, rz, c = h[:n], gates[t, :n], found[t, :n]
         before[t, :n] = old
-        rz = 1 / (1 + np.exp(-(driven[t, :n, : 2 * HIDDEN] + old @ p["u_rz"])))
-        r, z = rz[:, :HIDDEN], rz[:, HIDDEN:]
-        c = np.tanh(driven[t, :n, 2 * HIDDEN :] + (r * old) @ p["u_c"])
-        if save:
-            saved[0, t, :n], saved[1, t, :n], saved[2, t, :n] = r, z, c
-        h[:n] = old + z * (c - old)
-    return before, saved
+        np.matmul(old, u_rz, out=rz, casting="same_kind")
+        rz += driven[t, :n, : 2 * HIDDEN]
+        np.negative(rz, out=rz)
+        np.exp(rz, out=rz)
+        rz += 1
+        np.reciprocal(rz, out=rz)
+        np.matmul(rz[:, :HIDDEN] * old, u_c, out=c, casting="same_kind")
+        c += driven[t, :n, 2 * HIDDEN :]
+        np.tanh(c, out=c)
+        step = c - old
+        step *= rz[:, HIDDEN:]
+        old += step
+    return before, (gates, found) if save else None
+
+
+def _with_bias(weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    return np.concatenate([weights, np.expand_dims(bias, -2)], axis=-2)
 
 
 def token_scores(p, states, tokens, gradient=False):
     """Natural log-probability of each token (a tail token: of its class), optionally with gradients."""
-    is_head = tokens < HEAD
-    classes = np.where(is_head, tokens // CLASS_SIZE, tokens - HEAD + HEAD_CLASSES).astype(np.int16)  # 16 bits: sorted by radix
-    rows = np.arange(len(tokens))
-    out, d, total = _softmax(states @ p["w_class"] + p["b_class"], rows, classes)
-    grads = None
-    if gradient:
-        d /= total[:, None]
-        d[rows, classes] -= 1
-        grads = {"w_class": states.T @ d, "b_class": d.sum(0), "w_word": np.zeros(SHAPES["w_word"], np.float32)}
-        grads["b_word"] = np.zeros(SHAPES["b_word"], np.float32)
-        d_states = d @ p["w_class"].T
-    order = np.argsort(classes, kind="stable")
-    bounds = np.searchsorted(classes[order], np.arange(HEAD_CLASSES + 1, dtype=np.int16))
-    for k in range(HEAD_CLASSES):
-        own = order[bounds[k] : bounds[k + 1]]
-        if not len(own):
-            continue
-        at, word, inputs = rows[: len(own)], tokens[own] % CLASS_SIZE, states[own]
-        log_word, d, total = _softmax(inputs @ p["w_word"][k] + p["b_word"][k], at, word)
-        out[own] += log_word
-        if gradient:
-            d /= total[:, None]
-            d[at, word] -= 1
-            grads["w_word"][k] = inputs.T @ d
-            grads["b_word"][k] = d.sum(0)
-            d_states[own] += d @ p["w_word"][k].T
-    return (out, grads, d_states) if gradient else out
+    classes = np.where(tokens < HEAD, tokens // CLASS_SIZE, tokens - HEAD + HEAD_CLASSES).astype(np.int16)  # 16 bits: sorted by radix
+    order = np.argsort(classes, kind="stable")  # all below is in the order of classes
+    classes = classes.take(order)
+    w_class, w_word = _with_bias(p["w_class"], p["b_class"]), _with_bias(p["w_word"], p["b_word"])
+    inputs = np.ones((len(tokens), HIDDEN + 1), w_class.dtype)  # a one at the end for the biases
+    inputs[:, :HIDDEN] = states.take(order, axis=0)
+    bounds = np.searchsorted(classes, np.arange(HEAD_CLASSES + 1, dtype=np.int16)).tolist()
+    parts = [(k, slice(a, b)) for k, (a, b) in enumerate(zip(bounds, bounds[1:])) if a < b]
+    heads, rows = slice(0, bounds[-1]), np.arange(len(tokens))
+    places, places_word = rows * CLASSES + classes, rows[heads] * CLASS_SIZE + tokens.take(order[heads]) % CLASS_SIZE
+    found, d, total = _softmax(inputs @ w_class, places)
+    x = np.empty((bounds[-1], CLASS_SIZE), w_class.dtype)
+    for k, own in parts:
+        np.matmul(inputs[own], w_word[k], out=x[own])
+    log_word, d_word, total_word = _softmax(x, places_word)
+    found[heads] += log_word
+    out = np.empty_like(found)
+    out[order] = found
+    if not gradient:
+        return out
+    # Probabilities less a one at the token, times the sums; the narrow sides are divided by them.
+    d.reshape(-1)[places] -= total
+    d_word.reshape(-1)[places_word] -= total_word
+    share, share_word = 1 / total[:, None], 1 / total_word[:, None]
+    g_class, g_word = (inputs * share).T @ d, np.zeros(w_word.shape, w_word.dtype)
+    back = d @ w_class[:HIDDEN].T
+    back *= share
+    scaled = inputs[heads] * share_word
+    for k, own in parts:
+        np.matmul(scaled[own].T, d_word[own], out=g_word[k])
+        part = d_word[own] @ w_word[k, :HIDDEN].T
+        part *= share_word[own]
+        back[own] += part
+    grads = {"w_class": g_class[:HIDDEN], "b_class": g_class[HIDDEN], "w_word": g_word[:, :HIDDEN], "b_word": g_word[:, HIDDEN]}
+    d_states = np.empty_like(back)
+    d_states[order] = back
+    return out, grads, d_states
 
 
 def backward(p, grid, counts, before, saved, d_before, grads):
@@ -151,24 +200,38 @@ def backward(p, grid, counts, before, saved, d_before, grads):
     steps, active = grid.shape
     d_driven = np.zeros((steps, active, 3 * HIDDEN), np.float32)
     dh = np.zeros((active, HIDDEN), np.float32)
+    gates, c = saved
+    r, z = gates[:, :, :HIDDEN].copy(), gates[:, :, HIDDEN:].copy()
+    left, reset = 1 - z, r * before
+    by_c, by_z, by_r = c * c, c - before, 1 - r
+    np.subtract(1, by_c, out=by_c)
+    by_c *= z
+    by_z *= z
+    by_z *= left
+    by_r *= reset
+    u_c, u_rz = p["u_c"].T, p["u_rz"].T
     for t in range(steps - 1, -1, -1):
         n = counts[t]
-        old, (r, z, c), up = before[t, :n], saved[:, t, :n], dh[:n]
-        d_c = up * z * (1 - c * c)
-        d_z = up * (c - old) * z * (1 - z)
-        back = d_c @ p["u_c"].T
-        d_r = back * old * r * (1 - r)
-        d_rz = np.concatenate([d_r, d_z], axis=1)
-        d_driven[t, :n, : 2 * HIDDEN], d_driven[t, :n, 2 * HIDDEN :] = d_rz, d_c
-        dh[:n] = up * (1 - z) + back * r + d_rz @ p["u_rz"].T + d_before[t, :n]
+        up, own = dh[:n], d_driven[t, :n]
+        d_c = up * by_c[t, :n]
+        back = d_c @ u_c
+        own[:, 2 * HIDDEN :] = d_c
+        np.multiply(back, by_r[t, :n], out=own[:, :HIDDEN])
+        np.multiply(up, by_z[t, :n], out=own[:, HIDDEN : 2 * HIDDEN])
+        up *= left[t, :n]
+        back *= r[t, :n]
+        up += back
+        up += own[:, : 2 * HIDDEN] @ u_rz
+        up += d_before[t, :n]
     flat_before, flat = before.reshape(-1, HIDDEN), d_driven.reshape(-1, 3 * HIDDEN)
     grads["u_rz"] = flat_before.T @ flat[:, : 2 * HIDDEN]
-    grads["u_c"] = (saved[0].reshape(-1, HIDDEN) * flat_before).T @ flat[:, 2 * HIDDEN :]
+    grads["u_c"] = reset.reshape(-1, HIDDEN).T @ flat[:, 2 * HIDDEN :]
     tokens = grid.ravel()
     order = np.argsort(tokens.astype(np.int16), kind="stable")  # 16 bits: sorted by radix
-    found, first = np.unique(tokens[order], return_index=True)
+    tokens = tokens.take(order)
+    first = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1])))
     grads["wx"] = np.zeros(SHAPES["wx"], np.float32)
-    grads["wx"][found] = np.add.reduceat(flat[order], first, axis=0)
+    grads["wx"][tokens[first]] = np.add.reduceat(flat.take(order, axis=0), first, axis=0)
     return grads
 
 
@@ -176,9 +239,9 @@ class Trainer:
     """Adam on truncated windows; every window of every document gives an update."""
 
     def __init__(self, p, rate: float = 0.01):
-        self.p, self.rate, self.step, self.tokens = {k: v.copy() for k, v in p.items()}, rate, 0, 0
-        self.m = {k: np.zeros_like(v) for k, v in p.items()}
-        self.v = {k: np.zeros_like(v) for k, v in p.items()}
+        self.flat, self.rate, self.step, self.tokens = flatten(p), rate, 0, 0
+        self.p = unflatten(self.flat)  # views: an update of ``flat`` is one of the weights
+        self.m, self.v = np.zeros_like(self.flat), np.zeros_like(self.flat)
 
     def learn(self, docs: list[np.ndarray], batch: int = 128) -> None:
         docs = sorted(docs, key=len, reverse=True)
@@ -199,12 +262,20 @@ class Trainer:
         grads = backward(self.p, grid, counts, before, saved, d_before, grads)
         self.step += 1
         n = max(1, int(counts.sum()))
-        for k, g in grads.items():
-            g = np.clip(g / n, -1, 1)
-            self.m[k] += 0.1 * (g - self.m[k])
-            self.v[k] += 0.01 * (g * g - self.v[k])
-            m, v = self.m[k] / (1 - 0.9**self.step), self.v[k] / (1 - 0.99**self.step)
-            self.p[k] -= self.rate * m / (np.sqrt(v) + 1e-6)
+        g = flatten(grads)
+        g /= n
+        np.clip(g, -1, 1, out=g)
+        self.m *= 0.9
+        self.m += 0.1 * g
+        g *= g
+        self.v *= 0.99
+        self.v += 0.01 * g
+        np.divide(self.v, 1 - 0.99**self.step, out=g)
+        np.sqrt(g, out=g)
+        g += 1e-6
+        np.divide(self.m, g, out=g)
+        g *= self.rate / (1 - 0.9**self.step)
+        self.flat -= g
 
 
 def log_likelihoods(p, docs: list[np.ndarray], batch: int = 1024) -> np.ndarray:

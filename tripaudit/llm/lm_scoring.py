@@ -1,22 +1,25 @@
 """Document log-likelihoods by a gated recurrent language model trained and applied with Spark.
 
 1. Documents are dealt into blocks of about ``BLOCK_BYTES`` of text by a hash
-   of their id. Each block sends its distinct words, with their training
-   counts, to hashed buckets; each bucket adds up and answers each block with
-   the totals. What moves is packed: one row per block and bucket.
-2. The most frequent words become the model's head. A warm start on a bounded
-   sample is followed by a round in which every task trains on all of its own
-   training documents; the weights are averaged, weighted by tokens.
-3. Each block meets its word totals again and scores its documents whole.
+   of their id. Each block numbers its words and keeps its documents as
+   numbers: texts are cut into words once. It sends its distinct words, with
+   their training counts, to hashed buckets; each bucket adds up and answers
+   each block with the totals. What moves is packed: one row per block and
+   bucket.
+2. Each block meets its word totals again: base scores are summed, and
+   documents are kept as the model's ids, two bytes a token. The most frequent
+   words are the model's head.
+3. A warm start on a bounded sample is followed by a round in which every task
+   trains on all of its own training documents; the weights are averaged,
+   weighted by tokens.
+4. All documents are scored whole, in batches.
 """
 
 from __future__ import annotations
 
 import math
 import zlib
-from collections import defaultdict
 from collections.abc import Iterator
-from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripaudit.llm import gru
-from tripaudit.llm.common import keep, lower_ascii
+from tripaudit.llm.common import keep
 
 BLOCK_BYTES = 16 << 20
 WARM_DOCS = 3000  # documents of the warm start, about; bounds what one task trains on alone
@@ -36,69 +39,123 @@ BATCH = 512  # documents whose windows give one update together in the main roun
 SMOOTH = 0.1
 
 
-def _local_ids(texts: list[str | None]) -> tuple[list[bytes], list[np.ndarray]]:
-    """Distinct words in order of appearance, and each text as positions in that list."""
-    ids: defaultdict = defaultdict(count().__next__)
-    docs = []
-    for text in texts:
-        words = lower_ascii(text).split()
-        docs.append(np.fromiter(map(ids.__getitem__, words), np.int32, len(words)))
-    return list(ids), docs
+def _local_ids(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct words (binary) in order of appearance, all texts' words as positions in them, and how many words each text has."""
+    cut = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    coded = cut.flatten().dictionary_encode()
+    words, ids = coded.dictionary.cast(pa.binary()), coded.indices.to_numpy(zero_copy_only=False)
+    counts = pc.list_value_length(cut).to_numpy(zero_copy_only=False).astype(np.int64)
+    blank = pc.index(words, pa.scalar(b"", pa.binary())).as_py()
+    if blank >= 0:  # white space at the ends of a text
+        real = ids != blank
+        counts = np.bincount(np.repeat(np.arange(len(counts)), counts)[real], minlength=len(counts))
+        ids = ids[real]
+        ids = ids - (ids > blank)
+        words = words.filter(pa.array(np.arange(len(words)) != blank))
+    return words, ids, counts
 
 
-def _by_bucket(words: list[bytes], buckets: int) -> list[tuple[int, list[int]]]:
-    """Positions of the words of each bucket, in the words' order; independent of the order of documents."""
-    out = defaultdict(list)
-    for i in sorted(range(len(words)), key=words.__getitem__):
-        out[zlib.crc32(words[i]) % buckets].append(i)
-    return sorted(out.items())
+def _bytes_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of words end to end, and where each starts and ends in them."""
+    _, offsets, data = words.buffers()
+    offsets = np.frombuffer(offsets, np.int32)[words.offset : words.offset + len(words) + 1] if len(words) else np.zeros(1, np.int32)
+    return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data else np.zeros(0, np.uint8), offsets - offsets[0]
 
 
-def _model_ids(words: list[bytes], head: dict[bytes, int]) -> np.ndarray:
-    get = head.get
-    out = [get(w) for w in words]
-    return np.array([gru.HEAD + gru.tail_class(w) if k is None else k for w, k in zip(words, out)], np.int32)
+def _by_bucket(words: pa.Array, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order of words by bucket, else as they stand; the buckets met, and where each starts and ends in that order."""
+    text, offsets = _bytes_of(words)
+    raw, bounds = memoryview(text.tobytes()), offsets.tolist()
+    bucket = np.fromiter((zlib.crc32(raw[a:b]) % buckets for a, b in zip(bounds, bounds[1:])), np.int64, len(words))
+    order = np.argsort(bucket, kind="stable")
+    met, starts = np.unique(bucket[order], return_index=True)
+    return order, met, np.append(starts, len(words))
+
+
+def _model_ids(words: pa.Array, head: dict[bytes, int]) -> np.ndarray:
+    at = pc.fill_null(pc.index_in(words, value_set=pa.array(list(head), pa.binary())), -1).to_numpy(zero_copy_only=False)
+    numbers = np.array([*head.values(), 0], np.int32)
+    return np.where(at >= 0, numbers[at], gru.HEAD + gru.tail_classes(*_bytes_of(words))).astype(np.int32)
+
+
+def _closed(ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """Each text's model ids with the end of a text, as binary rows of 16-bit numbers."""
+    ends = np.cumsum(counts + 1)
+    out = np.zeros(len(ids) + len(counts), "<i2")
+    inside = np.ones(len(out), bool)
+    inside[ends - 1] = False
+    out[inside] = ids
+    return _rows_of(out, counts + 1)
+
+
+def _rows_of(numbers: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """Binary rows that hold so many numbers each."""
+    offsets = np.concatenate(([0], np.cumsum(counts))) * numbers.itemsize
+    raw = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(numbers)])
+    return raw.cast(pa.binary())
+
+
+def _numbers_of(rows: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of binary rows, one row after the other, and how many each row has."""
+    text, offsets = _bytes_of(rows.cast(pa.binary()))
+    return np.frombuffer(text.tobytes(), kind), np.diff(offsets) // np.dtype(kind).itemsize
+
+
+def _one(column: pa.ChunkedArray) -> pa.Array:
+    found = column.combine_chunks()
+    return pa.concat_arrays(found.chunks) if isinstance(found, pa.ChunkedArray) else found
 
 
 def _block_words(blocked: DataFrame, buckets: int) -> DataFrame:
-    """Per block and bucket: the block's distinct words and their counts in training documents."""
+    """Per document (bucket null) its words as numbers; per block and bucket the distinct words, in the numbers' order, and their counts in training documents."""
+    id_type = blocked.schema["_id"].dataType
 
     def run(group: pa.Table) -> pa.Table:
-        words, docs = _local_ids(group["_text"].to_pylist())
-        train = np.zeros(len(words), np.int64)
-        for ids, held in zip(docs, group["held_out"].to_pylist()):
-            if not held:
-                train += np.bincount(ids, minlength=len(words)) if len(ids) > len(words) else 0
-                if len(ids) <= len(words):
-                    np.add.at(train, ids, 1)
-        rows = [(b, b" ".join([words[i] for i in own]), train[own].astype("<i8").tobytes()) for b, own in _by_bucket(words, buckets)]
-        block = group["_block"][0].as_py()
-        return pa.table(
-            {
-                "_bucket": pa.array([r[0] for r in rows], pa.int64()),
-                "_block": pa.array([block] * len(rows), pa.int64()),
-                "words": pa.array([r[1] for r in rows], pa.binary()),
-                "counts": pa.array([r[2] for r in rows], pa.binary()),
-            }
-        )
+        words, ids, sizes = _local_ids(_one(group["_text"]))
+        learnt = ~group["held_out"].to_numpy(zero_copy_only=False)
+        train = np.bincount(ids[np.repeat(learnt, sizes)], minlength=len(words)).astype("<i8")
+        order, met, bounds = _by_bucket(words, buckets)
+        train, number = train[order], np.empty(len(words), "<i4")
+        number[order] = np.arange(len(words))
+        lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), words.take(pa.array(order)))
+        docs, n = len(group), len(met)
+        blank = lambda kind, rows: pa.nulls(rows, kind)
+        both = {
+            "_block": (pa.array([group["_block"][0].as_py()] * docs, pa.int64()), pa.array([group["_block"][0].as_py()] * n, pa.int64())),
+            "_bucket": (blank(pa.int64(), docs), pa.array(met, pa.int64())),
+            "_id": (_one(group["_id"]), blank(group["_id"].type, n)),
+            "held_out": (_one(group["held_out"]), blank(pa.bool_(), n)),
+            "ids": (_rows_of(number[ids], sizes), blank(pa.binary(), n)),
+            "words": (blank(pa.binary(), docs), pc.binary_join(lists, b" ")),
+            "counts": (blank(pa.binary(), docs), pa.array([train[a:b].tobytes() for a, b in zip(bounds, bounds[1:])], pa.binary())),
+        }
+        return pa.table({k: pa.chunked_array(list(v)) for k, v in both.items()})
 
-    return blocked.groupBy("_block").applyInArrow(run, "_bucket long, _block long, words binary, counts binary")
+    schema = T.StructType(
+        [
+            *(T.StructField(n, T.LongType()) for n in ("_block", "_bucket")),
+            T.StructField("_id", id_type),
+            T.StructField("held_out", T.BooleanType()),
+            *(T.StructField(n, T.BinaryType()) for n in ("ids", "words", "counts")),
+        ]
+    )
+    return blocked.groupBy("_block").applyInArrow(run, schema)
 
 
 def _bucket_totals(pieces: DataFrame) -> DataFrame:
     """Per block and bucket the words' training totals; per bucket (block null) its sums and most frequent words."""
 
     def run(group: pa.Table) -> pa.Table:
-        lists = pc.split_pattern(group["words"].combine_chunks(), b" ")  # in Arrow: only distinct words become objects
+        lists = pc.split_pattern(group["words"].combine_chunks(), b" ")  # in Arrow: only the most frequent words become objects
         coded = lists.flatten().dictionary_encode()
         index = coded.indices.to_numpy(zero_copy_only=False)
-        words = coded.dictionary.to_pylist()
+        words = coded.dictionary
         counts = np.frombuffer(b"".join(group["counts"].to_pylist()), "<i8")
         # Counts add up exactly in doubles below 2^53.
         totals = np.bincount(index, weights=counts, minlength=len(words)).astype("<i8")
         answers = totals[index]
         bounds = np.cumsum([0, *pc.list_value_length(lists).to_pylist()])
-        kinds = np.array([gru.tail_class(w) for w in words], np.int64)
+        kinds = gru.tail_classes(*_bytes_of(words))
         seen = totals > 0
         tail = np.stack([np.bincount(kinds, weights=totals, minlength=gru.TAIL_CLASSES), np.bincount(kinds, weights=seen, minlength=gru.TAIL_CLASSES)])
         top = [i for i in np.argsort(-totals, kind="stable")[: gru.HEAD].tolist() if totals[i] > 0]
@@ -109,7 +166,7 @@ def _bucket_totals(pieces: DataFrame) -> DataFrame:
                 "_bucket": pa.array([bucket] * (n + 1), pa.int64()),
                 "_block": pa.array([*group["_block"].to_pylist(), None], pa.int64()),
                 "counts": pa.array([*(answers[a:b].tobytes() for a, b in zip(bounds, bounds[1:])), tail.astype("<i8").tobytes()], pa.binary()),
-                "top_words": pa.array([*[None] * n, [words[i] for i in top]], pa.list_(pa.binary())),
+                "top_words": pa.array([*[None] * n, words.take(pa.array(top, pa.int64())).to_pylist()], pa.list_(pa.binary())),
                 "top_counts": pa.array([*[None] * n, totals[top].tolist()], pa.list_(pa.int64())),
             }
         )
@@ -153,35 +210,58 @@ def _le_long(column: str):
     return at
 
 
-def _train(docs: DataFrame, vocabulary: Vocabulary, start: np.ndarray, batch_docs: int, epochs: int, rate: float) -> DataFrame:
-    """Each task trains from ``start`` on its rows of ``_text``: one row ``(tokens, weights)`` per task."""
-    head = vocabulary.head
+def _portions(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Array]:
+    """The first column of all batches in arrays that end with the row by which they hold ``size`` bytes."""
+    held, room = [], size
+    for batch in batches:
+        rows = batch.column(0)
+        ends = np.cumsum(pc.fill_null(pc.binary_length(rows), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at, before = 0, 0
+        while at < len(rows):
+            to = min(int(np.searchsorted(ends, before + room)) + 1, len(rows))
+            held.append(rows.slice(at, to - at))
+            room -= int(ends[to - 1]) - before
+            at, before = to, int(ends[to - 1])
+            if room <= 0:
+                yield pa.concat_arrays(held)
+                held, room = [], size
+    if held:
+        yield pa.concat_arrays(held)
+
+
+def _documents(rows: pa.Array) -> list[np.ndarray]:
+    """Model ids of each document."""
+    ids, counts = _numbers_of(rows, "<i2")
+    return np.split(ids.astype(np.int32), np.cumsum(counts)[:-1]) if len(counts) else []
+
+
+def _train(docs: DataFrame, start: np.ndarray, batch_docs: int, epochs: int, rate: float) -> DataFrame:
+    """Each task trains from ``start`` on its rows of ``_model_ids``: one row ``(tokens, weights)`` per task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer = gru.Trainer(gru.unflatten(start), rate)
-        texts, size = [], 0
-
-        def learn():
-            words, docs = _local_ids(texts)
-            own = _model_ids(words, head)
-            ready = [np.append(own[d], np.int32(0)) for d in docs]
+        for rows in _portions(batches, BLOCK_BYTES // 3):  # two bytes a token, of about six of text
+            ready = _documents(rows)
             for _ in range(epochs):
                 trainer.learn(ready, batch_docs)
-
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                texts.append(text)
-                size += len(text or "")
-                if size >= BLOCK_BYTES:
-                    learn()
-                    texts, size = [], 0
-        if texts:
-            learn()
         if trainer.tokens:
-            flat = gru.flatten(trainer.p).astype(np.float64)
+            flat = trainer.flat.astype(np.float64)
             yield pa.record_batch({"tokens": pa.array([trainer.tokens], pa.int64()), "weights": pa.array([flat.tolist()], pa.list_(pa.float64()))})
 
-    return docs.select("_text").mapInArrow(run, "tokens long, weights array<double>")
+    return docs.select("_model_ids").mapInArrow(run, "tokens long, weights array<double>")
+
+
+def _with_model_ids(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """``_id`` and ``_model_ids`` of texts, without a table of word totals."""
+    head = vocabulary.head
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, ids, counts = _local_ids(batch["_text"])
+            yield pa.RecordBatch.from_arrays([batch["_id"], _closed(_model_ids(words, head)[ids], counts)], names=["_id", "_model_ids"])
+
+    schema = T.StructType([docs.schema["_id"], T.StructField("_model_ids", T.BinaryType())])
+    return docs.select("_id", "_text").mapInArrow(run, schema)
 
 
 def _average(models: DataFrame, fallback: np.ndarray) -> np.ndarray:
@@ -197,39 +277,45 @@ def _average(models: DataFrame, fallback: np.ndarray) -> np.ndarray:
 
 
 def train_model(docs: DataFrame, vocabulary: Vocabulary, n_train: int) -> np.ndarray:
-    """Flat weights of the model, trained on the rows of ``docs`` (``_id``, ``_text``)."""
+    """Flat weights of the model, trained on the rows of ``docs`` (``_id``, and ``_text`` or ``_model_ids``)."""
+    if "_model_ids" not in docs.columns:
+        docs = _with_model_ids(docs, vocabulary)
     start = gru.flatten(gru.initial(vocabulary.head_counts, vocabulary.tail_counts))
     share = max(1, n_train // WARM_DOCS)
     warm = docs.where(F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(share)) == 0).repartition(1)
-    start = _average(_train(warm, vocabulary, start, WARM_BATCH, WARM_EPOCHS, 0.01), start)
-    return _average(_train(docs, vocabulary, start, BATCH, 1, 0.003), start)
-
-
-def _score(blocked: DataFrame, totals: DataFrame, vocabulary: Vocabulary, weights: np.ndarray, buckets: int, id_type: T.DataType) -> DataFrame:
-    v = vocabulary
-
-    def run(docs: pa.Table, counts: pa.Table) -> pa.Table:
-        texts = docs["_text"].to_pylist()
-        words, ids = _local_ids(texts)
-        known = dict(zip(counts["_bucket"].to_pylist(), counts["counts"].to_pylist()))
-        c = np.zeros(len(words), np.int64)
-        for bucket, own in _by_bucket(words, buckets):
-            c[own] = np.frombuffer(known[bucket], "<i8")
-        base = np.log10(c + SMOOTH) - v.base_norm
-        model = _model_ids(words, v.head)
+    start = _average(_train(warm, start, WARM_BATCH, WARM_EPOCHS, 0.01), start)
+    return _average(_train(docs, start, BATCH, 1, 0.003), start)
+
+
+def _with_totals(docs: DataFrame, words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """Base scores of documents, their model ids, and ``_rest``: what the words' shares of their classes add to the score.
+
+    ``docs`` has the numbers of ``_block_words``; ``words`` has rows with
+    ``words`` and rows with their total ``counts``, per block and bucket.
+    """
+    v, id_type = vocabulary, docs.schema["_id"].dataType
+
+    def run(docs: pa.Table, words: pa.Table) -> pa.Table:
+        words = words.sort_by("_bucket")
+        c = np.frombuffer(b"".join(words["counts"].drop_null().to_pylist()), "<i8")
+        own = pc.split_pattern(_one(words["words"].drop_null()), b" ").flatten()
+        ids, sizes = _numbers_of(_one(docs["ids"]), "<i4")
+        model = _model_ids(own, v.head)
         tail = model >= gru.HEAD
-        rest = np.where(tail, np.log10(c + SMOOTH) - v.tail_norm[np.where(tail, model - gru.HEAD, 0)], 0.0)
+        logs = np.log10(c + SMOOTH)
+        rest = np.where(tail, logs - v.tail_norm[np.where(tail, model - gru.HEAD, 0)], 0.0)
         end = math.log10(v.end_count + SMOOTH) - v.base_norm
-        likelihoods = gru.log_likelihoods(gru.unflatten(weights), [np.append(model[d], np.int32(0)) for d in ids])
+        document = np.repeat(np.arange(len(sizes)), sizes)
+        added = lambda values: np.bincount(document, weights=values[ids], minlength=len(sizes)).astype(np.float64)
         return pa.table(
             {
                 "_id": docs["_id"],
                 "held_out": docs["held_out"],
-                "n_tokens": pa.array([len(d) + 1 for d in ids], pa.int64()),
-                "n_known": pa.array([int((c[d] > 0).sum()) + (v.end_count > 0) for d in ids], pa.int64()),
-                "train_tokens": pa.array([v.tokens] * len(ids), pa.int64()),
-                "base_score": pa.array([float(base[d].sum()) + end for d in ids], pa.float64()),
-                "score": pa.array([float(x) / math.log(10) + float(rest[d].sum()) for x, d in zip(likelihoods, ids)], pa.float64()),
+                "n_tokens": pa.array(sizes + 1, pa.int64()),
+                "n_known": pa.array(added(c > 0).astype(np.int64) + (v.end_count > 0), pa.int64()),
+                "base_score": pa.array(added(logs - v.base_norm) + end),
+                "_rest": pa.array(added(rest)),
+                "_model_ids": _closed(model[ids], sizes),
             }
         )
 
@@ -237,12 +323,28 @@ def _score(blocked: DataFrame, totals: DataFrame, vocabulary: Vocabulary, weight
         [
             T.StructField("_id", id_type),
             T.StructField("held_out", T.BooleanType()),
-            *(T.StructField(n, T.LongType()) for n in ("n_tokens", "n_known", "train_tokens")),
-            T.StructField("base_score", T.DoubleType()),
-            T.StructField("score", T.DoubleType()),
+            *(T.StructField(n, T.LongType()) for n in ("n_tokens", "n_known")),
+            *(T.StructField(n, T.DoubleType()) for n in ("base_score", "_rest")),
+            T.StructField("_model_ids", T.BinaryType()),
         ]
     )
-    return blocked.groupBy("_block").cogroup(totals.groupBy("_block")).applyInArrow(run, schema)
+    return docs.groupBy("_block").cogroup(words.groupBy("_block")).applyInArrow(run, schema)
+
+
+def _likelihoods(ready: DataFrame, weights: np.ndarray, tokens: int) -> DataFrame:
+    """The scored rows of ``_with_totals``, a batch of documents of bounded size at a time."""
+    kept = ["_id", "held_out", "n_tokens", "n_known", "base_score"]
+    schema = T.StructType([*(ready.schema[n] for n in kept), T.StructField("score", T.DoubleType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        p = gru.unflatten(weights)
+        for batch in batches:
+            parts = [gru.log_likelihoods(p, _documents(rows)) for rows in _portions(iter([batch.select(["_model_ids"])]), BLOCK_BYTES // 3)]
+            found = np.concatenate([*parts, np.zeros(0)]) / math.log(10) + batch["_rest"].to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([*(batch[n] for n in kept), pa.array(found, pa.float64())], names=[*kept, "score"])
+
+    scored = ready.mapInArrow(run, schema)
+    return scored.select("_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -264,9 +366,13 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     buckets = max(1, -(-size.bytes // block_bytes))
     n_train = size.train or 0
     blocked = rows.withColumn("_block", F.pmod(F.xxhash64("_id", "_text"), F.lit(buckets)))
-    totals = keep(_bucket_totals(_block_words(blocked, buckets)), "lm-words")
+    coded = keep(_block_words(blocked, buckets), "lm-blocks")
+    pieces = coded.where(F.col("_bucket").isNotNull())
+    totals = keep(_bucket_totals(pieces.select("_bucket", "_block", "words", "counts")), "lm-words")
     vocabulary = Vocabulary(totals, n_train)
-    weights = train_model(rows.where(~F.col("held_out")), vocabulary, n_train)
-    answers = totals.where(F.col("_block").isNotNull()).select("_block", "_bucket", "counts")
-    scored = _score(blocked, answers, vocabulary, weights, buckets, docs.schema[id_col].dataType)
-    return scored.withColumnRenamed("_id", id_col)
+    answers = totals.where(F.col("_block").isNotNull()).select("_block", "_bucket", F.lit(None).cast("binary").alias("words"), "counts")
+    words = pieces.select("_block", "_bucket", "words", F.lit(None).cast("binary").alias("counts")).unionAll(answers)
+    numbered = coded.where(F.col("_bucket").isNull()).select("_block", "_id", "held_out", "ids")
+    ready = keep(_with_totals(numbered, words, vocabulary), "lm-documents")
+    weights = train_model(ready.where(~F.col("held_out")), vocabulary, n_train)
+    return _likelihoods(ready, weights, vocabulary.tokens).withColumnRenamed("_id", id_col)
