@@ -114,3 +114,21 @@ def test_classify_equals_plain_co_training(spark):
     assert len(got) == 500 and np.allclose([got[i].quality_score for i in order], p, atol=1e-4)
     sure = np.abs(p - model.threshold) > 1e-3
     assert np.array([got[i].kept for i in order])[sure].tolist() == (p >= model.threshold)[sure].tolist() and sure.sum() > 400
+
+
+def test_words_are_looked_up_in_arrays(monkeypatch):
+    """A batch's scores need no features made word by word, and equal them on odd words."""
+    words = ["word", "words", "wordsy", "WORDSY", "ééé", "éa", "a##", "##", "#", "x1!?", "日本語", "-\x00-", "a\x1c\x1d", "!!é", "p:w", ""]
+    texts = [f" {a} {b}\n" for a in words for b in words] + [None, "é" * 30]
+    every = sorted(set().union(*(qc.text_features(t) for t in texts)))
+    view = qc.View()
+    view.weights, view.bias = {f: 0.01 * 1.01**i for i, f in enumerate(every)}, 0.5
+    want = [view.raw(qc.text_features(t)) for t in texts]
+
+    def never(word):
+        raise AssertionError(word)
+
+    monkeypatch.setattr(qc, "_word_features", never)
+    for bound in (1, 7, 512):
+        got = qc.Scorer(qc.Model(view, qc.View(), 0.5, 0.5), bound).texts(pa.array(texts, pa.string()))
+        assert np.allclose(got, want, rtol=1e-12)

@@ -12,7 +12,6 @@ import math
 import pickle
 import re
 from collections.abc import Iterator, Sequence
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -379,43 +378,46 @@ def fit(docs: DataFrame, labels: DataFrame, columns: Sequence[str], labelled: in
 
 
 class Scorer:
-    """Scores of texts, each different word of a batch looked up once in a cache of the features that carry weight; the cache is emptied when full."""
+    """Scores of texts, ``bound`` at a time: each different word is looked up once among the features that carry weight, in arrays."""
 
-    def __init__(self, model: Model, bound: int = 250_000):
-        self.view, self.cache, self.bound = model.text, {}, bound
+    def __init__(self, model: Model, bound: int = TEXTS_AT_ONCE):
+        self.view, self.bound = model.text, bound
         self.numbers = {f: i for i, f in enumerate(self.view.weights)}
         self.weights = np.array([*self.view.weights.values(), 0.0])
-
-    def _weighted(self, word: bytes) -> tuple[int, ...]:
-        return tuple(self.numbers[f] for f in _word_features(word) if f in self.numbers)
+        self.sets = {}
+        for kind in (b"w:", b"p:", b"s:"):
+            own = [f for f in self.numbers if f.startswith(kind)]
+            self.sets[kind] = pa.array([f[2:] for f in own], pa.binary()), np.array([*(self.numbers[f] for f in own), -1], np.int64)
+
+    def _look(self, kind: bytes, values: pa.Array) -> np.ndarray:
+        names, numbers = self.sets[kind]
+        return numbers[pc.fill_null(pc.index_in(values, value_set=names), -1).to_numpy(zero_copy_only=False)]
+
+    def _weighted(self, words: pa.Array) -> np.ndarray:
+        """Numbers of the features of ``_word_features`` that carry weight, a row for each kind and a column for each word; -1 for none."""
+        raw, lower = words.cast(pa.binary()), pc.ascii_lower(words).cast(pa.binary())
+        size = pc.binary_length(raw).to_numpy(zero_copy_only=False)
+        prefixes = [np.where(size > n, self._look(b"p:", pc.binary_slice(lower, 0, n)), -1) for n in (4, 5)]
+        return np.stack([self._look(b"w:", lower), *prefixes, self._look(b"s:", pc.binary_slice(raw, -2))])  # only two signs are in the last set
 
     def _texts(self, texts: pa.Array) -> np.ndarray:
         cut = pc.ascii_split_whitespace(texts)
         coded = cut.flatten().dictionary_encode()
-        words, code = coded.dictionary.cast(pa.binary()).to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
+        words, code = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
         document = np.repeat(np.arange(len(texts)), np.diff(cut.offsets.to_numpy()))
-        if b"" in words:  # white space at the ends of a text
-            real = code != words.index(b"")
+        blank = pc.index(words, pa.scalar("", words.type)).as_py()
+        if blank >= 0:  # white space at the ends of a text
+            real = code != blank
             document, code = document[real], code[real]
         n_words = np.bincount(document, minlength=len(texts))
         pairs = np.sort(document * len(words) + code)
         pairs = pairs[np.concatenate(([True], pairs[1:] != pairs[:-1]))] if len(pairs) else pairs
         document, code = np.divmod(pairs, max(1, len(words)))
         n_distinct = np.bincount(document, minlength=len(texts))
-        cache = self.cache
-        if len(cache) > self.bound:
-            cache.clear()
-        found = list(map(cache.get, words))
-        if None in found:
-            for i, word in enumerate(words):
-                if found[i] is None:
-                    found[i] = cache[word] = self._weighted(word)
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter(chain.from_iterable(found), np.int64, int(sizes.sum()))
-        own = sizes[code]
-        starts = (np.cumsum(sizes) - sizes)[code] - (np.cumsum(own) - own)
-        features = flat[np.arange(own.sum()) + np.repeat(starts, own)]
-        keys = [np.repeat(document, own) * len(self.weights) + features]
+        found = self._weighted(words)
+        some = (found >= 0).any(axis=0)[code]
+        document, features = document[some], found[:, code[some]]
+        keys = [(document * len(self.weights) + features)[features >= 0]]
         for i, raw in enumerate(texts.cast(pa.binary()).to_pylist()):
             shape = shape_features(raw, int(n_words[i]), int(n_distinct[i]))
             keys.append(np.array([i * len(self.weights) + self.numbers[f] for f in shape if f in self.numbers], np.int64))
@@ -425,7 +427,7 @@ class Scorer:
     def texts(self, texts: pa.Array) -> np.ndarray:
         """Raw scores; null texts are empty."""
         texts = pc.fill_null(texts.cast(pa.string()), "")
-        return np.concatenate([self._texts(texts.slice(at, TEXTS_AT_ONCE)) for at in range(0, max(1, len(texts)), TEXTS_AT_ONCE)])
+        return np.concatenate([self._texts(texts.slice(at, self.bound)) for at in range(0, max(1, len(texts)), self.bound)])
 
 
 ADDED = ["text_score", "metadata_score", "quality_score", "kept"]
