@@ -1,4 +1,5 @@
 import math
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -125,3 +126,35 @@ def test_query_round_trip(spark):
     same = F.crc32(F.coalesce("text", F.lit("")).cast("binary")) == F.col("text_crc32")
     out = got.groupBy("doc_id").agg(F.count("*").alias("n"), F.count_distinct("ids_crc32").alias("d"), F.min(same).alias("same")).collect()
     assert len(out) == docs.count() and all(r.same and r.n == r.d for r in out) and sum(r.n == 2 for r in out) > 0.99 * len(out)
+
+
+ODD = ["the quick brown fox", "a  b", " lead", "trail ", "x▁y z", "", "é日x 日本語 on 𝒳", "\ud800 lone \udfff", "in\nan\ttab", "same same same", "wordswithoutanyspace" * 20, "tie aa aa bb ab ba"]
+
+
+def test_draws_stay_the_same():
+    """Checksum of the draws before parts were numbered and edges sorted by single numbers."""
+    crc = 0
+    for own in ps.sample_texts(ps.Lattices(PATH), list(range(len(ODD))), ODD, 3):
+        for ids, *_ in own:
+            crc = zlib.crc32(ids.astype("<i4").tobytes(), crc)
+    assert crc == 2852474206
+
+
+def test_chunks_do_not_depend_on_the_batch():
+    """Texts cut together, alone, and after others give chunks that spell them."""
+    together, again = ps.Lattices(PATH), ps.Lattices(PATH)
+    found = together.chunks_of(ODD)
+    for text, own in zip(ODD, found):
+        for numbers, lattices in ((own, together), (again.chunks_of([text])[0], again)):
+            spelled = list(lattices.chunks)
+            assert "".join(spelled[i] for i in numbers) == (ps.SPACE + text.replace(" ", ps.SPACE) if text else "")
+    assert [x.tolist() for x in together.chunks_of(ODD)] == [x.tolist() for x in found]
+    assert together.chunks_of([]) == []
+
+
+def test_edges_are_sorted_as_by_lexsort():
+    rng = np.random.default_rng(2)
+    source, value, step = rng.integers(0, 50, 900), rng.integers(-4, 1, 900) * 0.25, rng.permutation(900)
+    got = np.argsort((source * len(value) + ps._falling_ranks(value)) * 900 + step)
+    assert got.tolist() == np.lexsort((step, -value, source)).tolist()
+    assert ps._falling_ranks(np.array([0.5, -1.0, 0.5, -0.0, 0.0])).tolist() == [0, 2, 0, 1, 1]

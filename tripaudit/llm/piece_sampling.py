@@ -21,6 +21,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -91,6 +92,14 @@ def _in(sorted_values: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.n
     return sorted_values[at] == values, at
 
 
+def _falling_ranks(values: np.ndarray) -> np.ndarray:
+    """0 for the largest values, 1 for the next, and so on; equal for equal ones."""
+    order = np.argsort(-values)
+    ranks = np.empty(len(values), np.int64)
+    ranks[order] = np.cumsum(np.concatenate(([False], np.diff(values[order]) != 0)))
+    return ranks
+
+
 class Lattices:
     """Pieces and the lattices of the chunks seen so far, in flat arrays; emptied when they are full."""
 
@@ -122,17 +131,17 @@ class Lattices:
                 by_length.setdefault(len(codes), []).append((h, i))
                 pairs.update(x << 32 | y for x, y in zip(codes, codes[1:]))
         self.prefixes = {k: np.array(sorted(v), np.uint64) for k, v in prefixes.items()}
-        self.tables = {}
-        for k in self.prefixes:
-            rows = sorted(by_length.get(k, []))
-            self.tables[k] = np.array([h for h, _ in rows], np.uint64), np.array([i for _, i in rows], np.int64)
+        self.names = {k: np.full(len(v), -1, np.int64) for k, v in self.prefixes.items()}  # the piece that a prefix is, or -1
+        for k, rows in by_length.items():
+            rows = sorted(rows, reverse=True)  # of equal ones the first piece
+            self.names[k][np.searchsorted(self.prefixes[k], np.array([h for h, _ in rows], np.uint64))] = [i for _, i in rows]
         self.pairs = np.array(sorted(pairs), np.uint64)
         self.spelled: list[np.ndarray] = []  # ids of a character's bytes, for edges with negative ids
         self.spelled_at: dict[int, int] = {}
         self.reset()
 
     def reset(self) -> None:
-        self.parts: dict[str, int] = {}  # text between two spaces -> its number
+        self.parts: dict[bytes, int] = {}  # text between two spaces -> its number
         self.runs: dict[str, int] = {}  # the same for what starts otherwise than with one space
         self.chunks: dict[str, int] = {}
         self.store = {k: _Growing(t) for k, t in (NODE_ARRAYS | EDGE_ARRAYS | CHUNK_ARRAYS | PART_ARRAYS).items()}
@@ -141,7 +150,7 @@ class Lattices:
     def full(self) -> bool:
         return self.store["edge_id"].size > CACHE_EDGES
 
-    def _add(self, known: dict[str, int], names: list[str], parts: list[str]) -> None:
+    def _add(self, known: dict, names: list, parts: list[str]) -> None:
         """Number new parts, cut them where no piece holds both neighbours, and build the new chunks."""
         start = self.store["part_first"].size
         known.update(zip(names, range(start, start + len(names))))
@@ -154,7 +163,7 @@ class Lattices:
         bounds = np.nonzero(cut)[0]
         firsts = np.searchsorted(bounds, np.concatenate([[0], ends]))
         texts = [joined[a:b] for a, b in zip(bounds.tolist(), bounds[1:].tolist())]
-        fresh = list(dict.fromkeys(t for t in texts if t not in self.chunks))
+        fresh = [t for t in dict.fromkeys(texts) if t not in self.chunks]
         if fresh:
             start = len(self.chunks)
             self.chunks.update(zip(fresh, range(start, start + len(fresh))))
@@ -182,25 +191,26 @@ class Lattices:
         for k, prefix in self.prefixes.items():
             live = at + k <= end[at]
             at, hashes = at[live], hashes[live] * _BASE + codes[at[live] + k - 1] + np.uint64(1)
-            table, names = self.tables[k]
-            if len(table):
-                hit, place = _in(table, hashes)
-                sources.append(at[hit])
-                steps.append(np.full(int(hit.sum()), k))
-                ids.append(names[place[hit]])
+            live, place = _in(prefix, hashes)
+            names = np.where(live, self.names[k][place], -1)
+            hit = names >= 0
+            sources.append(at[hit])
+            steps.append(np.full(len(sources[-1]), k))
+            ids.append(names[hit])
             if k == 1:
                 missed = at[~hit]
                 sources.append(missed)
                 steps.append(np.ones(len(missed), np.int64))
                 ids.append(np.array([self._spell(c) for c in codes[missed].tolist()], np.int64))
-            live = _in(prefix, hashes)[0]
             at, hashes = at[live], hashes[live]
         source, step, piece = np.concatenate(sources), np.concatenate(steps), np.concatenate(ids)
         spelled = np.array([0, *(len(x) for x in self.spelled)])
         weight = np.where(piece >= 0, self.weights[np.maximum(piece, 0)], self.byte_weight * spelled[np.maximum(-piece, 0)])
         # Log-sums over all ways to the end, from the last characters of all chunks backwards.
         left = end - np.arange(len(codes))
-        order = np.lexsort((source, left[source]))
+        # Sorts are by one number a row, different for all rows: the same as lexsort, but by numpy's fast unstable sort.
+        far = max(self.prefixes) + 1
+        order = np.argsort((left[source] * len(codes) + source) * far + step)
         source, step, piece, weight = source[order], step[order], piece[order], weight[order]
         node_starts = np.nonzero(np.concatenate([[True], source[1:] != source[:-1]]))[0]
         at_left = left[source[node_starts]]
@@ -219,7 +229,7 @@ class Lattices:
             total = np.add.reduceat(np.exp(own - np.repeat(top, counts)), starts)
             rest[source[node_starts[a:b]]] = top + np.log(total)
             value[low:high] = own - np.repeat(top + np.log(total), counts)
-        order = np.lexsort((step, -value, source))
+        order = np.argsort((source * len(value) + _falling_ranks(value)) * far + step)
         source, step, piece, value = source[order], step[order], piece[order], value[order]
         starts = np.searchsorted(source, np.arange(len(codes) + 1))
         p = np.exp(value)
@@ -241,20 +251,27 @@ class Lattices:
 
     def chunks_of(self, texts: list[str]) -> list[np.ndarray]:
         """Numbers of the chunks of each text; the empty text has none."""
-        cut, fresh = [], ({}, {})
-        for text in texts:
-            parts, odd = text.split(" "), 0
-            if "" in parts or SPACE in text:
-                parts, odd = CHUNK.findall(SPACE + text.replace(" ", SPACE)) if text else [], 1
-            known = (self.parts, self.runs)[odd]
-            numbers = list(map(known.get, parts))
-            if None in numbers:
-                fresh[odd].update((p, None) for p, n in zip(parts, numbers) if n is None)
-            cut.append((known, parts, numbers))
-        for known, own, lead in ((self.parts, fresh[0], SPACE), (self.runs, fresh[1], "")):
+        plain, found = [], []
+        for at, text in enumerate(texts):
+            found.append(np.zeros(0, np.int64))
+            if text and not (text[0] == " " or text[-1] == " " or "  " in text or SPACE in text):
+                plain.append(at)
+            elif text:
+                parts = CHUNK.findall(SPACE + text.replace(" ", SPACE))
+                own = [p for p in dict.fromkeys(parts) if p not in self.runs]
+                if own:
+                    self._add(self.runs, own, own)
+                found[at] = np.fromiter(map(self.runs.__getitem__, parts), np.int64, len(parts))
+        if plain:  # of these only the different parts become objects
+            lists = pc.split_pattern(pa.array([texts[at].encode("utf-8", "surrogatepass") for at in plain], pa.binary()), b" ")
+            coded = lists.flatten().dictionary_encode()
+            parts = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+            own = [p for p in parts if p not in self.parts]
             if own:
-                self._add(known, list(own), [lead + p for p in own])
-        found = [np.array(list(map(known.get, parts)) if None in numbers else numbers, np.int64) for known, parts, numbers in cut]
+                self._add(self.parts, own, [SPACE + p.decode("utf-8", "surrogatepass") for p in own])
+            numbers = np.fromiter(map(self.parts.__getitem__, parts), np.int64, len(parts))[coded.indices.to_numpy()]
+            for at, some in zip(plain, np.split(numbers, np.cumsum(pc.list_value_length(lists).to_numpy())[:-1])):
+                found[at] = some
         store = self.store
         every = np.concatenate(found) if found else np.zeros(0, np.int64)
         counts = store["part_chunks"].all[every]
